@@ -95,18 +95,27 @@ def sku_list(line_items) -> Column:
     return F.when(joined != "", joined)
 
 
+ARRAY_SUM_DECIMAL = "decimal(38,9)"
+
+
+def _array_money_sum(arr, field: str) -> Column:
+    """Exact sum of a parsed money field over an array of structs: values are
+    added as decimals, so the result does not depend on element order."""
+    zero = F.lit(0).cast(ARRAY_SUM_DECIMAL)
+    return F.aggregate(arr, zero, lambda acc, x: (acc + F.coalesce(safe_double(x[field]).cast(ARRAY_SUM_DECIMAL), zero))
+                       .cast(ARRAY_SUM_DECIMAL))
+
+
 def shipping_total(shipping_lines) -> Column:
     """Sum of shipping line prices, unparseable -> 0; NULL when there are no lines."""
     lines = col_(shipping_lines)
-    total = F.aggregate(lines, F.lit(0.0), lambda acc, x: acc + F.coalesce(safe_double(x["price"]), F.lit(0.0)))
-    return F.when(F.size(lines) > 0, total)
+    return F.when(F.size(lines) > 0, _array_money_sum(lines, "price").cast("double"))
 
 
 def discount_total(discounts) -> Column:
     """Sum of parseable discount values; NULL unless the sum is positive."""
-    total = F.aggregate(F.coalesce(col_(discounts), F.array()), F.lit(0.0),
-                        lambda acc, x: acc + F.coalesce(safe_double(x["value"]), F.lit(0.0)))
-    return F.when(total > 0, total)
+    total = _array_money_sum(col_(discounts), "value")
+    return F.when(total > 0, total.cast("double"))
 
 
 def first_comma_token(c) -> Column:
@@ -177,3 +186,14 @@ def round_ratio(k, n, digits: int) -> Column:
     b = n * F.lit(2)
     q = ((a - a % b) / b).cast("bigint")
     return F.when(n > 0, q.cast("double") / F.lit(float(scale)))
+
+
+def multiset_digest(hex_digest) -> Column:
+    """Aggregate: order-insensitive digest of a set of sha-256 hex digests.
+
+    The digests are added up in four 60-bit lanes (exact decimal sums), which
+    combine map-side like any sum, so the batch is never gathered in one task;
+    the lanes and the count are hashed once more at the end."""
+    h = col_(hex_digest)
+    lanes = [F.sum(F.conv(F.substring(h, 1 + 15 * i, 15), 16, 10).cast("decimal(38,0)")) for i in range(4)]
+    return F.sha2(F.concat_ws("|", F.count(h).cast("string"), *[x.cast("string") for x in lanes]), 256)

@@ -522,3 +522,137 @@ def q_delivery_stats(spark, d):
 @register("hist_delivery_30", "A25 A24", _hist_sql(f"SELECT delivery_days AS x FROM ({_delivery_days_sql()}) dd", 30))
 def q_hist_delivery_30(spark, d):
     return FE.histogram(delivery_days(spark, d), "delivery_days", 30)
+
+
+# ---------------------------------------------------------------------------
+# M1-M9, J1-J3 incremental merge
+# ---------------------------------------------------------------------------
+
+from ..operators import merge as M  # noqa: E402
+
+
+def _merge_sql(existing_sql: str, batch_sql: str, keys: list[str], order_col: str, mode: str) -> str:
+    on3 = " AND ".join(f"e.{k} IS NOT DISTINCT FROM b.{k}" for k in [*keys, "raw_hash"])
+    on2 = " AND ".join(f"e.{k} IS NOT DISTINCT FROM b.{k}" for k in keys)
+    part = ", ".join(keys)
+    if mode == "triple":
+        return (f"WITH e AS ({existing_sql}), b AS ({batch_sql}) "
+                f"SELECT * FROM e UNION ALL SELECT * FROM b WHERE NOT EXISTS (SELECT 1 FROM e WHERE {on3})")
+    return (f"WITH e AS ({existing_sql}), b0 AS ({batch_sql}), "
+            f"b AS (SELECT * EXCLUDE (rn_) FROM (SELECT *, row_number() OVER (PARTITION BY {part} "
+            f"ORDER BY {order_col} DESC, raw_hash DESC) AS rn_ FROM b0) x WHERE rn_ = 1) "
+            f"SELECT * FROM e WHERE NOT EXISTS (SELECT 1 FROM b WHERE {on2}) UNION ALL SELECT * FROM b")
+
+
+def _merge_counts_sql(existing_sql: str, batch_sql: str, keys: list[str], order_col: str) -> str:
+    on3 = " AND ".join(f"e.{k} IS NOT DISTINCT FROM b.{k}" for k in [*keys, "raw_hash"])
+    on2 = " AND ".join(f"e.{k} IS NOT DISTINCT FROM b.{k}" for k in keys)
+    part = ", ".join(keys)
+    return (f"WITH e AS ({existing_sql}), b AS ({batch_sql}), "
+            f"bk AS (SELECT DISTINCT {part} FROM b) "
+            f"SELECT 'triple' AS mode, (SELECT count(*) FROM b WHERE NOT EXISTS (SELECT 1 FROM e WHERE {on3})) AS new, "
+            f"CAST(0 AS BIGINT) AS updated "
+            f"UNION ALL SELECT 'pair', "
+            f"(SELECT count(*) FROM bk b WHERE NOT EXISTS (SELECT 1 FROM e WHERE {on2})), "
+            f"(SELECT count(*) FROM bk b WHERE EXISTS (SELECT 1 FROM e WHERE {on2}))")
+
+
+def _both_counts(existing: DataFrame, batch: DataFrame, fn) -> DataFrame:
+    t = fn(existing, batch, "triple").counts.select(F.lit("triple").alias("mode"), "new", "updated")
+    p = fn(existing, batch, "pair").counts.select(F.lit("pair").alias("mode"), "new", "updated")
+    return t.unionByName(p)
+
+
+@register("merge_orders_triple", "M3 M5 J1", _merge_sql(V.MERGE_EXISTING_SQL, V.MERGE_BATCH_SQL,
+                                                         ["source", "order_id"], "ingested_at", "triple"))
+def q_merge_orders_triple(spark, d):
+    return M.merge_orders(V.merge_existing(spark, d), V.merge_batch(spark, d), "triple").table
+
+
+@register("merge_orders_pair", "M4 M5 M6 J2", _merge_sql(V.MERGE_EXISTING_SQL, V.MERGE_BATCH_SQL,
+                                                         ["source", "order_id"], "ingested_at", "pair"))
+def q_merge_orders_pair(spark, d):
+    return M.merge_orders(V.merge_existing(spark, d), V.merge_batch(spark, d), "pair").table
+
+
+@register("merge_orders_counts", "J3 M9", _merge_counts_sql(V.MERGE_EXISTING_SQL, V.MERGE_BATCH_SQL,
+                                                           ["source", "order_id"], "ingested_at"))
+def q_merge_orders_counts(spark, d):
+    return _both_counts(V.merge_existing(spark, d), V.merge_batch(spark, d), M.merge_orders)
+
+
+@register("merge_products_triple", "M1 M5 J1", _merge_sql(V.PRODUCT_EXISTING_SQL, V.PRODUCT_BATCH_SQL,
+                                                          ["source", "source_id"], "collected_at", "triple"))
+def q_merge_products_triple(spark, d):
+    return M.merge_products(V.product_existing(spark, d), V.product_batch(spark, d), "triple").table
+
+
+@register("merge_products_pair", "M2 M5 M6 J2", _merge_sql(V.PRODUCT_EXISTING_SQL, V.PRODUCT_BATCH_SQL,
+                                                            ["source", "source_id"], "collected_at", "pair"))
+def q_merge_products_pair(spark, d):
+    return M.merge_products(V.product_existing(spark, d), V.product_batch(spark, d), "pair").table
+
+
+@register("merge_products_counts", "J3 M9", _merge_counts_sql(V.PRODUCT_EXISTING_SQL, V.PRODUCT_BATCH_SQL,
+                                                             ["source", "source_id"], "collected_at"))
+def q_merge_products_counts(spark, d):
+    return _both_counts(V.product_existing(spark, d), V.product_batch(spark, d), M.merge_products)
+
+
+# ---------------------------------------------------------------------------
+# N1-N14 normalizers over JSON rendered from the supplied tables
+# ---------------------------------------------------------------------------
+
+from ..operators import normalize as N  # noqa: E402
+from . import raw_views as R  # noqa: E402
+
+_PRODUCT_OUT = ["source", "source_id", "title", "price_amount", "price_currency", "image_url", "category"]
+
+
+@register("normalize_shopify_products", "N1 N6 N13 N14", R.SHOPIFY_PRODUCTS_SQL)
+def q_normalize_shopify_products(spark, d):
+    out = N.normalize_shopify_products(R.shopify_products_raw(spark, d), N.batch_stamp(R.STAMP))
+    return out.select(*_PRODUCT_OUT)
+
+
+@register("normalize_amazon_items", "N2", R.AMAZON_SQL)
+def q_normalize_amazon_items(spark, d):
+    out = N.normalize_amazon_items(R.amazon_raw(spark, d), N.batch_stamp(R.STAMP))
+    return out.select(*_PRODUCT_OUT, "url")
+
+
+@register("normalize_ebay_search", "N3", R.EBAY_SQL)
+def q_normalize_ebay_search(spark, d):
+    out = N.normalize_ebay_search(R.ebay_raw(spark, d), N.batch_stamp(R.STAMP))
+    return out.select(*_PRODUCT_OUT, "url")
+
+
+@register("normalize_shopify_orders", "N4 N8 N9 N10 N11 N12", R.SHOPIFY_ORDERS_SQL)
+def q_normalize_shopify_orders(spark, d):
+    out = N.normalize_shopify_orders(R.shopify_orders_raw(spark, d), N.batch_stamp(R.STAMP))
+    return out.select("source", "order_id", "source_order_number", "currency", "total_price", "total_discount",
+                      "total_shipping", "financial_status", "line_items_count", "line_items_skus", "customer_id",
+                      "customer_email_hash")
+
+
+@register("provider_union", "N5", f"""
+SELECT source, count(*) AS products, count(price_amount) AS priced, count(category) AS categorised FROM (
+  SELECT source, price_amount, category FROM ({R.SHOPIFY_PRODUCTS_SQL}) a UNION ALL
+  SELECT source, price_amount, category FROM ({R.AMAZON_SQL}) b UNION ALL
+  SELECT source, price_amount, category FROM ({R.EBAY_SQL}) c) u GROUP BY source""")
+def q_provider_union(spark, d):
+    stamp = N.batch_stamp(R.STAMP)
+    batch = N.union_batches([N.normalize_shopify_products(R.shopify_products_raw(spark, d), stamp),
+                             N.normalize_amazon_items(R.amazon_raw(spark, d), stamp),
+                             N.normalize_ebay_search(R.ebay_raw(spark, d), stamp)])
+    return batch.groupBy("source").agg(F.count(F.lit(1)).alias("products"), F.count("price_amount").alias("priced"),
+                                       F.count("category").alias("categorised"))
+
+
+@register("content_hash", "N14", None)
+def q_content_hash(spark, d):
+    """Batch hash of the landed order file: order-insensitive digest of the
+    canonical per-record hashes, combined map-side."""
+    from ..functions.exprs import multiset_digest
+    raw = R.shopify_orders_raw(spark, d)
+    return raw.agg(multiset_digest("raw_hash").alias("batch_hash"), F.count(F.lit(1)).alias("records"))

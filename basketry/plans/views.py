@@ -169,3 +169,65 @@ MERGE_BATCH_SQL = (
                        f"CASE WHEN o_orderstatus = 'O' THEN {_reprice_sql('1.05')} ELSE {_CENTS_SQL} END", INGEST[1])
     + " UNION ALL "
     + _order_version_sql(f"o_orderdate >= TIMESTAMP '{LOAD3_START}'", _reprice_sql("1.10"), INGEST[2]))
+
+
+# --- product merge batches: catalogue deliveries by part size band ----------
+# Fixed scenario: the catalogue holds parts of size <= 30 (load 1); load 2
+# re-delivers sizes >= 20 with re-priced ECONOMY parts; load 3, later, re-prices
+# sizes >= 40 again.
+PRODUCT_LOAD1_MAX_SIZE = 30
+PRODUCT_LOAD2_MIN_SIZE = 20
+PRODUCT_LOAD3_MIN_SIZE = 40
+COLLECT = ("2024-01-01 00:00:00", "2024-03-01 00:00:00", "2024-03-01 12:00:00")
+
+
+def _product_version(p: DataFrame, price_dec, collected_at: str) -> DataFrame:
+    return p.select(
+        F.col("p_brand").alias("source"),
+        F.col("p_partkey").cast("string").alias("source_id"),
+        F.col("p_name").alias("title"),
+        price_dec.cast("double").alias("price_amount"),
+        F.col("p_type").alias("category"),
+        F.lit(collected_at).cast("timestamp_ntz").alias("collected_at"),
+        F.sha2(F.concat_ws("|", F.col("p_partkey").cast("string"), price_dec.cast("string")), 256).alias("raw_hash"),
+    )
+
+
+def product_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part")
+    return _product_version(p.where(F.col("p_size") <= PRODUCT_LOAD1_MAX_SIZE),
+                            _cents(F.col("p_retailprice")), COLLECT[0])
+
+
+def product_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part")
+    v2 = p.where(F.col("p_size") >= PRODUCT_LOAD2_MIN_SIZE)
+    p2 = F.when(F.col("p_type") == "ECONOMY", _reprice(F.col("p_retailprice"), "1.05")) \
+        .otherwise(_cents(F.col("p_retailprice")))
+    v3 = p.where(F.col("p_size") >= PRODUCT_LOAD3_MIN_SIZE)
+    return _product_version(v2, p2, COLLECT[1]).unionByName(
+        _product_version(v3, _reprice(F.col("p_retailprice"), "1.10"), COLLECT[2]))
+
+
+def _product_version_sql(where: str, price_dec: str, collected_at: str) -> str:
+    return (f"SELECT p_brand AS source, CAST(p_partkey AS VARCHAR) AS source_id, p_name AS title, "
+            f"CAST({price_dec} AS DOUBLE) AS price_amount, p_type AS category, "
+            f"TIMESTAMP '{collected_at}' AS collected_at, "
+            f"sha256(CAST(p_partkey AS VARCHAR) || '|' || CAST({price_dec} AS VARCHAR)) AS raw_hash "
+            f"FROM part WHERE {where}")
+
+
+_PCENTS_SQL = "CAST(p_retailprice AS DECIMAL(18,2))"
+
+
+def _preprice_sql(factor: str) -> str:
+    return f"CAST(round({_PCENTS_SQL} * CAST({factor} AS DECIMAL(3,2)), 2) AS DECIMAL(18,2))"
+
+
+PRODUCT_EXISTING_SQL = _product_version_sql(f"p_size <= {PRODUCT_LOAD1_MAX_SIZE}", _PCENTS_SQL, COLLECT[0])
+PRODUCT_BATCH_SQL = (
+    _product_version_sql(f"p_size >= {PRODUCT_LOAD2_MIN_SIZE}",
+                         f"CASE WHEN p_type = 'ECONOMY' THEN {_preprice_sql('1.05')} ELSE {_PCENTS_SQL} END",
+                         COLLECT[1])
+    + " UNION ALL "
+    + _product_version_sql(f"p_size >= {PRODUCT_LOAD3_MIN_SIZE}", _preprice_sql("1.10"), COLLECT[2]))
