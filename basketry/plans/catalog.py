@@ -656,3 +656,30 @@ def q_content_hash(spark, d):
     from ..functions.exprs import multiset_digest
     raw = R.shopify_orders_raw(spark, d)
     return raw.agg(multiset_digest("raw_hash").alias("batch_hash"), F.count(F.lit(1)).alias("records"))
+
+
+# ---------------------------------------------------------------------------
+# C1-C21 cleaning jobs over text extracts rendered from the supplied tables
+# ---------------------------------------------------------------------------
+
+from ..operators import clean as C  # noqa: E402
+from . import dirty_views as DV  # noqa: E402
+
+_CLEAN_IDS = {"E-commerce Dataset": "C10", "online_retail": "C11", "Sale Report": "C12", "orders": "C13",
+              "order_items": "C14", "customers": "C15", "payments": "C16", "reviews": "C17", "products": "C18",
+              "sellers": "C19", "geolocation": "C20", "category_translation": "C21"}
+
+
+def _clean_query(dataset: str):
+    view, sql, cols = DV.EXTRACTS[dataset]
+    rule = C.RULES[dataset]
+    name = "clean_" + dataset.lower().replace(" ", "_").replace("-", "_")
+
+    def build(spark, d):
+        return C.clean(view(spark, d), rule)
+
+    register(name, f"C1-C8 {_CLEAN_IDS[dataset]}", C.clean_sql(sql, cols, rule))(build)
+
+
+for _ds in DV.EXTRACTS:
+    _clean_query(_ds)
