@@ -77,9 +77,10 @@ def normalize_shopify_products(raw: DataFrame, stamp: Column | None = None) -> D
 def normalize_amazon_items(raw: DataFrame, stamp: Column | None = None) -> DataFrame:
     """N2. One output row per item of ``ItemsResult.Items``; a response
     without that path yields no rows; no category."""
-    items = raw.select(F.explode(F.coalesce(F.col("payload")["ItemsResult"]["Items"],
-                                            F.array().cast(T.ArrayType(SC.RAW_AMAZON_ITEM)))).alias("it"),
-                       "raw_hash", "raw_file")
+    # explode_outer + filter: a plain explode lets Spark infer a size() filter
+    # that re-evaluates the payload expression
+    items = raw.select(F.explode_outer(F.col("payload")["ItemsResult"]["Items"]).alias("it"),
+                       "raw_hash", "raw_file").where(F.col("it").isNotNull())
     it = F.col("it")
     offer = F.get(it["Offers"]["Listings"], 0)["Price"]
     out = items.select(

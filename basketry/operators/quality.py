@@ -48,7 +48,9 @@ def json_key_profile(df: DataFrame, batch_col: str, json_col: str) -> DataFrame:
     schema-inference pass over the data is needed; malformed records carry no keys."""
     parsed = df.select(F.col(batch_col).alias("batch"),
                        F.from_json(F.col(json_col), "map<string,variant>").alias("m"))
-    kv = parsed.select("batch", F.explode("m").alias("key", "value"))
+    # explode_outer: a plain explode makes Spark infer size(m) > 0 below the
+    # generator and evaluate from_json twice
+    kv = parsed.select("batch", F.explode_outer("m").alias("key", "value")).where(F.col("key").isNotNull())
     return kv.groupBy("batch", "key", F.schema_of_variant("value").alias("type")) \
         .agg(F.count(F.lit(1)).alias("records"))
 
@@ -134,8 +136,18 @@ def violations(df: DataFrame, rules: Sequence[Rule], allowed_columns: Sequence[s
 
 
 def violation_counts(df: DataFrame, rules: Sequence[Rule], allowed_columns: Sequence[str] | None = None) -> DataFrame:
-    v = violations(df, rules, allowed_columns)
-    return v.select(F.explode("violations").alias("rule")).groupBy("rule").agg(F.count(F.lit(1)).alias("violations"))
+    """Records breaking each rule (rules nobody breaks are left out). One
+    conditional count per rule in a single aggregation: no per-record arrays."""
+    checks = [(r.name, rule_violation(r)) for r in rules]
+    if allowed_columns is not None:
+        checks += [(f"extra:{c}", F.col(c).isNotNull()) for c in df.columns if c not in allowed_columns]
+    if not checks:
+        return df.sparkSession.createDataFrame([], "rule string, violations bigint")
+    wide = df.agg(*[F.count(F.when(cond, True)).alias(f"_{i}") for i, (_, cond) in enumerate(checks)])
+    names = F.array(*[F.lit(n) for n, _ in checks])
+    long = wide.unpivot([], [f"_{i}" for i in range(len(checks))], "_r", "violations")
+    return long.select(F.element_at(names, F.substring("_r", 2, 10).cast("int") + 1).alias("rule"), "violations") \
+        .where(F.col("violations") > 0)
 
 
 def split_valid(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
@@ -207,7 +219,10 @@ def term_matches(df: DataFrame, text_col: str, id_col: str, patterns: Sequence[s
         F.regexp_extract_all(F.col(text_col), F.lit(rx), 0).alias("_m"),
         F.regexp_extract_all(F.col(text_col), F.lit(rx), left_group).alias("_l"),
         F.regexp_extract_all(F.col(text_col), F.lit(rx), right_group).alias("_r"))
-    rows = arrays.select(id_col, F.posexplode(F.arrays_zip("_m", "_l", "_r")).alias("occurrence", "z"))
+    # posexplode_outer keeps Spark from inferring a size() filter that would
+    # run the regex extraction a second time; texts without a match are dropped after
+    rows = arrays.select(id_col, F.posexplode_outer(F.arrays_zip("_m", "_l", "_r")).alias("occurrence", "z")) \
+        .where(F.col("z").isNotNull())
     term = F.coalesce(*[F.when(F.col("z._m").rlike(rf"(?iU)^(?:{b})$"), F.lit(p)) for b, p in zip(bodies, patterns)])
     ctx = F.regexp_replace(F.concat(F.col("z._l"), F.col("z._m"), F.col("z._r")), "\n", " ")
     return rows.select(id_col, "occurrence", term.alias("term"), F.col("z._m").alias("match"), ctx.alias("context"))
