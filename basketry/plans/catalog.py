@@ -886,3 +886,36 @@ def q_term_scan(spark, d):
 @register("term_scan_reference_terms", "Q6", None)
 def q_term_scan_reference_terms(spark, d):
     return QA.term_matches(V.table(spark, d, "documents"), "text", "doc_id")
+
+
+# ---------------------------------------------------------------------------
+# E3 report document (S11, A16, A19) and its contract check (Q4)
+# ---------------------------------------------------------------------------
+
+from . import report as RP  # noqa: E402
+
+
+def _report(spark, d):
+    return RP.build_report(V.products(spark, d), V.orders(spark, d), V.run_log(spark, d),
+                           providers=["part", "orders"], key_mode="pair", generated_at="2024-06-01T00:00:00Z")
+
+
+@register("report_document", "E3 S11 A16 A18 A19", None)
+def q_report_document(spark, d):
+    return _report(spark, d)
+
+
+@register("report_contract_violations", "Q4 (report contract)", None)
+def q_report_contract_violations(spark, d):
+    return RP.report_contract_violations(_report(spark, d))
+
+
+@register("latest_rolling_7d", "A16", f"""
+WITH e AS ({_rolling_sql(EO)}),
+s AS (SELECT CAST(created_at AS DATE) AS day, created_at FROM {EO} x)
+SELECT arg_max(e.gmv_7d, s.created_at) FILTER (WHERE e.gmv_7d IS NOT NULL) AS gmv_7d,
+       arg_max(e.orders_7d, s.created_at) FILTER (WHERE e.orders_7d IS NOT NULL) AS orders_7d,
+       arg_max(e.aov_7d, s.created_at) FILTER (WHERE e.aov_7d IS NOT NULL) AS aov_7d
+FROM s JOIN e ON s.day = e.day""")
+def q_latest_rolling_7d(spark, d):
+    return RP.latest_rolling(FE.enrich_orders(V.event_orders(spark, d)))

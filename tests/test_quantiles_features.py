@@ -3,6 +3,8 @@
 import datetime as dt
 import random
 
+import pytest
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
@@ -12,21 +14,23 @@ from basketry.operators import features as FE
 from basketry.operators import kpis as K
 
 
-def test_quantile_fixture(spark):
+@pytest.mark.parametrize("method", ["sort", "window"])
+def test_quantile_fixture(spark, method):
     vals = [1, 2, 2, 3, 4, 10, None]
     df = spark.createDataFrame([(None if v is None else float(v),) for v in vals], "p double")
-    r = quantiles(df, "p", {"q25": .25, "q50": .5, "q75": .75, "q90": .9}).first()
+    r = quantiles(df, "p", {"q25": .25, "q50": .5, "q75": .75, "q90": .9}, method=method).first()
     assert (r["q25"], r["q50"], r["q75"], r["q90"]) == (2.0, 2.5, 3.75, 7.0)
     assert r["n"] == 6
 
 
-def test_quantiles_match_pandas_grouped_with_ties(spark):
+@pytest.mark.parametrize("method", ["sort", "window", "auto"])
+def test_quantiles_match_pandas_grouped_with_ties(spark, method):
     rng = random.Random(7)
     rows = [(rng.choice("abc"), float(rng.randint(0, 40)) / 4) for _ in range(3000)]
     rows += [("hot", 5.0)] * 2000 + [("hot", float(i)) for i in range(50)]
     df = spark.createDataFrame(rows, "g string, v double").repartition(13)
     probs = {"p0": 0.0, "p10": .1, "p33": 1 / 3, "p50": .5, "p90": .9, "p100": 1.0}
-    got = {r["g"]: r for r in quantiles(df, "v", probs, by=["g"]).collect()}
+    got = {r["g"]: r for r in quantiles(df, "v", probs, by=["g"], method=method).collect()}
     pdf = pd.DataFrame(rows, columns=["g", "v"])
     for g, s in pdf.groupby("g")["v"]:
         for k, p in probs.items():
