@@ -351,17 +351,17 @@ def q_availability(spark, d):
 # F-1..F-4 product features, A15 bucket distribution
 # ---------------------------------------------------------------------------
 
-def _edges_sql() -> str:
+def _edges_sql(src_sql: str = V.PRODUCTS_SQL) -> str:
     probs = {f"e{i}": i / 5 for i in range(6)}
     return (f"SELECT list_distinct_ordered AS edges FROM (SELECT "
             f"list_sort(list_distinct([e0, e1, e2, e3, e4, e5])) AS list_distinct_ordered "
-            f"FROM ({_q(V.PRODUCTS_SQL, 'price_amount', probs)}) qq) ee")
+            f"FROM ({_q(src_sql, 'price_amount', probs)}) qq) ee")
 
 
-def _enriched_products_sql() -> str:
+def _enriched_products_sql(src_sql: str = V.PRODUCTS_SQL) -> str:
     return f"""
-WITH p AS (SELECT * FROM {P} p),
-e AS ({_edges_sql()}),
+WITH p AS (SELECT * FROM ({src_sql}) p),
+e AS ({_edges_sql(src_sql)}),
 b AS (SELECT p.*, CASE WHEN price_amount IS NOT NULL AND len(e.edges) >= 2 THEN
         CAST(len(list_filter(e.edges[2:len(e.edges) - 1], lambda x: x < price_amount)) AS INTEGER) END AS price_bucket,
         e.edges FROM p, e),
@@ -393,7 +393,14 @@ def q_price_bucket_distribution(spark, d):
     return K.bucket_distribution(FE.enrich_products(V.products(spark, d)))
 
 
-@register("order_value_buckets", "F-3 A15", None)
+_ORDERS_AS_PRODUCTS_SQL = ("SELECT o_orderpriority AS source, CAST(o_orderkey AS VARCHAR) AS source_id, "
+                           "o_totalprice AS price_amount, o_orderstatus AS category FROM orders")
+
+
+@register("order_value_buckets", "F-3 A15", f"""
+WITH b AS ({_enriched_products_sql(_ORDERS_AS_PRODUCTS_SQL)}), t AS (SELECT count(*) AS total FROM b)
+SELECT price_bucket, count(*) AS count, CAST(count(*) AS DOUBLE) / CAST(max(t.total) AS DOUBLE) AS ratio
+FROM b, t GROUP BY price_bucket""")
 def q_order_value_buckets(spark, d):
     return K.bucket_distribution(FE.enrich_products(
         V.orders(spark, d).select("source", F.col("order_id").alias("source_id"),
@@ -444,9 +451,13 @@ def q_hist_daily_aov_20(spark, d):
     return FE.histogram(K.daily_metrics(V.orders(spark, d)), "aov", 20)
 
 
-@register("hist_price_log_20", "A26", None)
+@register("hist_price_log_20", "A26", f"""
+SELECT bin, round(bin_lo, 9) AS bin_lo, round(bin_hi, 9) AS bin_hi, count FROM
+ ({_hist_sql("SELECT log10(p_retailprice) AS x FROM part WHERE p_retailprice > 0", 20)}) h""")
 def q_hist_price_log_20(spark, d):
-    return FE.log10_histogram(V.products(spark, d), "price_amount", 20)
+    h = FE.log10_histogram(V.products(spark, d), "price_amount", 20)
+    # log10 may differ in the last bit between math libraries: edges are reported to 1e-9
+    return h.select("bin", F.round("bin_lo", 9).alias("bin_lo"), F.round("bin_hi", 9).alias("bin_hi"), "count")
 
 
 @register("hist_price_log_20_counts", "A26", f"""
@@ -462,16 +473,25 @@ def q_hist_price_log_20_counts(spark, d):
 LINEITEM_NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
-@register("describe_numeric", "A22", " UNION ALL ".join(f"""
+def _describe_sql(src: str, cols: list[str], scale: int) -> str:
+    dec = f"DECIMAL(38,{scale})"
+    parts = []
+    for c in cols:
+        x = f"CAST({c} AS {dec})"
+        parts.append(f"""
 SELECT '{c}' AS "column", s.count, s.mean, s.std, s.min, q.q25, q.q50, q.q75, s.max FROM
  (SELECT count({c}) AS count,
-         CAST(sum(CAST({c} AS DECIMAL(38,4))) AS DOUBLE) / count({c}) AS mean,
+         CAST(sum({x}) AS DOUBLE) / count({c}) AS mean,
          CASE WHEN count({c}) > 1 THEN sqrt(
-           CAST(CAST(count({c}) AS DECIMAL(20,0)) * CAST(sum(CAST({c} AS DECIMAL(38,4)) * CAST({c} AS DECIMAL(38,4))) AS DECIMAL(38,4))
-                - CAST(sum(CAST({c} AS DECIMAL(18,4))) AS DECIMAL(38,4)) * CAST(sum(CAST({c} AS DECIMAL(18,4))) AS DECIMAL(38,4)) AS DOUBLE)
+           CAST(CAST(count({c}) AS DECIMAL(20,0)) * CAST(sum({x} * {x}) AS {dec})
+                - CAST(sum({x}) AS {dec}) * CAST(sum({x}) AS {dec}) AS DOUBLE)
            / CAST(CAST(count({c}) AS DECIMAL(20,0)) * (CAST(count({c}) AS DECIMAL(20,0)) - 1) AS DOUBLE)) END AS std,
-         min({c}) AS min, max({c}) AS max FROM lineitem) s,
- ({_q(f"SELECT {c} FROM lineitem", c, {'q25': 0.25, 'q50': 0.5, 'q75': 0.75})}) q""" for c in LINEITEM_NUMERIC))
+         CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max FROM ({src}) t) s,
+ ({_q(f"SELECT {c} FROM ({src}) t", c, {'q25': 0.25, 'q50': 0.5, 'q75': 0.75})}) q""")
+    return " UNION ALL ".join(parts)
+
+
+@register("describe_numeric", "A22", _describe_sql("SELECT * FROM lineitem", LINEITEM_NUMERIC, 4))
 def q_describe_numeric(spark, d):
     return K.describe(V.table(spark, d, "lineitem"), LINEITEM_NUMERIC)
 
@@ -732,7 +752,7 @@ def q_runlog_cumulative(spark, d):
     return RL.cumulative(V.run_log(spark, d))
 
 
-@register("runlog_describe", "A22 (run log)", None)
+@register("runlog_describe", "A22 (run log)", _describe_sql(V.RUN_LOG_SQL, RL.METRICS, 0))
 def q_runlog_describe(spark, d):
     return K.describe(V.run_log(spark, d), RL.METRICS, scale=0)
 
