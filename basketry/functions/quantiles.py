@@ -30,6 +30,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 # A group whose distinct values are proven (by a HyperLogLog estimate with
 # ample margin) to stay below this bound is ranked by one window task per
 # group; anything larger takes the range-partitioned path.
@@ -116,7 +118,13 @@ def _window_quantiles(distinct: DataFrame, probs, by: list[str], count_alias: st
 def _sorted_quantiles(distinct: DataFrame, probs, by: list[str], count_alias: str) -> DataFrame:
     ranged = distinct.repartitionByRange(*by, "_v").withColumn("_pid", F.spark_partition_id())
     local = Window.partitionBy("_pid", *by).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = ranged.withColumn("_end", F.sum("_n").over(local))
+    # The local ranks feed two consumers (partition totals and the final pick).
+    # Range bounds come from sampling, so two evaluations could disagree on the
+    # partition ids: the ranked slices are written once to the shared
+    # checkpoint folder (reliable checkpoint, survives executor loss) and both
+    # consumers read the same rows.
+    ensure_checkpoint_dir(distinct.sparkSession)
+    ranked = ranged.withColumn("_end", F.sum("_n").over(local)).checkpoint(eager=True)
 
     totals = ranked.groupBy("_pid", *by).agg(F.max("_end").alias("_ptot"))
     group_w = Window.partitionBy(*by) if by else Window.partitionBy()
