@@ -29,6 +29,12 @@ def resolve_column(df: DataFrame, candidates: Sequence[str]) -> str | None:
     return next((c for c in candidates if c in df.columns), None)
 
 
+def columns_like(df: DataFrame, prefixes: Sequence[str] = (), suffixes: Sequence[str] = (),
+                 exact: Sequence[str] = ()) -> list[str]:
+    """Columns selected by prefix / suffix / exact name (plan-time helper)."""
+    return [c for c in df.columns if c.startswith(tuple(prefixes)) or c.endswith(tuple(suffixes)) or c in exact]
+
+
 def attach(base: DataFrame, *one_row_frames: DataFrame) -> DataFrame:
     """Append the columns of one-row frames to ``base`` as scalar subqueries."""
     cols: list[Column] = [F.col(c) for c in base.columns]

@@ -18,6 +18,7 @@ from .. import schemas as SC
 from ..operators import merge as M
 from ..operators import normalize as N
 from ..sources import files as FS
+from ..session import ensure_checkpoint_dir
 from ..sources import landing as L
 
 # Fixed provider -> (resource, raw schema, normalizer) wiring.
@@ -70,6 +71,10 @@ def run_pipeline(spark: SparkSession, landing_root: str, table_root: str, runlog
             record["raw_files"] += files
             if batch is None:
                 continue
+            # one snapshot of the landed batch: counts and the written table
+            # are derived from the same rows even if new files land meanwhile
+            ensure_checkpoint_dir(spark)
+            batch = batch.checkpoint(eager=True)
             existing = FS.load_table(spark, table_root, entity, schema)
             result = fn(existing, batch, key_mode)
             counts = result.counts.first()

@@ -34,3 +34,18 @@ def test_report_contract_flags_bad_documents(spark):
     bad = doc.withColumn("schema_version", F.lit("1.0")).withColumn("bogus", F.lit(1)).drop("narrative")
     got = {r["rule"] for r in RP.report_contract_violations(bad).collect()}
     assert got == {"schema_version_semver", "extra:bogus", "missing:narrative"}
+
+
+def test_insights_pass(spark, tmp_dir):
+    from basketry.plans import insights, views as V
+    text = os.path.join(tmp_dir, "repo")
+    os.makedirs(text)
+    with open(os.path.join(text, "notes.md"), "w") as f:
+        f.write("Lista de produtos e pedidos.\n")
+    res = insights.run_insights(spark, V.products(spark, SF), V.orders(spark, SF), V.run_log(spark, SF),
+                                text_root=text, export_dir=os.path.join(tmp_dir, "export"))
+    assert {r["column"] for r in res["feature_validation"].collect()} == {"price_num", "source_freq",
+                                                                          "order_value_num"}
+    assert sorted(r["match"] for r in res["term_guard"].collect()) == ["pedidos", "produtos"]
+    back = spark.read.parquet(os.path.join(tmp_dir, "export", "products_enriched"))
+    assert "price_bucket" in back.columns and back.count() == V.products(spark, SF).count()
