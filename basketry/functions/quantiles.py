@@ -35,8 +35,9 @@ from ..session import ensure_checkpoint_dir
 # A group whose distinct values are proven (by a HyperLogLog estimate with
 # ample margin) to stay below this bound is ranked by one window task per
 # group; anything larger takes the range-partitioned path.
-WINDOW_MAX_DISTINCT = 100_000
+WINDOW_MAX_DISTINCT = 2_000_000
 _HLL_RSD = 0.02
+_DECISIONS: dict[tuple, int] = {}
 
 
 def _distinct_values(df: DataFrame, value: str, by: list[str]) -> DataFrame:
@@ -51,9 +52,14 @@ def max_group_distinct(df: DataFrame, value: str, by: Sequence[str] = ()) -> int
     """HyperLogLog estimate of the largest number of distinct values in a group
     (one small aggregation; only a single number reaches the driver)."""
     by = list(by)
-    est = df.groupBy(*by).agg(F.approx_count_distinct(F.col(value).cast("double"), _HLL_RSD).alias("d"))
-    row = est.agg(F.max("d")).first()
-    return int(row[0] or 0)
+    # the estimate is cached per (plan, column, groups): the same input asked
+    # twice in one session does not pay for a second pass
+    key = (id(df.sparkSession._jsparkSession), df._jdf.queryExecution().analyzed().semanticHash(), value, tuple(by))
+    if key not in _DECISIONS:
+        est = df.groupBy(*by).agg(F.approx_count_distinct(F.col(value).cast("double"), _HLL_RSD).alias("d"))
+        row = est.agg(F.max("d")).first()
+        _DECISIONS[key] = int(row[0] or 0)
+    return _DECISIONS[key]
 
 
 def quantiles(df: DataFrame, value: str, probs: Mapping[str, float], by: Sequence[str] = (),
@@ -62,7 +68,8 @@ def quantiles(df: DataFrame, value: str, probs: Mapping[str, float], by: Sequenc
 
     NULL and NaN values are ignored (pandas semantics); rows whose group key is
     NULL are dropped (pandas ``groupby`` semantics). Groups without any value
-    produce no row. ``method``: 'sort' (range-partitioned ranking, any size),
+    produce no row; without ``by`` there is always one row (n = 0 and NULL
+    quantiles when the column holds no value). ``method``: 'sort' (range-partitioned ranking, any size),
     'window' (one task per group; only for groups of bounded cardinality) or
     'auto' (window when the distinct-value bound is proven, else sort).
     """
@@ -99,7 +106,7 @@ def _pick(g: DataFrame, probs: Mapping[str, float], by: list[str], count_alias:
         aggs.append(F.max(F.when(covers(flo[k]), F.col("_v"))).alias(f"_f_{k}"))
         aggs.append(F.max(F.when(covers(cei[k]), F.col("_v"))).alias(f"_c_{k}"))
     per_group = picked.groupBy(*by).agg(*aggs)
-    out = [F.col(b) for b in by] + [F.col("_gn").alias(count_alias)]
+    out = [F.col(b) for b in by] + [F.coalesce(F.col("_gn"), F.lit(0)).alias(count_alias)]
     for k, p in probs.items():
         pos_k = (F.col("_gn") - F.lit(1)).cast("double") * F.lit(float(p))
         lo_v, hi_v = F.col(f"_f_{k}"), F.col(f"_c_{k}")

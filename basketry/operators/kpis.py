@@ -284,17 +284,22 @@ def duplicate_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
 
 
 def describe(df: DataFrame, columns: Sequence[str], scale: int = 4) -> DataFrame:
-    """pandas ``describe()`` for numeric columns, long format, exact quartiles."""
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]) \
-        .unpivot([], list(columns), "column", "value")
-    v = F.col("value")
-    stats = long.groupBy("column").agg(
-        F.count(v).alias("count"),
-        X.exact_mean(v, scale).alias("mean"),
-        X.exact_stddev(v, scale).alias("std"),
-        F.min(v).alias("min"),
-        F.max(v).alias("max"),
-    )
+    """pandas ``describe()`` for numeric columns, long format, exact quartiles.
+
+    Moments are aggregated in one pass over the wide table (no unpivot of
+    the data); only the quartiles work on the long (column, value) form,
+    grouped by column."""
+    cols = list(columns)
+    vals = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    aggs = []
+    for i, c in enumerate(cols):
+        v = F.col(c)
+        aggs.append(F.struct(F.lit(c).alias("column"), F.count(v).alias("count"), X.exact_mean(v, scale).alias("mean"),
+                             X.exact_stddev(v, scale).alias("std"), F.min(v).alias("min"),
+                             F.max(v).alias("max")).alias(f"_{i}"))
+    wide = vals.agg(*aggs)
+    stats = wide.select(F.explode(F.array(*[F.col(f"_{i}") for i in range(len(cols))])).alias("s")).select("s.*")
+    long = vals.unpivot([], cols, "column", "value")
     q = quantiles(long, "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, by=["column"]).drop("n")
     return stats.join(q, "column", "left").select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 

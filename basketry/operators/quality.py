@@ -214,7 +214,10 @@ def term_matches(df: DataFrame, text_col: str, id_col: str, patterns: Sequence[s
     rx = rf"(?isU)\b(?=(?:{alt})\b)(?<={left})(?:{alt})\b(?=(.{{0,{context}}}))"
     left_group = n_inner + 1
     right_group = 2 * n_inner + 2
-    arrays = df.select(
+    # a guard mostly finds nothing: one cheap pass decides whether the three
+    # extraction passes are needed at all
+    any_term = F.col(text_col).rlike(rf"(?iU)\b(?:{alt})\b")
+    arrays = df.where(any_term).select(
         F.col(id_col).alias(id_col),
         F.regexp_extract_all(F.col(text_col), F.lit(rx), 0).alias("_m"),
         F.regexp_extract_all(F.col(text_col), F.lit(rx), left_group).alias("_l"),
@@ -229,11 +232,13 @@ def term_matches(df: DataFrame, text_col: str, id_col: str, patterns: Sequence[s
 
 
 def term_counts(df: DataFrame, text_col: str, id_col: str, patterns: Sequence[str] = REFERENCE_TERMS) -> DataFrame:
-    """Matches per (id, term) - a cheap summary of ``term_matches``."""
+    """Matches per (id, term): one regex pass over each text collects every
+    match of any term; the short matches are then assigned to their term."""
     bodies = [_strip_bounds(p) for p in patterns]
-    cols = [F.size(F.regexp_extract_all(F.col(text_col), F.lit(rf"(?iU)\b(?:{b})\b"), 0)).alias(f"_{i}")
-            for i, b in enumerate(bodies)]
-    wide = df.select(F.col(id_col), *cols)
-    long = wide.unpivot([id_col], [f"_{i}" for i in range(len(bodies))], "_t", "n")
-    label = F.element_at(F.array(*[F.lit(p) for p in patterns]), F.substring("_t", 2, 10).cast("int") + 1)
-    return long.where(F.col("n") > 0).select(id_col, label.alias("term"), F.col("n").cast("bigint").alias("n"))
+    alt = "|".join(f"(?:{b})" for b in bodies)
+    found = df.select(F.col(id_col), F.regexp_extract_all(F.col(text_col), F.lit(rf"(?iU)\b(?:{alt})\b"), 0)
+                      .alias("_m"))
+    # explode_outer: a plain explode would make Spark run the regex twice
+    rows = found.select(id_col, F.explode_outer("_m").alias("m")).where(F.col("m").isNotNull())
+    term = F.coalesce(*[F.when(F.col("m").rlike(rf"(?iU)^(?:{b})$"), F.lit(p)) for b, p in zip(bodies, patterns)])
+    return rows.groupBy(id_col, term.alias("term")).agg(F.count(F.lit(1)).alias("n"))
