@@ -1,8 +1,9 @@
 """The ETL run - landed raw files -> normalized batches -> merge -> versioned tables -> run log.
 
 Everything up to the counts is one lazy plan per entity; the counts row is
-the only action before the write (M7 persist guard), and the merged table is
-written to a new version folder, never over the folder it was read from.
+the only action before the write (M7 persist guard). The merge writes one
+commit to the bucketed table: only the delta (triple mode) or only the
+buckets the batch touches (pair mode), never over the files it reads.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from ..operators import normalize as N
 from ..sources import files as FS
 from ..session import ensure_checkpoint_dir
 from ..sources import landing as L
+from ..sources import tables as T
 
 # Fixed provider -> (resource, raw schema, normalizer) wiring.
 PRODUCT_SOURCES = {
@@ -55,7 +57,8 @@ def normalized_batch(spark: SparkSession, landing_root: str, sources: dict, prov
 
 def run_pipeline(spark: SparkSession, landing_root: str, table_root: str, runlog_path: str,
                  key_mode: str = "triple", providers: Sequence[str] | None = None, dry_run: bool = False,
-                 batch_ts: str | None = None, hash_scope: str = "batch", limit: int | None = None) -> dict:
+                 batch_ts: str | None = None, hash_scope: str = "batch", limit: int | None = None,
+                 buckets: int | None = None) -> dict:
     """Run one ETL pass; returns the run-log record (also appended as JSON line)."""
     M.check_mode(key_mode)
     run_id = uuid.uuid4().hex[:12]
@@ -65,25 +68,21 @@ def run_pipeline(spark: SparkSession, landing_root: str, table_root: str, runlog
               "new_products": 0, "new_orders": 0, "updated_products": 0, "updated_orders": 0,
               "providers": sorted(providers) if providers else sorted(set(PRODUCT_SOURCES) | set(ORDER_SOURCES))}
     try:
-        for entity, sources, schema, fn in (("products", PRODUCT_SOURCES, SC.PRODUCTS, M.merge_products),
-                                            ("orders", ORDER_SOURCES, SC.ORDERS, M.merge_orders)):
+        for entity, sources, schema, keys, order_col in (
+                ("products", PRODUCT_SOURCES, SC.PRODUCTS, M.PRODUCT_KEYS, M.PRODUCT_ORDER),
+                ("orders", ORDER_SOURCES, SC.ORDERS, M.ORDER_KEYS, M.ORDER_ORDER)):
             batch, files = normalized_batch(spark, landing_root, sources, providers, stamp, hash_scope, limit)
             record["raw_files"] += files
             if batch is None:
                 continue
-            # one snapshot of the landed batch: counts and the written table
-            # are derived from the same rows even if new files land meanwhile
+            # one snapshot of the landed batch: counts and the written rows are
+            # derived from the same records even if new files land meanwhile
             ensure_checkpoint_dir(spark)
             batch = batch.checkpoint(eager=True)
-            existing = FS.load_table(spark, table_root, entity, schema)
-            result = fn(existing, batch, key_mode)
-            counts = result.counts.first()
-            record[f"new_{entity}"] = int(counts["new"])
-            record[f"updated_{entity}"] = int(counts["updated"])
-            if not dry_run and (counts["new"] > 0 or counts["updated"] > 0):
-                keys = list(M.PRODUCT_KEYS if entity == "products" else M.ORDER_KEYS)
-                # range partitioning spreads a hot source over several tasks
-                FS.write_version(result.table.repartitionByRange(*keys), table_root, entity, partition_by=["source"])
+            res = T.merge_into(spark, table_root, entity, schema, batch, key_mode, keys, order_col,
+                               buckets=buckets, dry_run=dry_run)
+            record[f"new_{entity}"] = res["new"]
+            record[f"updated_{entity}"] = res["updated"]
     except Exception:
         record["status"] = "error"
         raise

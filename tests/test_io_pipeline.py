@@ -1,5 +1,6 @@
 """Sources, sinks, the ETL run and the streaming merge."""
 
+import datetime as dt
 import json
 import os
 
@@ -11,6 +12,7 @@ from basketry.operators import normalize as N
 from basketry.plans import etl
 from basketry.sources import files as FS
 from basketry.sources import landing as L
+from basketry.sources import tables as TB
 from basketry.streaming import merge_stream as ST
 
 
@@ -82,7 +84,7 @@ def test_run_pipeline_twice(spark, tmp_dir):
     L.write_raw(_json_df(spark, _orders_docs(2)), landing, "shopify", "orders", "r2")
     second = etl.run_pipeline(spark, landing, tables, runs, key_mode="pair", batch_ts="2024-01-02 00:00:00")
     assert (second["new_orders"], second["updated_orders"]) == (1, 2)
-    orders = FS.load_table(spark, tables, "orders", SC.ORDERS)
+    orders = TB.read_table(spark, tables, "orders", SC.ORDERS)
     assert orders.count() == 3
     assert {r["order_id"]: r["total_price"] for r in orders.collect()} == {"1": 12.0, "2": 22.0, "3": 5.0}
     log = FS.read_json_lines(spark, runs, SC.RUN_LOG).collect()
@@ -101,13 +103,57 @@ def test_stream_merge_equals_batch_merge(spark, tmp_dir):
     stamp = N.batch_stamp("2024-01-01 00:00:00")
     q = ST.start_merge_stream(spark, landing, SC.RAW_SHOPIFY_ORDER, tables, "orders", SC.ORDERS,
                               N.normalize_shopify_orders, os.path.join(tmp_dir, "ckpt"), key_mode="triple",
-                              stamp=stamp, max_files_per_trigger=1)
+                              stamp=stamp, max_files_per_trigger=1, buckets=4)
     q.awaitTermination(120)
-    assert FS.committed_versions(spark, tables, "orders") == [1, 2]
-    streamed = FS.load_table(spark, tables, "orders", SC.ORDERS)
+    assert [c[1] for c in TB._commits(spark, os.path.join(tables, "orders"))] == ["append", "append"]
+    streamed = TB.read_table(spark, tables, "orders", SC.ORDERS)
     raw = spark.read.text(landing).select(F.from_json("value", SC.RAW_SHOPIFY_ORDER).alias("payload"),
                                           F.col("_metadata.file_path").alias("raw_file"),
                                           F.sha2(F.to_json(F.parse_json("value")), 256).alias("raw_hash"))
     batch = M.merge_orders(spark.createDataFrame([], SC.ORDERS), N.normalize_shopify_orders(raw, stamp), "triple").table
     key = lambda df: sorted((r["order_id"], r["total_price"]) for r in df.collect())
     assert key(streamed) == key(batch)
+
+
+def _order_rows(spark, ids, version, hour):
+    rows = [("shopify", str(i), None, None, None, "USD", float(10 * i + version), None, None, None, None, "paid",
+             None, 1, None, None, None, None, f"h{i}_{version}", dt.datetime(2024, 1, 1, hour), None) for i in ids]
+    return spark.createDataFrame(rows, SC.ORDERS)
+
+
+def test_bucketed_pair_merge_rewrites_only_touched_buckets(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "t")
+    keys, order = list(M.ORDER_KEYS), M.ORDER_ORDER
+    first = TB.merge_into(spark, root, "orders", SC.ORDERS, _order_rows(spark, range(40), 1, 1), "pair", keys,
+                          order, buckets=8)
+    assert (first["new"], first["updated"], first["commit"]) == (40, 0, 1)
+    before = set(TB.live_paths(spark, root, "orders"))
+    second = TB.merge_into(spark, root, "orders", SC.ORDERS, _order_rows(spark, [3], 2, 2), "pair", keys, order)
+    assert (second["new"], second["updated"]) == (0, 1)
+    after = set(TB.live_paths(spark, root, "orders"))
+    assert len(before - after) == 1 and len(after - before) == 1        # one bucket rewritten
+    table = {r["order_id"]: r["total_price"] for r in TB.read_table(spark, root, "orders", SC.ORDERS).collect()}
+    assert len(table) == 40 and table["3"] == 32.0 and table["4"] == 41.0
+    none = TB.merge_into(spark, root, "orders", SC.ORDERS, _order_rows(spark, [3], 2, 2), "pair", keys, order)
+    assert none["updated"] == 1 and none["commit"] == 3                  # replay rewrites the same rows
+    assert TB.read_table(spark, root, "orders", SC.ORDERS).count() == 40
+    removed = TB.vacuum(spark, root, "orders")
+    assert len(removed) == 2 and TB.read_table(spark, root, "orders", SC.ORDERS).count() == 40
+
+
+def test_bucketed_triple_appends_delta_and_ignores_uncommitted(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "t")
+    keys, order = list(M.ORDER_KEYS), M.ORDER_ORDER
+    TB.merge_into(spark, root, "orders", SC.ORDERS, _order_rows(spark, range(10), 1, 1), "triple", keys, order,
+                  buckets=4)
+    again = TB.merge_into(spark, root, "orders", SC.ORDERS, _order_rows(spark, range(10), 1, 1), "triple", keys, order)
+    assert (again["new"], again["commit"]) == (0, None)                  # nothing new: no commit (M7)
+    more = TB.merge_into(spark, root, "orders", SC.ORDERS, _order_rows(spark, range(5), 2, 2), "triple", keys, order)
+    assert more["new"] == 5
+    assert TB.read_table(spark, root, "orders", SC.ORDERS).count() == 15
+    # a crashed merge leaves a folder without _SUCCESS: readers ignore it
+    crashed = os.path.join(root, "orders", "commit=000000099_full", "bucket=0")
+    os.makedirs(crashed)
+    _order_rows(spark, [1], 9, 9).write.parquet(os.path.join(crashed, "x"))
+    assert TB.read_table(spark, root, "orders", SC.ORDERS).count() == 15
+    assert any("commit=000000099" in p for p in TB.vacuum(spark, root, "orders"))
