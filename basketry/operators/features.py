@@ -132,7 +132,9 @@ def histogram(df: DataFrame, value, bins: int) -> DataFrame:
     idx = F.least(F.floor(n * (F.col("v") - lo) / (hi - lo)) + F.lit(1), F.lit(bins)).cast("bigint")
     counts = vals.select(idx.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
     step = (hi - lo) / n
-    axis = rng.select(F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(bins).cast("bigint"))).alias("bin"))
+    # no value at all: no bins (the range is undefined)
+    axis = rng.where(F.col("lo").isNotNull()) \
+        .select(F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(bins).cast("bigint"))).alias("bin"))
     axis = axis.select(
         "bin",
         (lo + (F.col("bin") - F.lit(1)).cast("double") * step).alias("bin_lo"),

@@ -209,7 +209,7 @@ def daily_summary(orders: DataFrame, date_col: str | None = None, value_col: str
         F.sum(F.col("gmv").cast("decimal(18,2)")).cast("double").alias("gmv_total"),
         F.sum("n_orders").alias("orders_total"),
         F.datediff(F.max("day"), F.min("day")).cast("bigint").alias("days_span"),
-        (F.aggregate(series, F.lit(0.0), lambda acc, x: acc + x["aov"]) / F.count("aov").cast("double"))
+        F.try_divide(F.aggregate(series, F.lit(0.0), lambda acc, x: acc + x["aov"]), F.count("aov").cast("double"))
         .alias("aov_mean"),
     )
 

@@ -85,7 +85,7 @@ def completeness(df: DataFrame, required: Sequence[str], batch_col: str | None =
         long = wide.select(*keys, "_rows", F.lit(None).cast("string").alias("column"),
                            F.lit(None).cast("bigint").alias("_nn")).where(F.lit(False))
     out = long.select(*keys, "column", F.lit(True).alias("present"),
-                      (F.col("_nn").cast("double") / F.col("_rows").cast("double")).alias("non_null_ratio"))
+                      F.try_divide(F.col("_nn").cast("double"), F.col("_rows").cast("double")).alias("non_null_ratio"))
     missing = [c for c in required if c not in df.columns]
     if missing:
         spark = df.sparkSession
