@@ -87,13 +87,10 @@ def completeness(df: DataFrame, required: Sequence[str], batch_col: str | None =
     out = long.select(*keys, "column", F.lit(True).alias("present"),
                       F.try_divide(F.col("_nn").cast("double"), F.col("_rows").cast("double")).alias("non_null_ratio"))
     missing = [c for c in required if c not in df.columns]
-    if missing:
-        spark = df.sparkSession
-        miss = spark.createDataFrame([(c,) for c in missing], "column string")
-        miss = miss.select("column", F.lit(False).alias("present"), F.lit(None).cast("double").alias("non_null_ratio"))
-        if keys:
-            # one row per (batch, missing column); both sides are tiny (batches x columns)
-            miss = wide.select(*keys).withColumn("_k", F.lit(1)).join(miss.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    for c in missing:
+        # an absent column: one row per batch (or one row), present = false
+        miss = wide.select(*keys, F.lit(c).alias("column"), F.lit(False).alias("present"),
+                           F.lit(None).cast("double").alias("non_null_ratio"))
         out = out.unionByName(miss)
     return out
 
