@@ -66,3 +66,39 @@ def read_json_documents(spark: SparkSession, path: str, schema: T.StructType) ->
     """Multi-line JSON files (one document or a top-level list per file)."""
     return spark.read.schema(schema).option("multiLine", True).json(path) \
         .withColumn("raw_file", F.col("_metadata.file_path"))
+
+
+# Fixed file-name layout of landed provider documents:
+#   <root>/<provider>/<resource>/<timestamp>_<run_id>[_<tag>].json
+_DOC_NAME = r"/([^/]+)/([^/]+)/([0-9TZ:.\-]+)_([0-9A-Za-z]+)(?:_([^/]*))?\.json$"
+
+
+def read_landed_documents(spark: SparkSession, root: str, schema: T.StructType, resource: str,
+                          providers: Sequence[str] | None = None, hash_scope: str = "batch") -> DataFrame:
+    """S1 for landings kept as one JSON document per provider response
+    (a top-level list yields one row per element, an object one row).
+    Provider, resource, run and tag come from the path; every row of one file
+    shares the file's order-insensitive digest (``hash_scope='batch'``)."""
+    provs = "{" + ",".join(providers) + "}" if providers else "*"
+    glob = f"{root.rstrip('/')}/{provs}/{resource}/*.json"
+    raw = spark.read.text(glob, wholetext=True)
+    path = F.col("_metadata.file_path")
+    docs = raw.select(path.alias("raw_file"), F.col("value").alias("doc"))
+    items = docs.select(
+        "raw_file",
+        F.regexp_extract("raw_file", _DOC_NAME, 1).alias("provider"),
+        F.regexp_extract("raw_file", _DOC_NAME, 4).alias("run_id"),
+        F.nullif(F.regexp_extract("raw_file", _DOC_NAME, 5), F.lit("")).alias("tag"),
+        F.when(F.trim("doc").startswith("["), F.from_json("doc", T.ArrayType(T.StringType())))
+        .otherwise(F.array(F.col("doc"))).alias("records"))
+    # explode_outer: a plain explode would make Spark evaluate from_json twice
+    rows = items.select("raw_file", "provider", "run_id", "tag", F.explode_outer("records").alias("json")) \
+        .where(F.col("json").isNotNull())
+    rows = rows.withColumn("_rec_hash", X.canonical_json_hash(F.col("json")))
+    if hash_scope == "batch":
+        per_file = rows.groupBy("raw_file").agg(X.multiset_digest("_rec_hash").alias("raw_hash"))
+        rows = rows.join(per_file, "raw_file")
+    else:
+        rows = rows.withColumn("raw_hash", F.col("_rec_hash"))
+    return rows.select("provider", "run_id", "tag", F.from_json("json", schema).alias("payload"), "raw_file",
+                       "raw_hash")

@@ -157,3 +157,20 @@ def test_bucketed_triple_appends_delta_and_ignores_uncommitted(spark, tmp_dir):
     _order_rows(spark, [1], 9, 9).write.parquet(os.path.join(crashed, "x"))
     assert TB.read_table(spark, root, "orders", SC.ORDERS).count() == 15
     assert any("commit=000000099" in p for p in TB.vacuum(spark, root, "orders"))
+
+
+def test_read_landed_documents_reference_layout(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "data_raw")
+    os.makedirs(os.path.join(root, "shopify", "products"))
+    os.makedirs(os.path.join(root, "amazon", "items"))
+    with open(os.path.join(root, "shopify", "products", "20240101T000000Z_ab12_daily-eu.json"), "w") as f:
+        json.dump([{"id": 1, "title": "a", "variants": [{"price": "2.5"}]}, {"title": "b", "id": 2}], f, indent=2)
+    with open(os.path.join(root, "amazon", "items", "20240101T000000Z_cd34.json"), "w") as f:
+        json.dump({"ItemsResult": {"Items": [{"ASIN": "X1"}, {"ASIN": "X2"}]}}, f, indent=2)
+    shop = L.read_landed_documents(spark, root, SC.RAW_SHOPIFY_PRODUCT, "products").collect()
+    assert sorted(r["payload"]["id"] for r in shop) == ["1", "2"]
+    assert {(r["provider"], r["run_id"], r["tag"]) for r in shop} == {("shopify", "ab12", "daily-eu")}
+    assert len({r["raw_hash"] for r in shop}) == 1
+    amz = L.read_landed_documents(spark, root, SC.RAW_AMAZON_RESPONSE, "items", ["amazon"])
+    got = N.normalize_amazon_items(amz, N.batch_stamp("2024-01-01 00:00:00")).collect()
+    assert sorted(r["source_id"] for r in got) == ["X1", "X2"]
