@@ -40,6 +40,16 @@ def safe_double(c) -> Column:
     return F.when(~F.isnan(num), num)
 
 
+def numeric_col(df, name: str) -> Column:
+    """``safe_double`` decided by the column's type at plan time: a numeric
+    column is only cast (NaN -> NULL); text goes through the guarded parse."""
+    from pyspark.sql import types as T
+    dtype = df.schema[name].dataType
+    if isinstance(dtype, T.NumericType):
+        return null_nan(F.col(name).cast("double"))
+    return safe_double(name)
+
+
 def null_nan(c) -> Column:
     """NaN -> NULL for a double column (pandas treats both as missing)."""
     c = col_(c)

@@ -29,7 +29,7 @@ def rolling_7d(orders: DataFrame, date_col: str | None = None, value_col: str |
     date_col = date_col or resolve_column(orders, DATE_CANDIDATES)
     value_col = value_col or resolve_column(orders, VALUE_CANDIDATES)
     by = list(by)
-    v = X.safe_double(value_col)
+    v = X.numeric_col(orders, value_col)
     dated = orders.where(F.col(date_col).isNotNull())
     daily = dated.groupBy(*by, F.to_date(date_col).alias("day")).agg(
         F.sum(v.cast("decimal(18,2)")).alias("gmv_dec"),
@@ -67,7 +67,7 @@ def enrich_orders(orders: DataFrame, date_col: str | None = None, value_col: str
     date_col = date_col or resolve_column(orders, DATE_CANDIDATES)
     value_col = value_col or resolve_column(orders, VALUE_CANDIDATES)
     roll = rolling_7d(orders, date_col, value_col).select("day", "gmv_7d", "orders_7d", "aov_7d")
-    enriched = orders.withColumn("order_value_num", X.safe_double(value_col)) \
+    enriched = orders.withColumn("order_value_num", X.numeric_col(orders, value_col)) \
         .withColumn("_day", F.to_date(date_col))
     enriched = enriched.join(roll, enriched["_day"] == roll["day"], "left").drop("_day", "day")
     return recency(enriched, date_col)
@@ -93,7 +93,7 @@ def qcut_index(value, edges) -> F.Column:
 
 def enrich_products(products: DataFrame, price_col: str | None = None) -> DataFrame:
     price_col = price_col or resolve_column(products, PRICE_CANDIDATES)
-    df = products.withColumn("price_num", X.safe_double(price_col))
+    df = products.withColumn("price_num", X.numeric_col(products, price_col))
     any_positive = scalar_row(df.agg(F.max(F.col("price_num") > 0).alias("pos")))["pos"]
     df = df.withColumn("price_log", F.when(F.coalesce(any_positive, F.lit(False)), F.log1p("price_num")))
     # the edges array is materialised as a column first: subqueries may not

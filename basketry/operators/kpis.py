@@ -53,7 +53,7 @@ def scalar_row(df: DataFrame) -> Column:
 
 def product_summary(products: DataFrame, price_col: str | None = None) -> DataFrame:
     price_col = price_col or resolve_column(products, PRICE_CANDIDATES)
-    p = X.safe_double(price_col)
+    p = X.numeric_col(products, price_col)
     base = products.agg(
         F.count(F.lit(1)).alias("count"),
         F.countDistinct("source").alias("distinct_sources"),
@@ -80,7 +80,7 @@ def outliers_two_sided(products: DataFrame, price_col: str | None = None) -> Dat
     """Report rule: >5 values needed, IQR of 0 replaced by 1, both fences;
     the ratio's denominator counts every row (NULL prices included)."""
     price_col = price_col or resolve_column(products, PRICE_CANDIDATES)
-    p = X.safe_double(price_col)
+    p = X.numeric_col(products, price_col)
     f = _fences(products, p)
     raw_iqr = f["q3"] - f["q1"]
     iqr = F.when(raw_iqr != 0, raw_iqr).otherwise(F.lit(1.0))
@@ -102,7 +102,7 @@ def outliers_two_sided(products: DataFrame, price_col: str | None = None) -> Dat
 def outliers_upper(products: DataFrame, price_col: str | None = None) -> DataFrame:
     """Notebook rule: upper fence only, raw IQR, ratio rounded to 4 places."""
     price_col = price_col or resolve_column(products, PRICE_CANDIDATES)
-    p = X.safe_double(price_col)
+    p = X.numeric_col(products, price_col)
     f = _fences(products, p)
     upper = f["q3"] + F.lit(1.5) * (f["q3"] - f["q1"])
     flagged = products.select(p.alias("p")).select((F.col("p") > upper).alias("out"))
@@ -135,7 +135,7 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str] = ("source", "source_id"))
 
 def product_quality(products: DataFrame, price_col: str | None = None) -> DataFrame:
     price_col = price_col or resolve_column(products, PRICE_CANDIDATES)
-    p = X.safe_double(price_col)
+    p = X.numeric_col(products, price_col)
     base = products.agg(F.count(p).alias("price_non_null"), F.min(p).alias("price_min"), F.max(p).alias("price_max"))
     q = quantiles(products.select(p.alias("p")), "p", {"price_p50": 0.5, "price_p90": 0.9}).drop("n")
     up = outliers_upper(products, price_col).select("price_outlier_ratio")
@@ -172,7 +172,7 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 def order_summary(orders: DataFrame, date_col: str | None = None, value_col: str | None = None) -> DataFrame:
     date_col = date_col or resolve_column(orders, DATE_CANDIDATES)
     value_col = value_col or resolve_column(orders, VALUE_CANDIDATES)
-    v = X.safe_double(value_col)
+    v = X.numeric_col(orders, value_col)
     ts = F.col(date_col)
     base = orders.agg(
         F.count(F.lit(1)).alias("count"),
@@ -191,7 +191,7 @@ def daily_metrics(orders: DataFrame, date_col: str | None = None, value_col: str
     all values are missing), order count, AOV = GMV / count."""
     date_col = date_col or resolve_column(orders, DATE_CANDIDATES)
     value_col = value_col or resolve_column(orders, VALUE_CANDIDATES)
-    v = X.safe_double(value_col)
+    v = X.numeric_col(orders, value_col)
     d = orders.where(F.col(date_col).isNotNull()).groupBy(F.to_date(date_col).alias("day")).agg(
         F.coalesce(X.money_sum(v), F.lit(0.0)).alias("gmv"),
         F.count(F.lit(1)).alias("n_orders"),
