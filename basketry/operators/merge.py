@@ -62,8 +62,10 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]
 
 
 def anti_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``left`` whose key does not occur in ``right``."""
-    r = right.select(*keys)
+    """Rows of ``left`` whose key does not occur in ``right``. The
+    right keys are de-duplicated first (map-side), so a key repeated a million
+    times in a batch is one row in the join."""
+    r = right.select(*keys).distinct()
     return left.join(r, null_safe_on(left, r, keys), "left_anti")
 
 
