@@ -49,7 +49,7 @@ def normalized_batch(spark: SparkSession, landing_root: str, sources: dict, prov
     for provider, (resource, schema, fn) in sources.items():
         if (providers and provider not in providers) or provider not in present:
             continue
-        raw = L.read_raw(spark, landing_root, schema, resource, [provider], hash_scope, limit)
+        raw = L.read_raw(spark, landing_root, schema, resource, [provider], "record", limit)
         files += len(raw.inputFiles())
         frames.append(fn(raw, stamp))
     return (N.union_batches(frames) if frames else None), files
@@ -79,6 +79,10 @@ def run_pipeline(spark: SparkSession, landing_root: str, table_root: str, runlog
             # derived from the same records even if new files land meanwhile
             ensure_checkpoint_dir(spark)
             batch = batch.checkpoint(eager=True)
+            if hash_scope == "batch":
+                # records were hashed once on the way in; every record of a
+                # landed run now takes the digest of the whole run (K8)
+                batch = L.rehash_per_run(batch, files).checkpoint(eager=True)
             res = T.merge_into(spark, table_root, entity, schema, batch, key_mode, keys, order_col,
                                buckets=buckets, dry_run=dry_run)
             record[f"new_{entity}"] = res["new"]

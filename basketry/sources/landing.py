@@ -20,6 +20,19 @@ from pyspark.sql import types as T
 from ..functions import exprs as X
 
 
+MAX_BROADCAST_RUNS = 100_000
+
+
+def _landed_runs(df: DataFrame) -> int:
+    """Distinct provider/resource/run folders among the files a scan reads (metadata only)."""
+    import re
+    runs = set()
+    for f in df.inputFiles():
+        m = re.search(r"provider=([^/]+)/resource=([^/]+)/run_id=([^/]+)/", f)
+        runs.add(m.groups() if m else f)
+    return len(runs)
+
+
 def write_raw(records: DataFrame, root: str, provider: str, resource: str, run_id: str,
               tag: str | None = None, json_col: str = "json") -> None:
     """Append JSON-text records for one provider/resource/run."""
@@ -54,6 +67,11 @@ def read_raw(spark: SparkSession, root: str, schema: T.StructType, resource: str
         raw = raw.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= limit_per_provider).drop("_n")
     if hash_scope == "batch":
         per_run = raw.groupBy("provider", "run_id").agg(X.multiset_digest("_rec_hash").alias("raw_hash"))
+        # A run is one join key: shuffling the records on it would put a whole
+        # run into one task. The per-run digests are broadcast instead, behind
+        # a bound proven from the file listing (one row per landed run folder).
+        if _landed_runs(raw) <= MAX_BROADCAST_RUNS:
+            per_run = F.broadcast(per_run)
         raw = raw.join(per_run, ["provider", "run_id"])
     elif hash_scope == "record":
         raw = raw.withColumn("raw_hash", F.col("_rec_hash"))
@@ -62,6 +80,22 @@ def read_raw(spark: SparkSession, root: str, schema: T.StructType, resource: str
     return raw.select("provider", "run_id", F.from_json("json", schema).alias("payload"), "raw_file", "raw_hash")
 
 
+_RUN_FOLDER = r"^(.*/provider=[^/]+/resource=[^/]+/run_id=[^/]+)/"
+
+
+def rehash_per_run(df: DataFrame, files: int | None = None) -> DataFrame:
+    """Replace record-level ``raw_hash`` values by the order-insensitive digest
+    of their landed run (the run folder in ``raw_file``). Meant for a frame that
+    is already materialised (e.g. checkpointed), so records are hashed once.
+    The per-run digests are broadcast when the number of runs is bounded."""
+    run = F.regexp_extract(F.col("raw_file"), _RUN_FOLDER, 1)
+    per_run = df.groupBy(run.alias("_run")).agg(X.multiset_digest("raw_hash").alias("_batch_hash"))
+    if files is not None and files <= MAX_BROADCAST_RUNS:
+        per_run = F.broadcast(per_run)
+    out = df.withColumn("_run", run).join(per_run, "_run")
+    return out.withColumn("raw_hash", F.col("_batch_hash")).select(*df.columns)
+
+
 def read_json_documents(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Multi-line JSON files (one document or a top-level list per file)."""
     return spark.read.schema(schema).option("multiLine", True).json(path) \
@@ -97,6 +131,9 @@ def read_landed_documents(spark: SparkSession, root: str, schema: T.StructType,
     rows = rows.withColumn("_rec_hash", X.canonical_json_hash(F.col("json")))
     if hash_scope == "batch":
         per_file = rows.groupBy("raw_file").agg(X.multiset_digest("_rec_hash").alias("raw_hash"))
+        # one digest per file: broadcast behind the file count of the listing
+        if len(raw.inputFiles()) <= MAX_BROADCAST_RUNS:
+            per_file = F.broadcast(per_file)
         rows = rows.join(per_file, "raw_file")
     else:
         rows = rows.withColumn("raw_hash", F.col("_rec_hash"))

@@ -137,20 +137,33 @@ def merge_into(spark: SparkSession, root: str, name: str, schema: T.StructType,
     touched = {r[0] for r in batch.select(bucket_of(keys, buckets).alias("b")).distinct().collect()}
     existing = read_table(spark, root, name, schema, only_buckets=touched)
     result = M.merge(existing, batch, mode, keys, order_col)
-    counts = result.counts.first()
-    out = {"new": int(counts["new"]), "updated": int(counts["updated"]), "commit": None}
-    if dry_run or (out["new"] == 0 and out["updated"] == 0):
+    # the batch rows entering the table feed both the counts and the write:
+    # keep them (memory, spilling to disk) instead of merging twice
+    entering = result.delta.persist()
+    try:
+        if mode == "triple":
+            result = M.MergeResult(existing.unionByName(entering), entering,
+                                   entering.agg(F.count(F.lit(1)).alias("new"),
+                                                F.lit(0).cast("bigint").alias("updated")))
+        else:
+            kept = M.anti_join(existing, batch, keys)
+            result = M.MergeResult(kept.unionByName(entering), entering, M.key_counts(entering, existing, keys))
+        counts = result.counts.first()
+        out = {"new": int(counts["new"]), "updated": int(counts["updated"]), "commit": None}
+        if dry_run or (out["new"] == 0 and out["updated"] == 0):
+            return out
+        _ensure_marker(spark, base, buckets)
+        kind = "append" if mode == "triple" else "full"
+        rows = result.delta if mode == "triple" else result.table
+        seq = _next_seq(spark, base)
+        path = f"{base}/commit={seq:09d}_{kind}"
+        # range partitioning on (bucket, key) spreads a hot bucket over several tasks
+        rows = rows.withColumn("bucket", bucket_of(keys, buckets)).repartitionByRange("bucket", *keys)
+        rows.write.mode("error").partitionBy("bucket").parquet(path)
+        out["commit"] = seq
         return out
-    _ensure_marker(spark, base, buckets)
-    kind = "append" if mode == "triple" else "full"
-    rows = result.delta if mode == "triple" else result.table
-    seq = _next_seq(spark, base)
-    path = f"{base}/commit={seq:09d}_{kind}"
-    # range partitioning on (bucket, key) spreads a hot bucket over several tasks
-    rows = rows.withColumn("bucket", bucket_of(keys, buckets)).repartitionByRange("bucket", *keys)
-    rows.write.mode("error").partitionBy("bucket").parquet(path)
-    out["commit"] = seq
-    return out
+    finally:
+        entering.unpersist()
 
 
 def vacuum(spark: SparkSession, root: str, name: str) -> list[str]:

@@ -86,6 +86,10 @@ def test_run_pipeline_twice(spark, tmp_dir):
     assert (second["new_orders"], second["updated_orders"]) == (1, 2)
     orders = TB.read_table(spark, tables, "orders", SC.ORDERS)
     assert orders.count() == 3
+    by_run = {}
+    for r in orders.collect():
+        by_run.setdefault(r["raw_file"].split("run_id=")[1].split("/")[0], set()).add(r["raw_hash"])
+    assert all(len(h) == 1 for h in by_run.values())      # one digest per landed run (K8)
     assert {r["order_id"]: r["total_price"] for r in orders.collect()} == {"1": 12.0, "2": 22.0, "3": 5.0}
     log = FS.read_json_lines(spark, runs, SC.RUN_LOG).collect()
     assert len(log) == 2 and {r["status"] for r in log} == {"success"}
