@@ -63,7 +63,7 @@ def max_group_distinct(df: DataFrame, value: str, by: Sequence[str] = ()) -> int
 
 
 def quantiles(df: DataFrame, value: str, probs: Mapping[str, float], by: Sequence[str] = (),
-              count_alias: str = "n", method: str = "auto") -> DataFrame:
+              count_alias: str = "n", method: str = "auto", accuracy: int = 10_000) -> DataFrame:
     """One row per group: ``by`` columns, the non-null count and one column per probability.
 
     NULL and NaN values are ignored (pandas semantics); rows whose group key is
@@ -71,9 +71,13 @@ def quantiles(df: DataFrame, value: str, probs: Mapping[str, float], by: Sequenc
     produce no row; without ``by`` there is always one row (n = 0 and NULL
     quantiles when the column holds no value). ``method``: 'sort' (range-partitioned ranking, any size),
     'window' (one task per group; only for groups of bounded cardinality) or
-    'auto' (window when the distinct-value bound is proven, else sort).
+    'auto' (window when the distinct-value bound is proven, else sort), or
+    'approx' (``percentile_approx`` sketches: one aggregation, rank error about
+    1/accuracy, no interpolation) for dashboards where exactness is not needed.
     """
     by = list(by)
+    if method == "approx":
+        return _approx_quantiles(df, value, probs, by, count_alias, accuracy)
     if method == "auto":
         bound = WINDOW_MAX_DISTINCT / (1 + 5 * _HLL_RSD)
         method = "window" if max_group_distinct(df, value, by) <= bound else "sort"
@@ -85,6 +89,19 @@ def quantiles(df: DataFrame, value: str, probs: Mapping[str, float], by: Sequenc
     return _sorted_quantiles(distinct, probs, by, count_alias)
 
 
+def _approx_quantiles(df: DataFrame, value: str, probs, by: list[str], count_alias: str,
+                      accuracy: int) -> DataFrame:
+    v = F.col(value).cast("double")
+    keep = v.isNotNull() & ~F.isnan(v)
+    for b in by:
+        keep = keep & F.col(b).isNotNull()
+    names = list(probs)
+    agg = df.where(keep).groupBy(*by).agg(
+        F.count(F.lit(1)).alias(count_alias),
+        F.percentile_approx(v, [float(probs[k]) for k in names], accuracy).alias("_q"))
+    return agg.select(*by, count_alias, *[F.col("_q")[i].alias(k) for i, k in enumerate(names)])
+
+
 def _pick(g: DataFrame, probs: Mapping[str, float], by: list[str], count_alias: str) -> DataFrame:
     """From ranked distinct values (_v, _gn, _lo, _hi) keep the rows holding the
     floor/ceil ranks of every probability and interpolate."""

@@ -106,3 +106,14 @@ def test_daily_summary_and_outliers(spark):
     assert two["outlier_price_ratio"] == (((pn > q3 + 1.5 * iqr) | (pn < q1 - 1.5 * iqr)).mean())
     up = K.outliers_upper(p).first()
     assert up["price_outlier_ratio"] == round(float((pn > q3 + 1.5 * iqr).mean()), 4)
+
+
+def test_approx_quantiles_close(spark):
+    rng = random.Random(11)
+    vals = [rng.gauss(100, 15) for _ in range(5000)]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    r = quantiles(df, "v", {"p10": .1, "p50": .5, "p90": .9}, method="approx").first()
+    s = pd.Series(vals)
+    assert r["n"] == 5000
+    for k, p in (("p10", .1), ("p50", .5), ("p90", .9)):
+        assert abs((s < r[k]).mean() - p) < 0.01
