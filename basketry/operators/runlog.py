@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import exprs as X
 from .kpis import RUNTIME_CANDIDATES, resolve_column
 
+# Fixed run-log counter names.
 METRICS = ["new_products", "updated_products", "new_orders", "updated_orders"]
 
 

@@ -24,6 +24,7 @@ SCHEMA_VERSION = "1.0.0"
 REQUIRED_TOP_LEVEL = ["schema_version", "generated_at_utc", "inputs", "kpis", "figures", "narrative",
                       "data_availability", "integrity", "paths", "products", "orders", "enriched"]
 ALLOWED_TOP_LEVEL = REQUIRED_TOP_LEVEL + ["run_logs", "notes", "$schema"]
+# Fixed enums of the report contract.
 KEY_MODES = ("pair", "triple")
 FAKE_MODES = ("none", "fake", "fake-only")
 
