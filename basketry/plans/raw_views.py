@@ -154,12 +154,15 @@ def shopify_orders_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").cast("int").alias("quantity"),
         F.col("l_extendedprice").cast("string").alias("price"),
         F.col("l_suppkey").cast("string").alias("variant_id"))
-    lines = li.groupBy("l_orderkey").agg(
-        F.collect_list(line).alias("line_items"),
-        F.collect_list(F.struct(cents_of(F.col("l_extendedprice"), F.col("l_tax")).alias("price")))
-        .alias("shipping_lines"),
-        F.collect_list(F.struct(cents_of(F.col("l_extendedprice"), F.col("l_discount")).alias("value")))
-        .alias("discount_applications"))
+    entry = F.struct(line.alias("li"),
+                     cents_of(F.col("l_extendedprice"), F.col("l_tax")).alias("ship"),
+                     cents_of(F.col("l_extendedprice"), F.col("l_discount")).alias("disc"))
+    # one collected array per order, split afterwards (one aggregation buffer)
+    lines = li.groupBy("l_orderkey").agg(F.collect_list(entry).alias("_e")).select(
+        "l_orderkey",
+        F.transform("_e", lambda e: e["li"]).alias("line_items"),
+        F.transform("_e", lambda e: F.struct(e["ship"].alias("price"))).alias("shipping_lines"),
+        F.transform("_e", lambda e: F.struct(e["disc"].alias("value"))).alias("discount_applications"))
     cust = c.select(F.col("c_custkey"),
                     F.concat(F.lit("  "), F.col("c_name"), F.lit("@Shop.Example \t")).alias("email"))
     j = o.join(lines, o["o_orderkey"] == lines["l_orderkey"], "left") \
