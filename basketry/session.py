@@ -51,6 +51,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            # a machine-local folder would not survive the loss of an executor
+            raise RuntimeError("spark.checkpoint.dir is not set: it must name shared storage on a cluster")
         configured = tempfile.mkdtemp(prefix="basketry-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
