@@ -33,6 +33,7 @@ class CleanRule:
     positive: tuple[str, ...] = ()
     fill_unknown: tuple[str, ...] = ()
     file_name: str = field(default="", compare=False)
+    multiline: bool = False     # free-text fields may hold line breaks
 
 
 # Fixed rule table (dataset names, required/typed columns) of the twelve jobs.
@@ -57,7 +58,7 @@ RULES: dict[str, CleanRule] = {r.dataset: r for r in [
               file_name="olist_order_payments_dataset.csv"),
     CleanRule("reviews", ("order_id", "review_id", "review_score"), numerics=("review_score",),
               optional_dates=("review_creation_date", "review_answer_timestamp"),
-              file_name="olist_order_reviews_dataset.csv"),
+              file_name="olist_order_reviews_dataset.csv", multiline=True),
     CleanRule("products", ("product_id", "product_category_name"), file_name="olist_products_dataset.csv"),
     CleanRule("sellers", ("seller_id",), file_name="olist_sellers_dataset.csv"),
     CleanRule("geolocation", ("geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng"),
@@ -96,10 +97,10 @@ def clean(df: DataFrame, rule: CleanRule) -> DataFrame:
     return df
 
 
-def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """Header CSV, every column as text (no inference pass over the data)."""
-    header = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    return header
+    from ..sources.files import read_csv_text
+    return read_csv_text(spark, path, multiline)
 
 
 def run_cleaning(spark: SparkSession, in_dir: str, out_dir: str, rules: dict[str, CleanRule] | None = None,
@@ -112,12 +113,12 @@ def run_cleaning(spark: SparkSession, in_dir: str, out_dir: str, rules: dict[str
         src = f"{in_dir.rstrip('/')}/{rule.file_name}"
         dst = f"{out_dir.rstrip('/')}/{rule.file_name.replace('.csv', '_clean')}"
         try:
-            out = clean(read_raw_csv(spark, src), rule)
-            writer = out.write.mode("overwrite")
+            out = clean(read_raw_csv(spark, src, rule.multiline), rule)
             if fmt == "csv":
-                writer.option("header", True).csv(dst)
+                from ..sources.files import write_csv
+                write_csv(out, dst)
             else:
-                writer.parquet(dst)
+                out.write.mode("overwrite").parquet(dst)
             status.append((rule.dataset, "ok", dst, None))
         except Exception as e:  # noqa: BLE001 - per-dataset isolation, reported in the status table
             status.append((rule.dataset, "error", dst, str(e).splitlines()[0][:500]))

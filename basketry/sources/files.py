@@ -52,7 +52,7 @@ def load_table(spark: SparkSession, root: str, name: str, schema: T.StructType)
         return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{name}/v={versions[-1]}")
     csv = f"{root.rstrip('/')}/{name}.csv"
     if path_exists(spark, csv):
-        raw = spark.read.option("header", True).csv(csv)
+        raw = read_csv_text(spark, csv)
         return raw.select(*[(F.col(f.name).try_cast(f.dataType) if f.name in raw.columns
                              else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields])
     return spark.createDataFrame([], schema)
@@ -75,15 +75,18 @@ def write_version(df: DataFrame, root: str, name: str, partition_by: list[str] |
 
 # --- S5 / S6 CSV --------------------------------------------------------------------
 
-def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
-    """Header CSV with every column as text (no inference pass)."""
-    return spark.read.option("header", True).option("inferSchema", False).option("multiLine", True) \
+def read_csv_text(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """Header CSV with every column as text (no inference pass); quoted
+    fields may hold commas and doubled quotes (RFC 4180). ``multiline`` also
+    accepts line breaks inside quoted fields, at the price of reading each
+    file in one task (such files cannot be split), so it is opt-in."""
+    return spark.read.option("header", True).option("inferSchema", False).option("multiLine", multiline) \
         .option("escape", '"').csv(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """S6."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """Header CSV with RFC 4180 quoting (quotes doubled, as pandas writes)."""
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 # --- S7 / S8 JSON lines ---------------------------------------------------------------

@@ -178,3 +178,19 @@ def test_read_landed_documents_reference_layout(spark, tmp_dir):
     amz = L.read_landed_documents(spark, root, SC.RAW_AMAZON_RESPONSE, "items", ["amazon"])
     got = N.normalize_amazon_items(amz, N.batch_stamp("2024-01-01 00:00:00")).collect()
     assert sorted(r["source_id"] for r in got) == ["X1", "X2"]
+
+
+def test_csv_roundtrip_and_json_documents(spark, tmp_dir):
+    df = spark.createDataFrame([("a", "1,5", 'say "hi"'), ("b", None, "multi\nline")], "k string, v string, t string")
+    out = os.path.join(tmp_dir, "csv")
+    FS.write_csv(df, out)
+    back = sorted(FS.read_csv_text(spark, out, multiline=True).collect(), key=lambda r: r["k"])
+    assert [(r["k"], r["v"], r["t"]) for r in back] == [("a", "1,5", 'say "hi"'), ("b", None, "multi\nline")]
+    docs = os.path.join(tmp_dir, "docs")
+    os.makedirs(docs)
+    with open(os.path.join(docs, "a.json"), "w") as f:
+        json.dump([{"itemId": "1"}, {"itemId": "2"}], f, indent=2)
+    with open(os.path.join(docs, "b.json"), "w") as f:
+        json.dump({"itemId": "3"}, f, indent=2)
+    got = L.read_json_documents(spark, docs, SC.RAW_EBAY_ITEM).collect()
+    assert sorted(r["itemId"] for r in got) == ["1", "2", "3"] and got[0]["raw_file"].endswith(".json")
