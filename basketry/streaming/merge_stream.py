@@ -9,6 +9,7 @@ merge twice; the stream checkpoint records progress.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,7 +43,13 @@ def merge_batch_fn(table_root: str, name: str, schema: T.StructType, key_mode: s
     def apply(batch: DataFrame, batch_id: int) -> None:
         # A replayed micro-batch is harmless: triple mode anti-joins on
         # (key, raw_hash), pair mode rewrites the touched buckets to the same rows.
-        stamp_col = stamp if stamp is not None else F.lit(None).cast("timestamp_ntz")
+        # one ingest stamp per micro-batch, fixed on the driver, so a recomputed
+        # task or a replayed batch sees the same value
+        if stamp is not None:
+            stamp_col = stamp
+        else:
+            now = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
+            stamp_col = F.lit(now).cast("timestamp_ntz")
         normalized = normalizer(batch, stamp_col).persist()
         try:
             TB.merge_into(batch.sparkSession, table_root, name, schema, normalized, key_mode, keys, order_col,
