@@ -43,8 +43,8 @@ def merge_batch_fn(table_root: str, name: str, schema: T.StructType, key_mode: s
     def apply(batch: DataFrame, batch_id: int) -> None:
         # A replayed micro-batch is harmless: triple mode anti-joins on
         # (key, raw_hash), pair mode rewrites the touched buckets to the same rows.
-        # one ingest stamp per micro-batch, fixed on the driver, so a recomputed
-        # task or a replayed batch sees the same value
+        # one ingest stamp per micro-batch, fixed on the driver, so every task
+        # of the batch (a recomputed one included) sees the same value
         if stamp is not None:
             stamp_col = stamp
         else:
