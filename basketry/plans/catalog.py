@@ -292,22 +292,23 @@ def q_segment_distribution(spark, d):
 # A10, A11 order summary; A19 KPI rollup; A18 availability
 # ---------------------------------------------------------------------------
 
-def _order_summary_sql(src: str) -> str:
+def _order_summary_sql(src_sql: str) -> str:
+    src = f"({src_sql})"
     return f"""
 WITH base AS (SELECT count(*) AS count,
   CAST(floor((epoch_us(max(created_at)) - epoch_us(min(created_at))) / 86400000000.0) AS BIGINT) AS timespan_days,
   CAST(sum(CAST(total_price AS DECIMAL(18,2))) AS DOUBLE) AS gmv_total,
   CAST(sum(CAST(total_price AS DECIMAL(18,2))) AS DOUBLE) / count(total_price) AS gmv_mean FROM {src} s),
-med AS ({_q(src.strip('()'), 'total_price', {'gmv_median': 0.5})})
+med AS ({_q(src_sql, 'total_price', {'gmv_median': 0.5})})
 SELECT base.count, base.timespan_days, base.gmv_total, base.gmv_mean, med.gmv_median FROM base, med"""
 
 
-@register("gmv_stats", "A10 A11", _order_summary_sql(O))
+@register("gmv_stats", "A10 A11", _order_summary_sql(V.ORDERS_SQL))
 def q_gmv_stats(spark, d):
     return K.order_summary(V.orders(spark, d))
 
 
-@register("events_gmv_stats", "A10 A11", _order_summary_sql(EO))
+@register("events_gmv_stats", "A10 A11", _order_summary_sql(V.EVENT_ORDERS_SQL))
 def q_events_gmv_stats(spark, d):
     return K.order_summary(V.event_orders(spark, d))
 
@@ -323,7 +324,7 @@ g AS (SELECT n, q1, q3, CASE WHEN q3 - q1 <> 0 THEN q3 - q1 ELSE 1.0 END AS iqr
 h AS (SELECT n, q1 - 1.5 * iqr AS lo, q3 + 1.5 * iqr AS hi FROM g),
 outl AS (SELECT CASE WHEN max(h.n) > 5 THEN count(*) FILTER (WHERE p.price_amount > h.hi OR p.price_amount < h.lo) END
          AS products_outliers_price FROM {P} p, h),
-gmv AS ({_order_summary_sql(O)})
+gmv AS ({_order_summary_sql(V.ORDERS_SQL)})
 SELECT (SELECT count(*) FROM part) AS products_total,
        {_provider_json_sql(P)} AS products_by_provider,
        CAST(NULL AS BIGINT) AS products_new, CAST(NULL AS BIGINT) AS products_updated,
