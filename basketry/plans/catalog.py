@@ -940,3 +940,24 @@ SELECT arg_max(e.gmv_7d, s.created_at) FILTER (WHERE e.gmv_7d IS NOT NULL) AS gm
 FROM s JOIN e ON s.day = e.day""")
 def q_latest_rolling_7d(spark, d):
     return RP.latest_rolling(FE.enrich_orders(V.event_orders(spark, d)))
+
+
+# ---------------------------------------------------------------------------
+# A20 / A21 on extracts that really hold missing values and repeated rows
+# ---------------------------------------------------------------------------
+
+_ECOM_COLS = DV.EXTRACTS["E-commerce Dataset"][2]
+
+
+@register("null_counts_extract", "A20", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE \"{c}\" IS NULL) AS null_count FROM "
+    f"(SELECT {_na_select(_ECOM_COLS)} FROM ({DV.ECOMMERCE_SQL}) x) e" for c in _ECOM_COLS))
+def q_null_counts_extract(spark, d):
+    return K.null_counts(C.with_na_tokens(DV.ecommerce(spark, d)))
+
+
+@register("duplicate_rows_extract", "A21", f"""
+SELECT CAST(sum(n - 1) AS BIGINT) AS duplicate_rows, CAST(sum(n) AS BIGINT) AS rows FROM
+ (SELECT seller_id, seller_state, count(*) AS n FROM ({DV.BR_SELLERS_SQL}) s GROUP BY seller_id, seller_state) g""")
+def q_duplicate_rows_extract(spark, d):
+    return K.duplicate_rows(DV.br_sellers(spark, d))
