@@ -961,3 +961,28 @@ SELECT CAST(sum(n - 1) AS BIGINT) AS duplicate_rows, CAST(sum(n) AS BIGINT) AS r
  (SELECT seller_id, seller_state, count(*) AS n FROM ({DV.BR_SELLERS_SQL}) s GROUP BY seller_id, seller_state) g""")
 def q_duplicate_rows_extract(spark, d):
     return K.duplicate_rows(DV.br_sellers(spark, d))
+
+
+# W2 per group on timestamped data: purchases and other valued events per type
+_EVENTS_BY_TYPE_SQL = "SELECT event_type AS source, ts AS created_at, value AS total_price FROM events"
+
+
+@register("events_rolling_7d_by_type", "W1 W2 W3 (partitioned, times of day)", f"""
+WITH src AS (SELECT source, created_at, CAST(total_price AS DECIMAL(18,2)) AS v FROM ({_EVENTS_BY_TYPE_SQL}) s
+             WHERE created_at IS NOT NULL),
+daily AS (SELECT source, CAST(created_at AS DATE) AS day, sum(v) AS gmv_dec, count(v) AS n_orders FROM src GROUP BY 1, 2),
+spine AS (SELECT r.source, CAST(d AS DATE) AS day FROM (SELECT source, min(day) AS lo, max(day) AS hi FROM daily GROUP BY 1) r,
+          generate_series(CAST(r.lo AS TIMESTAMP), CAST(r.hi AS TIMESTAMP), INTERVAL 1 DAY) g(d)),
+filled AS (SELECT spine.source, spine.day, daily.gmv_dec, coalesce(daily.n_orders, 0) AS n_orders
+           FROM spine LEFT JOIN daily ON spine.day = daily.day AND spine.source = daily.source),
+rolled AS (SELECT source, day, gmv_dec, n_orders,
+           sum(gmv_dec) OVER (PARTITION BY source ORDER BY day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS g7,
+           sum(n_orders) OVER (PARTITION BY source ORDER BY day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS o7 FROM filled)
+SELECT source, day, CAST(gmv_dec AS DOUBLE) AS gmv, CAST(n_orders AS BIGINT) AS n_orders, CAST(g7 AS DOUBLE) AS gmv_7d,
+       CAST(o7 AS BIGINT) AS orders_7d,
+       CASE WHEN o7 > 0 THEN CAST(g7 AS DOUBLE) / CAST(o7 AS DOUBLE) END AS aov_7d
+FROM rolled""")
+def q_events_rolling_7d_by_type(spark, d):
+    ev = V.table(spark, d, "events").select(F.col("event_type").alias("source"), F.col("ts").alias("created_at"),
+                                             F.col("value").alias("total_price"))
+    return FE.rolling_7d(ev, by=["source"])
