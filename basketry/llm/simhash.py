@@ -15,14 +15,14 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_texts, materialize, narrow
 from .graph import components
 
 ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
-TOP = np.uint64(1 << 63)
+ROUTED = pa.schema([("block", pa.int64()), ("part", pa.int64()), ("own_part", pa.int64()), ("home", pa.bool_()), ("codes", pa.binary())])
 FANOUT = 8
 
 
@@ -49,6 +49,14 @@ def gray_rank(codes: np.ndarray) -> np.ndarray:
     return r
 
 
+def gray_rank_column(name: str) -> Column:
+    """The same position as a signed long that sorts alike."""
+    r = F.col(name)
+    for s in (1, 2, 4, 8, 16, 32):
+        r = r.bitwiseXOR(F.shiftrightunsigned(r, s))
+    return r.bitwiseXOR(F.lit(-(1 << 63)))
+
+
 class GrayTree:
     """Levels of (pattern, own mask), root first; the last level holds the leaves as given."""
 
@@ -103,22 +111,23 @@ class Blocks:
         return np.searchsorted(self.bounds, gray_rank(codes), side="right")
 
     def route(self, codes: np.ndarray, radius: int):
-        """(code, block, part, home) rows: where a code is kept, and where it asks. Of two blocks only the one with the larger number visits."""
+        """(block, part, home, codes): where codes are kept, and where they ask. Of two blocks only the one with the larger number visits."""
         home = self.of(codes)
-        kept_q, kept_block, kept_part = [], [], []
         for b in np.unique(home):
             common = self.mask & self.mask[b]
             able = np.flatnonzero(np.bitwise_count((self.pattern ^ self.pattern[b]) & common) <= radius)
-            parts = np.unique(able[able >= b] // self.group)
-            mine = np.flatnonzero(home == b)
-            kept_q.append(np.repeat(mine, len(parts)))
-            kept_part.append(np.tile(parts, len(mine)))
-            kept_block.append(np.full(len(mine) * len(parts), b))
-        out = [(np.concatenate(kept_q), np.concatenate(kept_block), np.concatenate(kept_part), True)] if kept_q else []
-        for q, b in self.tree.search(codes, radius):
+            mine = codes[home == b]
+            for part in np.unique(able[able >= b] // self.group):
+                yield b, part, True, mine
+        for q, b in self.tree.search(codes, radius, len(codes)):
             ask = b < home[q]
-            out.append((q[ask], b[ask], home[q[ask]] // self.group, False))
-        return out
+            q, b = q[ask], b[ask]
+            part = home[q] // self.group
+            order = np.lexsort((part, b))
+            cuts = np.flatnonzero((np.diff(b[order]) != 0) | (np.diff(part[order]) != 0)) + 1
+            for run in np.split(order, cuts):
+                if len(run):
+                    yield b[run[0]], part[run[0]], False, codes[q[run]]
 
 
 def roundest(low: int, high: int) -> int:
@@ -130,13 +139,9 @@ def roundest(low: int, high: int) -> int:
 
 def local_links(frame: pd.DataFrame, radius: int) -> pd.DataFrame:
     """Star links (code, smallest code of its local component) among one block's codes and its visitors."""
-    codes = frame["code"].to_numpy().view(np.uint64)
-    kept = frame["home"].to_numpy()
-    own = codes[kept]
+    own, guests = (np.frombuffer(b"".join(frame["codes"][frame["home"] == home]), dtype="<u8") for home in (True, False))
     own = own[np.argsort(gray_rank(own), kind="stable")]
-    guests = codes[~kept]
-    with_own = int(frame["part"].iloc[0]) == int(frame["own_part"].iloc[0])
-    asking = np.concatenate([own, guests]) if with_own else guests
+    asking = np.concatenate([own, guests]) if frame["part"].iloc[0] == frame["own_part"].iloc[0] else guests
     if not len(own) or not len(asking):
         return pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64")})
     tree = GrayTree(own, np.full(len(own), ONES))
@@ -171,15 +176,15 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def link_codes(codes: DataFrame, radius: int = 2, block_codes: int = 16384, group: int = 4) -> DataFrame:
     """Star links (a, b) that tie all codes of ``codes`` (fp long, distinct) within ``radius`` bits, directly or through others."""
+    codes = codes.withColumn("rank", gray_rank_column("fp"))
     n = codes.count()
     blocks = max(1, -(-n // block_codes))
     bounds: list[int] = []
     if blocks > 1:
         # quarter-block quantiles of the Gray ranks (4 * blocks numbers reach the driver); each cut
         # is then moved to the roundest rank near it, so that a block fixes as many leading bits as it can
-        ranked = codes.mapInArrow(_ranks, "r long")
         at = [i / (4 * blocks) for i in range(1, 4 * blocks)]
-        got = ranked.agg(F.percentile_approx("r", at, max(10_000, 40 * blocks)).alias("q")).first()["q"]
+        got = codes.agg(F.percentile_approx("rank", at, max(10_000, 40 * blocks)).alias("q")).first()["q"]
         q = [(v + (1 << 63)) for v in got]
         bounds = sorted({roundest(q[4 * i - 2], q[4 * i]) for i in range(1, blocks)} - {0})
     grid = Blocks(bounds, group)
@@ -187,21 +192,14 @@ def link_codes(codes: DataFrame, radius: int = 2, block_codes: int = 16384, grou
     def route(batches):
         for batch in batches:
             fps = batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
-            for q, block, part, home in grid.route(fps, radius):
-                if len(q):
-                    yield pa.RecordBatch.from_pydict({
-                        "block": pa.array(block.astype(np.int64)), "part": pa.array(part.astype(np.int64)),
-                        "own_part": pa.array((block // group).astype(np.int64)),
-                        "code": pa.array(fps[q].view(np.int64)), "home": pa.array(np.full(len(q), home))})
-
-    routed = codes.mapInArrow(route, "block long, part long, own_part long, code long, home boolean")
-    return routed.groupBy("block", "part").applyInPandas(lambda f: local_links(f, radius), "a long, b long")
-
+            rows = [(int(b), int(part), int(b) // group, home, own.astype("<u8").tobytes()) for b, part, home, own in grid.route(fps, radius)]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows, strict=True), ROUTED.types, strict=True)], schema=ROUTED)
 
-def _ranks(batches):
-    for batch in batches:
-        r = gray_rank(batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)) ^ TOP
-        yield pa.RecordBatch.from_pydict({"r": pa.array(r.view(np.int64))})
+    # sorted by Gray rank, the codes of a batch share blocks, and travel as few packed lists
+    routed = codes.repartitionByRange("rank").sortWithinPartitions("rank").select("fp").mapInArrow(
+        route, "block long, part long, own_part long, home boolean, codes binary")
+    return routed.groupBy("block", "part").applyInPandas(lambda f: local_links(f, radius), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3,
@@ -226,7 +224,7 @@ def _label(marked: DataFrame, radius: int, block_codes: int) -> DataFrame:
     tied = materialize(codes.join(nodes.withColumnRenamed("node", "fp"), "fp"))
     smallest = materialize(tied.groupBy("root").agg(F.min("first_id").alias("component_id")))
     classes = materialize(tied.select("fp", "root").join(smallest, "root").select("fp", "component_id"))
-    of_code = codes.join(classes.withColumn("linked", F.lit(True)), "fp", "left").select(
-        "fp", F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("first_id")).alias("component_id"))
+    of_code = materialize(codes.join(classes.withColumn("linked", F.lit(True)), "fp", "left").select(
+        "fp", F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("first_id")).alias("component_id")))
     return marked.join(of_code, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
