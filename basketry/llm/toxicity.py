@@ -91,7 +91,10 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, mod: int, out: int,
 
 
 def train(sample: DataFrame, alpha: float, beta: float, l1: float, l2: float, epochs: int) -> tuple[np.ndarray, np.ndarray, float]:
-    """Features are made where the texts are; one task then learns from the bounded sample, in the order of a hash of the ids."""
+    """Features are made where the texts are; one task then learns from the bounded sample, in the order of a hash of the ids.
+
+    ``l1`` is a rate: chance sums of gradients grow with the root of the number of rows, and so does the term against them.
+    """
 
     def fn(batch, texts):
         return {"doc_id": batch.column("doc_id"), "y": batch.column("y"),
@@ -101,7 +104,7 @@ def train(sample: DataFrame, alpha: float, beta: float, l1: float, l2: float, ep
         ids = frame["doc_id"].to_numpy()
         order = np.lexsort((ids, ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
         rows = [(frame["feats"].iloc[i], int(frame["y"].iloc[i])) for i in order]
-        feats, w, bias = ftrl(rows, alpha, beta, l1, l2, epochs)
+        feats, w, bias = ftrl(rows, alpha, beta, l1 * len(rows) ** 0.5, l2, epochs)
         return pd.DataFrame({"feat": [-1, *feats.tolist()], "w": [bias, *w.tolist()]})
 
     made = map_texts(sample, "text", "doc_id long, y int, feats array<int>", fn).withColumn("all", F.lit(0))
@@ -113,7 +116,7 @@ def train(sample: DataFrame, alpha: float, beta: float, l1: float, l2: float, ep
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-             threshold: float = 0.7, bound: int = 12_000, alpha: float = 4.0, beta: float = 1.0, l1: float = 10.0,
+             threshold: float = 0.7, bound: int = 12_000, alpha: float = 3.0, beta: float = 1.0, l1: float = 0.12,
              l2: float = 0.1, epochs: int = 5, seed: int = 6) -> DataFrame:
     """(doc_id, held_out, score, predicted): one row per row of ``docs``.
 

@@ -61,7 +61,7 @@ def test_odd_rows(spark):
     odd = spark.createDataFrame([(None, "no id idiot"), (900, None), (901, ""), (901, ""), (902, "word " * 50000)], "doc_id long, text string")
     df = docs.drop("y").unionByName(odd).withColumn("score", F.lit("x")).withColumn("w", F.lit(1))
     more = labels.unionByName(spark.createDataFrame([(None, 1, "x"), (1, None, "x"), (1, 1, "x")], "doc_id long, toxic int, text string"))
-    got = toxicity.classify(df, more, l1=0.5).collect()
+    got = toxicity.classify(df, more, l1=0.05).collect()
     assert len(got) == len(rows) + 5 and all(0 <= r.score <= 1 for r in got)
     by = {r.doc_id: r.score for r in got}
     assert by[900] == by[901] and by[1] > by[0]
