@@ -71,7 +71,7 @@ def bounded_share(df: DataFrame, id_col: str, bound: int, seed: int) -> DataFram
 
 
 def running(df: DataFrame, group: list[str], key: str, ties: list[str], rank: str | None = None,
-            before: dict[str, str] | None = None, bits: int = 12) -> DataFrame:
+            before: dict[str, str] | None = None, bits: int = 10) -> DataFrame:
     """Position and running sums of each row within its group, in the order of ``key`` (a long
     spread evenly over its range) and ``ties``, without any group in one task.
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, secret_scan, simhash, toxicity
+from . import mixing, packing, secret_scan, simhash, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +40,43 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op5_secret_scan")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
+OP4_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, substr(md5('4:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS k,
+         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
+  FROM documents),
+lines AS (
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY k, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM d),
+sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size, 3 * sum(size)::DOUBLE AS cap,
+         [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS w
+  FROM d GROUP BY source),
+steps AS (
+  SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
+            / sum(w) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM sources),
+levels AS (SELECT max(level) AS level FROM steps WHERE cap > level * w),
+goal AS (
+  SELECT source, source_size, CASE WHEN l.level IS NULL OR cap <= l.level * w THEN cap ELSE l.level * w END AS target,
+         ceil(source_size / 16)::BIGINT AS blocks
+  FROM steps CROSS JOIN levels l),
+quota AS (
+  SELECT *, floor(target / 16 + 0.5)::BIGINT AS quota,
+         ('0x' || substr(md5('4:' || coalesce(source, '')), 1, 12))::BIGINT % greatest(blocks, 1) AS first
+  FROM goal),
+plan AS (
+  SELECT *, quota // greatest(blocks, 1) AS rounds, quota - quota // greatest(blocks, 1) * blocks AS more FROM quota),
+runs AS (
+  SELECT *, least(first * 16, source_size) AS a0, least(least(first + more, blocks) * 16, source_size) AS a1,
+         least(greatest(first + more - blocks, 0) * 16, source_size) AS b1 FROM plan)
+SELECT doc_id, size, source_size, target,
+       (rounds * size + greatest(0, least(start + size, a1) - greatest(start, a0)) + greatest(0, least(start + size, b1) - start))::BIGINT AS taken
+FROM lines JOIN runs ON lines.source IS NOT DISTINCT FROM runs.source
+"""
+
+
+@register("op4_mixing", OP4_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
