@@ -134,8 +134,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **opti
                         F.sha2(joined(F.col("_base")), 256).alias("base_sha256"), joined(F.col("_all")).alias("spans"))
 
 
-def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask: str = "[redacted]", **options) -> DataFrame:
-    """``docs`` with every span replaced by ``mask`` (overlapping spans by one). Rows without spans are untouched."""
+def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask: str = "[redacted]", length_col: str = "n_chars", **options) -> DataFrame:
+    """``docs`` with every span replaced by ``mask`` (overlapping spans by one). Rows without spans are untouched;
+    ``length_col``, if there, is counted anew for the others."""
     names = docs.columns
     found = find(docs, id_col, text_col, **options)
     text = F.col("_text")
@@ -147,5 +148,9 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask
 
     kept = F.aggregate("_all", F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")), step,
                        lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text))))
-    return found.withColumn(text_col, F.when(F.size("_all") > 0, kept).otherwise(F.col(f"`{text_col}`"))).select(*(f"`{n}`" for n in names))
-
+    hit = F.size("_all") > 0
+    found = found.withColumn("_new", F.when(hit, kept).otherwise(F.col(f"`{text_col}`")))
+    new = {text_col: F.col("_new")}
+    if length_col in names:
+        new[length_col] = F.when(hit, F.length("_new")).otherwise(F.col(f"`{length_col}`"))
+    return found.select(*(new[n].alias(n) if n in new else F.col(f"`{n}`") for n in names))

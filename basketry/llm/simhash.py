@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import map_texts, materialize, narrow
@@ -164,14 +164,15 @@ def local_links(frame: pd.DataFrame, radius: int) -> pd.DataFrame:
     return pd.DataFrame({"a": nodes[tied], "b": nodes[label[tied]]})
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
-    """(doc_id, fp long): one row per row of ``docs``."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, row: Column | None = None) -> DataFrame:
+    """(doc_id, row, fp long): one row per row of ``docs``. ``row``: a long that tells rows with the same id apart."""
 
     def fn(batch, texts):
         fp = np.array([fingerprint(t, words) for t in texts], dtype=np.uint64).view(np.int64)
-        return {"doc_id": batch.column("doc_id"), "fp": pa.array(fp)}
+        return {"doc_id": batch.column("doc_id"), "row": batch.column("row"), "fp": pa.array(fp)}
 
-    return map_texts(narrow(docs, doc_id=id_col, text=text_col), "text", "doc_id long, fp long", fn)
+    named = docs.withColumn("_row", F.lit(0).cast("long") if row is None else row)
+    return map_texts(narrow(named, doc_id=id_col, row="_row", text=text_col), "text", "doc_id long, row long, fp long", fn)
 
 
 def link_codes(codes: DataFrame, radius: int = 2, block_codes: int = 16384, group: int = 4) -> DataFrame:
@@ -215,16 +216,33 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``block_codes``, and only star links leave a block, so no group of copies is ever paired out.
     """
     marked = materialize(fingerprints(docs, id_col, text_col, words))
-    return _label(marked, radius, block_codes)
+    return classes(marked, radius, block_codes).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("first.doc_id").alias("component_id"))
 
 
-def _label(marked: DataFrame, radius: int, block_codes: int) -> DataFrame:
-    codes = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+def classes(marked: DataFrame, radius: int, block_codes: int) -> DataFrame:
+    """Adds ``first`` (null_id, doc_id, row) to (doc_id, row, fp): the smallest row of the component, null ids last."""
+    own = F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "row")
+    codes = materialize(marked.groupBy("fp").agg(F.min(own).alias("first")))
     nodes = components(link_codes(codes.select("fp"), radius, block_codes))
     tied = materialize(codes.join(nodes.withColumnRenamed("node", "fp"), "fp"))
-    smallest = materialize(tied.groupBy("root").agg(F.min("first_id").alias("component_id")))
-    classes = materialize(tied.select("fp", "root").join(smallest, "root").select("fp", "component_id"))
-    of_code = materialize(codes.join(classes.withColumn("linked", F.lit(True)), "fp", "left").select(
-        "fp", F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("first_id")).alias("component_id")))
-    return marked.join(of_code, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    smallest = materialize(tied.groupBy("root").agg(F.min("first").alias("of_class")))
+    linked = materialize(tied.select("fp", "root").join(smallest, "root").select("fp", "of_class"))
+    of_code = materialize(codes.join(linked, "fp", "left").select("fp", F.coalesce("of_class", "first").alias("first")))
+    return marked.join(of_code, "fp")
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 2,
+                    block_codes: int = 16384) -> DataFrame:
+    """One row of ``docs`` for each component: the one with the smallest doc_id (null ids last), of rows with that id the one with the smallest row hash.
+
+    Rows that are alike in every column count as one.
+    """
+    named = docs.withColumn("_row", F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns)))
+    marked = materialize(fingerprints(named, id_col, text_col, words, F.col("_row")))
+    first = classes(marked, radius, block_codes).where(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("row") == F.col("first.row")))
+    key = lambda c: F.coalesce(c, F.lit(-1))
+    kept = first.select(key(F.col("doc_id")).alias("_id"), F.col("row").alias("_row")).distinct()
+    found = named.withColumn("_id", key(F.col(f"`{id_col}`").cast("long"))).join(kept, ["_id", "_row"])
+    nth = F.row_number().over(Window.partitionBy("_id", "_row").orderBy(F.lit(0)))
+    return found.withColumn("_nth", nth).where("_nth = 1").select(*(f"`{c}`" for c in docs.columns))

@@ -7,6 +7,7 @@ rates fit rare and common features alike, and the L1 term leaves few weights, wh
 from __future__ import annotations
 
 import zlib
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -14,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_share, crc_class, map_texts, narrow
+from .common import bounded_share, crc_class, map_texts, narrow, raw_texts, slices
 
 BITS = 20
 # A-Z to lower case; other ASCII that isn't a letter ends a word; bytes above ASCII belong to words.
@@ -116,23 +117,44 @@ def train(sample: DataFrame, alpha: float, beta: float, l1: float, l2: float, ep
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-             threshold: float = 0.7, bound: int = 12_000, alpha: float = 3.0, beta: float = 1.0, l1: float = 0.12,
-             l2: float = 0.1, epochs: int = 5, seed: int = 6) -> DataFrame:
+             threshold: float = 0.7, **options) -> DataFrame:
     """(doc_id, held_out, score, predicted): one row per row of ``docs``.
 
-    Learns from at most about ``bound`` labelled documents outside the held-out third. Null and empty texts have the
+    Learns from at most about ``bound`` (12,000) labelled documents outside the held-out third; options as for ``scorer_of``. Null and empty texts have the
     score of the intercept alone; without any usable label every score is next to 0. Repeated rows are scored alike, a null
     doc_id stays null (its id counts as empty text for held_out), an empty table gives an empty result, other columns are ignored.
     """
     texts = narrow(docs, doc_id=id_col, text=text_col)
-    sample = labelled(texts, narrow(labels, doc_id=id_col, y=label_col), "y", 3, 1, bound, seed)
-    feats, w, bias = train(sample, alpha, beta, l1, l2, epochs)
+    scorer = scorer_of(texts, narrow(labels, doc_id=id_col, y=label_col), **options)
 
     def fn(batch, raw):
-        dense = np.zeros(1 << BITS)
-        dense[feats] = w
-        p = score(raw, dense, bias)
+        p = scorer(raw)
         return {"doc_id": batch.column("doc_id"), "score": pa.array(p), "predicted": pa.array((p >= threshold).astype(np.int32))}
 
     return map_texts(texts, "text", "doc_id long, score double, predicted int", fn).select(
         "doc_id", (crc_class("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
+def scorer_of(texts: DataFrame, labels: DataFrame, bound: int = 12_000, alpha: float = 3.0, beta: float = 1.0, l1: float = 0.12,
+              l2: float = 0.1, epochs: int = 5, seed: int = 6) -> Callable[[list[bytes]], np.ndarray]:
+    """A function from raw texts to scores, learned from (doc_id, text) and (doc_id, y)."""
+    feats, w, bias = train(labelled(texts, labels, "y", 3, 1, bound, seed), alpha, beta, l1, l2, epochs)
+
+    def run(raw: list[bytes]) -> np.ndarray:
+        dense = np.zeros(1 << BITS)
+        dense[feats] = w
+        return score(raw, dense, bias)
+
+    return run
+
+
+def clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
+          threshold: float = 0.7, **options) -> DataFrame:
+    """The rows of ``docs`` whose score is below ``threshold``, unchanged."""
+    scorer = scorer_of(narrow(docs, doc_id=id_col, text=text_col), narrow(labels, doc_id=id_col, y=label_col), **options)
+
+    def run(batches):
+        for batch in slices(batches, text_col):
+            yield batch.filter(pa.array(scorer(raw_texts(batch.column(text_col))) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
