@@ -71,12 +71,13 @@ def bounded_share(df: DataFrame, id_col: str, bound: int, seed: int) -> DataFram
 
 
 def running(df: DataFrame, group: list[str], key: str, ties: list[str], rank: str | None = None,
-            before: dict[str, str] | None = None, bits: int = 10) -> DataFrame:
+            before: dict[str, str] | None = None, total: str | None = None, bits: int = 10) -> DataFrame:
     """Position and running sums of each row within its group, in the order of ``key`` (a long
     spread evenly over its range) and ``ties``, without any group in one task.
 
     Rows are dealt to (group, leading ``bits`` of the key); the totals of those cells give each cell's start.
     ``rank``: name of the 0-based position. ``before``: new column -> column whose values before the row are summed.
+    ``total``: name of the group's number of rows.
     ``df`` is read twice. Rows alike in key and ties are interchangeable.
     """
     before = before or {}
@@ -86,7 +87,8 @@ def running(df: DataFrame, group: list[str], key: str, ties: list[str], rank: st
     prior = Window.partitionBy(*group).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select(
         *(F.col(c).alias(f"_s_{c}") for c in cell), F.coalesce(F.sum("_n").over(prior), F.lit(0)).alias("_start"),
-        *(F.coalesce(F.sum(f"_t_{k}").over(prior), F.lit(0)).alias(f"_start_{k}") for k in before))
+        *(F.coalesce(F.sum(f"_t_{k}").over(prior), F.lit(0)).alias(f"_start_{k}") for k in before),
+        *([F.sum("_n").over(Window.partitionBy(*group)).alias(total)] if total else []))
     order = Window.partitionBy(*cell).orderBy(key, *ties)
     upto = order.rowsBetween(Window.unboundedPreceding, -1)
     local = df.select("*", (F.row_number().over(order) - 1).cast("long").alias("_r"),

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, secret_scan, simhash, toxicity
+from . import mixing, packing, secret_scan, sharding, simhash, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,29 @@ FROM lines JOIN runs ON lines.source IS NOT DISTINCT FROM runs.source
 @register("op4_mixing", OP4_SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+# The CRC table follows from the polynomial 0xEDB88320 (3988292384).
+OP3_SQL = r"""
+WITH crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]),
+           lambda c, _: CASE WHEN (c & 1) = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+d AS (
+  SELECT doc_id, source, coalesce(octet_length(encode(text)), 0) + 16 AS size,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT)),
+                         lambda c, b: xor(c >> 8, crc.t[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32,
+         substr(md5('3:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS k
+  FROM documents, crc),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY k, doc_id, size, text_crc32) - 1 AS r, count(*) OVER (PARTITION BY source) AS n FROM d),
+placed AS (
+  SELECT *, row_number() OVER (ORDER BY (r + 0.5::DOUBLE) / n, source NULLS LAST, r) - 1 AS pos, count(*) OVER () AS total FROM ranked)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'rows' AS law, (pos * 40 // total)::INT AS shard,
+       (pos - (pos * 40 // total * total + 39) // 40)::BIGINT AS slot, NULL::INT AS grown_shard
+FROM placed
+"""
+
+
+@register("op3_sharding", OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
