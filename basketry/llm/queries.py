@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import merkle, mixing, packing, secret_scan, sharding, simhash, toxicity
+from . import langid, merkle, mixing, packing, secret_scan, sharding, simhash, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +111,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_merkle_fingerprint")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@register("op9_language_id")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
