@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, merkle, mixing, packing, secret_scan, sharding, simhash, toxicity
+from . import langid, merkle, mixing, packing, quality, secret_scan, sharding, simhash, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,3 +116,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_language_id")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@register("op7_quality_crf")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
