@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, merkle, mixing, packing, quality, secret_scan, sharding, simhash, toxicity
+from . import ann, langid, merkle, mixing, packing, quality, secret_scan, sharding, simhash, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,3 +121,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op7_quality_crf")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op1_hnsw_neighbours")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.neighbours(table(spark, sf_dir, "embeddings"))
