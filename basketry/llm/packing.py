@@ -8,8 +8,9 @@ then joined back to the pieces by each piece's rank among those of its length.
 from __future__ import annotations
 
 import heapq
+import struct
 import zlib
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import public_tokenizers
@@ -22,7 +23,24 @@ from tokenizers import Tokenizer
 from .common import map_texts, materialize, narrow, running
 
 # Texts split at single spaces are looked up whole; both caches start anew at this many entries.
-CACHE = 600_000
+CACHE = 1_000_000
+CLOSING = frozenset(".,;:!?")
+
+
+class Cache(dict):
+    """Results of ``make``; starts anew at CACHE entries."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key: str) -> bytes:
+        got = self.make(key)
+        if len(self) >= CACHE:
+            self.clear()
+        if len(key) < 200:
+            self[key] = got
+        return got
 
 
 class TokenBytes:
@@ -39,38 +57,31 @@ class TokenBytes:
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in set(printable)]
         self.alphabet = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
-        self.parts: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.words = Cache(self.word)
+        self.parts = Cache(self.part)
 
     def word(self, word: str) -> bytes:
-        if (got := self.words.get(word)) is None:
-            mapped = word.encode().decode("latin-1").translate(self.alphabet)
-            got = np.array([t.id for t in self.tokenizer.model.tokenize(mapped)], dtype="<u4").tobytes()
-            if len(self.words) >= CACHE:
-                self.words.clear()
-            self.words[word] = got
-        return got
+        """Ids of what the pattern matches as one."""
+        mapped = word.encode().decode("latin-1").translate(self.alphabet)
+        return struct.pack(f"<{len(ids)}I", *ids) if len(ids := [t.id for t in self.tokenizer.model.tokenize(mapped)]) != 1 else ids[0].to_bytes(4, "little")
+
+    def part(self, part: str) -> bytes:
+        """Ids of a space and what stands between it and the next; letters, with or without a mark after them, need no pattern."""
+        if part.isalpha():
+            return self.words[" " + part]
+        if part[-1:] in CLOSING and part[:-1].isalpha():
+            return self.words[" " + part[:-1]] + self.words[part[-1]]
+        return self.split(" " + part)
 
     def split(self, text: str) -> bytes:
-        return b"".join(map(self.word, self.pattern.findall(text)))
+        return b"".join(map(self.words.__getitem__, self.pattern.findall(text)))
 
     def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
         if "  " in text:
             return self.split(text)
-        first, *rest = text.split(" ")
-        parts, out = self.parts, [self.split(first)]
-        for part in rest:
-            got = parts.get(part)
-            if got is None:
-                got = self.split(" " + part)
-                if len(parts) >= CACHE:
-                    parts.clear()
-                if len(part) < 200:
-                    parts[part] = got
-            out.append(got)
-        return b"".join(out)
+        first, space, rest = text.partition(" ")
+        out = self.split(first)
+        return out + b"".join(map(self.parts.__getitem__, rest.split(" "))) if space else out
 
 
 _LOADED: dict[str, TokenBytes] = {}
