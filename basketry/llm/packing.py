@@ -23,7 +23,7 @@ from tokenizers import Tokenizer
 from .common import map_texts, materialize, narrow, running
 
 # Texts split at single spaces are looked up whole; both caches start anew at this many entries.
-CACHE = 1_000_000
+CACHE = 600_000
 CLOSING = frozenset(".,;:!?")
 
 
@@ -68,9 +68,9 @@ class TokenBytes:
     def part(self, part: str) -> bytes:
         """Ids of a space and what stands between it and the next; letters, with or without a mark after them, need no pattern."""
         if part.isalpha():
-            return self.words[" " + part]
+            return self.word(" " + part)
         if part[-1:] in CLOSING and part[:-1].isalpha():
-            return self.words[" " + part[:-1]] + self.words[part[-1]]
+            return self.parts[part[:-1]] + self.words[part[-1]]
         return self.split(" " + part)
 
     def split(self, text: str) -> bytes:
