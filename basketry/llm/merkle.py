@@ -137,8 +137,10 @@ def in_a_ring(docs: DataFrame, id_col: str, text_col: str, parts: int) -> DataFr
     rows = rows.withColumns({"_down": F.bitwise_not("doc_id"), "_null": F.col("doc_id").isNull(), "_mark": F.xxhash64("text")})
     # ranges with about the same number of rows; a null id counts as the lowest
     rows = rows.withColumn("_at", F.coalesce(F.col("doc_id").cast("double"), F.lit(-1e19)))
-    shares = [i / parts for i in range(1, parts)]
-    found = rows.agg(F.percentile_approx("_at", shares, max(10_000, 10 * parts)).alias("q")).first()["q"] if shares else None
+    # several ranges a task, so that tasks come out alike although ranges are dealt to them by hash
+    ranges = 8 * parts if parts > 1 else 1
+    shares = [i / ranges for i in range(1, ranges)]
+    found = rows.agg(F.percentile_approx("_at", shares, max(10_000, 10 * ranges)).alias("q")).first()["q"] if shares else None
     cuts = sorted({c for c in found or []})
     if cuts:
         rows = Bucketizer(splits=[-float("inf"), *cuts, float("inf")], inputCol="_at", outputCol="_bucket", handleInvalid="keep").transform(rows)
@@ -147,7 +149,7 @@ def in_a_ring(docs: DataFrame, id_col: str, text_col: str, parts: int) -> DataFr
         rows = rows.withColumn("bucket", F.lit(0))
     key = F.struct("_null", "_down", "_mark")
     ring = Window.orderBy("bucket")
-    # one row for each bucket, ``parts`` at most
+    # one row for each bucket
     first = rows.groupBy("bucket").agg(F.min(key).alias("_first")).withColumn(
         "_host", F.coalesce(F.lag("bucket").over(ring), F.max("bucket").over(Window.partitionBy(F.lit(0)))))
     dealt = rows.join(F.broadcast(first), "bucket")
