@@ -10,9 +10,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values that must agree with the reference behaviour.
-# - Leftover JSON is cut after 8000 characters and marked with "...".
-ADDITIONAL_MAX_CHARS = 8000
-ADDITIONAL_ELLIPSIS = "..."
 # - pandas `read_csv` default missing-value tokens (mapped to NULL on ingest).
 PANDAS_NA_TOKENS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -135,17 +132,23 @@ def first_comma_token(c) -> Column:
 
 
 def pack_additional(**fields) -> Column:
-    """Leftover fields as JSON with sorted keys (NULLs kept), cut to 8000 chars."""
+    """Leftover fields as JSON with sorted keys (NULLs kept), whole."""
     names = sorted(fields)
-    js = F.to_json(F.struct(*[col_(fields[n]).alias(n) for n in names]), {"ignoreNullFields": "false"})
-    return F.when(F.length(js) > ADDITIONAL_MAX_CHARS,
-                  F.concat(F.substring(js, 1, ADDITIONAL_MAX_CHARS), F.lit(ADDITIONAL_ELLIPSIS))).otherwise(js)
+    return F.to_json(F.struct(*[col_(fields[n]).alias(n) for n in names]), {"ignoreNullFields": "false"})
 
 
 def canonical_json_hash(json_text) -> Column:
     """sha256 of canonical JSON: the VARIANT round trip sorts keys and drops
-    insignificant whitespace, so key order and spacing do not change the hash."""
-    return F.sha2(F.to_json(F.parse_json(col_(json_text))), 256)
+    insignificant whitespace, so key order and spacing do not change the hash.
+    Text that is no JSON is hashed as it is."""
+    c = col_(json_text)
+    return F.sha2(F.coalesce(F.to_json(F.try_parse_json(c)), c), 256)
+
+
+def is_json_object(json_text) -> Column:
+    """Whether a text is a JSON object (false for NULL, broken text and other JSON values)."""
+    c = col_(json_text)
+    return F.coalesce(F.try_parse_json(c).isNotNull() & F.ltrim(c).startswith("{"), F.lit(False))
 
 
 def tag_slug(c) -> Column:
@@ -159,33 +162,30 @@ def na_to_null(c) -> Column:
     return F.when(~c.isin(*PANDAS_NA_TOKENS), c)
 
 
-def money_sum(c) -> Column:
-    """Exact sum of a monetary double column in cents, returned as double."""
-    return F.sum(col_(c).cast("decimal(18,2)")).cast("double")
+WIDE = "decimal(38,18)"  # 18 decimals, sums below 1e20
 
 
-def exact_sum(c, scale: int = 6) -> Column:
-    """Exact sum of a double column rounded to ``scale`` decimals per value."""
-    return F.sum(col_(c).cast(f"decimal(38,{scale})"))
+def exact_sum(c) -> Column:
+    """Sum of a numeric column as decimals, in the precision its values have:
+    the same whatever the partitioning and order."""
+    return F.sum(col_(c).cast(WIDE))
 
 
-def exact_mean(c, scale: int = 6) -> Column:
-    """Mean through an exact decimal sum: independent of partitioning and order."""
-    c = col_(c)
-    return exact_sum(c, scale).cast("double") / F.count(c)
+def money_sum(c) -> Column:
+    """``exact_sum`` returned as double."""
+    return exact_sum(c).cast("double")
 
 
-def exact_stddev(c, scale: int = 4) -> Column:
-    """Sample standard deviation (ddof=1) from exact decimal moments, so the
-    result does not depend on partitioning or summation order."""
+def exact_mean(c) -> Column:
+    """Mean through an exact sum."""
     c = col_(c)
-    x = c.cast(f"decimal(18,{scale})")
-    n = F.count(c).cast("decimal(20,0)")
-    s1 = F.sum(x).cast(f"decimal(38,{scale})")
-    s2 = F.sum(x * x).cast(f"decimal(38,{scale})")
-    num = (n * s2 - s1 * s1).cast("double")
-    den = (n * (n - F.lit(1))).cast("double")
-    return F.when(F.count(c) > 1, F.sqrt(num / den))
+    return exact_sum(c).cast("double") / F.count(c)
+
+
+def stddev(c) -> Column:
+    """Sample standard deviation (ddof=1, NULL below two values) from mergeable
+    centred moments: no overflow and no cancellation at any size."""
+    return F.stddev_samp(col_(c).cast("double"))
 
 
 def round_ratio(k, n, digits: int) -> Column:
@@ -201,9 +201,9 @@ def round_ratio(k, n, digits: int) -> Column:
 def multiset_digest(hex_digest) -> Column:
     """Aggregate: order-insensitive digest of a set of sha-256 hex digests.
 
-    The digests are added up in four 60-bit lanes (exact decimal sums), which
-    combine map-side like any sum, so the batch is never gathered in one task;
-    the lanes and the count are hashed once more at the end."""
+    The digests are added up in lanes of 15 hex digits, all 64 of them (exact
+    decimal sums), which combine map-side like any sum, so the batch is never
+    gathered in one task; the lanes and the count are hashed once more at the end."""
     h = col_(hex_digest)
-    lanes = [F.sum(F.conv(F.substring(h, 1 + 15 * i, 15), 16, 10).cast("decimal(38,0)")) for i in range(4)]
+    lanes = [F.sum(F.conv(F.substring(h, 1 + 15 * i, 15), 16, 10).cast("decimal(38,0)")) for i in range(5)]
     return F.sha2(F.concat_ws("|", F.count(h).cast("string"), *[x.cast("string") for x in lanes]), 256)

@@ -30,6 +30,7 @@ PRODUCT_KEYS = ("source", "source_id")
 PRODUCT_ORDER = "collected_at"
 ORDER_KEYS = ("source", "order_id")
 ORDER_ORDER = "ingested_at"
+TABLE_KEYS = {"products": PRODUCT_KEYS, "orders": ORDER_KEYS}
 
 
 @dataclass

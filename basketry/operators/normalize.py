@@ -41,8 +41,16 @@ def batch_stamp(ts: str | None = None) -> Column:
     return F.lit(ts).cast("timestamp_ntz") if ts else F.localtimestamp()
 
 
+POSITION = "_pos"  # optional input column that travels along: place of the record in its run
+
+
 def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields],
+                     *[c for c in (POSITION,) if c in df.columns])
+
+
+def _carried(df: DataFrame) -> list[str]:
+    return [c for c in (POSITION, "_stamp") if c in df.columns]
 
 
 @product_normalizer("shopify")
@@ -68,7 +76,7 @@ def normalize_shopify_products(raw: DataFrame, stamp: Column | None = None) -> D
         F.lit(None).cast("string").alias("url"),
         (stamp if stamp is not None else batch_stamp()).alias("collected_at"),
         "raw_hash", "raw_file",
-        X.pack_additional(handle=p["handle"], vendor=p["vendor"]).alias("additional"),
+        X.pack_additional(handle=p["handle"], vendor=p["vendor"]).alias("additional"), *_carried(raw),
     )
     return _conform(out, SC.PRODUCTS)
 
@@ -79,8 +87,10 @@ def normalize_amazon_items(raw: DataFrame, stamp: Column | None = None) -> DataF
     without that path yields no rows; no category."""
     # explode_outer + filter: a plain explode lets Spark infer a size() filter
     # that re-evaluates the payload expression
-    items = raw.select(F.explode_outer(F.col("payload")["ItemsResult"]["Items"]).alias("it"),
-                       "raw_hash", "raw_file").where(F.col("it").isNotNull())
+    items = raw.select(F.posexplode_outer(F.col("payload")["ItemsResult"]["Items"]).alias("_item", "it"),
+                       "raw_hash", "raw_file", *_carried(raw)).where(F.col("it").isNotNull())
+    if POSITION in raw.columns:
+        items = items.withColumn(POSITION, F.col(POSITION).withField("item", F.col("_item")))
     it = F.col("it")
     offer = F.get(it["Offers"]["Listings"], 0)["Price"]
     out = items.select(
@@ -94,7 +104,7 @@ def normalize_amazon_items(raw: DataFrame, stamp: Column | None = None) -> DataF
         it["DetailPageURL"].alias("url"),
         (stamp if stamp is not None else batch_stamp()).alias("collected_at"),
         "raw_hash", "raw_file",
-        X.pack_additional(browseNodeInfo=it["BrowseNodeInfo"]).alias("additional"),
+        X.pack_additional(browseNodeInfo=it["BrowseNodeInfo"]).alias("additional"), *_carried(items),
     )
     return _conform(out, SC.PRODUCTS)
 
@@ -115,7 +125,7 @@ def normalize_ebay_search(raw: DataFrame, stamp: Column | None = None) -> DataFr
         p["itemWebUrl"].alias("url"),
         (stamp if stamp is not None else batch_stamp()).alias("collected_at"),
         "raw_hash", "raw_file",
-        X.pack_additional(seller=p["seller"], condition=p["condition"]).alias("additional"),
+        X.pack_additional(seller=p["seller"], condition=p["condition"]).alias("additional"), *_carried(raw),
     )
     return _conform(out, SC.PRODUCTS)
 
@@ -148,7 +158,7 @@ def normalize_shopify_orders(raw: DataFrame, stamp: Column | None = None) -> Dat
         "raw_file", "raw_hash",
         (stamp if stamp is not None else batch_stamp()).alias("ingested_at"),
         X.pack_additional(gateway=o["gateway"], processing_method=o["processing_method"],
-                          cancelled_at=o["cancelled_at"], tags=o["tags"]).alias("additional"),
+                          cancelled_at=o["cancelled_at"], tags=o["tags"]).alias("additional"), *_carried(raw),
     )
     return _conform(out.withColumn("line_items_count",
                                    F.when(F.col("line_items_count") < 0, 0).otherwise(F.col("line_items_count"))),

@@ -1,9 +1,9 @@
-"""The ETL run - landed raw files -> normalized batches -> merge -> versioned tables -> run log.
+"""The ETL run - newly landed runs -> normalized batch -> merge -> appended table batch -> run log.
 
-Everything up to the counts is one lazy plan per entity; the counts row is
-the only action before the write (M7 persist guard). The merge writes one
-commit to the bucketed table: only the delta (triple mode) or only the
-buckets the batch touches (pair mode), never over the files it reads.
+A pipeline run takes the landed runs that no earlier pipeline run has merged,
+in the order in which they landed; with nothing new it reads and writes no
+data. Lines that are no JSON object do not end the run: they are set aside
+with their text (``<table_root>/_rejected/<entity>``) and counted.
 """
 
 from __future__ import annotations
@@ -12,14 +12,13 @@ import datetime as dt
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as SC
 from ..operators import merge as M
 from ..operators import normalize as N
 from ..sources import files as FS
-from ..session import ensure_checkpoint_dir
 from ..sources import landing as L
 from ..sources import tables as T
 
@@ -34,59 +33,45 @@ ORDER_SOURCES = {
 }
 
 
-def _landed_providers(spark: SparkSession, landing_root: str) -> set[str]:
-    if not FS.path_exists(spark, landing_root):
-        return set()
-    fs, p = FS._fs(spark, landing_root)
-    return {st.getPath().getName().split("=", 1)[1] for st in fs.listStatus(p)
-            if st.getPath().getName().startswith("provider=")}
-
-
-def normalized_batch(spark: SparkSession, landing_root: str, sources: dict, providers: Sequence[str] | None,
-                     stamp, hash_scope: str, limit: int | None) -> tuple[DataFrame | None, int]:
-    present = _landed_providers(spark, landing_root)
-    frames, files = [], 0
-    for provider, (resource, schema, fn) in sources.items():
-        if (providers and provider not in providers) or provider not in present:
-            continue
-        raw = L.read_raw(spark, landing_root, schema, resource, [provider], "record", limit)
-        files += len(raw.inputFiles())
-        frames.append(fn(raw, stamp))
-    return (N.union_batches(frames) if frames else None), files
+def normalized_batch(lines: DataFrame, runs: Sequence[L.Run], sources: dict, stamp: Column, hash_scope: str,
+                     limit: int | None) -> DataFrame:
+    frames = []
+    for provider in dict.fromkeys(r.provider for r in runs):
+        _, schema, fn = sources[provider]
+        raw = L.typed_records(lines.where(F.col("provider") == provider), schema, stamp, hash_scope, limit)
+        frames.append(fn(raw, F.col("_stamp")))
+    return N.union_batches(frames)
 
 
 def run_pipeline(spark: SparkSession, landing_root: str, table_root: str, runlog_path: str,
                  key_mode: str = "triple", providers: Sequence[str] | None = None, dry_run: bool = False,
-                 batch_ts: str | None = None, hash_scope: str = "batch", limit: int | None = None,
-                 buckets: int | None = None) -> dict:
+                 batch_ts: str | None = None, hash_scope: str = "batch", limit: int | None = None) -> dict:
     """Run one ETL pass; returns the run-log record (also appended as JSON line)."""
     M.check_mode(key_mode)
     run_id = uuid.uuid4().hex[:12]
     started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    stamp = N.batch_stamp(batch_ts or started.strftime("%Y-%m-%d %H:%M:%S"))
+    stamp = N.batch_stamp(batch_ts or started.strftime("%Y-%m-%d %H:%M:%S.%f"))
     record = {"run_id": run_id, "started_at": started, "status": "success", "raw_files": 0,
-              "new_products": 0, "new_orders": 0, "updated_products": 0, "updated_orders": 0,
+              "new_products": 0, "new_orders": 0, "updated_products": 0, "updated_orders": 0, "rejected_records": 0,
               "providers": sorted(providers) if providers else sorted(set(PRODUCT_SOURCES) | set(ORDER_SOURCES))}
     try:
         for entity, sources, schema, keys, order_col in (
                 ("products", PRODUCT_SOURCES, SC.PRODUCTS, M.PRODUCT_KEYS, M.PRODUCT_ORDER),
                 ("orders", ORDER_SOURCES, SC.ORDERS, M.ORDER_KEYS, M.ORDER_ORDER)):
-            batch, files = normalized_batch(spark, landing_root, sources, providers, stamp, hash_scope, limit)
-            record["raw_files"] += files
-            if batch is None:
+            wanted = {p: resource for p, (resource, _, _) in sources.items() if not providers or p in providers}
+            runs = L.list_runs(spark, landing_root, wanted, L.merged_runs(spark, table_root, entity))
+            record["raw_files"] += sum(r.files for r in runs)
+            if not runs:
                 continue
-            # one snapshot of the landed batch: counts and the written rows are
-            # derived from the same records even if new files land meanwhile
-            ensure_checkpoint_dir(spark)
-            batch = batch.checkpoint(eager=True)
-            if hash_scope == "batch":
-                # records were hashed once on the way in; every record of a
-                # landed run now takes the digest of the whole run (K8)
-                batch = L.rehash_per_run(batch, files).checkpoint(eager=True)
-            res = T.merge_into(spark, table_root, entity, schema, batch, key_mode, keys, order_col,
-                               buckets=buckets, dry_run=dry_run)
+            # one listing: rejected lines, digests and rows come from the same files even if new ones land meanwhile
+            lines = L.read_runs(spark, landing_root, runs)
+            record["rejected_records"] += _set_aside(spark, L.rejected(lines), f"{table_root.rstrip('/')}/_rejected/{entity}/run={run_id}", dry_run)
+            batch = normalized_batch(lines, runs, sources, stamp, hash_scope, limit)
+            res = T.merge_into(spark, table_root, entity, schema, batch, key_mode, keys, order_col, dry_run=dry_run)
             record[f"new_{entity}"] = res["new"]
             record[f"updated_{entity}"] = res["updated"]
+            if not dry_run:
+                L.mark_merged(spark, table_root, entity, runs)
     except Exception:
         record["status"] = "error"
         raise
@@ -95,3 +80,10 @@ def run_pipeline(spark: SparkSession, landing_root: str, table_root: str, runlog
         if not dry_run:
             FS.append_json_lines(spark.createDataFrame([record], SC.RUN_LOG), runlog_path)
     return record
+
+
+def _set_aside(spark: SparkSession, bad: DataFrame, path: str, dry_run: bool) -> int:
+    n = bad.count()
+    if n and not dry_run:
+        bad.write.json(path)
+    return n

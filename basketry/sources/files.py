@@ -110,7 +110,7 @@ def read_text_tree(spark: SparkSession, root: str, suffixes=("py", "md", "ipynb"
     df = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob) \
         .text(root, wholetext=True)
     df = df.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
-    rel = F.substring(F.col("path"), F.length(F.lit(_as_uri_prefix(root))) + 1, 1 << 20)
+    rel = F.expr(f"substring(path, {len(_as_uri_prefix(root)) + 1})")
     return df.where(~rel.rlike(r"(^|/)\."))
 
 
@@ -122,8 +122,8 @@ def _as_uri_prefix(root: str) -> str:
 # --- S11 / S13 sinks -------------------------------------------------------------------
 
 def write_document(doc: DataFrame, path: str) -> None:
-    """A one-row nested document as a single JSON file."""
-    doc.coalesce(1).write.mode("overwrite").json(path)
+    """A one-row nested document as a single JSON file; null fields are written as null."""
+    doc.coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
 def write_enriched(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:

@@ -12,25 +12,43 @@ values and the files are written by Spark in parallel.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import exprs as X
-
-
-MAX_BROADCAST_RUNS = 100_000
-
-
-def _landed_runs(df: DataFrame) -> int:
-    """Distinct provider/resource/run folders among the files a scan reads (metadata only)."""
-    import re
-    runs = set()
-    for f in df.inputFiles():
-        m = re.search(r"provider=([^/]+)/resource=([^/]+)/run_id=([^/]+)/", f)
-        runs.add(m.groups() if m else f)
-    return len(runs)
+from . import files as FS
+
+
+@dataclass(frozen=True)
+class Run:
+    """One landed run of a provider's resource."""
+
+    provider: str
+    resource: str
+    run_id: str
+    path: str
+    landed: int  # modification time of the folder, milliseconds
+    files: int
+
+
+def list_runs(spark: SparkSession, root: str, resources: dict[str, str], skip: set[tuple[str, str]] = frozenset()) -> list[Run]:
+    """Runs of the given provider -> resource pairs, but for the (provider, run_id) pairs in
+    ``skip``, in the order in which they landed. Folder listings only; the files
+    of skipped runs are not looked at."""
+    found = []
+    for provider, resource in resources.items():
+        fs, p = FS._fs(spark, f"{root.rstrip('/')}/provider={provider}/resource={resource}")
+        if not fs.exists(p):
+            continue
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if name.startswith("run_id=") and (provider, name[len("run_id="):]) not in skip:
+                files = sum(not x.getPath().getName().startswith(("_", ".")) for x in fs.listStatus(st.getPath()))
+                found.append(Run(provider, resource, name[len("run_id="):], st.getPath().toString(), st.getModificationTime(), files))
+    return sorted(found, key=lambda r: (r.landed, r.run_id, r.provider))
 
 
 def write_raw(records: DataFrame, root: str, provider: str, resource: str, run_id: str,
@@ -43,6 +61,38 @@ def write_raw(records: DataFrame, root: str, provider: str, resource: str, run_i
     out.write.mode("append").partitionBy("provider", "resource", "run_id").text(root)
 
 
+def _lines(raw: DataFrame) -> DataFrame:
+    """Landed lines with their file and position; blank lines are no records."""
+    pos = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                   F.monotonically_increasing_id().alias("row"), F.lit(0).alias("item"))
+    return raw.select("provider", "run_id", F.col("value").alias("json"), F.col("_metadata.file_path").alias("raw_file"), pos.alias("_pos")) \
+        .where(F.trim("json") != "")
+
+
+def _first_per_provider(lines: DataFrame, limit: int | None) -> DataFrame:
+    if not limit:
+        return lines
+    # row_number <= n is planned as a group limit: every task keeps at most
+    # n rows per provider before the shuffle
+    w = Window.partitionBy("provider").orderBy("_pos")
+    return lines.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= limit).drop("_n")
+
+
+def _typed(lines: DataFrame, schema: T.StructType, hash_scope: str, extra: Sequence[str] = ()) -> DataFrame:
+    lines = lines.withColumn("_rec_hash", X.canonical_json_hash(F.col("json")))
+    if hash_scope == "batch":
+        per_run = lines.groupBy("provider", "run_id").agg(X.multiset_digest("_rec_hash").alias("raw_hash"))
+        # A run is one join key: shuffling the records on it would put a whole
+        # run into one task. There is one digest for each run folder, and the
+        # driver has listed those folders, so the digests are always broadcast.
+        lines = lines.join(F.broadcast(per_run), ["provider", "run_id"])
+    elif hash_scope == "record":
+        lines = lines.withColumn("raw_hash", F.col("_rec_hash"))
+    else:
+        raise ValueError(f"unknown hash_scope {hash_scope}")
+    return lines.select("provider", "run_id", F.from_json("json", schema).alias("payload"), "raw_file", "raw_hash", *extra)
+
+
 def read_raw(spark: SparkSession, root: str, schema: T.StructType, resource: str,
              providers: Sequence[str] | None = None, hash_scope: str = "batch",
              limit_per_provider: int | None = None) -> DataFrame:
@@ -52,48 +102,49 @@ def read_raw(spark: SparkSession, root: str, schema: T.StructType, resource: str
     run, however many files Spark wrote for it) the same order-insensitive
     digest of all its records, like the reference (K8);
     ``'record'`` hashes each record on its own. ``limit_per_provider`` keeps
-    the first n records of each provider in file order."""
+    the first n records of each provider in file order. Lines that are no JSON
+    object are left out (``rejected`` returns them)."""
     raw = spark.read.text(root).where(F.col("resource") == resource)
     if providers:
         raw = raw.where(F.col("provider").isin(*providers))
-    raw = raw.select("provider", "run_id", F.col("value").alias("json"),
-                     F.col("_metadata.file_path").alias("raw_file"))
-    raw = raw.withColumn("_rec_hash", X.canonical_json_hash(F.col("json")))
-    if limit_per_provider:
-        from pyspark.sql import Window
-        # row_number <= n is planned as a group limit: every task keeps at most
-        # n rows per provider before the shuffle
-        w = Window.partitionBy("provider").orderBy("raw_file", "json")
-        raw = raw.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= limit_per_provider).drop("_n")
-    if hash_scope == "batch":
-        per_run = raw.groupBy("provider", "run_id").agg(X.multiset_digest("_rec_hash").alias("raw_hash"))
-        # A run is one join key: shuffling the records on it would put a whole
-        # run into one task. The per-run digests are broadcast instead, behind
-        # a bound proven from the file listing (one row per landed run folder).
-        if _landed_runs(raw) <= MAX_BROADCAST_RUNS:
-            per_run = F.broadcast(per_run)
-        raw = raw.join(per_run, ["provider", "run_id"])
-    elif hash_scope == "record":
-        raw = raw.withColumn("raw_hash", F.col("_rec_hash"))
-    else:
-        raise ValueError(f"unknown hash_scope {hash_scope}")
-    return raw.select("provider", "run_id", F.from_json("json", schema).alias("payload"), "raw_file", "raw_hash")
+    good = _lines(raw).where(X.is_json_object("json"))
+    return _typed(_first_per_provider(good, limit_per_provider), schema, hash_scope)
+
+
+def read_runs(spark: SparkSession, root: str, runs: Sequence[Run]) -> DataFrame:
+    """The lines of the given runs: provider, run_id, json, raw_file, _pos and ``_run``, the run's place in the list."""
+    ranks = F.create_map(*[x for i, r in enumerate(runs) for x in (F.lit(f"{r.provider}/{r.run_id}"), F.lit(i))])
+    raw = spark.read.option("basePath", root).text([r.path for r in runs])
+    lines = _lines(raw.withColumn("provider", F.col("provider").cast("string")).withColumn("run_id", F.col("run_id").cast("string")))
+    return lines.withColumn("_run", ranks[F.concat_ws("/", "provider", "run_id")])
+
+
+def rejected(lines: DataFrame) -> DataFrame:
+    """Lines that are no JSON object, with their text."""
+    return lines.where(~X.is_json_object("json")).select("provider", "run_id", "raw_file", "json")
+
+
+def typed_records(lines: DataFrame, schema: T.StructType, stamp: Column, hash_scope: str = "batch",
+                  limit_per_provider: int | None = None) -> DataFrame:
+    """Typed payloads of ``read_runs`` lines, with ``_pos`` and each run's own ``_stamp``: ``stamp`` plus a microsecond
+    for every run before it, so that a later run has the later stamp."""
+    own = stamp + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.col("_run") / 1e6).cast("decimal(18,6)"))
+    good = _first_per_provider(lines.where(X.is_json_object("json")), limit_per_provider).withColumn("_stamp", own)
+    return _typed(good, schema, hash_scope, ["_pos", "_stamp"])
 
 
-_RUN_FOLDER = r"^(.*/provider=[^/]+/resource=[^/]+/run_id=[^/]+)/"
+def merged_runs(spark: SparkSession, table_root: str, entity: str) -> set[tuple[str, str]]:
+    """(provider, run_id) of the runs that are in the table already."""
+    path = f"{table_root.rstrip('/')}/_merged/{entity}"
+    if not FS.path_exists(spark, path):
+        return set()
+    return {(r["provider"], r["run_id"]) for r in spark.read.schema("provider string, run_id string").json(path).collect()}
 
 
-def rehash_per_run(df: DataFrame, files: int | None = None) -> DataFrame:
-    """Replace record-level ``raw_hash`` values by the order-insensitive digest
-    of their landed run (the run folder in ``raw_file``). Meant for a frame that
-    is already materialised (e.g. checkpointed), so records are hashed once.
-    The per-run digests are broadcast when the number of runs is bounded."""
-    run = F.regexp_extract(F.col("raw_file"), _RUN_FOLDER, 1)
-    per_run = df.groupBy(run.alias("_run")).agg(X.multiset_digest("raw_hash").alias("_batch_hash"))
-    if files is not None and files <= MAX_BROADCAST_RUNS:
-        per_run = F.broadcast(per_run)
-    out = df.withColumn("_run", run).join(per_run, "_run")
-    return out.withColumn("raw_hash", F.col("_batch_hash")).select(*df.columns)
+def mark_merged(spark: SparkSession, table_root: str, entity: str, runs: Sequence[Run]) -> None:
+    """Recorded after the rows are in: a run that fails in between is merged again, which changes nothing."""
+    rows = spark.createDataFrame([(r.provider, r.run_id) for r in runs], "provider string, run_id string")
+    FS.append_json_lines(rows.coalesce(1), f"{table_root.rstrip('/')}/_merged/{entity}")
 
 
 def read_json_documents(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -131,9 +182,7 @@ def read_landed_documents(spark: SparkSession, root: str, schema: T.StructType,
     rows = rows.withColumn("_rec_hash", X.canonical_json_hash(F.col("json")))
     if hash_scope == "batch":
         per_file = rows.groupBy("raw_file").agg(X.multiset_digest("_rec_hash").alias("raw_hash"))
-        # one digest per file: broadcast behind the file count of the listing
-        if len(raw.inputFiles()) <= MAX_BROADCAST_RUNS:
-            per_file = F.broadcast(per_file)
+        # one file is one task here anyway (whole-text read), so its records may share a join key
         rows = rows.join(per_file, "raw_file")
     else:
         rows = rows.withColumn("raw_hash", F.col("_rec_hash"))

@@ -1,189 +1,136 @@
-"""Bucketed merge tables: the unified products / orders tables at scale.
+"""Merge tables: the unified products / orders tables at scale.
 
-A merge must not rewrite a 100 TB table for every batch. Rows are spread
-over a fixed number of hash buckets of their key (``pmod(xxhash64(key), B)``),
-and every merge is a *commit* folder holding only what changed, written by
-Spark with ``partitionBy("bucket")``:
+A merge appends, it never rewrites: every batch is one folder, and a reader
+takes the latest row of each key.
 
-    <root>/<name>/commit=000000007_full/bucket=12/part-*.parquet
-    <root>/<name>/commit=000000008_append/bucket=3/part-*.parquet
+    <root>/<name>/mode=pair/batch=7/part-*.parquet
+    <root>/<name>/mode=triple/batch=8/part-*.parquet
 
-* triple mode appends the delta rows (``append`` commit)
-* pair mode rewrites only the buckets the batch touches (``full`` commit with
-  the complete new contents of those buckets)
+* triple mode appends the rows whose (key, hash) the table does not hold yet;
+  every version stays
+* pair mode appends the batch's latest row per key, which hides every earlier
+  row with that key
 
-A bucket's current rows = its latest ``full`` commit plus every later
-``append`` commit. A commit counts once Spark's committer has written
-``_SUCCESS``; a crashed merge leaves an uncommitted folder that readers ignore
-and ``vacuum`` removes. Reading the existing rows of a merge touches only the
-buckets the batch maps to. Only folder listings (metadata) reach the driver.
+What is written follows the batch, not the table. ``compact`` folds the
+batches of a pair table into one when there are many. One writer at a time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import merge as M
 from . import files as FS
 
-DEFAULT_BUCKETS = 64
+POSITION = "_pos"  # optional batch column: place of the record among those with one stamp
 
 
-def bucket_of(keys: Sequence[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+def _base(root: str, name: str) -> str:
+    return f"{root.rstrip('/')}/{name}"
 
 
-def _jpath(spark: SparkSession, path: str):
-    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-
-
-def _commits(spark: SparkSession, base: str) -> list[tuple[int, str, str]]:
-    """Committed (seq, kind, path) of a table, oldest first."""
-    fs, p = FS._fs(spark, base)
+def _children(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    fs, p = FS._fs(spark, path)
     if not fs.exists(p):
         return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if not name.startswith("commit="):
-            continue
-        seq, _, kind = name[len("commit="):].partition("_")
-        if fs.exists(_jpath(spark, f"{st.getPath().toString()}/_SUCCESS")):
-            out.append((int(seq), kind, st.getPath().toString()))
-    return sorted(out)
-
-
-def _bucket_dirs(spark: SparkSession, commit_path: str) -> dict[int, str]:
-    fs, p = FS._fs(spark, commit_path)
-    out = {}
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("bucket="):
-            out[int(name.split("=", 1)[1])] = st.getPath().toString()
-    return out
-
-
-def bucket_count(spark: SparkSession, root: str, name: str, default: int = DEFAULT_BUCKETS) -> int:
-    """The bucket count is fixed when a table is created (marker file ``_BUCKETS_<n>``)."""
-    base = f"{root.rstrip('/')}/{name}"
-    fs, p = FS._fs(spark, base)
-    if fs.exists(p):
-        for st in fs.listStatus(p):
-            n = st.getPath().getName()
-            if n.startswith("_BUCKETS_"):
-                return int(n[len("_BUCKETS_"):])
-    return default
-
-
-def _ensure_marker(spark: SparkSession, base: str, buckets: int) -> None:
-    fs, _ = FS._fs(spark, base)
-    marker = _jpath(spark, f"{base}/_BUCKETS_{buckets}")
-    if not fs.exists(marker):
-        fs.mkdirs(_jpath(spark, base))
-        fs.create(marker, False).close()
-
-
-def live_paths(spark: SparkSession, root: str, name: str, only_buckets: set[int] | None = None) -> list[str]:
-    """Folders holding the current rows (optionally of some buckets only)."""
-    base = f"{root.rstrip('/')}/{name}"
-    current: dict[int, list[str]] = {}
-    for _, kind, path in _commits(spark, base):
-        for b, d in _bucket_dirs(spark, path).items():
-            if only_buckets is not None and b not in only_buckets:
-                continue
-            if kind == "full":
-                current[b] = [d]
-            else:
-                current.setdefault(b, []).append(d)
-    return [d for b in sorted(current) for d in current[b]]
+    names = [st.getPath().getName() for st in fs.listStatus(p)]
+    return [n[len(prefix):] for n in names if n.startswith(prefix)]
+
+
+def batches(spark: SparkSession, root: str, name: str) -> dict[int, str]:
+    """Batch number -> mode, in order. One entry per merge since the last compaction."""
+    base = _base(root, name)
+    return dict(sorted((int(n), mode) for mode in _children(spark, base, "mode=")
+                       for n in _children(spark, f"{base}/mode={mode}", "batch=")))
+
+
+def _stored(spark: SparkSession, root: str, name: str, schema: T.StructType) -> DataFrame:
+    full = T.StructType([*schema.fields, T.StructField("mode", T.StringType()), T.StructField("batch", T.LongType())])
+    return spark.read.schema(full).parquet(_base(root, name))
 
 
 def read_table(spark: SparkSession, root: str, name: str, schema: T.StructType,
-               only_buckets: set[int] | None = None) -> DataFrame:
-    """Current rows of a bucketed table; falls back to ``<name>.csv`` / empty
-    (S3) when the table has no commit yet."""
-    paths = live_paths(spark, root, name, only_buckets)
-    if paths:
-        return spark.read.schema(schema).parquet(*paths)
-    base = f"{root.rstrip('/')}/{name}"
-    if _commits(spark, base):
-        return spark.createDataFrame([], schema)
-    return FS.load_table(spark, root, name, schema)
-
-
-def _next_seq(spark: SparkSession, base: str) -> int:
-    fs, p = FS._fs(spark, base)
-    if not fs.exists(p):
-        return 1
-    seqs = [int(st.getPath().getName()[len("commit="):].partition("_")[0]) for st in fs.listStatus(p)
-            if st.getPath().getName().startswith("commit=")]
-    return max(seqs, default=0) + 1
+               keys: Sequence[str] | None = None) -> DataFrame:
+    """Current rows: of each key the row of the last pair batch, and all triple
+    rows appended after it. Falls back to ``<name>.csv`` / empty (S3) when the
+    table has no batch yet. ``keys``: only needed for tables other than
+    products and orders."""
+    modes = set(batches(spark, root, name).values())
+    if not modes:
+        return FS.load_table(spark, root, name, schema)
+    keys = list(keys or M.TABLE_KEYS[name])
+    rows = _stored(spark, root, name, schema)
+    if modes == {"triple"}:
+        return rows.drop("mode", "batch")
+    # the greatest batch per key: a map-side combined aggregation
+    latest = M.latest_per_key(rows.where("mode = 'pair'").drop("mode"), keys, ["batch"])
+    if modes == {"pair"}:
+        return latest.drop("batch")
+    versions = rows.where("mode = 'triple'").drop("mode")
+    last = latest.select(*(F.col(k).alias(f"_{k}") for k in keys), F.col("batch").alias("_last"))
+    on = None
+    for k in keys:
+        same = versions[k].eqNullSafe(last[f"_{k}"])
+        on = same if on is None else on & same
+    later = versions.join(last, on, "left").where(F.col("_last").isNull() | (F.col("batch") > F.col("_last")))
+    return latest.select(*schema.names).unionByName(later.select(*schema.names))
 
 
 def merge_into(spark: SparkSession, root: str, name: str, schema: T.StructType, batch: DataFrame, mode: str,
-               keys: Sequence[str], order_col: str, buckets: int | None = None, dry_run: bool = False) -> dict:
-    """Merge ``batch`` into the bucketed table; returns {new, updated, commit}.
+               keys: Sequence[str], order_col: str, dry_run: bool = False) -> dict:
+    """Merge ``batch`` into the table; returns {new, updated, batch}.
 
-    The caller should hand in a stable batch (e.g. checkpointed): the counts
-    and the written rows are two actions over it."""
+    The rows entering the table are written once, to their own folder, and
+    counted from there; nothing new leaves nothing behind. Of several records
+    of a key the latest stamp wins, then the later position (column ``_pos``)
+    or, without positions, the greater hash."""
     M.check_mode(mode)
-    base = f"{root.rstrip('/')}/{name}"
-    buckets = buckets or bucket_count(spark, root, name)
-    batch = batch.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
-    touched = {r[0] for r in batch.select(bucket_of(keys, buckets).alias("b")).distinct().collect()}
-    existing = read_table(spark, root, name, schema, only_buckets=touched)
-    result = M.merge(existing, batch, mode, keys, order_col)
-    # the batch rows entering the table feed both the counts and the write:
-    # keep them (memory, spilling to disk) instead of merging twice
-    entering = result.delta.persist()
-    try:
+    before = batches(spark, root, name)
+    wanted = [F.col(f.name).cast(f.dataType) for f in schema.fields]
+    placed = POSITION in batch.columns
+    batch = batch.select(*wanted, *([POSITION] if placed else []))
+    if mode == "triple":
+        existing = read_table(spark, root, name, schema, keys)
+        delta = M.anti_join(batch.drop(POSITION), existing, [*keys, "raw_hash"])
+    else:
+        # whether a key is known needs its column alone, from whichever batch
+        existing = _stored(spark, root, name, schema) if before else FS.load_table(spark, root, name, schema)
+        delta = M.latest_per_key(batch, keys, [order_col, POSITION if placed else "raw_hash"]).drop(POSITION)
+
+    def counted(rows: DataFrame) -> dict:
         if mode == "triple":
-            result = M.MergeResult(existing.unionByName(entering), entering,
-                                   entering.agg(F.count(F.lit(1)).alias("new"),
-                                                F.lit(0).cast("bigint").alias("updated")))
-        else:
-            kept = M.anti_join(existing, batch, keys)
-            result = M.MergeResult(kept.unionByName(entering), entering, M.key_counts(entering, existing, keys))
-        counts = result.counts.first()
-        out = {"new": int(counts["new"]), "updated": int(counts["updated"]), "commit": None}
-        if dry_run or (out["new"] == 0 and out["updated"] == 0):
-            return out
-        _ensure_marker(spark, base, buckets)
-        kind = "append" if mode == "triple" else "full"
-        rows = result.delta if mode == "triple" else result.table
-        seq = _next_seq(spark, base)
-        path = f"{base}/commit={seq:09d}_{kind}"
-        # range partitioning on (bucket, key) spreads a hot bucket over several tasks
-        rows = rows.withColumn("bucket", bucket_of(keys, buckets)).repartitionByRange("bucket", *keys)
-        rows.write.mode("error").partitionBy("bucket").parquet(path)
-        out["commit"] = seq
-        return out
-    finally:
-        entering.unpersist()
-
-
-def vacuum(spark: SparkSession, root: str, name: str) -> list[str]:
-    """Delete uncommitted commit folders and bucket folders superseded by a
-    later full commit of the same bucket; returns the removed paths."""
-    base = f"{root.rstrip('/')}/{name}"
-    fs, p = FS._fs(spark, base)
-    if not fs.exists(p):
-        return []
-    committed = {path for _, _, path in _commits(spark, base)}
-    removed = []
-    for st in fs.listStatus(p):
-        path = st.getPath().toString()
-        if st.getPath().getName().startswith("commit=") and path not in committed:
-            fs.delete(st.getPath(), True)
-            removed.append(path)
-    live = set(live_paths(spark, root, name))
-    for _, _, path in _commits(spark, base):
-        for _, d in _bucket_dirs(spark, path).items():
-            if d not in live:
-                fs.delete(_jpath(spark, d), True)
-                removed.append(d)
-    return removed
+            return {"new": rows.count(), "updated": 0}
+        c = M.key_counts(rows, existing, keys).first()
+        return {"new": int(c["new"]), "updated": int(c["updated"])}
+
+    if dry_run:
+        return {**counted(delta), "batch": None}
+    number = max(before, default=0) + 1
+    path = f"{_base(root, name)}/mode={mode}/batch={number}"
+    delta.write.parquet(path)
+    out = counted(spark.read.schema(schema).parquet(path))
+    if not out["new"] and not out["updated"]:
+        fs, p = FS._fs(spark, path)
+        fs.delete(p, True)
+        number = None
+    return {**out, "batch": number}
+
+
+def compact(spark: SparkSession, root: str, name: str, schema: T.StructType, keys: Sequence[str] | None = None) -> int | None:
+    """Fold a pair table's batches into one. The new batch holds every key and
+    so hides the older ones at once; they are deleted after it is complete."""
+    before = batches(spark, root, name)
+    if set(before.values()) - {"pair"}:
+        raise ValueError("only pair tables are compacted: a triple table keeps every appended row as it is")
+    if len(before) < 2:
+        return None
+    number = max(before) + 1
+    read_table(spark, root, name, schema, keys).write.parquet(f"{_base(root, name)}/mode=pair/batch={number}")
+    for n in before:
+        fs, p = FS._fs(spark, f"{_base(root, name)}/mode=pair/batch={n}")
+        fs.delete(p, True)
+    return number

@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import os
+import time
 
 from pyspark.sql import functions as F
 
@@ -93,8 +94,76 @@ def test_run_pipeline_twice(spark, tmp_dir):
     assert {r["order_id"]: r["total_price"] for r in orders.collect()} == {"1": 12.0, "2": 22.0, "3": 5.0}
     log = FS.read_json_lines(spark, runs, SC.RUN_LOG).collect()
     assert len(log) == 2 and {r["status"] for r in log} == {"success"}
+    L.write_raw(_json_df(spark, _orders_docs(3)), landing, "shopify", "orders", "r3")
     dry = etl.run_pipeline(spark, landing, tables, runs, key_mode="triple", dry_run=True)
-    assert dry["new_orders"] >= 0 and len(FS.read_json_lines(spark, runs, SC.RUN_LOG).collect()) == 2
+    assert dry["new_orders"] == 2 and len(FS.read_json_lines(spark, runs, SC.RUN_LOG).collect()) == 2
+    assert TB.read_table(spark, tables, "orders", SC.ORDERS).count() == 3
+
+
+def _land(spark, landing, run, versions):
+    """One run with a record of order 7 for each version, in this order, in one file."""
+    docs = [{"id": 7, "total_price": str(v), "gateway": f"g{v}"} for v in versions]
+    L.write_raw(_json_df(spark, docs).coalesce(1), landing, "shopify", "orders", run)
+
+
+def _price(spark, tables):
+    return [r["total_price"] for r in TB.read_table(spark, tables, "orders", SC.ORDERS).collect()]
+
+
+def test_the_last_version_wins_whatever_its_contents(spark, tmp_dir):
+    for i, (old, new) in enumerate([(10, 20), (20, 10), (1, 2), (7, 3), (99, 98)]):
+        landing, tables, runs = (os.path.join(tmp_dir, f"{x}{i}") for x in ("raw", "tables", "runs"))
+        _land(spark, landing, "b" if i % 2 else "a", [old])
+        etl.run_pipeline(spark, landing, tables, runs, key_mode="pair", batch_ts="2024-01-02 00:00:00")
+        time.sleep(0.01)
+        _land(spark, landing, "a" if i % 2 else "b", [new])
+        got = etl.run_pipeline(spark, landing, tables, runs, key_mode="pair", batch_ts="2024-01-02 00:00:00")
+        assert (got["new_orders"], got["updated_orders"]) == (0, 1)
+        assert _price(spark, tables) == [float(new)]
+
+
+def test_several_runs_in_one_pass_and_several_versions_in_one_run(spark, tmp_dir):
+    landing, tables, runs = (os.path.join(tmp_dir, x) for x in ("raw", "tables", "runs"))
+    for i, run in enumerate(("z", "m", "a")):
+        _land(spark, landing, run, [50 - i, 60 + i, 40 + i])
+        time.sleep(0.01)
+    first = etl.run_pipeline(spark, landing, tables, runs, key_mode="pair")
+    assert (first["new_orders"], first["updated_orders"], first["raw_files"]) == (1, 0, 3)
+    assert _price(spark, tables) == [42.0]
+    triple = os.path.join(tmp_dir, "triple")
+    etl.run_pipeline(spark, landing, triple, runs, key_mode="triple")
+    rows = TB.read_table(spark, triple, "orders", SC.ORDERS).collect()
+    assert len(rows) == 9 and len({r["ingested_at"] for r in rows}) == 3    # each run has its own stamp
+
+
+def test_nothing_new_writes_nothing(spark, tmp_dir):
+    landing, tables, runs = (os.path.join(tmp_dir, x) for x in ("raw", "tables", "runs"))
+    _land(spark, landing, "r1", [5])
+    etl.run_pipeline(spark, landing, tables, runs, key_mode="pair")
+    before = sorted(os.walk(tables))
+    again = etl.run_pipeline(spark, landing, tables, runs, key_mode="pair")
+    assert (again["raw_files"], again["new_orders"], again["updated_orders"]) == (0, 0, 0)
+    assert sorted(os.walk(tables)) == before
+
+
+def test_broken_lines_are_set_aside(spark, tmp_dir):
+    landing, tables, runs = (os.path.join(tmp_dir, x) for x in ("raw", "tables", "runs"))
+    lines = ['{"id": 1, "total_price": "3"}', "{broken", "", "[1, 2]", "17", '{"id": 2}']
+    L.write_raw(spark.createDataFrame([(x,) for x in lines], "json string"), landing, "shopify", "orders", "r1")
+    got = etl.run_pipeline(spark, landing, tables, runs, key_mode="pair")
+    assert (got["status"], got["new_orders"], got["rejected_records"]) == ("success", 2, 3)
+    aside = spark.read.option("recursiveFileLookup", True).json(os.path.join(tables, "_rejected", "orders")).collect()
+    assert sorted(r["json"] for r in aside) == ["17", "[1, 2]", "{broken"]
+    assert FS.read_json_lines(spark, runs, SC.RUN_LOG).collect()[0]["rejected_records"] == 3
+    stream_in = os.path.join(tmp_dir, "stream_in")
+    os.makedirs(stream_in)
+    with open(os.path.join(stream_in, "a.json"), "w") as f:
+        f.write("\n".join(lines) + "\n")
+    streamed = os.path.join(tmp_dir, "streamed")
+    ST.start_merge_stream(spark, stream_in, SC.RAW_SHOPIFY_ORDER, streamed, "orders", SC.ORDERS, N.normalize_shopify_orders,
+                          os.path.join(tmp_dir, "ckpt")).awaitTermination(120)
+    assert TB.read_table(spark, streamed, "orders", SC.ORDERS).count() == 2
+    assert spark.read.option("recursiveFileLookup", True).json(os.path.join(streamed, "_rejected", "orders")).count() == 3
 
 
 def test_stream_merge_equals_batch_merge(spark, tmp_dir):
@@ -107,9 +176,9 @@ def test_stream_merge_equals_batch_merge(spark, tmp_dir):
     stamp = N.batch_stamp("2024-01-01 00:00:00")
     q = ST.start_merge_stream(spark, landing, SC.RAW_SHOPIFY_ORDER, tables, "orders", SC.ORDERS,
                               N.normalize_shopify_orders, os.path.join(tmp_dir, "ckpt"), key_mode="triple",
-                              stamp=stamp, max_files_per_trigger=1, buckets=4)
+                              stamp=stamp, max_files_per_trigger=1)
     q.awaitTermination(120)
-    assert [c[1] for c in TB._commits(spark, os.path.join(tables, "orders"))] == ["append", "append"]
+    assert TB.batches(spark, tables, "orders") == {1: "triple", 2: "triple"}
     streamed = TB.read_table(spark, tables, "orders", SC.ORDERS)
     raw = spark.read.text(landing).select(F.from_json("value", SC.RAW_SHOPIFY_ORDER).alias("payload"),
                                           F.col("_metadata.file_path").alias("raw_file"),
@@ -125,42 +194,40 @@ def _order_rows(spark, ids, version, hour):
     return spark.createDataFrame(rows, SC.ORDERS)
 
 
-def test_bucketed_pair_merge_rewrites_only_touched_buckets(spark, tmp_dir):
+def _bytes(path):
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet"))
+
+
+def test_pair_merge_writes_what_the_batch_holds(spark, tmp_dir):
     root = os.path.join(tmp_dir, "t")
     keys, order = list(M.ORDER_KEYS), M.ORDER_ORDER
-    first = TB.merge_into(spark, root, "orders", SC.ORDERS, _order_rows(spark, range(40), 1, 1), "pair", keys,
-                          order, buckets=8)
-    assert (first["new"], first["updated"], first["commit"]) == (40, 0, 1)
-    before = set(TB.live_paths(spark, root, "orders"))
+    first = TB.merge_into(spark, root, "orders", SC.ORDERS, _order_rows(spark, range(4000), 1, 1), "pair", keys, order)
+    assert first == {"new": 4000, "updated": 0, "batch": 1}
+    size = _bytes(root)
     second = TB.merge_into(spark, root, "orders", SC.ORDERS, _order_rows(spark, [3], 2, 2), "pair", keys, order)
-    assert (second["new"], second["updated"]) == (0, 1)
-    after = set(TB.live_paths(spark, root, "orders"))
-    assert len(before - after) == 1 and len(after - before) == 1        # one bucket rewritten
+    assert second == {"new": 0, "updated": 1, "batch": 2}
+    assert _bytes(root) - size < size / 3                                  # the table's files stay as they are
     table = {r["order_id"]: r["total_price"] for r in TB.read_table(spark, root, "orders", SC.ORDERS).collect()}
-    assert len(table) == 40 and table["3"] == 32.0 and table["4"] == 41.0
-    none = TB.merge_into(spark, root, "orders", SC.ORDERS, _order_rows(spark, [3], 2, 2), "pair", keys, order)
-    assert none["updated"] == 1 and none["commit"] == 3                  # replay rewrites the same rows
-    assert TB.read_table(spark, root, "orders", SC.ORDERS).count() == 40
-    removed = TB.vacuum(spark, root, "orders")
-    assert len(removed) == 2 and TB.read_table(spark, root, "orders", SC.ORDERS).count() == 40
+    assert len(table) == 4000 and table["3"] == 32.0 and table["4"] == 41.0
+    again = TB.merge_into(spark, root, "orders", SC.ORDERS, _order_rows(spark, [3], 2, 2), "pair", keys, order)
+    assert again["updated"] == 1 and TB.read_table(spark, root, "orders", SC.ORDERS).count() == 4000
+    assert TB.compact(spark, root, "orders", SC.ORDERS) == 4 and TB.batches(spark, root, "orders") == {4: "pair"}
+    assert {r["order_id"]: r["total_price"] for r in TB.read_table(spark, root, "orders", SC.ORDERS).collect()} == table
 
 
-def test_bucketed_triple_appends_delta_and_ignores_uncommitted(spark, tmp_dir):
+def test_triple_appends_the_delta_and_modes_mix(spark, tmp_dir):
     root = os.path.join(tmp_dir, "t")
     keys, order = list(M.ORDER_KEYS), M.ORDER_ORDER
-    TB.merge_into(spark, root, "orders", SC.ORDERS, _order_rows(spark, range(10), 1, 1), "triple", keys, order,
-                  buckets=4)
-    again = TB.merge_into(spark, root, "orders", SC.ORDERS, _order_rows(spark, range(10), 1, 1), "triple", keys, order)
-    assert (again["new"], again["commit"]) == (0, None)                  # nothing new: no commit (M7)
-    more = TB.merge_into(spark, root, "orders", SC.ORDERS, _order_rows(spark, range(5), 2, 2), "triple", keys, order)
-    assert more["new"] == 5
-    assert TB.read_table(spark, root, "orders", SC.ORDERS).count() == 15
-    # a crashed merge leaves a folder without _SUCCESS: readers ignore it
-    crashed = os.path.join(root, "orders", "commit=000000099_full", "bucket=0")
-    os.makedirs(crashed)
-    _order_rows(spark, [1], 9, 9).write.parquet(os.path.join(crashed, "x"))
+    into = lambda ids, v, mode: TB.merge_into(spark, root, "orders", SC.ORDERS, _order_rows(spark, ids, v, v), mode, keys, order)
+    into(range(10), 1, "triple")
+    assert into(range(10), 1, "triple") == {"new": 0, "updated": 0, "batch": None}   # nothing new: no batch (M7)
+    assert into(range(5), 2, "triple")["new"] == 5
     assert TB.read_table(spark, root, "orders", SC.ORDERS).count() == 15
-    assert any("commit=000000099" in p for p in TB.vacuum(spark, root, "orders"))
+    assert into([3, 50], 3, "pair") == {"new": 1, "updated": 1, "batch": 3}          # hides both versions of order 3
+    rows = TB.read_table(spark, root, "orders", SC.ORDERS).collect()
+    assert sorted((r["order_id"], r["total_price"]) for r in rows if r["order_id"] in ("3", "50")) == [("3", 33.0), ("50", 503.0)]
+    assert len(rows) == 15 - 2 + 2
+    assert into([3], 4, "triple")["new"] == 1 and TB.read_table(spark, root, "orders", SC.ORDERS).count() == 16
 
 
 def test_read_landed_documents_reference_layout(spark, tmp_dir):

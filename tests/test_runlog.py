@@ -11,7 +11,7 @@ def _runs(spark):
     rows = [("r1", t(1), t(2), "success", 1, 10, 5, None, None, ["a"]),
             ("r3", t(5), t(6), "success", 1, 0, 2, 3, 1, ["a"]),
             ("r2", t(3), t(4), "success", 2, 20, 0, 7, None, ["a", "b"])]
-    return spark.createDataFrame(rows, SC.RUN_LOG)
+    return spark.createDataFrame([(*r, None) for r in rows], SC.RUN_LOG)
 
 
 def test_rollup(spark):
