@@ -6,39 +6,28 @@ distinct values that buffer is unbounded, and a hot group lands on one task.
 
 Here the column is first pre-aggregated to (group, value, count), which the
 map-side combine shrinks before the shuffle (one hot value costs one row).
-The distinct values are then range-partitioned on (group, value): a huge
-group is spread over many partitions, each partition ranks its own slice with
-a running sum, and a small table of per-partition totals (bounded by the
-number of partitions times the groups they hold) turns local ranks into
-global ones. Only the 2 x len(probs) rows that hold the wanted ranks reach the
-last aggregation.
-
-When a HyperLogLog estimate proves that no group holds more than
-``WINDOW_MAX_DISTINCT`` distinct values (prices in cents, day counts, ...),
-the distinct values of a group are ranked by a single window task instead:
-same result, three shuffles instead of seven. The check is one small
-aggregation whose single number decides the plan on the driver.
-
-Interpolation is pandas' default ``linear``: with ``pos = (n - 1) * p``,
-``q = v[floor(pos)] + (v[ceil(pos)] - v[floor(pos)]) * (pos - floor(pos))``.
+The distinct values are then dealt to ranges of values with about the same
+number of them each, so that a huge group is spread over many tasks; each
+range is ranked with a running sum of its own, and a small table of totals (one
+row per group and range) turns local ranks into global ones. Only the
+2 x len(probs) rows that hold the wanted ranks reach the last aggregation.
+
+Interpolation is pandas' default ``linear``: with ``pos = (n - 1) * p`` and
+``t`` its fraction, ``v[floor(pos)] + d * t`` or, from t = 1/2 on,
+``v[ceil(pos)] - d * (1 - t)`` (d: the difference of the two values), which
+decides whether tied edges come out equal to the last bit.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
-# A group whose distinct values are proven (by a HyperLogLog estimate with
-# ample margin) to stay below this bound is ranked by one window task per
-# group; anything larger takes the range-partitioned path.
-WINDOW_MAX_DISTINCT = 2_000_000
-_HLL_RSD = 0.02
-_DECISIONS: dict[tuple, int] = {}
-
 
 def _distinct_values(df: DataFrame, value: str, by: list[str]) -> DataFrame:
     v = df.select(*[F.col(b) for b in by], F.col(value).cast("double").alias("_v"))
@@ -48,45 +37,23 @@ def _distinct_values(df: DataFrame, value: str, by: list[str]) -> DataFrame:
     return v.where(keep).groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n"))
 
 
-def max_group_distinct(df: DataFrame, value: str, by: Sequence[str] = ()) -> int:
-    """HyperLogLog estimate of the largest number of distinct values in a group
-    (one small aggregation; only a single number reaches the driver)."""
-    by = list(by)
-    # the estimate is cached per (plan, column, groups): the same input asked
-    # twice in one session does not pay for a second pass
-    key = (id(df.sparkSession._jsparkSession), df._jdf.queryExecution().analyzed().semanticHash(), value, tuple(by))
-    if key not in _DECISIONS:
-        est = df.groupBy(*by).agg(F.approx_count_distinct(F.col(value).cast("double"), _HLL_RSD).alias("d"))
-        row = est.agg(F.max("d")).first()
-        _DECISIONS[key] = int(row[0] or 0)
-    return _DECISIONS[key]
-
-
 def quantiles(df: DataFrame, value: str, probs: Mapping[str, float], by: Sequence[str] = (),
-              count_alias: str = "n", method: str = "auto", accuracy: int = 10_000) -> DataFrame:
+              count_alias: str = "n", method: str = "exact", accuracy: int = 10_000) -> DataFrame:
     """One row per group: ``by`` columns, the non-null count and one column per probability.
 
     NULL and NaN values are ignored (pandas semantics); rows whose group key is
     NULL are dropped (pandas ``groupby`` semantics). Groups without any value
     produce no row; without ``by`` there is always one row (n = 0 and NULL
-    quantiles when the column holds no value). ``method``: 'sort' (range-partitioned ranking, any size),
-    'window' (one task per group; only for groups of bounded cardinality) or
-    'auto' (window when the distinct-value bound is proven, else sort), or
-    'approx' (``percentile_approx`` sketches: one aggregation, rank error about
+    quantiles when the column holds no value). ``method``: 'exact' or 'approx'
+    (``percentile_approx`` sketches: one aggregation, rank error about
     1/accuracy, no interpolation) for dashboards where exactness is not needed.
     """
     by = list(by)
     if method == "approx":
         return _approx_quantiles(df, value, probs, by, count_alias, accuracy)
-    if method == "auto":
-        bound = WINDOW_MAX_DISTINCT / (1 + 5 * _HLL_RSD)
-        method = "window" if max_group_distinct(df, value, by) <= bound else "sort"
-    distinct = _distinct_values(df, value, by)
-    if method == "window":
-        return _window_quantiles(distinct, probs, by, count_alias)
-    if method != "sort":
+    if method != "exact":
         raise ValueError(f"unknown method {method}")
-    return _sorted_quantiles(distinct, probs, by, count_alias)
+    return _ranked_quantiles(_distinct_values(df, value, by), probs, by, count_alias)
 
 
 def _approx_quantiles(df: DataFrame, value: str, probs, by: list[str], count_alias: str,
@@ -126,42 +93,35 @@ def _pick(g: DataFrame, probs: Mapping[str, float], by: list[str], count_alias:
     out = [F.col(b) for b in by] + [F.coalesce(F.col("_gn"), F.lit(0)).alias(count_alias)]
     for k, p in probs.items():
         pos_k = (F.col("_gn") - F.lit(1)).cast("double") * F.lit(float(p))
-        lo_v, hi_v = F.col(f"_f_{k}"), F.col(f"_c_{k}")
-        out.append((lo_v + (hi_v - lo_v) * (pos_k - F.floor(pos_k))).alias(k))
+        out.append(_interpolate(F.col(f"_f_{k}"), F.col(f"_c_{k}"), pos_k - F.floor(pos_k)).alias(k))
     return per_group.select(*out)
 
 
-def _window_quantiles(distinct: DataFrame, probs, by: list[str], count_alias: str) -> DataFrame:
-    grp = Window.partitionBy(*by) if by else Window.partitionBy()
-    run = grp.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    g = distinct.select(*by, "_v", "_n", F.sum("_n").over(run).alias("_end"), F.sum("_n").over(grp).alias("_gn"))
-    g = g.select(*by, "_v", "_gn", (F.col("_end") - F.col("_n")).alias("_lo"), (F.col("_end") - 1).alias("_hi"))
-    return _pick(g, probs, by, count_alias)
-
-
-def _sorted_quantiles(distinct: DataFrame, probs, by: list[str], count_alias: str) -> DataFrame:
-    ranged = distinct.repartitionByRange(*by, "_v").withColumn("_pid", F.spark_partition_id())
-    local = Window.partitionBy("_pid", *by).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # The local ranks feed two consumers (partition totals and the final pick).
-    # Range bounds come from sampling, so two evaluations could disagree on the
-    # partition ids: the ranked slices are written once to the shared
-    # checkpoint folder (reliable checkpoint, survives executor loss) and both
-    # consumers read the same rows.
-    ensure_checkpoint_dir(distinct.sparkSession)
-    ranked = ranged.withColumn("_end", F.sum("_n").over(local)).checkpoint(eager=True)
-
-    totals = ranked.groupBy("_pid", *by).agg(F.max("_end").alias("_ptot"))
-    group_w = Window.partitionBy(*by) if by else Window.partitionBy()
-    before = group_w.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (totals
-               .withColumn("_off", F.coalesce(F.sum("_ptot").over(before), F.lit(0)))
-               .withColumn("_gn", F.sum("_ptot").over(group_w))
-               .drop("_ptot"))
-
-    g = ranked.join(offsets, on=["_pid", *by])
-    lo = F.col("_off") + F.col("_end") - F.col("_n")
-    hi = F.col("_off") + F.col("_end") - F.lit(1)
-    g = g.select(*by, "_v", "_gn", lo.alias("_lo"), hi.alias("_hi"))
+def _interpolate(lo: Column, hi: Column, t: Column) -> Column:
+    return F.when(t >= 0.5, hi - (hi - lo) * (1 - t)).otherwise(lo + (hi - lo) * t)
+
+
+def _ranked_quantiles(distinct: DataFrame, probs, by: list[str], count_alias: str) -> DataFrame:
+    spark = distinct.sparkSession
+    ensure_checkpoint_dir(spark)
+    # written once to the shared checkpoint folder: the bounds, the totals and the ranks read the same rows
+    distinct = distinct.checkpoint(eager=True)
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # one bound per range reaches the driver; where they lie decides the balance, not the result
+    bounds = distinct.agg(F.percentile_approx("_v", [i / ranges for i in range(1, ranges)], 100 * ranges).alias("q")).first()["q"] if ranges > 1 else None
+    inf = float("inf")
+    splits = [-inf, *sorted({b for b in bounds or [] if -inf < b < inf}), inf]
+    distinct = Bucketizer(splits=splits, inputCol="_v", outputCol="_range").transform(distinct) if len(splits) > 2 \
+        else distinct.withColumn("_range", F.lit(0.0))
+    cell = [*by, "_range"]
+    totals = distinct.groupBy(*cell).agg(F.sum("_n").alias("_sum"))
+    group = Window.partitionBy(*by)
+    before = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*cell, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_off"), F.sum("_sum").over(group).alias("_gn"))
+    local = Window.partitionBy(*cell).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    g = distinct.withColumn("_end", F.sum("_n").over(local)).join(offsets, on=cell)
+    end = F.col("_off") + F.col("_end")
+    g = g.select(*by, "_v", "_gn", (end - F.col("_n")).alias("_lo"), (end - 1).alias("_hi"))
     return _pick(g, probs, by, count_alias)
 
 
@@ -180,7 +140,8 @@ def quantile_sql(table_sql: str, value: str, probs: Mapping[str, float], by: Seq
         pos = f"(CAST(n_ - 1 AS DOUBLE) * CAST({float(p)!r} AS DOUBLE))"
         lo = f"l_[CAST(floor({pos}) AS BIGINT) + 1]"
         hi = f"l_[CAST(ceil({pos}) AS BIGINT) + 1]"
-        cols.append(f"{lo} + ({hi} - {lo}) * ({pos} - floor({pos})) AS {k}")
+        t = f"({pos} - floor({pos}))"
+        cols.append(f"CASE WHEN {t} >= 0.5 THEN {hi} - ({hi} - {lo}) * (1 - {t}) ELSE {lo} + ({hi} - {lo}) * {t} END AS {k}")
     pre = f"{key_sel}, " if by else ""
     return (f"SELECT {pre}n_ AS {count_alias}, {', '.join(cols)} FROM ("
             f"SELECT {pre}count(*) AS n_, list_sort(list(CAST({value} AS DOUBLE))) AS l_ "

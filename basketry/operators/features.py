@@ -32,7 +32,7 @@ def rolling_7d(orders: DataFrame, date_col: str | None = None, value_col: str |
     v = X.numeric_col(orders, value_col)
     dated = orders.where(F.col(date_col).isNotNull())
     daily = dated.groupBy(*by, F.to_date(date_col).alias("day")).agg(
-        F.sum(v.cast("decimal(18,2)")).alias("gmv_dec"),
+        X.exact_sum(v).alias("gmv_dec"),
         F.count(v).alias("n_orders"))
     span = daily.groupBy(*by).agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
     spine = span.select(*by, F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("day"))
@@ -69,13 +69,15 @@ def enrich_orders(orders: DataFrame, date_col: str | None = None, value_col: str
     roll = rolling_7d(orders, date_col, value_col).select("day", "gmv_7d", "orders_7d", "aov_7d")
     enriched = orders.withColumn("order_value_num", X.numeric_col(orders, value_col)) \
         .withColumn("_day", F.to_date(date_col))
-    enriched = enriched.join(roll, enriched["_day"] == roll["day"], "left").drop("_day", "day")
+    # one row per calendar day between the first and the last order: small at any number of orders
+    enriched = enriched.join(F.broadcast(roll), enriched["_day"] == roll["day"], "left").drop("_day", "day")
     return recency(enriched, date_col)
 
 
 # --- F-1..F-4 enriched products --------------------------------------------------
 
-QCUT_PROBS = {f"e{i}": i / 5 for i in range(6)}
+# pandas steps by 0.2, so the fourth edge lies a rounding error above 3/5; with ties that edge can differ from the third
+QCUT_PROBS = {f"e{i}": i * 0.2 for i in range(6)}
 
 
 def qcut_edges(df: DataFrame, value: str) -> DataFrame:

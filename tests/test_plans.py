@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as E
 from basketry.plans import views as V
+from basketry.plans.catalog import REGISTRY
 
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = ["BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas", "FlatMapGroupsInPandas",
@@ -16,7 +17,7 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_no_python_no_cross_products(spark, name):
     plan = _plan(E.queries()[name](spark, SF))
     assert not [op for op in FORBIDDEN if op in plan]
@@ -35,11 +36,12 @@ def test_distributed_quantiles_have_no_single_partition_exchange_over_values(spa
     from pyspark.sql import functions as F
     from basketry.functions.quantiles import quantiles
     df = spark.read.parquet(f"{SF}/lineitem.parquet")
-    q = quantiles(df, "l_extendedprice", {"p50": .5}, method="sort")
-    # ranks were computed on range partitions and checkpointed; what is left
-    # works on the checkpointed slices and per-partition totals only
+    q = quantiles(df, "l_extendedprice", {"p50": .5})
+    # the distinct values are checkpointed; they are ranked in ranges of values,
+    # and only the totals of those ranges meet in one partition
     plan = _plan(q)
     assert "FileScan" not in plan and "Scan ExistingRDD" in plan
-    grouped = quantiles(df.withColumn("g", F.col("l_returnflag")), "l_extendedprice", {"p50": .5},
-                        by=["g"], method="sort")
+    singles = [line for line in plan.splitlines() if "SinglePartition" in line]
+    assert singles and all("_v#" not in line for line in singles)
+    grouped = quantiles(df.withColumn("g", F.col("l_returnflag")), "l_extendedprice", {"p50": .5}, by=["g"])
     assert grouped.count() == 3

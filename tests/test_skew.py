@@ -46,9 +46,8 @@ def test_hot_key_pair_merge(spark):
 
 def test_hot_group_quantiles_and_counts(spark):
     df = _batch(spark).withColumn("g", F.when(F.col("source_id") == "HOT", "HOT").otherwise("rest"))
-    for method in ("sort", "window"):
-        got = {r["g"]: r for r in quantiles(df, "price_amount", {"m": .5}, by=["g"], method=method).collect()}
-        assert got["HOT"]["n"] == 1000 and got["HOT"]["m"] == 1498.5
+    got = {r["g"]: r for r in quantiles(df, "price_amount", {"m": .5}, by=["g"]).collect()}
+    assert got["HOT"]["n"] == 1000 and got["HOT"]["m"] == 1498.5
     top = K.top_values(df, "g", 2).collect()
     assert [(r["g"], r["count"]) for r in top] == [("rest", 2000), ("HOT", 1000)]
     assert "partial_count" in _plan(K.top_values(df, "g", 2))
