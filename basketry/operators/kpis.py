@@ -178,7 +178,7 @@ def order_summary(orders: DataFrame, date_col: str | None = None, value_col: str
         F.count(F.lit(1)).alias("count"),
         X.floor_days(F.min(ts), F.max(ts)).alias("timespan_days"),
         X.money_sum(v).alias("gmv_total"),
-        (F.sum(v.cast("decimal(18,2)")).cast("double") / F.count(v)).alias("gmv_mean"),
+        X.exact_mean(v).alias("gmv_mean"),
     )
     med = quantiles(orders.select(v.alias("v")), "v", {"gmv_median": 0.5}).drop("n")
     return attach(base, med)
@@ -187,7 +187,7 @@ def order_summary(orders: DataFrame, date_col: str | None = None, value_col: str
 # --- A12 / A13 / A14 daily metrics ---------------------------------------------
 
 def daily_metrics(orders: DataFrame, date_col: str | None = None, value_col: str | None = None) -> DataFrame:
-    """Per calendar day with at least one dated order: GMV (exact cents; 0 when
+    """Per calendar day with at least one dated order: GMV (exact sum; 0 when
     all values are missing), order count, AOV = GMV / count."""
     date_col = date_col or resolve_column(orders, DATE_CANDIDATES)
     value_col = value_col or resolve_column(orders, VALUE_CANDIDATES)
@@ -206,7 +206,7 @@ def daily_summary(orders: DataFrame, date_col: str | None = None, value_col: str
     daily = daily_metrics(orders, date_col, value_col)
     series = F.array_sort(F.collect_list(F.struct("day", "aov")))
     return daily.agg(
-        F.sum(F.col("gmv").cast("decimal(18,2)")).cast("double").alias("gmv_total"),
+        X.money_sum("gmv").alias("gmv_total"),
         F.sum("n_orders").alias("orders_total"),
         F.datediff(F.max("day"), F.min("day")).cast("bigint").alias("days_span"),
         F.try_divide(F.aggregate(series, F.lit(0.0), lambda acc, x: acc + x["aov"]), F.count("aov").cast("double"))
@@ -236,11 +236,11 @@ def availability(tables: dict[str, DataFrame], enriched: dict[str, bool] | None
     return out
 
 
-def provider_counts_json(df: DataFrame, k: int = 10) -> Column:
-    """Top-k source -> count as a JSON object with sorted keys (scalar subquery)."""
-    top = top_values(df, "source", k)
-    js = top.agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("source", "count")))))
-                 .alias("j"))
+def provider_counts_json(df: DataFrame) -> Column:
+    """Every source -> count as a JSON object with sorted keys (scalar subquery; one entry per provider)."""
+    counts = value_counts(df, "source")
+    js = counts.agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("source", "count")))))
+                    .alias("j"))
     return scalar_row(js)["j"]
 
 
@@ -283,7 +283,7 @@ def duplicate_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
                    F.sum("n").alias("rows"))
 
 
-def describe(df: DataFrame, columns: Sequence[str], scale: int = 4) -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """pandas ``describe()`` for numeric columns, long format, exact quartiles.
 
     Moments are aggregated in one pass over the wide table (no unpivot of
@@ -294,8 +294,8 @@ def describe(df: DataFrame, columns: Sequence[str], scale: int = 4) -> DataFrame
     aggs = []
     for i, c in enumerate(cols):
         v = F.col(c)
-        aggs.append(F.struct(F.lit(c).alias("column"), F.count(v).alias("count"), X.exact_mean(v, scale).alias("mean"),
-                             X.exact_stddev(v, scale).alias("std"), F.min(v).alias("min"),
+        aggs.append(F.struct(F.lit(c).alias("column"), F.count(v).alias("count"), X.exact_mean(v).alias("mean"),
+                             X.stddev(v).alias("std"), F.min(v).alias("min"),
                              F.max(v).alias("max")).alias(f"_{i}"))
     wide = vals.agg(*aggs)
     stats = wide.select(F.explode(F.array(*[F.col(f"_{i}") for i in range(len(cols))])).alias("s")).select("s.*")
@@ -309,6 +309,6 @@ def days_stats(df: DataFrame, days_col: str) -> DataFrame:
     d = F.col(days_col)
     base = df.agg(F.count(d).alias("n"),
                   (F.sum(d).cast("double") / F.count(d).cast("double")).alias("mean_days"),
-                  X.exact_stddev(d, 0).alias("std_days"))
+                  X.stddev(d).alias("std_days"))
     med = quantiles(df, days_col, {"median_days": 0.5}).drop("n")
     return attach(base, med)

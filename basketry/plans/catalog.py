@@ -53,7 +53,7 @@ def _q(table_sql: str, value: str, probs: dict, by=(), count_alias="n") -> str:
 
 def _rolling_sql(src: str) -> str:
     return f"""
-WITH src AS (SELECT created_at, CAST(total_price AS DECIMAL(18,2)) AS v FROM {src} s WHERE created_at IS NOT NULL),
+WITH src AS (SELECT created_at, CAST(CAST(total_price AS VARCHAR) AS DECIMAL(38,12)) AS v FROM {src} s WHERE created_at IS NOT NULL),
 daily AS (SELECT CAST(created_at AS DATE) AS day, sum(v) AS gmv_dec, count(v) AS n_orders FROM src GROUP BY 1),
 spine AS (SELECT CAST(d AS DATE) AS day FROM (SELECT min(day) AS lo, max(day) AS hi FROM daily) r,
           generate_series(CAST(r.lo AS TIMESTAMP), CAST(r.hi AS TIMESTAMP), INTERVAL 1 DAY) g(d)),
@@ -79,7 +79,7 @@ def q_events_rolling_7d(spark, d):
 
 
 @register("orders_rolling_7d_by_source", "W2 (partitioned)", f"""
-WITH src AS (SELECT source, created_at, CAST(total_price AS DECIMAL(18,2)) AS v FROM {O} s WHERE created_at IS NOT NULL),
+WITH src AS (SELECT source, created_at, CAST(CAST(total_price AS VARCHAR) AS DECIMAL(38,12)) AS v FROM {O} s WHERE created_at IS NOT NULL),
 daily AS (SELECT source, CAST(created_at AS DATE) AS day, sum(v) AS gmv_dec, count(v) AS n_orders FROM src GROUP BY 1, 2),
 spine AS (SELECT r.source, CAST(d AS DATE) AS day FROM (SELECT source, min(day) AS lo, max(day) AS hi FROM daily GROUP BY 1) r,
           generate_series(CAST(r.lo AS TIMESTAMP), CAST(r.hi AS TIMESTAMP), INTERVAL 1 DAY) g(d)),
@@ -102,8 +102,8 @@ def q_orders_rolling_7d_by_source(spark, d):
 
 def _daily_sql(src: str) -> str:
     return (f"SELECT CAST(created_at AS DATE) AS day, "
-            f"CAST(coalesce(sum(CAST(total_price AS DECIMAL(18,2))), 0) AS DOUBLE) AS gmv, count(*) AS n_orders, "
-            f"CAST(coalesce(sum(CAST(total_price AS DECIMAL(18,2))), 0) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS aov "
+            f"CAST(coalesce(sum(CAST(CAST(total_price AS VARCHAR) AS DECIMAL(38,12))), 0) AS DOUBLE) AS gmv, count(*) AS n_orders, "
+            f"CAST(coalesce(sum(CAST(CAST(total_price AS VARCHAR) AS DECIMAL(38,12))), 0) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS aov "
             f"FROM {src} s WHERE created_at IS NOT NULL GROUP BY 1")
 
 
@@ -120,7 +120,7 @@ def q_events_daily_metrics(spark, d):
 def _daily_summary_sql(src: str) -> str:
     return f"""
 WITH daily AS ({_daily_sql(src)})
-SELECT CAST(sum(CAST(gmv AS DECIMAL(18,2))) AS DOUBLE) AS gmv_total, CAST(sum(n_orders) AS BIGINT) AS orders_total,
+SELECT CAST(sum(CAST(CAST(gmv AS VARCHAR) AS DECIMAL(38,12))) AS DOUBLE) AS gmv_total, CAST(sum(n_orders) AS BIGINT) AS orders_total,
        CAST(date_diff('day', min(day), max(day)) AS BIGINT) AS days_span,
        list_reduce(list_transform(list_sort(list({{'day': day, 'aov': aov}})), lambda x: x.aov), lambda a, b: a + b)
          / CAST(count(aov) AS DOUBLE) AS aov_mean
@@ -166,7 +166,7 @@ def q_orders_enriched(spark, d):
 WITH p AS (SELECT * FROM {P} p),
 base AS (SELECT count(*) AS count, count(DISTINCT source) AS distinct_sources, min(price_amount) AS price_min,
          max(price_amount) AS price_max,
-         CAST(sum(CAST(price_amount AS DECIMAL(38,6))) AS DOUBLE) / count(price_amount) AS price_mean FROM p),
+         CAST(sum(CAST(CAST(price_amount AS VARCHAR) AS DECIMAL(38,12))) AS DOUBLE) / count(price_amount) AS price_mean FROM p),
 top AS (SELECT category AS top_category FROM p WHERE category IS NOT NULL GROUP BY category
         ORDER BY count(*) DESC, category ASC LIMIT 1),
 q AS ({_q(V.PRODUCTS_SQL, 'price_amount', {'price_median': 0.5, 'price_p90': 0.9})})
@@ -297,8 +297,8 @@ def _order_summary_sql(src_sql: str) -> str:
     return f"""
 WITH base AS (SELECT count(*) AS count,
   CAST(floor((epoch_us(max(created_at)) - epoch_us(min(created_at))) / 86400000000.0) AS BIGINT) AS timespan_days,
-  CAST(sum(CAST(total_price AS DECIMAL(18,2))) AS DOUBLE) AS gmv_total,
-  CAST(sum(CAST(total_price AS DECIMAL(18,2))) AS DOUBLE) / count(total_price) AS gmv_mean FROM {src} s),
+  CAST(sum(CAST(CAST(total_price AS VARCHAR) AS DECIMAL(38,12))) AS DOUBLE) AS gmv_total,
+  CAST(sum(CAST(CAST(total_price AS VARCHAR) AS DECIMAL(38,12))) AS DOUBLE) / count(total_price) AS gmv_mean FROM {src} s),
 med AS ({_q(src_sql, 'total_price', {'gmv_median': 0.5})})
 SELECT base.count, base.timespan_days, base.gmv_total, base.gmv_mean, med.gmv_median FROM base, med"""
 
@@ -315,7 +315,7 @@ def q_events_gmv_stats(spark, d):
 
 def _provider_json_sql(src: str) -> str:
     return (f"(SELECT '{{' || string_agg('\"' || source || '\":' || CAST(count AS VARCHAR), ',' ORDER BY source) || '}}' "
-            f"FROM ({_top_sql(src, 'source', 'source')}) tv)")
+            f"FROM (SELECT source, count(*) AS count FROM ({src}) s WHERE source IS NOT NULL GROUP BY source) tv)")
 
 
 @register("kpi_rollup", "A19", f"""
@@ -353,7 +353,7 @@ def q_availability(spark, d):
 # ---------------------------------------------------------------------------
 
 def _edges_sql(src_sql: str = V.PRODUCTS_SQL) -> str:
-    probs = {f"e{i}": i / 5 for i in range(6)}
+    probs = {"e0": 0.0, "e1": 0.2, "e2": 0.4, "e3": 0.6000000000000001, "e4": 0.8, "e5": 1.0}  # numpy.linspace(0, 1, 6)
     return (f"SELECT list_distinct_ordered AS edges FROM (SELECT "
             f"list_sort(list_distinct([e0, e1, e2, e3, e4, e5])) AS list_distinct_ordered "
             f"FROM ({_q(src_sql, 'price_amount', probs)}) qq) ee")
@@ -474,27 +474,23 @@ def q_hist_price_log_20_counts(spark, d):
 LINEITEM_NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
-def _describe_sql(src: str, cols: list[str], scale: int) -> str:
-    dec = f"DECIMAL(38,{scale})"
+def _describe_sql(src: str, cols: list[str]) -> str:
     parts = []
     for c in cols:
-        x = f"CAST({c} AS {dec})"
         parts.append(f"""
 SELECT '{c}' AS "column", s.count, s.mean, s.std, s.min, q.q25, q.q50, q.q75, s.max FROM
  (SELECT count({c}) AS count,
-         CAST(sum({x}) AS DOUBLE) / count({c}) AS mean,
-         CASE WHEN count({c}) > 1 THEN sqrt(
-           CAST(CAST(count({c}) AS DECIMAL(20,0)) * CAST(sum({x} * {x}) AS {dec})
-                - CAST(sum({x}) AS {dec}) * CAST(sum({x}) AS {dec}) AS DOUBLE)
-           / CAST(CAST(count({c}) AS DECIMAL(20,0)) * (CAST(count({c}) AS DECIMAL(20,0)) - 1) AS DOUBLE)) END AS std,
+         CAST(sum(CAST(CAST({c} AS VARCHAR) AS DECIMAL(38,12))) AS DOUBLE) / count({c}) AS mean,
+         round(stddev_samp({c}), 6) AS std,
          CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max FROM ({src}) t) s,
  ({_q(f"SELECT {c} FROM ({src}) t", c, {'q25': 0.25, 'q50': 0.5, 'q75': 0.75})}) q""")
     return " UNION ALL ".join(parts)
 
 
-@register("describe_numeric", "A22", _describe_sql("SELECT * FROM lineitem", LINEITEM_NUMERIC, 4))
+@register("describe_numeric", "A22", _describe_sql("SELECT * FROM lineitem", LINEITEM_NUMERIC))
 def q_describe_numeric(spark, d):
-    return K.describe(V.table(spark, d, "lineitem"), LINEITEM_NUMERIC)
+    # moments merge in no fixed order: the last bits of std are rounded off on both sides
+    return K.describe(V.table(spark, d, "lineitem"), LINEITEM_NUMERIC).withColumn("std", F.round("std", 6))
 
 
 @register("null_counts", "A20", " UNION ALL ".join(
@@ -529,15 +525,12 @@ def delivery_days(spark, d):
 WITH d AS ({_delivery_days_sql()}),
 base AS (SELECT count(delivery_days) AS n, CAST(sum(delivery_days) AS DOUBLE) / CAST(count(delivery_days) AS DOUBLE)
            AS mean_days,
-         CASE WHEN count(delivery_days) > 1 THEN sqrt(
-           CAST(CAST(count(delivery_days) AS DECIMAL(20,0)) * CAST(sum(CAST(delivery_days AS DECIMAL(38,0)) * CAST(delivery_days AS DECIMAL(38,0))) AS DECIMAL(38,0))
-                - CAST(sum(CAST(delivery_days AS DECIMAL(18,0))) AS DECIMAL(38,0)) * CAST(sum(CAST(delivery_days AS DECIMAL(18,0))) AS DECIMAL(38,0)) AS DOUBLE)
-           / CAST(CAST(count(delivery_days) AS DECIMAL(20,0)) * (CAST(count(delivery_days) AS DECIMAL(20,0)) - 1) AS DOUBLE)) END
+         round(stddev_samp(delivery_days), 6)
            AS std_days FROM d),
 med AS ({_q(_delivery_days_sql(), 'delivery_days', {'median_days': 0.5})})
 SELECT base.n, base.mean_days, base.std_days, med.median_days FROM base, med""")
 def q_delivery_stats(spark, d):
-    return K.days_stats(delivery_days(spark, d), "delivery_days")
+    return K.days_stats(delivery_days(spark, d), "delivery_days").withColumn("std_days", F.round("std_days", 6))
 
 
 @register("hist_delivery_30", "A25 A24", _hist_sql(f"SELECT delivery_days AS x FROM ({_delivery_days_sql()}) dd", 30))
@@ -753,9 +746,9 @@ def q_runlog_cumulative(spark, d):
     return RL.cumulative(V.run_log(spark, d))
 
 
-@register("runlog_describe", "A22 (run log)", _describe_sql(V.RUN_LOG_SQL, RL.METRICS, 0))
+@register("runlog_describe", "A22 (run log)", _describe_sql(V.RUN_LOG_SQL, RL.METRICS))
 def q_runlog_describe(spark, d):
-    return K.describe(V.run_log(spark, d), RL.METRICS, scale=0)
+    return K.describe(V.run_log(spark, d), RL.METRICS).withColumn("std", F.round("std", 6))
 
 
 # ---------------------------------------------------------------------------
@@ -800,10 +793,10 @@ def q_required_columns_by_batch(spark, d):
                            batch_col="financial_status")
 
 
-@register("feature_presence", "Q3", """
-SELECT 'price_num' AS "column", true AS present, 1.0 AS non_null_ratio
-UNION ALL SELECT 'source_freq', true, 1.0
-UNION ALL SELECT 'order_value_num', true, 1.0""")
+@register("feature_presence", "Q3", f"""
+SELECT 'price_num' AS "column", true AS present, CAST(count(price_amount) AS DOUBLE) / count(*) AS non_null_ratio FROM ({V.PRODUCTS_SQL}) p
+UNION ALL SELECT 'source_freq', true, CAST(count(source) AS DOUBLE) / count(*) FROM ({V.PRODUCTS_SQL}) p
+UNION ALL SELECT 'order_value_num', true, CAST(count(total_price) AS DOUBLE) / count(*) FROM {O} o""")
 def q_feature_presence(spark, d):
     prod = QA.completeness(FE.enrich_products(V.products(spark, d)), ["price_num", "source_freq"])
     ords = QA.completeness(FE.enrich_orders(V.orders(spark, d)), ["order_value_num"])
@@ -842,17 +835,21 @@ def _doc_manifest(spark, d):
     docs = V.table(spark, d, "documents")
     labels = V.table(spark, d, "labels")
     path = F.concat(F.lit("documents/"), F.col("doc_id").cast("string"), F.lit(".txt"))
+    # every 13th listed file has gone, every 11th has other contents than listed
+    gone, changed = F.col("doc_id") % 13 == 0, F.col("doc_id") % 11 == 0
     listed = labels.join(docs, "doc_id", "left").select(
-        F.concat(F.lit("documents/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("path"),
-        F.col("n_chars").alias("size_bytes"), F.sha2(F.col("text"), 256).alias("sha256"))
+        F.concat(F.when(gone, "archive/").otherwise("documents/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("path"),
+        F.col("n_chars").alias("size_bytes"),
+        F.sha2(F.concat(F.col("text"), F.when(changed, "?").otherwise("")), 256).alias("sha256"))
     actual = docs.select(path.alias("path"), F.octet_length("text").cast("bigint").alias("size_bytes"),
                          F.sha2(F.col("text"), 256).alias("sha256"))
     return QA.manifest_check(listed, actual)
 
 
 @register("manifest_integrity", "Q5 Q7 S9", """
-WITH listed AS (SELECT 'documents/' || CAST(l.doc_id AS VARCHAR) || '.txt' AS path, d.n_chars AS listed_size,
-                       sha256(d.text) AS listed_sha256
+WITH listed AS (SELECT CASE WHEN l.doc_id % 13 = 0 THEN 'archive/' ELSE 'documents/' END || CAST(l.doc_id AS VARCHAR) || '.txt' AS path,
+                       d.n_chars AS listed_size,
+                       sha256(CASE WHEN l.doc_id % 11 = 0 THEN d.text || '?' ELSE d.text END) AS listed_sha256
                 FROM labels l LEFT JOIN documents d ON l.doc_id = d.doc_id),
 actual AS (SELECT 'documents/' || CAST(doc_id AS VARCHAR) || '.txt' AS path, CAST(octet_length(encode(text)) AS BIGINT)
                   AS actual_size, sha256(text) AS actual_sha256 FROM documents),
@@ -867,18 +864,61 @@ def q_manifest_integrity(spark, d):
     return _doc_manifest(spark, d).groupBy("status").agg(F.count(F.lit(1)).alias("files"))
 
 
-@register("schema_drift_events", "Q1", None)
-def q_schema_drift_events(spark, d):
+_KEY_PROFILE_SQL = """
+SELECT batch, key, CASE json_type(value) WHEN 'UBIGINT' THEN 'BIGINT' WHEN 'VARCHAR' THEN 'STRING' WHEN 'NULL' THEN 'VOID'
+         ELSE json_type(value) END AS type, count(*) AS records
+FROM (SELECT batch, key, json_extract(props, '$."' || key || '"') AS value
+      FROM (SELECT batch, props, unnest(json_keys(props)) AS key FROM ({src}) s) k) v
+GROUP BY ALL"""
+
+# The feed as it drifts: a key that comes and goes (weekends) and one that changes its type (odd days).
+_DRIFTING_SQL = """
+SELECT CAST(ts AS DATE) AS batch, left(props, length(props) - 1)
+         || CASE WHEN isodow(ts) >= 6 THEN ', "weekend": true' ELSE '' END
+         || CASE WHEN day(ts) % 2 = 1 THEN ', "shift": "late"' ELSE ', "shift": 1' END || '}' AS props FROM events"""
+
+
+def _drifting_events(spark, d):
     ev = V.table(spark, d, "events")
-    return QA.json_schema_drift(ev.withColumn("day", F.to_date("ts")), "day", "props")
+    weekend = F.when(F.weekday("ts") >= 5, ', "weekend": true').otherwise("")
+    shift = F.when(F.dayofmonth("ts") % 2 == 1, ', "shift": "late"').otherwise(', "shift": 1')
+    body = F.expr("left(props, length(props) - 1)")
+    return ev.select(F.to_date("ts").alias("day"), F.concat(body, weekend, shift, F.lit("}")).alias("props"))
+
+
+@register("schema_drift_events", "Q1", f"""
+WITH prof AS (SELECT DISTINCT batch, key, type FROM ({_KEY_PROFILE_SQL.format(src=_DRIFTING_SQL)}) p),
+seqs AS (SELECT batch, row_number() OVER (ORDER BY batch) AS seq FROM (SELECT DISTINCT batch FROM prof) b),
+cur AS (SELECT seq, key, type FROM prof JOIN seqs USING (batch)),
+both_ AS (SELECT coalesce(c.seq, p.seq + 1) AS seq, coalesce(c.key, p.key) AS key, p.type AS old_type, c.type AS new_type
+          FROM cur c FULL OUTER JOIN cur p ON c.key = p.key AND c.seq = p.seq + 1)
+SELECT batch, key, CASE WHEN old_type IS NULL THEN 'added' WHEN new_type IS NULL THEN 'removed' ELSE 'retyped' END AS change,
+       old_type, new_type
+FROM both_ JOIN seqs USING (seq) WHERE old_type IS DISTINCT FROM new_type""")
+def q_schema_drift_events(spark, d):
+    return QA.json_schema_drift(_drifting_events(spark, d), "day", "props")
 
 
-@register("json_key_profile_events", "Q1", None)
+@register("json_key_profile_events", "Q1", _KEY_PROFILE_SQL.format(src="SELECT CAST(ts AS DATE) AS batch, props FROM events"))
 def q_json_key_profile_events(spark, d):
     ev = V.table(spark, d, "events")
     return QA.json_key_profile(ev.withColumn("day", F.to_date("ts")), "day", "props")
 
 
+@register("content_hash_events", "N14", """
+WITH keys AS (SELECT event_id, props, unnest(json_keys(props)) AS key FROM events),
+canon AS (SELECT event_id, sha256('{' || string_agg('"' || key || '":' || CAST(json_extract(props, '$."' || key || '"') AS VARCHAR), ',' ORDER BY key) || '}') AS h
+          FROM keys GROUP BY event_id)
+SELECT sha256(concat_ws('|', CAST(count(*) AS VARCHAR),
+         CAST(sum(CAST('0x' || h[1:15] AS HUGEINT)) AS VARCHAR), CAST(sum(CAST('0x' || h[16:30] AS HUGEINT)) AS VARCHAR),
+         CAST(sum(CAST('0x' || h[31:45] AS HUGEINT)) AS VARCHAR), CAST(sum(CAST('0x' || h[46:60] AS HUGEINT)) AS VARCHAR),
+         CAST(sum(CAST('0x' || h[61:64] AS HUGEINT)) AS VARCHAR))) AS batch_hash, count(*) AS records FROM canon""")
+def q_content_hash_events(spark, d):
+    from ..functions import exprs as X
+    ev = V.table(spark, d, "events").select(X.canonical_json_hash("props").alias("h"))
+    return ev.agg(X.multiset_digest("h").alias("batch_hash"), F.count(F.lit(1)).alias("records"))
+
+
 # Language guard re-aimed at the supplied multilingual corpus: function words
 # of German, French and Spanish flagged wherever they occur (the reference's
 # own Portuguese list is run as well, see term_scan_reference_terms).
@@ -899,14 +939,39 @@ def q_term_counts(spark, d):
     return QA.term_counts(V.table(spark, d, "documents"), "text", "doc_id", GUARD_TERMS)
 
 
-@register("term_scan", "Q6", None)
+# Texts fall apart into words and what stands between them; running lengths give each word's place.
+_TERM_SCAN_SQL = """
+WITH src AS ({src}),
+pieces AS (SELECT doc_id, unnest(parts) AS tok, unnest(range(len(parts))) AS i FROM
+           (SELECT doc_id, regexp_extract_all(text, '[\\p{{L}}\\p{{N}}_]+|[^\\p{{L}}\\p{{N}}_]+') AS parts FROM src) s),
+placed AS (SELECT *, coalesce(sum(length(tok)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS pos_
+           FROM pieces),
+terms AS ({terms}),
+hits AS (SELECT doc_id, term, tok, pos_ FROM placed JOIN terms ON regexp_full_match(lower(tok), body))
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY pos_) - 1 AS INTEGER) AS occurrence, term, tok AS match,
+       replace(substr(text, greatest(pos_ - 20, 0) + 1, least(pos_, 20) + length(tok) + 20), chr(10), ' ') AS context
+FROM hits JOIN src USING (doc_id)"""
+
+_GUARD_TERMS_SQL = " UNION ALL ".join(f"SELECT '\\b{w}\\b' AS term, '{w}' AS body" for w in
+                                      ("der", "und", "die", "les", "des", "pour", "que", "mit"))
+_REFERENCE_TERMS_SQL = " UNION ALL ".join(f"SELECT '\\b{w}\\b' AS term, '{w}' AS body" for w in (
+    "produto(s)?", "pedido(s)?", "preço", "categoria(s)?", "fonte(s)?", "execução", "criado", "atualizado"))
+
+
+@register("term_scan", "Q6", _TERM_SCAN_SQL.format(src="SELECT doc_id, text FROM documents", terms=_GUARD_TERMS_SQL))
 def q_term_scan(spark, d):
     return QA.term_matches(V.table(spark, d, "documents"), "text", "doc_id", GUARD_TERMS)
 
 
-@register("term_scan_reference_terms", "Q6", None)
+# The supplied texts have no Portuguese; every third gets a remark at its end and every fifth one at its start.
+@register("term_scan_reference_terms", "Q6", _TERM_SCAN_SQL.format(terms=_REFERENCE_TERMS_SQL, src="""
+SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'Execução: Produtos e fonte. ' ELSE '' END || text
+         || CASE WHEN doc_id % 3 = 0 THEN ' pedido criado; PREÇO (categorias)' ELSE '' END AS text FROM documents"""))
 def q_term_scan_reference_terms(spark, d):
-    return QA.term_matches(V.table(spark, d, "documents"), "text", "doc_id")
+    start = F.when(F.col("doc_id") % 5 == 0, "Execução: Produtos e fonte. ").otherwise("")
+    end = F.when(F.col("doc_id") % 3 == 0, " pedido criado; PREÇO (categorias)").otherwise("")
+    docs = V.table(spark, d, "documents")
+    return QA.term_matches(docs.withColumn("text", F.concat(start, "text", end)), "text", "doc_id")
 
 
 # ---------------------------------------------------------------------------
@@ -916,9 +981,17 @@ def q_term_scan_reference_terms(spark, d):
 from . import report as RP  # noqa: E402
 
 
+def _figures(spark, d):
+    """One asset for each benchmark item."""
+    return V.table(spark, d, "benchmark").select(
+        F.concat(F.lit("figures/item_"), F.col("item_id").cast("string"), F.lit(".txt")).alias("path"),
+        F.sha2("text", 256).alias("sha256"), F.octet_length("text").cast("bigint").alias("size_bytes"))
+
+
 def _report(spark, d):
     return RP.build_report(V.products(spark, d), V.orders(spark, d), V.run_log(spark, d),
-                           providers=["part", "orders"], key_mode="pair", generated_at="2024-06-01T00:00:00Z")
+                           providers=["part", "orders"], key_mode="pair", generated_at="2024-06-01T00:00:00Z",
+                           figures=_figures(spark, d), expected_figures=["item_0.txt", "overview.txt"])
 
 
 @register("report_document", "E3 S11 A16 A18 A19", None)
@@ -926,9 +999,45 @@ def q_report_document(spark, d):
     return _report(spark, d)
 
 
-@register("report_contract_violations", "Q4 (report contract)", None)
+def _broken_reports(spark, d):
+    """One report stub for each event day, with faults that depend on the day: what a consumer of many reports checks."""
+    days = V.table(spark, d, "events").groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    day = F.dayofmonth("day")
+    none = F.array().cast("array<string>")
+    figure = F.struct(F.concat(F.lit("f"), day.cast("string")).alias("name"), F.lit("figures/f").alias("path"),
+                      F.when(day % 5 == 0, "not a digest").otherwise(F.sha2(F.col("day").cast("string"), 256)).alias("sha256"),
+                      F.when(day % 6 == 0, 0).otherwise(F.col("n")).cast("bigint").alias("size_bytes"))
+    no = F.lit(None)
+    return days.select(
+        F.when(day % 2 == 0, "1.0").otherwise("1.0.0").alias("schema_version"),
+        F.when(day % 3 == 0, F.col("day").cast("string")).otherwise(F.concat(F.col("day").cast("string"), F.lit("T00:00:00Z"))).alias("generated_at_utc"),
+        F.struct(none.alias("providers"), F.when(day % 7 == 0, "single").otherwise("pair").alias("dedup_key_mode"), no.cast("bigint").alias("seed"),
+                 no.cast("bigint").alias("limit"), F.lit("none").alias("fake_mode"), F.lit(1).alias("debug")).alias("inputs"),
+        F.struct(F.col("n").alias("products_total"), F.create_map(F.lit("a"), F.col("n")).alias("products_by_provider"),
+                 no.cast("bigint").alias("products_new"), no.cast("bigint").alias("products_updated"), F.lit("many").alias("products_outliers_price"),
+                 F.col("n").alias("orders_total"), F.create_map(F.lit("a"), F.col("n")).alias("orders_by_provider"), no.cast("bigint").alias("orders_outliers_total"),
+                 no.cast("double").alias("aov_mean")).alias("kpis"),
+        F.array(figure).alias("figures"),
+        F.struct(F.when(day % 4 != 0, "fine").alias("summary"), F.lit("-").alias("details")).alias("narrative"),
+        F.struct(F.col("n").alias("products_rows"), F.col("n").alias("orders_rows"), F.lit(True).alias("products_enriched"),
+                 F.lit(True).alias("orders_enriched")).alias("data_availability"),
+        F.struct(F.lit(1).alias("figure_count"), F.array(F.lit("f")).alias("figure_ids")).alias("integrity"),
+        F.lit(1).alias("extra_part"))
+
+
+@register("report_contract_violations", "Q4 (report contract)", """
+WITH days AS (SELECT DISTINCT CAST(ts AS DATE) AS d, day(ts) AS k FROM events),
+v AS (SELECT 'schema_version_semver' AS rule, count(*) FILTER (WHERE k % 2 = 0) AS violations FROM days
+  UNION ALL SELECT 'generated_at_date_time', count(*) FILTER (WHERE k % 3 = 0) FROM days
+  UNION ALL SELECT 'dedup_key_mode_enum', count(*) FILTER (WHERE k % 7 = 0) FROM days
+  UNION ALL SELECT 'null:narrative.summary', count(*) FILTER (WHERE k % 4 = 0) FROM days
+  UNION ALL SELECT 'figure_sha256_pattern', count(*) FILTER (WHERE k % 5 = 0) FROM days
+  UNION ALL SELECT 'figure_size_minimum', count(*) FILTER (WHERE k % 6 = 0) FROM days
+  UNION ALL SELECT 'extra:extra_part', 1 UNION ALL SELECT 'extra:inputs.debug', 1
+  UNION ALL SELECT 'missing:kpis.aov_median', 1 UNION ALL SELECT 'type:kpis.products_outliers_price', 1)
+SELECT rule, violations FROM v WHERE violations > 0""")
 def q_report_contract_violations(spark, d):
-    return RP.report_contract_violations(_report(spark, d))
+    return RP.report_contract_violations(_broken_reports(spark, d))
 
 
 @register("latest_rolling_7d", "A16", f"""
@@ -968,7 +1077,7 @@ _EVENTS_BY_TYPE_SQL = "SELECT event_type AS source, ts AS created_at, value AS t
 
 
 @register("events_rolling_7d_by_type", "W1 W2 W3 (partitioned, times of day)", f"""
-WITH src AS (SELECT source, created_at, CAST(total_price AS DECIMAL(18,2)) AS v FROM ({_EVENTS_BY_TYPE_SQL}) s
+WITH src AS (SELECT source, created_at, CAST(CAST(total_price AS VARCHAR) AS DECIMAL(38,12)) AS v FROM ({_EVENTS_BY_TYPE_SQL}) s
              WHERE created_at IS NOT NULL),
 daily AS (SELECT source, CAST(created_at AS DATE) AS day, sum(v) AS gmv_dec, count(v) AS n_orders FROM src GROUP BY 1, 2),
 spine AS (SELECT r.source, CAST(d AS DATE) AS day FROM (SELECT source, min(day) AS lo, max(day) AS hi FROM daily GROUP BY 1) r,

@@ -39,7 +39,7 @@ def run_insights(spark: SparkSession, products: DataFrame, orders: DataFrame, ru
     if run_log is not None:
         out["run_trend"] = RL.melt(run_log)
         out["run_cumulative"] = RL.cumulative(run_log)
-        out["run_summary"] = K.describe(run_log, [m for m in RL.METRICS if m in run_log.columns], scale=0)
+        out["run_summary"] = K.describe(run_log, [m for m in RL.METRICS if m in run_log.columns])
     if text_root is not None:
         out["term_guard"] = QA.term_matches(FS.read_text_tree(spark, text_root), "text", "path")
     if export_dir is not None:

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import features as FE
 from ..operators import kpis as K
@@ -44,8 +45,7 @@ def _top10_array(df: DataFrame) -> Column:
 
 
 def _provider_map(df: DataFrame) -> Column:
-    top = K.top_values(df, "source", 10)
-    m = top.agg(F.map_from_entries(F.collect_list(F.struct("source", "count"))).alias("m"))
+    m = K.value_counts(df, "source").agg(F.map_from_entries(F.collect_list(F.struct("source", "count"))).alias("m"))
     return _row(m)["m"]
 
 
@@ -97,11 +97,11 @@ def build_report(products: DataFrame, orders: DataFrame, run_log: DataFrame | No
         F.lit(None).cast("bigint").alias("orders_outliers_total"),
         osum["gmv_mean"].alias("aov_mean"), osum["gmv_median"].alias("aov_median"))
     enriched = F.struct(
-        F.struct(F.array(*[F.lit(c) for c in ["price_num", "price_log", "price_bucket", "source_freq",
-                                               "category_freq"]]).alias("columns"),
+        F.struct(F.array(*[F.lit(c) for c in K.columns_like(pe, suffixes=("_freq",), exact=(
+            "price_num", "price_log", "price_bucket"))]).alias("columns"),
                  _row(buckets)["a"].alias("price_bucket_distribution")).alias("products"),
-        F.struct(F.array(*[F.lit(c) for c in ["order_value_num", "gmv_7d", "orders_7d", "aov_7d",
-                                               "recency_days"]]).alias("columns"),
+        F.struct(F.array(*[F.lit(c) for c in K.columns_like(oe, suffixes=("_7d",), exact=(
+            "order_value_num", "recency_days"))]).alias("columns"),
                  F.struct(roll["gmv_7d"].alias("gmv_7d"), roll["orders_7d"].alias("orders_7d"),
                           roll["aov_7d"].alias("aov_7d")).alias("latest_rolling_7d")).alias("orders"))
     if figures is not None:
@@ -143,26 +143,92 @@ def build_report(products: DataFrame, orders: DataFrame, run_log: DataFrame | No
 
 # --- Q4 on the report contract ---------------------------------------------------
 
+# Fixed: keys that the contract requires (a built report has all of REQUIRED_TOP_LEVEL).
+CONTRACT_REQUIRED = ["schema_version", "generated_at_utc", "inputs", "kpis", "figures", "narrative",
+                     "data_availability", "integrity"]
+# Fixed contract of the nested sections: field -> type ("?": may be null), and whether other fields are allowed.
+SECTIONS = {
+    "inputs": (False, {"providers": "strings", "dedup_key_mode": "string", "seed": "integer?", "limit": "integer?",
+                       "fake_mode": "string"}),
+    "kpis": (True, {"products_total": "integer?", "products_by_provider": "counts", "products_new": "integer?",
+                    "products_updated": "integer?", "products_outliers_price": "integer?", "orders_total": "integer?",
+                    "orders_by_provider": "counts", "orders_outliers_total": "integer?", "aov_mean": "number?",
+                    "aov_median": "number?"}),
+    "narrative": (True, {"summary": "string", "details": "string"}),
+    "data_availability": (False, {"products_rows": "integer", "orders_rows": "integer", "products_enriched": "boolean",
+                                  "orders_enriched": "boolean"}),
+    "integrity": (True, {"figure_count": "integer", "figure_ids": "strings"}),
+}
+OPTIONAL = {"integrity": {"expected_figures": "strings", "missing_figures": "strings"}}
+FIGURE = {"name": "string", "path": "string", "sha256": "string", "size_bytes": "integer"}
+DATE_TIME = r"^\d{4}-\d{2}-\d{2}[Tt]\d{2}:\d{2}:\d{2}(\.\d+)?([Zz]|[+-]\d{2}:\d{2})$"
+
+
+def _is(kind: str, t: T.DataType) -> bool:
+    return {
+        "string": lambda: isinstance(t, T.StringType),
+        "boolean": lambda: isinstance(t, T.BooleanType),
+        "integer": lambda: isinstance(t, T.IntegralType),
+        "number": lambda: isinstance(t, T.NumericType),
+        "strings": lambda: isinstance(t, T.ArrayType) and isinstance(t.elementType, T.StringType),
+        "counts": lambda: isinstance(t, T.MapType) and isinstance(t.keyType, T.StringType) and isinstance(t.valueType, T.IntegralType),
+    }[kind]()
+
+
+def _fields(prefix: str, t: T.DataType, required: dict[str, str], optional: dict[str, str], open_: bool) -> list[str]:
+    """What a struct type breaks by itself."""
+    if not isinstance(t, T.StructType):
+        return [f"type:{prefix}"]
+    have = {f.name: f.dataType for f in t.fields}
+    out = [f"missing:{prefix}.{k}" for k in required if k not in have]
+    out += [f"extra:{prefix}.{k}" for k in have if not open_ and k not in required]
+    return out + [f"type:{prefix}.{k}" for k, kind in (required | optional).items() if k in have and not _is(kind.rstrip("?"), have[k])]
+
+
 def report_contract_violations(doc: DataFrame) -> DataFrame:
-    """Structural checks (required / extra keys: plan-time, from the schema)
-    plus value rules on the row; returns (rule, violations)."""
+    """The whole report contract; (rule, violations). Required and extra keys
+    and types follow from the schema at plan time, values from the row."""
     spark = doc.sparkSession
-    missing = [k for k in REQUIRED_TOP_LEVEL if k not in doc.columns]
-    extra = [k for k in doc.columns if k not in ALLOWED_TOP_LEVEL]
-    rules = [
-        QA.Rule("schema_version_semver", "schema_version", "pattern", r"^\d+\.\d+\.\d+$"),
-        QA.Rule("generated_at_required", "generated_at_utc", "required"),
-        QA.Rule("dedup_key_mode_enum", "_key_mode", "enum", KEY_MODES),
-        QA.Rule("fake_mode_enum", "_fake_mode", "enum", FAKE_MODES),
-        QA.Rule("figure_sha256_pattern", "_bad_sha", "minimum", 0),
-    ]
-    flat = doc.select(
-        "schema_version", "generated_at_utc",
-        F.col("inputs.dedup_key_mode").alias("_key_mode"), F.col("inputs.fake_mode").alias("_fake_mode"),
-        F.size(F.filter("figures", lambda f: ~f["sha256"].rlike("^[a-f0-9]{64}$") | (f["size_bytes"] < 1)))
-        .alias("_n_bad_fig"))
-    counts = QA.violation_counts(flat.withColumn("_bad_sha", -F.col("_n_bad_fig")), rules)
-    structural = [(f"missing:{k}", 1) for k in missing] + [(f"extra:{k}", 1) for k in extra]
-    if structural:
-        counts = counts.unionByName(spark.createDataFrame(structural, "rule string, violations bigint"))
+    types = {f.name: f.dataType for f in doc.schema.fields}
+    broken = [f"missing:{k}" for k in CONTRACT_REQUIRED if k not in types]
+    broken += [f"extra:{k}" for k in types if k not in ALLOWED_TOP_LEVEL]
+    checks = {}
+
+    def check(rule: str, path: str, bad) -> None:
+        """``bad``: from a column to a condition; only where the field is there and of its type."""
+        name = path.split(".")[0]
+        if name in types and not any(b.split(":", 1)[1] in (name, path) for b in broken):
+            checks[rule] = bad(F.col(path))
+
+    for name, (open_, required) in SECTIONS.items():
+        if name not in types:
+            continue
+        broken += _fields(name, types[name], required, OPTIONAL.get(name, {}), open_)
+        for k, kind in required.items():
+            if not kind.endswith("?"):
+                check(f"null:{name}.{k}", f"{name}.{k}", lambda c: c.isNull())
+    if "figures" in types:
+        t = types["figures"]
+        broken += _fields("figures", t.elementType, FIGURE, {"section": "string", "description": "string"}, True) if isinstance(t, T.ArrayType) else ["type:figures"]
+        if not any(b.split(":", 1)[1].startswith("figures") for b in broken):
+            some = lambda cond: lambda c: F.coalesce(F.exists(c, cond), F.lit(False))
+            without = lambda k: lambda f: f[k].isNull()
+            for k in FIGURE:
+                check(f"null:figures.{k}", "figures", some(without(k)))
+            check("figure_sha256_pattern", "figures", some(lambda f: ~f["sha256"].rlike("^[a-f0-9]{64}$")))
+            check("figure_size_minimum", "figures", some(lambda f: f["size_bytes"] < 1))
+    for k in ("schema_version", "generated_at_utc"):
+        if k in types and not _is("string", types[k]):
+            broken.append(f"type:{k}")
+        check(f"null:{k}", k, lambda c: c.isNull())
+    check("schema_version_semver", "schema_version", lambda c: ~c.rlike(r"^\d+\.\d+\.\d+$"))
+    check("generated_at_date_time", "generated_at_utc", lambda c: ~c.rlike(DATE_TIME) | F.try_to_timestamp(c).isNull())
+    check("dedup_key_mode_enum", "inputs.dedup_key_mode", lambda c: ~c.isin(*KEY_MODES))
+    check("fake_mode_enum", "inputs.fake_mode", lambda c: ~c.isin(*FAKE_MODES))
+    # only the fields that the checks look at are asked of the document
+    wide = doc.agg(*[F.count(F.when(cond, True)).alias(f"r{i}") for i, cond in enumerate(checks.values())])
+    pairs = F.array(*[F.struct(F.lit(rule).alias("rule"), F.col(f"r{i}").alias("violations")) for i, rule in enumerate(checks)])
+    counts = wide.select(F.explode(pairs).alias("x")).select("x.rule", "x.violations").where("violations > 0")
+    if broken:
+        counts = counts.unionByName(spark.createDataFrame([(b, 1) for b in broken], "rule string, violations bigint"))
     return counts
