@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 from ..functions.quantiles import quantiles
-from .kpis import DATE_CANDIDATES, PRICE_CANDIDATES, VALUE_CANDIDATES, resolve_column, scalar_row
+from .kpis import DATE_CANDIDATES, PRICE_CANDIDATES, QCUT_PROBS, VALUE_CANDIDATES, resolve_column, scalar_row
 
 
 # --- W1-W3 calendar spine + rolling 7 days -----------------------------------
@@ -76,13 +76,8 @@ def enrich_orders(orders: DataFrame, date_col: str | None = None, value_col: str
 
 # --- F-1..F-4 enriched products --------------------------------------------------
 
-# pandas steps by 0.2, so the fourth edge lies a rounding error above 3/5; with ties that edge can differ from the third
-QCUT_PROBS = {f"e{i}": i * 0.2 for i in range(6)}
-
-
-def qcut_edges(df: DataFrame, value: str) -> DataFrame:
-    """Quintile edges with duplicates dropped (``qcut(q=5, duplicates='drop')``)."""
-    q = quantiles(df, value, QCUT_PROBS)
+def qcut_edges(q: DataFrame) -> DataFrame:
+    """Quintile edges with duplicates dropped (``qcut(q=5, duplicates='drop')``) from a row with QCUT_PROBS."""
     return q.select(F.array_distinct(F.array(*[F.col(k) for k in QCUT_PROBS])).alias("edges"))
 
 
@@ -93,14 +88,16 @@ def qcut_index(value, edges) -> F.Column:
     return F.when(value.isNotNull() & (F.size(edges) >= 2), idx)
 
 
-def enrich_products(products: DataFrame, price_col: str | None = None) -> DataFrame:
+def enrich_products(products: DataFrame, price_col: str | None = None, q: DataFrame | None = None) -> DataFrame:
+    """``q``: the row of ``kpis.price_quantiles``, if it is there already."""
     price_col = price_col or resolve_column(products, PRICE_CANDIDATES)
     df = products.withColumn("price_num", X.numeric_col(products, price_col))
     any_positive = scalar_row(df.agg(F.max(F.col("price_num") > 0).alias("pos")))["pos"]
     df = df.withColumn("price_log", F.when(F.coalesce(any_positive, F.lit(False)), F.log1p("price_num")))
     # the edges array is materialised as a column first: subqueries may not
     # appear inside the higher-order function that locates the bucket
-    df = df.withColumn("_edges", scalar_row(qcut_edges(df, "price_num"))["edges"])
+    q = q if q is not None else quantiles(df, "price_num", QCUT_PROBS)
+    df = df.withColumn("_edges", scalar_row(qcut_edges(q))["edges"])
     edges = F.col("_edges")
     b = qcut_index(F.col("price_num"), edges)
     df = df.withColumn("price_bucket", b) \

@@ -49,9 +49,24 @@ def scalar_row(df: DataFrame) -> Column:
     return df.select(F.struct(*[F.col(c) for c in df.columns])).scalar()
 
 
+# All quantiles that the product measures ask of the price; one ranking of the column serves them together.
+# pandas steps qcut's edges by 0.2, so the fourth lies a rounding error above 3/5; with ties it can differ from the third.
+QCUT_PROBS = {f"e{i}": i * 0.2 for i in range(6)}
+PRICE_PROBS = {"q25": 0.25, "q50": 0.5, "q75": 0.75, "q90": 0.9} | QCUT_PROBS
+
+
+def price_quantiles(products: DataFrame, price_col: str | None = None) -> DataFrame:
+    """One row: n and the quantiles of PRICE_PROBS. The row is computed at once: several
+    measures use each number several times, and their plans stay small."""
+    p = X.numeric_col(products, price_col or resolve_column(products, PRICE_CANDIDATES))
+    q = quantiles(products.select(p.alias("v")), "v", PRICE_PROBS)
+    return products.sparkSession.createDataFrame([tuple(q.first())], q.schema)
+
+
 # --- A1-A3 product summary ---------------------------------------------------
 
-def product_summary(products: DataFrame, price_col: str | None = None) -> DataFrame:
+def product_summary(products: DataFrame, price_col: str | None = None, q: DataFrame | None = None) -> DataFrame:
+    """``q``: the row of ``price_quantiles``, if it is there already (as in the functions below)."""
     price_col = price_col or resolve_column(products, PRICE_CANDIDATES)
     p = X.numeric_col(products, price_col)
     base = products.agg(
@@ -64,24 +79,25 @@ def product_summary(products: DataFrame, price_col: str | None = None) -> DataFr
     cats = products.where(F.col("category").isNotNull()).groupBy("category").agg(F.count(F.lit(1)).alias("n"))
     # mode, ties broken by the smaller category so the answer is deterministic
     top = cats.agg(F.min_by("category", F.struct(-F.col("n"), F.col("category"))).alias("top_category"))
-    q = quantiles(products.select(p.alias("p")), "p", {"price_median": 0.5, "price_p90": 0.9}).drop("n")
-    out = attach(base, top, q)
+    q = q if q is not None else quantiles(products.select(p.alias("p")), "p", {"q50": 0.5, "q90": 0.9})
+    out = attach(base, top, q.select(F.col("q50").alias("price_median"), F.col("q90").alias("price_p90")))
     return out.select("count", "distinct_sources", "top_category", "price_min", "price_median",
                       "price_mean", "price_p90", "price_max")
 
 
 # --- A5 / A6 IQR outliers -----------------------------------------------------
 
-def _fences(df: DataFrame, value: Column) -> Column:
-    return scalar_row(quantiles(df.select(value.alias("v")), "v", {"q1": 0.25, "q3": 0.75}))
+def _fences(df: DataFrame, value: Column, q: DataFrame | None) -> Column:
+    q = q if q is not None else quantiles(df.select(value.alias("v")), "v", {"q25": 0.25, "q75": 0.75})
+    return scalar_row(q.select(F.col("q25").alias("q1"), F.col("q75").alias("q3"), "n"))
 
 
-def outliers_two_sided(products: DataFrame, price_col: str | None = None) -> DataFrame:
+def outliers_two_sided(products: DataFrame, price_col: str | None = None, q: DataFrame | None = None) -> DataFrame:
     """Report rule: >5 values needed, IQR of 0 replaced by 1, both fences;
     the ratio's denominator counts every row (NULL prices included)."""
     price_col = price_col or resolve_column(products, PRICE_CANDIDATES)
     p = X.numeric_col(products, price_col)
-    f = _fences(products, p)
+    f = _fences(products, p, q)
     raw_iqr = f["q3"] - f["q1"]
     iqr = F.when(raw_iqr != 0, raw_iqr).otherwise(F.lit(1.0))
     upper = f["q3"] + F.lit(1.5) * iqr
@@ -99,11 +115,11 @@ def outliers_two_sided(products: DataFrame, price_col: str | None = None) -> Dat
     )
 
 
-def outliers_upper(products: DataFrame, price_col: str | None = None) -> DataFrame:
+def outliers_upper(products: DataFrame, price_col: str | None = None, q: DataFrame | None = None) -> DataFrame:
     """Notebook rule: upper fence only, raw IQR, ratio rounded to 4 places."""
     price_col = price_col or resolve_column(products, PRICE_CANDIDATES)
     p = X.numeric_col(products, price_col)
-    f = _fences(products, p)
+    f = _fences(products, p, q)
     upper = f["q3"] + F.lit(1.5) * (f["q3"] - f["q1"])
     flagged = products.select(p.alias("p")).select((F.col("p") > upper).alias("out"))
     agg = flagged.agg(F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col("out"), True)).alias("k"))
@@ -137,8 +153,9 @@ def product_quality(products: DataFrame, price_col: str | None = None) -> DataFr
     price_col = price_col or resolve_column(products, PRICE_CANDIDATES)
     p = X.numeric_col(products, price_col)
     base = products.agg(F.count(p).alias("price_non_null"), F.min(p).alias("price_min"), F.max(p).alias("price_max"))
-    q = quantiles(products.select(p.alias("p")), "p", {"price_p50": 0.5, "price_p90": 0.9}).drop("n")
-    up = outliers_upper(products, price_col).select("price_outlier_ratio")
+    row = price_quantiles(products, price_col)
+    q = row.select(F.col("q50").alias("price_p50"), F.col("q90").alias("price_p90"))
+    up = outliers_upper(products, price_col, row).select("price_outlier_ratio")
     dk = duplicate_keys(products).select("duplicate_key_pairs",
                                          F.col("duplicate_key_ratio_r4").alias("duplicate_key_ratio"))
     out = attach(base, q, up, dk)

@@ -62,11 +62,12 @@ def build_report(products: DataFrame, orders: DataFrame, run_log: DataFrame | No
                  expected_figures: Sequence[str] = (), generated_at: str | None = None) -> DataFrame:
     spark: SparkSession = products.sparkSession
     generated_at = generated_at or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
-    ps = _row(K.product_summary(products))
+    prices = K.price_quantiles(products)    # one ranking of the price for the summary, the fences and the buckets
+    ps = _row(K.product_summary(products, q=prices))
     dk = _row(K.duplicate_keys(products))
-    out2 = _row(K.outliers_two_sided(products))
+    out2 = _row(K.outliers_two_sided(products, q=prices))
     osum = _row(K.order_summary(orders))
-    pe = FE.enrich_products(products)
+    pe = FE.enrich_products(products, q=prices)
     oe = FE.enrich_orders(orders)
     buckets = K.bucket_distribution(pe).agg(F.sort_array(F.collect_list(F.struct(
         F.col("price_bucket").cast("string").alias("bucket"), F.col("count"), F.col("ratio")))).alias("a"))
