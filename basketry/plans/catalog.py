@@ -1095,3 +1095,40 @@ def q_events_rolling_7d_by_type(spark, d):
     ev = V.table(spark, d, "events").select(F.col("event_type").alias("source"), F.col("ts").alias("created_at"),
                                              F.col("value").alias("total_price"))
     return FE.rolling_7d(ev, by=["source"])
+
+
+# ---------------------------------------------------------------------------
+# Landed runs that arrive one after another
+# ---------------------------------------------------------------------------
+
+@register("etl_successive_runs", "E1 S1 S2 M4 M6 M7 M9", """
+SELECT CAST(o_orderkey AS VARCHAR) AS order_id,
+       CASE WHEN o_orderkey % 5 = 0 THEN CAST(o_totalprice AS DECIMAL(18,2)) + 2
+            WHEN o_orderkey % 3 = 0 THEN CAST(o_totalprice AS DECIMAL(18,2)) + 1
+            ELSE CAST(o_totalprice AS DECIMAL(18,2)) END::DOUBLE AS total_price
+FROM orders""")
+def q_etl_successive_runs(spark, d):
+    """All orders land, then a third of them dearer by 1, then a fifth dearer by 2; the ETL runs after the first landing, after both others
+    together, and once with nothing new. The table holds the last version of each order."""
+    import uuid
+    from ..session import ensure_checkpoint_dir
+    from ..sources import landing as L
+    from ..sources import tables as TB
+    from .. import schemas as SC
+    from . import etl
+    root = f"{ensure_checkpoint_dir(spark)}/successive-{uuid.uuid4().hex}"
+    landing, tables, log = f"{root}/landing", f"{root}/tables", f"{root}/runs"
+    orders = V.table(spark, d, "orders")
+
+    def land(run: str, part: DataFrame, more: int) -> None:
+        price = F.col("o_totalprice").cast("decimal(18,2)") + more
+        L.write_raw(part.select(F.to_json(F.struct(F.col("o_orderkey").cast("string").alias("id"), price.cast("string").alias("total_price"))).alias("json")),
+                    landing, "shopify", "orders", run)
+
+    land("run_c", orders, 0)
+    etl.run_pipeline(spark, landing, tables, log, key_mode="pair")
+    land("run_b", orders.where("o_orderkey % 3 = 0"), 1)
+    land("run_a", orders.where("o_orderkey % 5 = 0"), 2)
+    etl.run_pipeline(spark, landing, tables, log, key_mode="pair")
+    etl.run_pipeline(spark, landing, tables, log, key_mode="pair")
+    return TB.read_table(spark, tables, "orders", SC.ORDERS).select("order_id", "total_price")

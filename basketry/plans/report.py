@@ -16,7 +16,6 @@ from pyspark.sql import types as T
 
 from ..operators import features as FE
 from ..operators import kpis as K
-from ..operators import quality as QA
 from ..operators import runlog as RL
 
 SCHEMA_VERSION = "1.0.0"
