@@ -34,11 +34,11 @@ ORDER_SOURCES = {
 
 
 def normalized_batch(lines: DataFrame, runs: Sequence[L.Run], sources: dict, stamp: Column, hash_scope: str,
-                     limit: int | None) -> DataFrame:
+                     limit: int | None, digests: DataFrame) -> DataFrame:
     frames = []
     for provider in dict.fromkeys(r.provider for r in runs):
         _, schema, fn = sources[provider]
-        raw = L.typed_records(lines.where(F.col("provider") == provider), schema, stamp, hash_scope, limit)
+        raw = L.typed_records(lines.where(F.col("provider") == provider), schema, stamp, hash_scope, limit, digests)
         frames.append(fn(raw, F.col("_stamp")))
     return N.union_batches(frames)
 
@@ -63,10 +63,16 @@ def run_pipeline(spark: SparkSession, landing_root: str, table_root: str, runlog
             record["raw_files"] += sum(r.files for r in runs)
             if not runs:
                 continue
-            # one listing: rejected lines, digests and rows come from the same files even if new ones land meanwhile
+            # one listing: digests, rejected lines and rows come from the same files even if new ones land meanwhile
             lines = L.read_runs(spark, landing_root, runs)
-            record["rejected_records"] += _set_aside(spark, L.rejected(lines), f"{table_root.rstrip('/')}/_rejected/{entity}/run={run_id}", dry_run)
-            batch = normalized_batch(lines, runs, sources, stamp, hash_scope, limit)
+            seen = L.survey(lines)
+            bad = sum(r["rejected"] for r in seen)
+            record["rejected_records"] += bad
+            if bad and not dry_run:
+                L.rejected(lines).write.json(f"{table_root.rstrip('/')}/_rejected/{entity}/run={run_id}")
+            digests = spark.createDataFrame([(r["provider"], r["run_id"], r["raw_hash"]) for r in seen],
+                                            "provider string, run_id string, raw_hash string")
+            batch = normalized_batch(lines, runs, sources, stamp, hash_scope, limit, digests)
             res = T.merge_into(spark, table_root, entity, schema, batch, key_mode, keys, order_col, dry_run=dry_run)
             record[f"new_{entity}"] = res["new"]
             record[f"updated_{entity}"] = res["updated"]
@@ -81,9 +87,3 @@ def run_pipeline(spark: SparkSession, landing_root: str, table_root: str, runlog
             FS.append_json_lines(spark.createDataFrame([record], SC.RUN_LOG), runlog_path)
     return record
 
-
-def _set_aside(spark: SparkSession, bad: DataFrame, path: str, dry_run: bool) -> int:
-    n = bad.count()
-    if n and not dry_run:
-        bad.write.json(path)
-    return n

@@ -78,10 +78,13 @@ def _first_per_provider(lines: DataFrame, limit: int | None) -> DataFrame:
     return lines.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= limit).drop("_n")
 
 
-def _typed(lines: DataFrame, schema: T.StructType, hash_scope: str, extra: Sequence[str] = ()) -> DataFrame:
-    lines = lines.withColumn("_rec_hash", X.canonical_json_hash(F.col("json")))
+def _typed(lines: DataFrame, schema: T.StructType, hash_scope: str, extra: Sequence[str] = (),
+           digests: DataFrame | None = None) -> DataFrame:
+    if hash_scope == "record" or digests is None:
+        lines = lines.withColumn("_rec_hash", X.canonical_json_hash(F.col("json")))
     if hash_scope == "batch":
-        per_run = lines.groupBy("provider", "run_id").agg(X.multiset_digest("_rec_hash").alias("raw_hash"))
+        per_run = digests if digests is not None else \
+            lines.groupBy("provider", "run_id").agg(X.multiset_digest("_rec_hash").alias("raw_hash"))
         # A run is one join key: shuffling the records on it would put a whole
         # run into one task. There is one digest for each run folder, and the
         # driver has listed those folders, so the digests are always broadcast.
@@ -119,18 +122,27 @@ def read_runs(spark: SparkSession, root: str, runs: Sequence[Run]) -> DataFrame:
     return lines.withColumn("_run", ranks[F.concat_ws("/", "provider", "run_id")])
 
 
+def survey(lines: DataFrame) -> list:
+    """One row (provider, run_id, raw_hash, rejected) for each run: the digest of its records and the number of
+    lines that are no JSON object, in one pass."""
+    good = X.is_json_object("json")
+    return lines.groupBy("provider", "run_id").agg(
+        X.multiset_digest(F.when(good, X.canonical_json_hash("json"))).alias("raw_hash"),
+        F.count(F.when(~good, True)).alias("rejected")).collect()
+
+
 def rejected(lines: DataFrame) -> DataFrame:
     """Lines that are no JSON object, with their text."""
     return lines.where(~X.is_json_object("json")).select("provider", "run_id", "raw_file", "json")
 
 
 def typed_records(lines: DataFrame, schema: T.StructType, stamp: Column, hash_scope: str = "batch",
-                  limit_per_provider: int | None = None) -> DataFrame:
+                  limit_per_provider: int | None = None, digests: DataFrame | None = None) -> DataFrame:
     """Typed payloads of ``read_runs`` lines, with ``_pos`` and each run's own ``_stamp``: ``stamp`` plus a microsecond
-    for every run before it, so that a later run has the later stamp."""
+    for every run before it, so that a later run has the later stamp. ``digests``: (provider, run_id, raw_hash), if they are known."""
     own = stamp + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.col("_run") / 1e6).cast("decimal(18,6)"))
     good = _first_per_provider(lines.where(X.is_json_object("json")), limit_per_provider).withColumn("_stamp", own)
-    return _typed(good, schema, hash_scope, ["_pos", "_stamp"])
+    return _typed(good, schema, hash_scope, ["_pos", "_stamp"], None if limit_per_provider else digests)
 
 
 def merged_runs(spark: SparkSession, table_root: str, entity: str) -> set[tuple[str, str]]:
