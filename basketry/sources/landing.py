@@ -142,7 +142,7 @@ def typed_records(lines: DataFrame, schema: T.StructType, stamp: Column, hash_sc
     for every run before it, so that a later run has the later stamp. ``digests``: (provider, run_id, raw_hash), if they are known."""
     own = stamp + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.col("_run") / 1e6).cast("decimal(18,6)"))
     good = _first_per_provider(lines.where(X.is_json_object("json")), limit_per_provider).withColumn("_stamp", own)
-    return _typed(good, schema, hash_scope, ["_pos", "_stamp"], None if limit_per_provider else digests)
+    return _typed(good, schema, hash_scope, ["_pos", "_stamp"], digests)
 
 
 def merged_runs(spark: SparkSession, table_root: str, entity: str) -> set[tuple[str, str]]:

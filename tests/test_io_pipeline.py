@@ -146,6 +146,19 @@ def test_nothing_new_writes_nothing(spark, tmp_dir):
     assert sorted(os.walk(tables)) == before
 
 
+def test_a_limited_pass_takes_nothing_from_the_next_one(spark, tmp_dir):
+    for mode in ("pair", "triple"):
+        landing, tables, runs = (os.path.join(tmp_dir, f"{x}_{mode}") for x in ("raw", "tables", "runs"))
+        lines = [*(json.dumps({"id": i, "total_price": str(i)}) for i in range(6)), "{broken"]
+        L.write_raw(spark.createDataFrame([(x,) for x in lines], "json string"), landing, "shopify", "orders", "r1")
+        part = etl.run_pipeline(spark, landing, tables, runs, key_mode=mode, limit=2)
+        assert (part["new_orders"], part["rejected_records"]) == (2, 0)
+        whole = etl.run_pipeline(spark, landing, tables, runs, key_mode=mode)
+        assert (whole["new_orders"], whole["rejected_records"]) == (4, 1)
+        assert sorted(r["order_id"] for r in TB.read_table(spark, tables, "orders", SC.ORDERS).collect()) == list("012345")
+        assert etl.run_pipeline(spark, landing, tables, runs, key_mode=mode)["raw_files"] == 0
+
+
 def test_broken_lines_are_set_aside(spark, tmp_dir):
     landing, tables, runs = (os.path.join(tmp_dir, x) for x in ("raw", "tables", "runs"))
     lines = ['{"id": 1, "total_price": "3"}', "{broken", "", "[1, 2]", "17", '{"id": 2}']
