@@ -1,8 +1,8 @@
 """The ETL run - newly landed runs -> normalized batch -> merge -> appended table batch -> run log.
 
-A pipeline run takes the landed runs that no earlier pipeline run has merged,
-in the order in which they landed; with nothing new it reads and writes no
-data. Lines that are no JSON object do not end the run: they are set aside
+A pipeline run takes the landed files that no earlier pipeline run has merged,
+run by run in the order in which they landed; files that reach a merged run later
+are taken by the next pass. With nothing new it reads and writes no data. Lines that are no JSON object do not end the run: they are set aside
 with their text (``<table_root>/_rejected/<entity>``) and counted.
 """
 
@@ -63,11 +63,11 @@ def run_pipeline(spark: SparkSession, landing_root: str, table_root: str, runlog
                 ("products", PRODUCT_SOURCES, SC.PRODUCTS, M.PRODUCT_KEYS, M.PRODUCT_ORDER),
                 ("orders", ORDER_SOURCES, SC.ORDERS, M.ORDER_KEYS, M.ORDER_ORDER)):
             wanted = {p: resource for p, (resource, _, _) in sources.items() if not providers or p in providers}
-            runs = L.list_runs(spark, landing_root, wanted, L.merged_runs(spark, table_root, entity))
-            record["raw_files"] += sum(r.files for r in runs)
+            runs = L.list_runs(spark, landing_root, wanted, L.merged_files(spark, table_root, entity))
+            record["raw_files"] += sum(len(r.paths) for r in runs)
             if not runs:
                 continue
-            # one listing: digests, rejected lines and rows come from the same files even if new ones land meanwhile
+            # the listed files only: digests, rejected lines, rows and marks go by the same ones even if more land meanwhile
             lines = L.read_runs(spark, landing_root, runs)
             seen = L.survey(lines)
             bad = 0 if limit else sum(r["rejected"] for r in seen)

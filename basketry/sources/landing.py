@@ -22,32 +22,41 @@ from ..functions import exprs as X
 from . import files as FS
 
 
+# A landed file below the root.
+_RUN_FILE = r"provider=[^/]+/resource=[^/]+/run_id=[^/]+/[^/]+$"
+
+
 @dataclass(frozen=True)
 class Run:
-    """One landed run of a provider's resource."""
+    """What has newly landed of one run of a provider's resource."""
 
     provider: str
     resource: str
     run_id: str
-    path: str
     landed: int  # modification time of the folder, milliseconds
-    files: int
-
-
-def list_runs(spark: SparkSession, root: str, resources: dict[str, str], skip: set[tuple[str, str]] = frozenset()) -> list[Run]:
-    """Runs of the given provider -> resource pairs, but for the (provider, run_id) pairs in
-    ``skip``, in the order in which they landed. Folder listings only; the files
-    of skipped runs are not looked at."""
+    paths: tuple[str, ...]
+
+
+def list_runs(spark: SparkSession, root: str, resources: dict[str, str], merged: DataFrame | None = None) -> list[Run]:
+    """Runs of the given provider -> resource pairs with those of their files that aren't in ``merged`` (file), in
+    the order in which they landed. No file is opened."""
+    folders = [f"{root.rstrip('/')}/provider={p}/resource={r}" for p, r in resources.items()]
+    folders = [f for f in folders if FS.path_exists(spark, f)]
+    if not folders:
+        return []
+    # the content column isn't selected: Spark only lists the files
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folders) \
+        .select("path", F.regexp_extract("path", _RUN_FILE, 0).alias("file")).where(F.col("file") != "")
+    if merged is not None:
+        files = files.join(merged, "file", "left_anti")
+    by_run: dict[str, list[str]] = {}
+    for r in files.select("path").collect():
+        by_run.setdefault(r["path"].rpartition("/")[0], []).append(r["path"])
     found = []
-    for provider, resource in resources.items():
-        fs, p = FS._fs(spark, f"{root.rstrip('/')}/provider={provider}/resource={resource}")
-        if not fs.exists(p):
-            continue
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.startswith("run_id=") and (provider, name[len("run_id="):]) not in skip:
-                files = sum(not x.getPath().getName().startswith(("_", ".")) for x in fs.listStatus(st.getPath()))
-                found.append(Run(provider, resource, name[len("run_id="):], st.getPath().toString(), st.getModificationTime(), files))
+    for folder, paths in by_run.items():
+        provider, resource, run_id = (part.partition("=")[2] for part in folder.split("/")[-3:])
+        fs, p = FS._fs(spark, folder)
+        found.append(Run(provider, resource, run_id, fs.getFileStatus(p).getModificationTime(), tuple(sorted(paths))))
     return sorted(found, key=lambda r: (r.landed, r.run_id, r.provider))
 
 
@@ -115,11 +124,12 @@ def read_raw(spark: SparkSession, root: str, schema: T.StructType, resource: str
 
 
 def read_runs(spark: SparkSession, root: str, runs: Sequence[Run]) -> DataFrame:
-    """The lines of the given runs: provider, run_id, json, raw_file, _pos and ``_run``, the run's place in the list."""
+    """The lines of the runs' listed files: provider, run_id, json, raw_file, _pos and ``_run``, the run's place in the list."""
     ranks = F.create_map(*[x for i, r in enumerate(runs) for x in (F.lit(f"{r.provider}/{r.run_id}"), F.lit(i))])
-    raw = spark.read.option("basePath", root).text([r.path for r in runs])
-    lines = _lines(raw.withColumn("provider", F.col("provider").cast("string")).withColumn("run_id", F.col("run_id").cast("string")))
-    return lines.withColumn("_run", ranks[F.concat_ws("/", "provider", "run_id")])
+    # text by schema: inferred types would turn run 0017 into 17
+    raw = spark.read.schema("value string, provider string, resource string, run_id string").option("basePath", root) \
+        .text([p for r in runs for p in r.paths])
+    return _lines(raw).withColumn("_run", ranks[F.concat_ws("/", "provider", "run_id")])
 
 
 def survey(lines: DataFrame) -> list:
@@ -145,17 +155,19 @@ def typed_records(lines: DataFrame, schema: T.StructType, stamp: Column, hash_sc
     return _typed(good, schema, hash_scope, ["_pos", "_stamp"], digests)
 
 
-def merged_runs(spark: SparkSession, table_root: str, entity: str) -> set[tuple[str, str]]:
-    """(provider, run_id) of the runs that are in the table already."""
+def merged_files(spark: SparkSession, table_root: str, entity: str) -> DataFrame | None:
+    """(file): the landed files, below the landing's root, whose records are in the table already. Marks
+    without a file (older tables) count for nothing: such runs are merged once more."""
     path = f"{table_root.rstrip('/')}/_merged/{entity}"
     if not FS.path_exists(spark, path):
-        return set()
-    return {(r["provider"], r["run_id"]) for r in spark.read.schema("provider string, run_id string").json(path).collect()}
+        return None
+    return spark.read.schema("file string").json(path).where(F.col("file").isNotNull())
 
 
 def mark_merged(spark: SparkSession, table_root: str, entity: str, runs: Sequence[Run]) -> None:
     """Recorded after the rows are in: a run that fails in between is merged again, which changes nothing."""
-    rows = spark.createDataFrame([(r.provider, r.run_id) for r in runs], "provider string, run_id string")
+    rows = spark.createDataFrame([(r.provider, r.run_id, p) for r in runs for p in r.paths], "provider string, run_id string, path string")
+    rows = rows.select("provider", "run_id", F.regexp_extract("path", _RUN_FILE, 0).alias("file"))
     FS.append_json_lines(rows.coalesce(1), f"{table_root.rstrip('/')}/_merged/{entity}")
 
 

@@ -159,6 +159,27 @@ def test_a_limited_pass_takes_nothing_from_the_next_one(spark, tmp_dir):
         assert etl.run_pipeline(spark, landing, tables, runs, key_mode=mode)["raw_files"] == 0
 
 
+def test_files_that_reach_a_merged_run_later_are_taken(spark, tmp_dir, monkeypatch):
+    landing, tables, runs = (os.path.join(tmp_dir, x) for x in ("raw", "tables", "runs"))
+    order = lambda i: _json_df(spark, [{"id": i, "total_price": str(i)}])
+    passes = lambda: etl.run_pipeline(spark, landing, tables, runs, key_mode="triple")
+    L.write_raw(order(1), landing, "shopify", "orders", "0017")
+    assert passes()["new_orders"] == 1
+    L.write_raw(order(2), landing, "shopify", "orders", "0017")
+    merge = etl.T.merge_into
+
+    def late(*args, **kwargs):                                  # one more file while the pass is at work
+        L.write_raw(order(3), landing, "shopify", "orders", "0017")
+        return merge(*args, **kwargs)
+
+    with monkeypatch.context() as m:
+        m.setattr(etl.T, "merge_into", late)
+        assert passes()["new_orders"] == 1
+    assert passes()["new_orders"] == 1 and passes()["raw_files"] == 0
+    rows = TB.read_table(spark, tables, "orders", SC.ORDERS).collect()
+    assert sorted(r["order_id"] for r in rows) == ["1", "2", "3"] and all(r["ingested_at"] for r in rows)
+
+
 def test_broken_lines_are_set_aside(spark, tmp_dir):
     landing, tables, runs = (os.path.join(tmp_dir, x) for x in ("raw", "tables", "runs"))
     lines = ['{"id": 1, "total_price": "3"}', "{broken", "", "[1, 2]", "17", '{"id": 2}']
