@@ -47,7 +47,8 @@ class TokenBytes:
     """Ids of whole texts as little-endian unsigned 32-bit bytes.
 
     Equal words are tokenized once per worker: a text without repeated spaces falls apart at its spaces into parts
-    whose ids simply follow one another; any other text is split by the pattern as a whole.
+    whose ids simply follow one another; any other text is split by the pattern as a whole. ``document`` gives the tokenizer's
+    ids of a whole text, ``encode`` those of a text that stands between added tokens.
     """
 
     def __init__(self, path: str):
@@ -59,6 +60,11 @@ class TokenBytes:
         self.alphabet = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
         self.words = Cache(self.word)
         self.parts = Cache(self.part)
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.added = {t.content: i.to_bytes(4, "little") for i, t in added.items()}
+        # tokens that look at what stands around them are left to the tokenizer
+        self.plain = not any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in added.values())
+        self.marker = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")")
 
     def word(self, word: str) -> bytes:
         """Ids of what the pattern matches as one."""
@@ -83,6 +89,13 @@ class TokenBytes:
         out = self.split(first)
         return out + b"".join(map(self.parts.__getitem__, rest.split(" "))) if space else out
 
+    def document(self, text: str) -> bytes:
+        if not any(map(text.__contains__, self.added)):
+            return self.encode(text)
+        if not self.plain:
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return b"".join(self.added[part] if i % 2 else self.encode(part) for i, part in enumerate(self.marker.split(text)))
+
 
 _LOADED: dict[str, TokenBytes] = {}
 
@@ -102,7 +115,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
         coder = token_bytes(public_tokenizers.path(tokenizer))
         out: dict[str, list] = {"doc_id": [], "start": [], "length": [], "ids_crc32": [], "doc_tokens": []}
         for doc_id, raw in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
-            ids = memoryview(coder.encode(raw.decode()) + end)
+            ids = memoryview(coder.document(raw.decode()) + end)
             n = len(ids) // 4
             for start in range(0, n, capacity):
                 part = ids[4 * start:4 * (start + capacity)]

@@ -90,3 +90,13 @@ def test_odd_rows(spark, tok):
     assert len({(r.sequence_id, r.offset) for r in twice}) == len(twice)
     assert packing.pack(df.limit(0)).count() == 0
     assert sorted(map(str, twice)) == sorted(map(str, packing.pack(df.union(df)).collect()))
+
+
+def test_added_tokens_as_the_tokenizer_is_loaded(spark):
+    as_loaded = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert as_loaded.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
+    rng = random.Random(2)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>  x", "a b<|endoftext|>", "<|endoftext| <|<|endoftext|>|>", "endoftext", "no marker here",
+             "w <|endoftext|> " * 900, *("".join(rng.choice(["<|endoftext|>", " ", "\n", "a", "b's", ".", "é"]) for _ in range(30)) for _ in range(60))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    check(packing.pack(df).collect(), list(enumerate(texts)), as_loaded)
