@@ -2,8 +2,9 @@
 
 Each source's documents lie on a line in a seeded order, their words cut into blocks of ``block_words`` words (the last may be shorter). A
 source with target t has quotients t / (2k + 1), k = 0, 1, ...; blocks go to the highest quotients, down to half a block.
-That is floor(t / block_words + 1/2) blocks, whatever the number of blocks, and the same holds at every shard's end,
-which gives each shard its integer quota. The quota is then taken from the line, from a seeded block on, around the line as often as needed.
+That is floor(t / block_words + 1/2) blocks, whatever the number of blocks. The quota is then taken from the line as one run, from a seeded
+block on, around the line as often as needed. The same closed form at every shard's end gives the shards' integer quotas
+(``quotas``); ``mix`` and ``mixed`` don't use them.
 """
 
 from __future__ import annotations
