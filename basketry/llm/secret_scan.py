@@ -64,12 +64,12 @@ def substrings(text: Column, spans: Column) -> Column:
     return F.transform(spans, lambda s: F.substring(text, s["start"] + 1, s["end"] - s["start"]))
 
 
-def train(docs: DataFrame, bound: int, seed: int, smooth: float) -> list[int]:
+def train(docs: DataFrame, bound: int | None, seed: int, smooth: float) -> list[int]:
     """Log-likelihood ratios (random over ordinary, hundredths of a nat) of all transitions, row by row of ALPHABET.
 
-    Samples come from about ``bound`` documents at most; the counts are two numbers for each pair of characters.
+    The transitions of all documents are counted, two numbers for each pair of characters; a ``bound`` takes about that many documents.
     """
-    sample = bounded_share(docs, "doc_id", bound, seed).withColumn("_base", base_spans(F.col("text")))
+    sample = (docs if bound is None else bounded_share(docs, "doc_id", bound, seed)).withColumn("_base", base_spans(F.col("text")))
     base = F.col("_base")
     # a rule's value is the end of its match: the run of token characters that closes it
     secret = F.transform(substrings(F.col("text"), base), lambda m: F.regexp_extract(m, r"([A-Za-z0-9+/_=-]+)[^A-Za-z0-9+/_=-]*$", 1))
@@ -106,7 +106,7 @@ def joined(spans: Column) -> Column:
         ":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_ratio: int = 1000, bound: int = 20_000,
+def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_ratio: int = 1000, bound: int | None = None,
          smooth: float = 0.5, seed: int = 5) -> DataFrame:
     """``docs`` with _base and _all: sorted arrays of (start, kind, end) spans, code points, end exclusive.
 

@@ -76,3 +76,11 @@ def test_odd_rows(spark):
         by.setdefault(r.doc_id, r.text)
     assert by[1] is None and by[7] == rows[8][1]
     assert by[4] == "é😀 [redacted]' [redacted] tail" and by[5] == "[redacted] " * 300
+
+
+def test_transitions_of_all_documents_are_counted(spark, monkeypatch):
+    seen, ratios = [], S.ratios
+    monkeypatch.setattr(S, "ratios", lambda counts, smooth: seen.append(counts) or ratios(counts, smooth))
+    docs = spark.range(20_500).select(F.col("id").alias("doc_id"), F.lit("see abcdefghijklmnopqrstuvwx here").alias("text"))
+    S.scan(docs)
+    assert seen[0][(0, "ab")] == 20_500
