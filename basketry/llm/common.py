@@ -56,6 +56,21 @@ def map_texts(df: DataFrame, text: str, schema: str,
     return df.mapInArrow(run, schema)
 
 
+def finite_vector(vector: Column) -> Column:
+    """True unless the vector is null or has a null or non-finite component."""
+    finite = F.forall(vector, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != F.lit(float("inf"))))
+    return vector.isNotNull() & F.coalesce(finite, F.lit(False))
+
+
+def lookup(rows: DataFrame, entries: DataFrame, on: dict[str, str], bound: int = 100_000) -> DataFrame:
+    """Inner join of ``rows`` with ``entries`` (a written table), column -> key of the entries, nulls alike; the entries' keys go.
+
+    Up to ``bound`` entries are broadcast, after counting them. More are joined by a shuffle, where adaptive execution splits the rows of a frequent key.
+    """
+    same = [rows[c].eqNullSafe(entries[k]) for c, k in on.items()]
+    return rows.join(F.broadcast(entries) if entries.count() <= bound else entries, same).drop(*on.values())
+
+
 def crc_class(id_col: str, mod: int) -> Column:
     """crc32 of the id as text, modulo ``mod``; a null id counts as empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), F.lit(mod))

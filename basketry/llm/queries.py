@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import ann, langid, merkle, mixing, packing, quality, secret_scan, sharding, simhash, toxicity
+from . import ann, hard_negatives, langid, merkle, mixing, packing, quality, quality_rules, secret_scan, sharding, simhash, toxicity, vector_codes
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,3 +127,76 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op1_hnsw_neighbours")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.neighbours(table(spark, sf_dir, "embeddings"))
+
+
+@register("op11_quality_rules")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
+def _nearest(books: str) -> str:
+    """Each part's nearest entry of ``books``; a distance and an entry are one number, so ties go to the lower entry."""
+    return f"""
+  SELECT rid, p.part, p.x, min(list_sum(list_transform(list_zip(p.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::HUGEINT * 64 + b.entry) AS best
+  FROM p JOIN {books} b ON p.part = b.part GROUP BY rid, p.part, p.x"""
+
+
+def _means(assigned: str, books: str) -> str:
+    """Floored means of the parts of each entry; unused entries stay."""
+    floored = ", ".join(f"sum(x[{i}])::BIGINT AS s{i}" for i in range(1, 5))
+    mean = ", ".join(f"(s{i} - ((s{i} % n) + n) % n) // n" for i in range(1, 5))
+    return f"""
+  SELECT b.part, b.entry, coalesce(m.x, b.x) AS x
+  FROM {books} b LEFT JOIN (SELECT part, entry, [{mean}] AS x
+                            FROM (SELECT part, (best % 64)::INT AS entry, count(*) AS n, {floored} FROM {assigned} GROUP BY ALL)) m
+  ON b.part = m.part AND b.entry = m.entry"""
+
+
+OP12_SQL = f"""
+WITH k AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS rid, vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT rid, part, v[4 * part + 1:4 * part + 4] AS x FROM k, range(16) r(part)),
+b0 AS (SELECT part, (rid - 1)::INT AS entry, x FROM p WHERE rid <= 64),
+a1 AS ({_nearest('b0')}),
+b1 AS ({_means('a1', 'b0')}),
+a2 AS ({_nearest('b1')}),
+b2 AS ({_means('a2', 'b1')}),
+a3 AS ({_nearest('b2')}),
+coded AS (
+  SELECT rid, string_agg(printf('%02x', (best % 64)::INT), '' ORDER BY part) AS code, sum(best // 64)::BIGINT AS error FROM a3 GROUP BY rid),
+digest AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b2)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM k JOIN coded USING (rid) CROSS JOIN digest
+"""
+
+
+@register("op12_vector_codes", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+OP13_SQL = """
+WITH k AS (
+  SELECT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END)::BIGINT AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS alike, list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM k a JOIN k b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+pos AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id))::INT AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM pos JOIN s USING (anchor_id)
+WHERE NOT alike AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+
+@register("op13_hard_negatives", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(v.select("vec_id", "embedding", moved.alias("label")))
