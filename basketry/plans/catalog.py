@@ -1132,3 +1132,7 @@ def q_etl_successive_runs(spark, d):
     etl.run_pipeline(spark, landing, tables, log, key_mode="pair")
     etl.run_pipeline(spark, landing, tables, log, key_mode="pair")
     return TB.read_table(spark, tables, "orders", SC.ORDERS).select("order_id", "total_price")
+
+
+# tables kept up to date batch by batch; registered on import
+from . import table_queries  # noqa: E402, F401
