@@ -6,10 +6,14 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import merge as M
+from ..operators.quality import Rule
 from ..session import ensure_checkpoint_dir
 from ..sources import history as HT
+from ..sources import quarantine as QT
+from ..sources import tables as TB
 from . import views as V
 from .catalog import register
 
@@ -42,3 +46,53 @@ def q_scd_orders(spark: SparkSession, d: str) -> DataFrame:
     for batch in (first, third, second, first, second):
         HT.append(spark, root, "orders", batch, keys, "ingested_at", ["total_price", "financial_status"], ["raw_hash"])
     return HT.read(spark, root, "orders", keys)
+
+
+ORDER_ROWS = T.StructType().add("source", "string").add("order_id", "string").add("created_at", "timestamp_ntz").add("total_price", "double").add(
+    "financial_status", "string").add("raw_hash", "string").add("ingested_at", "timestamp_ntz")
+# Fixed rules of the checked order feed.
+FEED_RULES = [Rule("status_enum", "financial_status", "enum", ("F", "O")), Rule("total_minimum", "total_price", "minimum", 2000.0)]
+
+
+@register("orders_quarantine", "§2.11 quarantine", f"""
+WITH v AS ({V.MERGE_EXISTING_SQL} UNION ALL {V.MERGE_BATCH_SQL}),
+checked AS (
+  SELECT *, concat_ws(',', CASE WHEN financial_status NOT IN ('F', 'O') THEN 'status_enum' END, CASE WHEN total_price < 2000 THEN 'total_minimum' END) AS violations
+  FROM v),
+good AS (
+  SELECT * FROM checked WHERE violations = '' QUALIFY row_number() OVER (PARTITION BY source, order_id ORDER BY ingested_at DESC) = 1),
+bad AS (
+  SELECT source, order_id, total_price, financial_status, violations, max(ingested_at) AS ingested_at FROM checked WHERE violations <> '' GROUP BY ALL),
+mended AS (
+  SELECT source, order_id, total_price AS old_price, violations, ingested_at,
+         CASE WHEN total_price < 2000 AND financial_status = 'F' THEN 2000.0 ELSE total_price END AS total_price,
+         CASE WHEN financial_status = 'P' THEN 'O' ELSE financial_status END AS financial_status
+  FROM bad),
+replayed AS (
+  SELECT m.* FROM mended m LEFT JOIN good g ON m.source = g.source AND m.order_id = g.order_id
+  WHERE m.total_price >= 2000 AND (g.ingested_at IS NULL OR g.ingested_at <= m.ingested_at)
+  QUALIFY row_number() OVER (PARTITION BY m.source, m.order_id ORDER BY m.ingested_at DESC) = 1)
+SELECT 'replayed' AS place, source, order_id, total_price, financial_status, ingested_at, '' AS violations FROM replayed
+UNION ALL
+SELECT 'table', source, order_id, total_price, financial_status, ingested_at, '' FROM good
+WHERE NOT EXISTS (SELECT 1 FROM replayed r WHERE r.source = good.source AND r.order_id = good.order_id)
+UNION ALL
+SELECT 'quarantine', b.source, b.order_id, b.total_price, b.financial_status, b.ingested_at, b.violations
+FROM bad b JOIN mended m ON b.source = m.source AND b.order_id = m.order_id AND b.ingested_at = m.ingested_at AND b.total_price = m.old_price
+WHERE m.total_price < 2000""")
+def q_orders_quarantine(spark: SparkSession, d: str) -> DataFrame:
+    """Three checked deliveries, then a replay: pending orders become open ones, cheap final ones cost the minimum; other cheap ones stay in quarantine."""
+    root, keys = _folder(spark, "quarantine"), M.ORDER_KEYS
+    for n, batch in enumerate(_loads(spark, d)):
+        QT.merge_checked(spark, root, "orders", ORDER_ROWS, batch, "pair", keys, "ingested_at", FEED_RULES, f"load-{n}", most=0.5)
+    before = max(TB.batches(spark, root, "orders"))
+    status, price = F.col("financial_status"), F.col("total_price")
+    mended = QT.quarantined(spark, root, "orders", ORDER_ROWS).withColumns({
+        "total_price": F.when((price < 2000) & (status == "F"), 2000.0).otherwise(price), "financial_status": F.when(status == "P", "O").otherwise(status)})
+    QT.replay(spark, root, "orders", ORDER_ROWS, mended, "pair", keys, "ingested_at", FEED_RULES)
+    cols = ["source", "order_id", "total_price", "financial_status", "ingested_at"]
+    now = M.latest_per_key(TB._stored(spark, root, "orders", ORDER_ROWS).drop("mode"), keys, ["batch"])
+    kept = now.select(
+        F.when(F.col("batch") > before, "replayed").otherwise("table").alias("place"), *cols, F.lit("").alias("violations"))
+    return kept.unionByName(QT.quarantined(spark, root, "orders", ORDER_ROWS).select(
+        F.lit("quarantine").alias("place"), *cols, F.concat_ws(",", "violations").alias("violations")))

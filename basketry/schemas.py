@@ -69,7 +69,7 @@ RAW_SHOPIFY_ORDER = _struct(
 RUN_LOG = _struct(
     ("run_id", S), ("started_at", TS), ("finished_at", TS), ("status", S), ("raw_files", I),
     ("new_products", L), ("new_orders", L), ("updated_products", L), ("updated_orders", L),
-    ("providers", T.ArrayType(S)), ("rejected_records", L))
+    ("providers", T.ArrayType(S)), ("rejected_records", L), ("quarantined_records", L))
 
 ASSET_MANIFEST = _struct(
     ("path", S), ("format", S), ("variant", S), ("size_bytes", L), ("width", I), ("height", I), ("sha256", S))
