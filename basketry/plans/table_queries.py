@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from ..operators import merge as M
 from ..operators.quality import Rule
 from ..session import ensure_checkpoint_dir
+from ..sources import daily as DT
 from ..sources import history as HT
 from ..sources import quarantine as QT
 from ..sources import tables as TB
@@ -96,3 +97,27 @@ def q_orders_quarantine(spark: SparkSession, d: str) -> DataFrame:
         F.when(F.col("batch") > before, "replayed").otherwise("table").alias("place"), *cols, F.lit("").alias("violations"))
     return kept.unionByName(QT.quarantined(spark, root, "orders", ORDER_ROWS).select(
         F.lit("quarantine").alias("place"), *cols, F.concat_ws(",", "violations").alias("violations")))
+
+
+@register("daily_aggregates_incremental", "§2.11 daily tables", f"""
+WITH v AS ({V.MERGE_EXISTING_SQL} UNION ALL {V.MERGE_BATCH_SQL}),
+o AS (
+  SELECT source, CAST(created_at AS DATE) AS day, total_price, CAST(floor(CAST(CAST(total_price AS VARCHAR) AS DECIMAL(38,6)) * 100) AS BIGINT) AS units
+  FROM v QUALIFY row_number() OVER (PARTITION BY source, order_id ORDER BY ingested_at DESC) = 1),
+b AS (
+  SELECT *, CAST(10 ** greatest(len(CAST(units AS VARCHAR)) - 3, 0) AS BIGINT) AS width FROM o),
+ranked AS (
+  SELECT day, source, CASE WHEN width > 1 THEN (units - units % width + width / 2.0) / 100 ELSE units / 100.0 END AS mid,
+         row_number() OVER (PARTITION BY day, source ORDER BY units - units % width) AS r, count(*) OVER (PARTITION BY day, source) AS n
+  FROM b)
+SELECT s.*, gmv / n_orders AS aov, q.p50, q.p90
+FROM (SELECT day, source, count(*) AS n_orders, CAST(sum(CAST(CAST(total_price AS VARCHAR) AS DECIMAL(38,6))) AS DOUBLE) AS gmv FROM o GROUP BY day, source) s
+JOIN (SELECT day, source, max(CAST(mid AS DOUBLE)) FILTER (WHERE r = ceil(n * 0.5)) AS p50, max(CAST(mid AS DOUBLE)) FILTER (WHERE r = ceil(n * 0.9)) AS p90
+      FROM ranked GROUP BY day, source) q USING (day, source)""")
+def q_daily_aggregates_incremental(spark: SparkSession, d: str) -> DataFrame:
+    """Daily states of the order table after three deliveries, brought up to date after each."""
+    root, keys = _folder(spark, "daily"), M.ORDER_KEYS
+    for batch in _loads(spark, d):
+        TB.merge_into(spark, root, "orders", ORDER_ROWS, batch, "pair", keys, "ingested_at")
+        DT.update(spark, root, "orders", "orders_daily", ORDER_ROWS, keys, "created_at", "total_price")
+    return DT.read(spark, root, "orders_daily", ORDER_ROWS)
