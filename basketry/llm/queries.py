@@ -45,7 +45,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP4_SQL = r"""
 WITH d AS (
-  SELECT doc_id, source, substr(md5('4:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS k,
+  SELECT doc_id, source, substr(md5('4:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))), 1, 15) AS k,
          coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
   FROM documents),
 lines AS (
@@ -60,21 +60,34 @@ steps AS (
   FROM sources),
 levels AS (SELECT max(level) AS level FROM steps WHERE cap > level * w),
 goal AS (
-  SELECT source, source_size, CASE WHEN l.level IS NULL OR cap <= l.level * w THEN cap ELSE l.level * w END AS target,
-         ceil(source_size / 16)::BIGINT AS blocks
+  SELECT source, source_size, row_number() OVER (ORDER BY source NULLS LAST) AS nth, source_size >= 16 AS big,
+         CASE WHEN l.level IS NULL OR cap <= l.level * w THEN cap ELSE l.level * w END AS target
   FROM steps CROSS JOIN levels l),
-quota AS (
-  SELECT *, floor(target / 16 + 0.5)::BIGINT AS quota,
-         ('0x' || substr(md5('4:' || coalesce(source, '')), 1, 12))::BIGINT % greatest(blocks, 1) AS first
-  FROM goal),
+total AS (SELECT count(*) AS m, floor(sum(target::DECIMAL(38,6))::DOUBLE / 16 + 0.5)::BIGINT AS seats FROM goal WHERE big),
+-- every seat by itself, highest quotient first
+seat AS (
+  SELECT nth, row_number() OVER (ORDER BY target / (2 * k - 1) DESC, nth, k) - 1 AS seat
+  FROM (SELECT nth, target, unnest(range(1, (target / 16)::BIGINT + m + 3)) AS k FROM goal, total WHERE big)),
+upto AS (
+  SELECT g.nth, j, CASE WHEN big THEN (SELECT count(*) FROM seat s WHERE s.nth = g.nth AND s.seat < j * seats // 8) WHEN j = 8 THEN 1 ELSE 0 END AS a
+  FROM goal g, total, range(9) r(j)),
+words AS (
+  SELECT g.*, least(CASE WHEN big THEN 16 * u.a ELSE floor(target + 0.5)::BIGINT END, 3 * source_size) AS words, greatest(u.a, 1) AS seats
+  FROM goal g JOIN upto u ON g.nth = u.nth AND u.j = 8),
 plan AS (
-  SELECT *, quota // greatest(blocks, 1) AS rounds, quota - quota // greatest(blocks, 1) * blocks AS more FROM quota),
+  SELECT *, coalesce(words // nullif(source_size, 0), 0) AS rounds, words - coalesce(words // nullif(source_size, 0), 0) * source_size AS rest FROM words),
+stretch AS (
+  SELECT p.nth, source, rest, a0.j, (rest * a0.a) // seats AS r0, (rest * (CASE WHEN a0.j = 7 THEN seats ELSE a1.a END)) // seats AS r1, source_size
+  FROM plan p JOIN upto a0 ON p.nth = a0.nth AND a0.j < 8 JOIN upto a1 ON p.nth = a1.nth AND a1.j = a0.j + 1 WHERE rest > 0),
+cut AS (
+  SELECT *, source_size * r0 // rest AS e0, source_size * r1 // rest - source_size * r0 // rest AS len, r1 - r0 AS take FROM stretch),
+started AS (
+  SELECT *, 16 * (('0x' || substr(md5('4:' || coalesce(source, '') || ':' || j), 1, 12))::BIGINT % greatest(ceil(len / 16.0)::BIGINT, 1)) AS u FROM cut),
 runs AS (
-  SELECT *, least(first * 16, source_size) AS a0, least(least(first + more, blocks) * 16, source_size) AS a1,
-         least(greatest(first + more - blocks, 0) * 16, source_size) AS b1 FROM plan)
+  SELECT nth, e0 + u AS lo, e0 + least(u + take, len) AS hi FROM started UNION ALL SELECT nth, e0, e0 + greatest(u + take - len, 0) FROM started)
 SELECT doc_id, size, source_size, target,
-       (rounds * size + greatest(0, least(start + size, a1) - greatest(start, a0)) + greatest(0, least(start + size, b1) - start))::BIGINT AS taken
-FROM lines JOIN runs ON lines.source IS NOT DISTINCT FROM runs.source
+       (rounds * size + coalesce((SELECT sum(greatest(0, least(start + size, hi) - greatest(start, lo))) FROM runs r WHERE r.nth = plan.nth), 0))::BIGINT AS taken
+FROM lines JOIN plan ON lines.source IS NOT DISTINCT FROM plan.source
 """
 
 

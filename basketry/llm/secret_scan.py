@@ -136,9 +136,13 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **opti
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask: str = "[redacted]", length_col: str = "n_chars", **options) -> DataFrame:
     """``docs`` with every span replaced by ``mask`` (overlapping spans by one). Rows without spans are untouched;
-    ``length_col``, if there, is counted anew for the others."""
-    names = docs.columns
-    found = find(docs, id_col, text_col, **options)
+    ``length_col``, if there, is counted anew for the others.
+
+    Null and empty texts stay as they are, very long ones are scanned whole, repeated rows are treated alike, null ids make no difference, an
+    empty table gives an empty result. Columns may have any name and type: the row travels as one value.
+    """
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    found = find(rows, "doc_id", "text", **options)
     text = F.col("_text")
 
     def step(acc, s):
@@ -149,8 +153,9 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask
     kept = F.aggregate("_all", F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")), step,
                        lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text))))
     hit = F.size("_all") > 0
-    found = found.withColumn("_new", F.when(hit, kept).otherwise(F.col(f"`{text_col}`")))
-    new = {text_col: F.col("_new")}
-    if length_col in names:
-        new[length_col] = F.when(hit, F.length("_new")).otherwise(F.col(f"`{length_col}`"))
-    return found.select(*(new[n].alias(n) if n in new else F.col(f"`{n}`") for n in names))
+    of = lambda c: F.col("row").getField(c)
+    found = found.select("row", hit.alias("hit"), F.when(hit, kept).otherwise(of(text_col)).alias("new"))
+    new = {text_col: F.col("new")}
+    if length_col in docs.columns:
+        new[length_col] = F.when(F.col("hit"), F.length("new")).otherwise(of(length_col)).cast(docs.schema[length_col].dataType)
+    return found.select(*(new.get(c, of(c)).alias(c) for c in docs.columns))

@@ -236,13 +236,18 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     block_codes: int = 16384) -> DataFrame:
     """One row of ``docs`` for each component: the one with the smallest doc_id (null ids last), of rows with that id the one with the smallest row hash.
 
-    Rows that are alike in every column count as one.
+    Rows that are alike in every column count as one. Null, empty and white-space texts are one component; very long texts are hashed whole; an
+    empty table gives an empty result. Columns may have any name and type: the row travels as one value.
     """
-    named = docs.withColumn("_row", F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns)))
-    marked = materialize(fingerprints(named, id_col, text_col, words, F.col("_row")))
+    # maps and variants have no hash of their own
+    hashed = [F.to_json(F.struct(F.col(f"`{f.name}`"))) if any(k in f.dataType.simpleString() for k in ("map<", "variant")) else F.col(f"`{f.name}`")
+              for f in docs.schema.fields]
+    rows = docs.select(F.xxhash64(*hashed).alias("row_hash"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+                       F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    marked = materialize(fingerprints(rows, "doc_id", "text", words, F.col("row_hash")))
     first = classes(marked, radius, block_codes).where(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("row") == F.col("first.row")))
     key = lambda c: F.coalesce(c, F.lit(-1))
-    kept = first.select(key(F.col("doc_id")).alias("_id"), F.col("row").alias("_row")).distinct()
-    found = named.withColumn("_id", key(F.col(f"`{id_col}`").cast("long"))).join(kept, ["_id", "_row"])
-    nth = F.row_number().over(Window.partitionBy("_id", "_row").orderBy(F.lit(0)))
-    return found.withColumn("_nth", nth).where("_nth = 1").select(*(f"`{c}`" for c in docs.columns))
+    kept = first.select(key(F.col("doc_id")).alias("key"), F.col("row").alias("row_hash")).distinct()
+    found = rows.select(key(F.col("doc_id")).alias("key"), "row_hash", "row").join(kept, ["key", "row_hash"])
+    nth = F.row_number().over(Window.partitionBy("key", "row_hash").orderBy(F.lit(0)))
+    return found.withColumn("nth", nth).where("nth = 1").select(*(F.col("row").getField(c).alias(c) for c in docs.columns))

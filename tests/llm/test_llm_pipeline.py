@@ -93,12 +93,20 @@ def test_run_is_the_stages(spark, steps):
     assert key(corpus_pipeline.run(spark, SF).collect()) == key(steps["packing"][1].collect())
 
 
+# user columns with the stages' internal names, in other cases, and of a type without order or hash
+OWN = ["_nth", "_mark", "_c", "_new", "_text", "_base", "_ALL", "_id", "_row", "row", "row_hash", "nr", "key", "copies", "fp", "hit", "nth", "Tags"]
+WANT = [{"k": 1} if n == "Tags" else n for n in OWN]
+
+
 def test_odd_rows_through_all_stages(spark):
     rows = [(1, None, None, "a", None), (2, "", "en", None, 0), (3, "same text here", None, "a", 14), (3, "same text here", None, "a", 14),
             (None, "same text here", "en", "b", 14), (None, "other words entirely", "en", "b", 20), (5, "word " * 30000, "en", "a", 150000)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumn("_nth", F.lit("x"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumns(
+        {n: F.create_map(F.lit("k"), F.lit(1)) if n == "Tags" else F.lit(n) for n in OWN})
     for name, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
+        if name != "packing":
+            assert all([r[c] for c in OWN] == WANT for r in docs.collect())
         if name == "simhash_neardup":
             assert sorted((r.doc_id or 0) for r in docs.collect()) == [0, 1, 3, 5]
     assert docs.count() > 0

@@ -68,9 +68,11 @@ def test_odd_rows(spark):
     weights = S.train(df.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), 20_000, 5, 0.5)
     check(S.scan(df).collect(), rows, weights)
     assert S.scan(df.limit(0)).count() == 0
-    clean = S.redact(df.select("doc_id", "text", "spans")).collect()
-    for r, want in zip(sorted(clean, key=str), sorted(clean, key=str), strict=True):
-        assert r.spans == "c"
+    own = {"_text": F.lit("t"), "_all": F.lit(1), "_free": F.lit(2), "_New": F.lit(3), "row": F.lit("r"), "hit": F.lit(4), "tags": F.create_map(F.lit("k"), F.lit(1))}
+    clean = S.redact(df.withColumns(own)).collect()
+    assert len(clean) == len(rows)
+    for r in clean:
+        assert (r._base, r.spans, r._text, r._all, r._free, r._New, r.row, r.hit, r.tags) == (9, "c", "t", 1, 2, 3, "r", 4, {"k": 1})
     by = {}
     for r in clean:
         by.setdefault(r.doc_id, r.text)
