@@ -81,6 +81,8 @@ def with_na_tokens(df: DataFrame) -> DataFrame:
 
 
 def clean(df: DataFrame, rule: CleanRule) -> DataFrame:
+    """Apply ``rule``. Rows are compared with the types that ``df`` has: as text where it holds text, by value where it was typed
+    (``files.cast_types``), so that 2.5 and 2.50 of a number column are one row."""
     _require(df, rule.required + rule.dates + rule.numerics + rule.positive)
     # rows without a required value go first: the same rows remain, and fewer are shuffled to find repeats
     df = with_na_tokens(df).na.drop(how="any", subset=list(rule.required)).dropDuplicates()
@@ -90,7 +92,7 @@ def clean(df: DataFrame, rule: CleanRule) -> DataFrame:
     conv.update({c: X.safe_double(c) for c in nums})
     fills = {c for c in rule.fill_unknown if c in df.columns}
     df = df.select(*[conv[c].alias(c) if c in conv else
-                     (F.coalesce(F.col(c), F.lit(UNKNOWN)).alias(c) if c in fills else F.col(c))
+                     (F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN)).alias(c) if c in fills else F.col(c))
                      for c in df.columns])
     for c in rule.positive:
         df = df.where(F.col(c) > 0)
@@ -105,15 +107,17 @@ def read_raw_csv(spark: SparkSession, path: str, multiline: bool = False) -> Dat
 
 def run_cleaning(spark: SparkSession, in_dir: str, out_dir: str, rules: dict[str, CleanRule] | None = None,
                  fmt: str = "csv") -> DataFrame:
-    """Clean every dataset found in ``in_dir``; a failing dataset does not stop
+    """Clean every dataset found in ``in_dir``, its columns typed by what all rows hold; a failing dataset does not stop
     the others. Returns one status row per dataset (C8, S5, S6)."""
+    from ..sources.files import cast_types, infer_types
     rules = rules or RULES
     status = []
     for rule in rules.values():
         src = f"{in_dir.rstrip('/')}/{rule.file_name}"
         dst = f"{out_dir.rstrip('/')}/{rule.file_name.replace('.csv', '_clean')}"
         try:
-            out = clean(read_raw_csv(spark, src, rule.multiline), rule)
+            raw = read_raw_csv(spark, src, rule.multiline)
+            out = clean(cast_types(raw, infer_types(raw)), rule)
             if fmt == "csv":
                 from ..sources.files import write_csv
                 write_csv(out, dst)

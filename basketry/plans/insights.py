@@ -4,6 +4,8 @@ guard). Returns named DataFrames; ``export_dir`` writes the enriched tables."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import features as FE
@@ -11,6 +13,7 @@ from ..operators import kpis as K
 from ..operators import quality as QA
 from ..operators import runlog as RL
 from ..sources import files as FS
+from ..sources import snapshots as SS
 
 # Fixed feature columns the validation step expects (Q3).
 EXPECTED_PRODUCT_FEATURES = ["price_num", "source_freq"]
@@ -18,7 +21,10 @@ EXPECTED_ORDER_FEATURES = ["order_value_num"]
 
 
 def run_insights(spark: SparkSession, products: DataFrame, orders: DataFrame, run_log: DataFrame | None = None,
-                 text_root: str | None = None, export_dir: str | None = None) -> dict[str, DataFrame]:
+                 text_root: str | None = None, export_dir: str | None = None, snapshot_root: str | None = None,
+                 run_id: str | None = None, table_root: str | None = None) -> dict[str, DataFrame]:
+    """``snapshot_root``: where the tables' schemas are kept; they are compared with the last successful run's, and replaced at the end.
+    ``table_root``: the tables' files, fingerprinted."""
     out: dict[str, DataFrame] = {
         "product_quality": K.product_quality(products),
         "top_categories": K.top_values(products, "category", 10, null_label="<null>"),
@@ -45,4 +51,9 @@ def run_insights(spark: SparkSession, products: DataFrame, orders: DataFrame, ru
     if export_dir is not None:
         FS.write_enriched(products_enriched, f"{export_dir.rstrip('/')}/products_enriched")
         FS.write_enriched(orders_enriched, f"{export_dir.rstrip('/')}/orders_enriched")
+    if table_root is not None:
+        out["table_fingerprints"] = QA.file_fingerprints(spark, table_root, "*.parquet")
+    if snapshot_root is not None:
+        now = {"products": QA.schema_snapshot(spark, products), "orders": QA.schema_snapshot(spark, orders)}
+        out["schema_changes"] = SS.keep(spark, snapshot_root, run_id or uuid.uuid4().hex[:12], now)
     return out

@@ -8,13 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators import clean as C
 from ..operators import merge as M
+from ..operators import runlog as RL
 from ..operators.quality import Rule
 from ..session import ensure_checkpoint_dir
 from ..sources import daily as DT
+from ..sources import files as FS
 from ..sources import history as HT
 from ..sources import quarantine as QT
+from ..sources import snapshots as SS
 from ..sources import tables as TB
+from . import dirty_views as DV
 from . import views as V
 from .catalog import register
 
@@ -121,3 +126,72 @@ def q_daily_aggregates_incremental(spark: SparkSession, d: str) -> DataFrame:
         TB.merge_into(spark, root, "orders", ORDER_ROWS, batch, "pair", keys, "ingested_at")
         DT.update(spark, root, "orders", "orders_daily", ORDER_ROWS, keys, "created_at", "total_price")
     return DT.read(spark, root, "orders_daily", ORDER_ROWS)
+
+
+@register("volume_alerts_events", "§2.11 volume alert", """
+WITH d AS (SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS volume FROM events WHERE ts IS NOT NULL GROUP BY ALL),
+pairs AS (
+  SELECT event_type, CAST(day + CAST(k AS INTEGER) AS DATE) AS day, volume FROM d, range(1, 8) r(k) WHERE CAST(day + CAST(k AS INTEGER) AS DATE) <= (SELECT max(day) FROM d)),
+m AS (SELECT event_type, day, quantile_cont(volume, 0.5)::DOUBLE AS median, count(*) AS n_before FROM pairs GROUP BY ALL),
+j AS (
+  SELECT event_type, day, volume, median, coalesce(n_before, 0) AS n_before FROM d FULL JOIN m USING (event_type, day))
+SELECT *, CASE WHEN volume IS NULL THEN 'missing' WHEN n_before < 3 THEN 'new' WHEN volume > 1.25 * median THEN 'spike'
+               WHEN volume < 0.75 * median THEN 'drop' ELSE 'ok' END AS status
+FROM j""")
+def q_volume_alerts_events(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of each event type and day against the median of the seven days before."""
+    e = V.table(spark, d, "events")
+    daily = e.where(F.col("ts").isNotNull()).groupBy("event_type", F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("volume"))
+    return RL.volume_alerts(daily, ["event_type"], high=1.25, low=0.75)
+
+
+def _sale_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Every sale twice, the second time as another program writes it: a trailing zero, a plus sign, spaces."""
+    s = DV.sale_report(spark, d)
+    again = s.select(F.concat(F.lit("+"), "Order_ID").alias("Order_ID"), "Order_Date", F.concat(F.lit(" "), "Sales", F.lit("0")).alias("Sales"), "Profit")
+    return s.unionByName(again)
+
+
+@register("clean_typed_sales", "S3 C1", f"""
+WITH s AS ({DV.SALE_REPORT_SQL}),
+two AS (SELECT * FROM s UNION ALL SELECT '+' || "Order_ID", "Order_Date", ' ' || "Sales" || '0', "Profit" FROM s),
+typed AS (
+  SELECT DISTINCT CAST("Order_ID" AS BIGINT) AS "Order_ID", nullif("Order_Date", '') AS "Order_Date", CAST(trim("Sales") AS DOUBLE) AS "Sales", "Profit" FROM two)
+SELECT "Order_ID", CAST("Order_Date" AS TIMESTAMP) AS "Order_Date", "Sales", TRY_CAST("Profit" AS DOUBLE) AS "Profit"
+FROM typed WHERE "Order_Date" IS NOT NULL""")
+def q_clean_typed_sales(spark: SparkSession, d: str) -> DataFrame:
+    """Types from all rows, then cleaning: 2.5 and 2.50 are one sale; the profit column holds words and stays text until it is coerced."""
+    raw = _sale_lines(spark, d)
+    return C.clean(FS.cast_types(raw, FS.infer_types(raw)), C.RULES["Sale Report"])
+
+
+_NUMBER_SQL = r"regexp_full_match({c}, '[ \t]*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[ \t]*')"
+
+
+def _type_sql(c: str) -> str:
+    return (f"CASE WHEN count({c}) = 0 THEN 'double' WHEN bool_and(regexp_full_match({c}, '[ \\t]*[+-]?[0-9]{{{{1,18}}}}[ \\t]*')) THEN 'bigint' "
+            f"WHEN bool_and({_NUMBER_SQL.format(c=c)}) THEN 'double' ELSE 'string' END").replace("{{", "{").replace("}}", "}")
+
+
+@register("schema_snapshot_extracts", "Q1 S3", f"""
+WITH s AS ({DV.SALE_REPORT_SQL}),
+a AS (SELECT nullif("Order_ID", '') AS id, nullif("Order_Date", '') AS day, nullif("Sales", '') AS sales, nullif("Profit", '') AS profit FROM s),
+old AS (
+  SELECT * FROM (SELECT 0 AS position, 'Order_ID' AS "column", {_type_sql('id')} AS dtype FROM a UNION ALL SELECT 1, 'Order_Date', {_type_sql('day')} FROM a
+                 UNION ALL SELECT 2, 'Sales', {_type_sql('sales')} FROM a UNION ALL SELECT 3, 'Profit', {_type_sql('profit')} FROM a)),
+b AS (SELECT id, sales, profit, id || 'x' AS line FROM a WHERE profit <> 'unknown'),
+new AS (
+  SELECT * FROM (SELECT 0 AS position, 'Order_ID' AS "column", {_type_sql('id')} AS dtype FROM b UNION ALL SELECT 1, 'Sales', {_type_sql('sales')} FROM b
+                 UNION ALL SELECT 2, 'Profit', {_type_sql('profit')} FROM b UNION ALL SELECT 3, 'Line', {_type_sql('line')} FROM b))
+SELECT 'first' AS run_id, "column", 'added' AS change, NULL AS old_dtype, dtype AS new_dtype FROM old
+UNION ALL
+SELECT 'second', "column", CASE WHEN o.dtype IS NULL THEN 'added' WHEN n.dtype IS NULL THEN 'removed' WHEN o.dtype <> n.dtype THEN 'retyped' ELSE 'moved' END,
+       o.dtype, n.dtype
+FROM old o FULL JOIN new n USING ("column") WHERE o.dtype IS DISTINCT FROM n.dtype OR o.position <> n.position""")
+def q_schema_snapshot_extracts(spark: SparkSession, d: str) -> DataFrame:
+    """Two extracts of the sales, typed by their rows: the history of schema changes that the kept snapshots give."""
+    root, first = _folder(spark, "schemas"), DV.sale_report(spark, d)
+    second = first.where("Profit <> 'unknown'").select("Order_ID", "Sales", "Profit", F.concat("Order_ID", F.lit("x")).alias("Line"))
+    for run, extract in (("first", first), ("second", second), ("third", second)):
+        SS.keep(spark, root, run, {"sales": SS.typed_snapshot(spark, FS.infer_types(extract))})
+    return SS.history(spark, root).select("run_id", "column", "change", "old_dtype", "new_dtype")

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import exprs as X
+
 
 # --- Hadoop file system helpers (driver-side metadata only) --------------------
 
@@ -84,6 +86,55 @@ def read_csv_text(spark: SparkSession, path: str, multiline: bool = False) -> Da
         .option("escape", '"').csv(path)
 
 
+# What pandas reads as a truth value, in any of its spellings.
+_TRUTH = "(?i)true|false"
+_WHOLE = r"[ \t]*[+-]?[0-9]+[ \t]*"
+
+
+def infer_types(df: DataFrame) -> dict[str, str]:
+    """Column -> type of a frame of text columns, from all of its rows in one aggregation.
+
+    A column's values are folded up the lattice nothing < whole number < number, nothing < truth value, anything else text: ``bigint`` if all are whole numbers
+    of at most 18 digits, ``double`` if all are numbers (or there is none), ``boolean`` if all are true / false, else ``string``. Missing-value tokens say
+    nothing. Only one row of counts reaches the driver.
+    """
+    text = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
+    counts = []
+    for i, name in enumerate(text):
+        v = X.na_to_null(F.col(f"`{name}`"))
+        whole = v.rlike(f"^{_WHOLE}$") & (F.length(F.regexp_replace(v, "[^0-9]", "")) <= 18)
+        for kind, told in (("n", v.isNotNull()), ("whole", whole), ("number", X.safe_double(v).isNotNull()), ("truth", v.rlike(f"^({_TRUTH})$"))):
+            counts.append(F.count(F.when(told, True)).alias(f"{kind}_{i}"))
+    if not text:
+        return {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    got = df.agg(*counts).first()
+    out = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    for i, name in enumerate(text):
+        n = got[f"n_{i}"]
+        kinds = [("bigint", "whole"), ("double", "number"), ("boolean", "truth")]
+        out[name] = "double" if not n else next((t for t, kind in kinds if got[f"{kind}_{i}"] == n), "string")
+    return out
+
+
+def cast_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """Text columns cast to their inferred types, missing-value tokens as null."""
+    cols = []
+    for f in df.schema.fields:
+        v = F.col(f"`{f.name}`")
+        if f.dataType.simpleString() == "string":
+            v = X.na_to_null(v)
+            t = types.get(f.name, "string")
+            v = X.safe_double(v) if t == "double" else F.trim(v).try_cast(t) if t != "string" else v
+        cols.append(v.alias(f.name))
+    return df.select(*cols)
+
+
+def read_csv_typed(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """S3: header CSV with types inferred from all rows (``infer_types``)."""
+    raw = read_csv_text(spark, path, multiline)
+    return cast_types(raw, infer_types(raw))
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Header CSV with RFC 4180 quoting (quotes doubled, as pandas writes)."""
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
