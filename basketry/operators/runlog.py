@@ -74,8 +74,7 @@ def volume_alerts(volumes: DataFrame, by: Sequence[str], day: str = "day", volum
     before = after.select(*keys, F.date_add("day", F.col("_d")).alias("day"), F.col("volume").alias("_earlier"), F.lit(None).cast(daily.schema["volume"].dataType).alias("volume"))
     own = daily.select(*keys, "day", F.lit(None).cast(daily.schema["volume"].dataType).alias("_earlier"), "volume")
     g = own.unionByName(before).groupBy(*keys, "day").agg(F.sort_array(F.collect_list("_earlier")).alias("_e"), F.max("volume").alias("volume"))
-    last = daily.agg(F.max("day").alias("_last"))
-    g = g.crossJoin(F.broadcast(last)).where(F.col("day") <= F.col("_last"))  # one row
+    g = g.where(F.col("day") <= daily.agg(F.max("day")).scalar())
     n = F.size("_e")
     at = lambda i: F.get("_e", i.cast("int")).cast("double")
     median = F.when(n > 0, (at(F.floor((n - 1) / 2)) + at(F.floor(n / 2))) / 2)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,11 +15,13 @@ from ..operators import runlog as RL
 from ..operators.quality import Rule
 from ..session import ensure_checkpoint_dir
 from ..sources import daily as DT
+from ..sources import dated as DD
 from ..sources import files as FS
 from ..sources import history as HT
 from ..sources import quarantine as QT
 from ..sources import snapshots as SS
 from ..sources import tables as TB
+from ..sources import watermark as WM
 from . import dirty_views as DV
 from . import views as V
 from .catalog import register
@@ -195,3 +198,48 @@ def q_schema_snapshot_extracts(spark: SparkSession, d: str) -> DataFrame:
     for run, extract in (("first", first), ("second", second), ("third", second)):
         SS.keep(spark, root, run, {"sales": SS.typed_snapshot(spark, FS.infer_types(extract))})
     return SS.history(spark, root).select("run_id", "column", "change", "old_dtype", "new_dtype")
+
+
+@register("orders_one_month", "§2.11 date partitions", f"""
+WITH v AS ({V.MERGE_EXISTING_SQL} UNION ALL {V.MERGE_BATCH_SQL}),
+o AS (SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY source, order_id ORDER BY ingested_at DESC) = 1)
+SELECT source, order_id, created_at, total_price, financial_status, ingested_at FROM o
+WHERE created_at >= TIMESTAMP '2000-06-01' AND created_at < TIMESTAMP '2000-07-01'""")
+def q_orders_one_month(spark: SparkSession, d: str) -> DataFrame:
+    """Three deliveries into a table partitioned by month, the last of which brings a few months anew; then one month is read."""
+    path = _folder(spark, "dated")
+    for batch in _loads(spark, d):
+        DD.upsert(spark, path, batch, ORDER_ROWS, M.ORDER_KEYS, "created_at", "ingested_at", "month")
+    month = dt.date(2000, 6, 1)
+    return DD.read(spark, path, ORDER_ROWS, month, month).select("source", "order_id", "created_at", "total_price", "financial_status", "ingested_at")
+
+
+UPDATED_ROWS = T.StructType().add("provider", "string").add("resource", "string").add("order_id", "string").add("total_price", "double").add(
+    "raw_hash", "string").add("updated_at", "timestamp_ntz")
+
+
+def order_updates(spark: SparkSession, d: str) -> DataFrame:
+    """Every order as it came, and every third one dearer by 1 some days later; ``arrives``: when the provider shows the version, two days late for some."""
+    o = V.table(spark, d, "orders")
+    price, day = F.col("o_totalprice").cast("decimal(18,2)"), F.col("o_orderdate")
+    def version(rows: DataFrame, more: int, at) -> DataFrame:
+        return rows.select(F.col("o_orderpriority").alias("provider"), F.lit("orders").alias("resource"), F.col("o_orderkey").cast("string").alias("order_id"),
+                           (price + more).cast("double").alias("total_price"), F.lit(str(more)).alias("raw_hash"), at.cast("timestamp_ntz").alias("updated_at"),
+                           F.col("o_orderkey").alias("_key"))
+    both = version(o, 0, day).unionByName(version(o.where("o_orderkey % 3 = 0"), 1, day + F.make_dt_interval((F.col("o_orderkey") % 5 + 1).cast("int"))))
+    late = F.when(F.col("_key") % 7 == 0, F.col("updated_at") + F.expr("INTERVAL 2 DAYS")).otherwise(F.col("updated_at"))
+    return both.withColumn("arrives", late).drop("_key")
+
+
+@register("incremental_by_updated_at", "§2.11 incremental read", """
+SELECT o_orderpriority AS provider, CAST(o_orderkey AS VARCHAR) AS order_id,
+       CAST(CAST(o_totalprice AS DECIMAL(18,2)) + CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END AS DOUBLE) AS total_price,
+       CASE WHEN o_orderkey % 3 = 0 THEN o_orderdate + to_days(CAST(o_orderkey % 5 + 1 AS INTEGER)) ELSE o_orderdate END AS updated_at
+FROM orders""")
+def q_incremental_by_updated_at(spark: SparkSession, d: str) -> DataFrame:
+    """Three pulls, each of which sees what has arrived by then: late versions lie in the overlap of the next one."""
+    root, rows = _folder(spark, "pulls"), order_updates(spark, d)
+    for cut in ("1998-01-01", "2000-03-01", "2100-01-01"):
+        there = rows.where(F.col("arrives") <= F.lit(cut).cast("timestamp_ntz")).drop("arrives")
+        WM.pull(spark, there, root, "orders", UPDATED_ROWS, f"{root}/marks", ["provider", "resource"], "updated_at", ["provider", "order_id"], "3 days")
+    return TB.read_table(spark, root, "orders", UPDATED_ROWS, ["provider", "order_id"]).select("provider", "order_id", "total_price", "updated_at")
