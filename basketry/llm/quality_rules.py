@@ -88,11 +88,11 @@ def cells(rows: DataFrame, least: int) -> DataFrame:
     n = materialize(n)
     few = n.where(F.col("n") < least)
     by_lang = materialize(few.groupBy(F.col("_lang").alias("_l")).agg(F.sum("n").alias("by_lang")))
-    rest = by_lang.where(F.col("by_lang") < least).agg(F.coalesce(F.sum("by_lang"), F.lit(0)).alias("rest"))
+    rest = by_lang.where(F.col("by_lang") < least).agg(F.coalesce(F.sum("by_lang"), F.lit(0))).scalar()
     told = lambda *parts: F.to_json(F.struct(*parts), {"ignoreNullFields": "false"})
     own = n.where(F.col("n") >= least).select("_lang", "_source", told("_lang", "_source").alias("cell"))
-    pooled = lookup(few, by_lang, {"_lang": "_l"}).crossJoin(F.broadcast(rest)).select(  # one row
-        "_lang", "_source", F.when(F.col("by_lang") >= least, told("_lang")).when(F.col("rest") >= least, told()).alias("cell"))
+    pooled = lookup(few, by_lang, {"_lang": "_l"}).select(
+        "_lang", "_source", F.when(F.col("by_lang") >= least, told("_lang")).when(rest >= least, told()).alias("cell"))
     return materialize(own.unionByName(pooled))
 
 
