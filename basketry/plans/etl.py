@@ -36,12 +36,11 @@ ORDER_SOURCES = {
 }
 
 
-def normalized_batch(lines: DataFrame, runs: Sequence[L.Run], sources: dict, stamp: Column, hash_scope: str,
-                     limit: int | None, digests: DataFrame) -> DataFrame:
+def normalized_batch(lines: DataFrame, taken: L.Claim, runs: DataFrame, sources: dict, stamp: Column, hash_scope: str, limit: int | None) -> DataFrame:
     frames = []
-    for provider in dict.fromkeys(r.provider for r in runs):
+    for provider in taken.providers:
         _, schema, fn = sources[provider]
-        raw = L.typed_records(lines.where(F.col("provider") == provider), schema, stamp, hash_scope, limit, digests)
+        raw = L.typed_records(lines.where(F.col("provider") == provider), runs, schema, stamp, hash_scope, limit)
         frames.append(fn(raw, F.col("_stamp")))
     return N.union_batches(frames)
 
@@ -71,36 +70,33 @@ def run_pipeline(spark: SparkSession, landing_root: str, table_root: str, runlog
                 ("products", PRODUCT_SOURCES, SC.PRODUCTS, M.PRODUCT_KEYS, M.PRODUCT_ORDER),
                 ("orders", ORDER_SOURCES, SC.ORDERS, M.ORDER_KEYS, M.ORDER_ORDER)):
             wanted = {p: resource for p, (resource, _, _) in sources.items() if not providers or p in providers}
-            runs = L.list_runs(spark, landing_root, wanted, L.merged_files(spark, table_root, entity))
-            record["raw_files"] += sum(len(r.paths) for r in runs)
-            if not runs:
+            taken = L.claim(spark, landing_root, wanted, L.merged_files(spark, table_root, entity))
+            if taken is None:
                 continue
-            # the listed files only: digests, rejected lines, rows and marks go by the same ones even if more land meanwhile
-            lines = L.read_runs(spark, landing_root, runs)
-            seen = L.survey(lines)
-            bad = 0 if limit else sum(r["rejected"] for r in seen)
+            record["raw_files"] += taken.n
+            lines = L.claimed_lines(spark, landing_root, taken)
+            runs = L.survey(taken, lines)
+            bad = 0 if limit else runs.agg(F.coalesce(F.sum("rejected"), F.lit(0))).first()[0]
             record["rejected_records"] += bad
             if bad and not dry_run:
                 L.rejected(lines).write.json(f"{table_root.rstrip('/')}/_rejected/{entity}/run={run_id}")
-            digests = spark.createDataFrame([(r["provider"], r["run_id"], r["raw_hash"]) for r in seen],
-                                            "provider string, run_id string, raw_hash string")
-            batch = normalized_batch(lines, runs, sources, stamp, hash_scope, limit, digests)
+            batch = normalized_batch(lines, taken, runs, sources, stamp, hash_scope, limit)
             if rules is not None:  # an entity without rules waits for the check of the others too
-                staged.append((QT.stage(batch, table_root, entity, schema, rules.get(entity, ()), run_id), entity, schema, keys, order_col, runs))
+                staged.append((QT.stage(batch, table_root, entity, schema, rules.get(entity, ()), run_id), entity, schema, keys, order_col, taken))
                 continue
             res = T.merge_into(spark, table_root, entity, schema, batch, key_mode, keys, order_col, dry_run=dry_run)
             record[f"new_{entity}"] = res["new"]
             record[f"updated_{entity}"] = res["updated"]
             if not dry_run and not limit:
-                L.mark_merged(spark, table_root, entity, runs)
+                L.mark_merged(spark, table_root, entity, taken)
         record["quarantined_records"] = sum(s[0].bad for s in staged)
         QT.check_share([s[0] for s in staged], max_violation_share)
-        for made, entity, schema, keys, order_col, runs in staged:
+        for made, entity, schema, keys, order_col, taken in staged:
             res = QT.publish(spark, made, table_root, schema, key_mode, keys, order_col, dry_run)
             record[f"new_{entity}"] = res["new"]
             record[f"updated_{entity}"] = res["updated"]
             if not dry_run and not limit:
-                L.mark_merged(spark, table_root, entity, runs)
+                L.mark_merged(spark, table_root, entity, taken)
     except Exception:
         record["status"] = "error"
         raise

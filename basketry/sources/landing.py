@@ -11,6 +11,8 @@ values and the files are written by Spark in parallel.
 
 from __future__ import annotations
 
+import itertools
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import exprs as X
+from ..session import ensure_checkpoint_dir
 from . import files as FS
 
 
@@ -27,37 +30,31 @@ _RUN_FILE = r"provider=[^/]+/resource=[^/]+/run_id=[^/]+/[^/]+$"
 
 
 @dataclass(frozen=True)
-class Run:
-    """What has newly landed of one run of a provider's resource."""
+class Claim:
+    """The landed files that a pass takes: (file, path, provider, run_id, modified), written once to the shared folder."""
 
-    provider: str
-    resource: str
-    run_id: str
-    landed: int  # modification time of the folder, milliseconds
-    paths: tuple[str, ...]
+    files: DataFrame
+    n: int
+    providers: tuple[str, ...]
 
 
-def list_runs(spark: SparkSession, root: str, resources: dict[str, str], merged: DataFrame | None = None) -> list[Run]:
-    """Runs of the given provider -> resource pairs with those of their files that aren't in ``merged`` (file), in
-    the order in which they landed. No file is opened."""
+def claim(spark: SparkSession, root: str, resources: dict[str, str], merged: DataFrame | None = None) -> Claim | None:
+    """The files of the given provider -> resource pairs that aren't in ``merged`` (file), None without any. No file is opened, and
+    nothing of a file but its listing reaches the driver."""
     folders = [f"{root.rstrip('/')}/provider={p}/resource={r}" for p, r in resources.items()]
     folders = [f for f in folders if FS.path_exists(spark, f)]
     if not folders:
-        return []
+        return None
     # the content column isn't selected: Spark only lists the files
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folders) \
-        .select("path", F.regexp_extract("path", _RUN_FILE, 0).alias("file")).where(F.col("file") != "")
+        .select("path", F.col("modificationTime").alias("modified"), F.regexp_extract("path", _RUN_FILE, 0).alias("file")).where(F.col("file") != "")
     if merged is not None:
         files = files.join(merged, "file", "left_anti")
-    by_run: dict[str, list[str]] = {}
-    for r in files.select("path").collect():
-        by_run.setdefault(r["path"].rpartition("/")[0], []).append(r["path"])
-    found = []
-    for folder, paths in by_run.items():
-        provider, resource, run_id = (part.partition("=")[2] for part in folder.split("/")[-3:])
-        fs, p = FS._fs(spark, folder)
-        found.append(Run(provider, resource, run_id, fs.getFileStatus(p).getModificationTime(), tuple(sorted(paths))))
-    return sorted(found, key=lambda r: (r.landed, r.run_id, r.provider))
+    part = lambda name: F.url_decode(F.regexp_extract("file", f"{name}=([^/]+)/", 1))
+    ensure_checkpoint_dir(spark)
+    files = files.select("file", "path", part("provider").alias("provider"), part("run_id").alias("run_id"), "modified").checkpoint()
+    got = files.agg(F.count(F.lit(1)), F.collect_set("provider")).first()
+    return Claim(files, got[0], tuple(sorted(got[1]))) if got[0] else None
 
 
 def write_raw(records: DataFrame, root: str, provider: str, resource: str, run_id: str,
@@ -87,13 +84,10 @@ def _first_per_provider(lines: DataFrame, limit: int | None) -> DataFrame:
     return lines.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= limit).drop("_n")
 
 
-def _typed(lines: DataFrame, schema: T.StructType, hash_scope: str, extra: Sequence[str] = (),
-           digests: DataFrame | None = None) -> DataFrame:
-    if hash_scope == "record" or digests is None:
-        lines = lines.withColumn("_rec_hash", X.canonical_json_hash(F.col("json")))
+def _typed(lines: DataFrame, schema: T.StructType, hash_scope: str) -> DataFrame:
+    lines = lines.withColumn("_rec_hash", X.canonical_json_hash(F.col("json")))
     if hash_scope == "batch":
-        per_run = digests if digests is not None else \
-            lines.groupBy("provider", "run_id").agg(X.multiset_digest("_rec_hash").alias("raw_hash"))
+        per_run = lines.groupBy("provider", "run_id").agg(X.multiset_digest("_rec_hash").alias("raw_hash"))
         # A run is one join key: shuffling the records on it would put a whole
         # run into one task. There is one digest for each run folder, and the
         # driver has listed those folders, so the digests are always broadcast.
@@ -102,7 +96,7 @@ def _typed(lines: DataFrame, schema: T.StructType, hash_scope: str, extra: Seque
         lines = lines.withColumn("raw_hash", F.col("_rec_hash"))
     else:
         raise ValueError(f"unknown hash_scope {hash_scope}")
-    return lines.select("provider", "run_id", F.from_json("json", schema).alias("payload"), "raw_file", "raw_hash", *extra)
+    return lines.select("provider", "run_id", F.from_json("json", schema).alias("payload"), "raw_file", "raw_hash")
 
 
 def read_raw(spark: SparkSession, root: str, schema: T.StructType, resource: str,
@@ -123,36 +117,55 @@ def read_raw(spark: SparkSession, root: str, schema: T.StructType, resource: str
     return _typed(_first_per_provider(good, limit_per_provider), schema, hash_scope)
 
 
-def read_runs(spark: SparkSession, root: str, runs: Sequence[Run]) -> DataFrame:
-    """The lines of the runs' listed files: provider, run_id, json, raw_file, _pos and ``_run``, the run's place in the list."""
-    ranks = F.create_map(*[x for i, r in enumerate(runs) for x in (F.lit(f"{r.provider}/{r.run_id}"), F.lit(i))])
-    # text by schema: inferred types would turn run 0017 into 17
-    raw = spark.read.schema("value string, provider string, resource string, run_id string").option("basePath", root) \
-        .text([p for r in runs for p in r.paths])
-    return _lines(raw).withColumn("_run", ranks[F.concat_ws("/", "provider", "run_id")])
+def claimed_lines(spark: SparkSession, root: str, taken: Claim, group: int = 10_000) -> DataFrame:
+    """The lines of the claimed files: provider, run_id, json, raw_file, _pos, ``_good`` (a JSON object) and ``_rec_hash`` (its digest, null for others).
+
+    At most ``group`` paths are in the driver and in a plan at once: more files are written as one table of lines, group by group. Digests, rejected lines, rows
+    and marks go by the same files even if more land meanwhile."""
+    paths = (r["path"] for r in taken.files.select("path").toLocalIterator())
+
+    def lines(some: list[str]) -> DataFrame:
+        # text by schema: inferred types would turn run 0017 into 17
+        raw = spark.read.schema("value string, provider string, resource string, run_id string").option("basePath", root).text(some)
+        return _lines(raw).withColumn("_good", X.is_json_object("json")).withColumn("_rec_hash", F.when(F.col("_good"), X.canonical_json_hash("json")))
 
+    if taken.n <= group:
+        return lines(list(paths))
+    folder = f"{ensure_checkpoint_dir(spark)}/lines-{uuid.uuid4().hex}"
+    while some := list(itertools.islice(paths, group)):
+        lines(some).write.mode("append").parquet(folder)
+    return spark.read.parquet(folder)
 
-def survey(lines: DataFrame) -> list:
-    """One row (provider, run_id, raw_hash, rejected) for each run: the digest of its records and the number of
-    lines that are no JSON object, in one pass."""
-    good = X.is_json_object("json")
-    return lines.groupBy("provider", "run_id").agg(
-        X.multiset_digest(F.when(good, X.canonical_json_hash("json"))).alias("raw_hash"),
-        F.count(F.when(~good, True)).alias("rejected")).collect()
+
+def survey(taken: Claim, lines: DataFrame) -> DataFrame:
+    """(provider, run_id, raw_hash, rejected, _run): of each run the digest of its records, the number of lines that are no JSON object, and its place.
+
+    Runs are taken in the order in which the first of their files landed, by the files' own times; of equal or missing times the smaller run id, then the
+    smaller provider comes first. One row for each run, written."""
+    order = Window.orderBy(F.col("landed").asc_nulls_first(), "run_id", "provider")
+    place = taken.files.groupBy("provider", "run_id").agg(F.min("modified").alias("landed")).withColumn("_run", F.row_number().over(order) - 1)
+    seen = lines.groupBy("provider", "run_id").agg(X.multiset_digest("_rec_hash").alias("raw_hash"), F.count(F.when(~F.col("_good"), True)).alias("rejected"))
+    return seen.join(place, ["provider", "run_id"]).drop("landed").checkpoint()
 
 
 def rejected(lines: DataFrame) -> DataFrame:
     """Lines that are no JSON object, with their text."""
-    return lines.where(~X.is_json_object("json")).select("provider", "run_id", "raw_file", "json")
+    return lines.where(~F.col("_good")).select("provider", "run_id", "raw_file", "json")
 
 
-def typed_records(lines: DataFrame, schema: T.StructType, stamp: Column, hash_scope: str = "batch",
-                  limit_per_provider: int | None = None, digests: DataFrame | None = None) -> DataFrame:
-    """Typed payloads of ``read_runs`` lines, with ``_pos`` and each run's own ``_stamp``: ``stamp`` plus a microsecond
-    for every run before it, so that a later run has the later stamp. ``digests``: (provider, run_id, raw_hash), if they are known."""
+def typed_records(lines: DataFrame, runs: DataFrame, schema: T.StructType, stamp: Column, hash_scope: str = "batch",
+                  limit_per_provider: int | None = None, bound: int = 100_000) -> DataFrame:
+    """Typed payloads of ``claimed_lines``, with ``_pos`` and each run's own ``_stamp``: ``stamp`` plus a microsecond
+    for every run before it, so that a later run has the later stamp. ``runs``: ``survey``'s table; up to ``bound`` of its rows are broadcast."""
+    if hash_scope not in ("batch", "record"):
+        raise ValueError(f"unknown hash_scope {hash_scope}")
+    good = _first_per_provider(lines.where("_good"), limit_per_provider)
+    of_run = runs.select("provider", "run_id", "raw_hash", "_run")
+    # a run is one join key: beyond the bound adaptive execution splits the lines of a long one
+    good = good.join(F.broadcast(of_run) if of_run.count() <= bound else of_run, ["provider", "run_id"])
     own = stamp + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.col("_run") / 1e6).cast("decimal(18,6)"))
-    good = _first_per_provider(lines.where(X.is_json_object("json")), limit_per_provider).withColumn("_stamp", own)
-    return _typed(good, schema, hash_scope, ["_pos", "_stamp"], digests)
+    digest = F.col("raw_hash") if hash_scope == "batch" else F.col("_rec_hash")
+    return good.select("provider", "run_id", F.from_json("json", schema).alias("payload"), "raw_file", digest.alias("raw_hash"), "_pos", own.alias("_stamp"))
 
 
 def merged_files(spark: SparkSession, table_root: str, entity: str) -> DataFrame | None:
@@ -164,11 +177,9 @@ def merged_files(spark: SparkSession, table_root: str, entity: str) -> DataFrame
     return spark.read.schema("file string").json(path).where(F.col("file").isNotNull())
 
 
-def mark_merged(spark: SparkSession, table_root: str, entity: str, runs: Sequence[Run]) -> None:
+def mark_merged(spark: SparkSession, table_root: str, entity: str, taken: Claim) -> None:
     """Recorded after the rows are in: a run that fails in between is merged again, which changes nothing."""
-    rows = spark.createDataFrame([(r.provider, r.run_id, p) for r in runs for p in r.paths], "provider string, run_id string, path string")
-    rows = rows.select("provider", "run_id", F.regexp_extract("path", _RUN_FILE, 0).alias("file"))
-    FS.append_json_lines(rows.coalesce(1), f"{table_root.rstrip('/')}/_merged/{entity}")
+    FS.append_json_lines(taken.files.select("provider", "run_id", "file"), f"{table_root.rstrip('/')}/_merged/{entity}")
 
 
 def read_json_documents(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

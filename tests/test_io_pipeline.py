@@ -295,3 +295,45 @@ def test_csv_roundtrip_and_json_documents(spark, tmp_dir):
         json.dump({"itemId": "3"}, f, indent=2)
     got = L.read_json_documents(spark, docs, SC.RAW_EBAY_ITEM).collect()
     assert sorted(r["itemId"] for r in got) == ["1", "2", "3"] and got[0]["raw_file"].endswith(".json")
+
+
+def _touch(landing, run, seconds):
+    for base, _, names in os.walk(os.path.join(landing, "provider=shopify", "resource=orders", f"run_id={run}")):
+        for n in names:
+            os.utime(os.path.join(base, n), (seconds, seconds))
+        os.utime(base, (0, 0))  # folder times say nothing
+
+
+def test_runs_taken_together_keep_the_order_of_their_files(spark, tmp_dir):
+    times = ({"a": 300, "b": 100, "c": 200}, {"a": 100, "b": 100, "c": 100}, {"a": 0, "b": 0, "c": 0}, {"a": 200, "b": 300, "c": 0})
+    for i, when in enumerate(times):
+        landing, tables, runs = (os.path.join(tmp_dir, f"{x}{i}") for x in ("raw", "tables", "runs"))
+        for n, run in enumerate("bca"):
+            _land(spark, landing, run, [n])
+        for run, t in when.items():
+            _touch(landing, run, t)
+        etl.run_pipeline(spark, landing, tables, runs, key_mode="pair")
+        last = max(when, key=lambda r: (when[r], r))  # equal times: by run id
+        assert _price(spark, tables) == [float("bca".index(last))]
+
+
+def test_many_files_go_through_in_groups(spark, tmp_dir, monkeypatch):
+    landing, tables, runs = (os.path.join(tmp_dir, x) for x in ("raw", "tables", "runs"))
+    folder = os.path.join(landing, "provider=shopify", "resource=orders", "run_id=0007")
+    os.makedirs(folder)
+    for i in range(2500):
+        with open(os.path.join(folder, f"part-{i:05}.txt"), "w") as f:
+            f.write(json.dumps({"id": i, "total_price": "1"}) + "\n" if i % 5 == 0 else "\n")
+    plain, groups = L.claimed_lines, []
+
+    def small(spark, root, taken):
+        lines = plain(spark, root, taken, group=1000)
+        groups.append(len(lines._jdf.queryExecution().optimizedPlan().toString()))
+        return lines
+
+    with monkeypatch.context() as m:
+        m.setattr(L, "claimed_lines", small)
+        got = etl.run_pipeline(spark, landing, tables, runs, key_mode="pair")
+    assert (got["raw_files"], got["new_orders"]) == (2500, 500) and groups[0] < 2000
+    again = etl.run_pipeline(spark, landing, tables, runs, key_mode="pair")
+    assert (again["raw_files"], again["new_orders"]) == (0, 0)
