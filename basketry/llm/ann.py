@@ -169,27 +169,30 @@ def build(ids: np.ndarray, vectors: np.ndarray, m: int = 16, ef: int = 96, seed:
     return index
 
 
-PACKED = "dim int, shard int, n long, ids binary, first binary, members binary, x binary, sizes binary, links binary"
+PACKED = "dim int, shard int, n long, ids binary, first binary, members binary, x binary, exact binary, sizes binary, links binary"
 
 
-def pack_index(dim: int, shard: int, index: Index, members: list[np.ndarray]) -> pd.DataFrame:
+def pack_index(dim: int, shard: int, index: Index, vectors: np.ndarray, members: list[np.ndarray]) -> pd.DataFrame:
+    """One row for a shard; ``vectors`` are the original ones in double precision, by the numbers in ``index.ids``."""
     counts = np.array([len(members[i]) for i in index.ids], dtype=np.int64)
     return pd.DataFrame({
         "dim": [dim], "shard": [shard], "n": [len(index.x)], "ids": [index.ids.astype(np.int64).tobytes()],
         "first": [np.concatenate([[0], np.cumsum(counts)]).astype(np.int64).tobytes()],
         "members": [np.concatenate([members[i] for i in index.ids]).astype(np.int64).tobytes()],
-        "x": [index.x.tobytes()], "sizes": [np.array([p for a in index.layers for p in a.shape], dtype=np.int64).tobytes()],
+        "x": [index.x.tobytes()], "exact": [vectors[index.ids].astype(np.float64).tobytes()], "sizes": [np.array([p for a in index.layers for p in a.shape], dtype=np.int64).tobytes()],
         "links": [b"".join(a.tobytes() for a in index.layers)]})
 
 
-def unpack_index(row) -> tuple[Index, np.ndarray, np.ndarray]:
+def unpack_index(row) -> tuple[Index, np.ndarray, np.ndarray, np.ndarray]:
+    """(graph, original vectors, each node's first member, members)."""
     sizes = np.frombuffer(row["sizes"], dtype=np.int64).reshape(-1, 2)
     flat, at, layers = np.frombuffer(row["links"], dtype=np.int32), 0, []
     for n, m in sizes:
         layers.append(flat[at:at + n * m].reshape(n, m))
         at += n * m
     x = np.frombuffer(row["x"], dtype=np.float32).reshape(int(row["n"]), -1)
-    return Index(np.frombuffer(row["ids"], dtype=np.int64), x, layers), np.frombuffer(row["first"], dtype=np.int64), np.frombuffer(row["members"], dtype=np.int64)
+    exact = np.frombuffer(row["exact"], dtype=np.float64).reshape(int(row["n"]), -1)
+    return Index(np.frombuffer(row["ids"], dtype=np.int64), x, layers), exact, np.frombuffer(row["first"], dtype=np.int64), np.frombuffer(row["members"], dtype=np.int64)
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -201,7 +204,7 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 
 
 def neighbours(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", every: int = 20, k: int = 20,
-               shard_rows: int = 8192, query_block: int = 4096, ef: int = 200, m: int = 16, build_ef: int = 96, seed: int = 1) -> DataFrame:
+               shard_rows: int = 8192, query_block: int = 16384, ef: int = 320, m: int = 16, build_ef: int = 96, seed: int = 1) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found for each vector whose id is divisible by ``every``.
 
     Nearest is the largest inner product, computed in double precision on the original vectors; ties go to the smaller id. All rows but those
@@ -221,7 +224,7 @@ def neighbours(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     def make(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.iloc[np.argsort([a[0] for a in frame["members"]], kind="stable")]
         x = np.stack(frame["v"].to_numpy()).astype(np.float64)
-        return pack_index(int(frame["dim"].iloc[0]), int(frame["shard"].iloc[0]), build(np.arange(len(x)), x, m, build_ef, seed), [np.asarray(a) for a in frame["members"]])
+        return pack_index(int(frame["dim"].iloc[0]), int(frame["shard"].iloc[0]), build(np.arange(len(x)), x, m, build_ef, seed), x, [np.asarray(a) for a in frame["members"]])
 
     index = materialize(dealt.groupBy("dim", "shard").applyInPandas(make, PACKED))
     asked = rows.where(F.col("vec_id") % every == 0)
@@ -235,22 +238,26 @@ def neighbours(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
         empty = pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
         if not len(shard) or not len(queries):
             return empty
-        graph, first, members = unpack_index(shard.iloc[0])
+        graph, exact, first, members = unpack_index(shard.iloc[0])
         q = np.stack(queries["v"].to_numpy()).astype(np.float64)
         own = queries["vec_id"].to_numpy()
         out = [empty]
         for at in range(0, len(q), BATCH):
-            part, own_part = q[at:at + BATCH], own[at:at + BATCH]
-            got, _ = graph.search(part, min(ef, max(len(graph.x), 1)))
-            got = got[:, :2 * k + 10]
-            r, c = np.nonzero(got >= 0)
-            node = got[r, c]
-            score = (part[r] * graph.x[node, :-1].astype(np.float64)).sum(1)
-            size = first[node + 1] - first[node]
-            member = members[np.repeat(first[node] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
-            found = pd.DataFrame({"query_id": np.repeat(own_part[r], size), "vec_id": member, "score": np.repeat(score, size), "row": np.repeat(r, size)})
-            found = found[found["query_id"] != found["vec_id"]].sort_values(["row", "score", "vec_id"], ascending=[True, False, True])
-            out.append(found.groupby("row").head(k)[["query_id", "vec_id", "score"]])
+            got, _ = graph.search(q[at:at + BATCH], ef)
+            for lo in range(0, len(got), 64):  # the graph ranks in single precision; all that it found is scored in double
+                r, c = np.nonzero(got[lo:lo + 64] >= 0)
+                node = got[lo:lo + 64][r, c]
+                score = np.einsum("nd,nd->n", q[at + lo + r], exact[node])
+                size = first[node + 1] - first[node]
+                member = members[np.repeat(first[node] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
+                row, score = at + lo + np.repeat(r, size), np.repeat(score, size)
+                other = own[row] != member
+                row, member, score = row[other], member[other], score[other]
+                order = np.lexsort((member, -score, row))
+                row = row[order]
+                nth = np.arange(len(row)) - np.searchsorted(row, row)
+                order, row = order[nth < k], row[nth < k]
+                out.append(pd.DataFrame({"query_id": own[row], "vec_id": member[order], "score": score[order]}))
         return pd.concat(out, ignore_index=True)
 
     key = ["dim", "shard", "block"]

@@ -62,6 +62,29 @@ def test_recall_of_one_graph(kind):
     assert all((layer < len(layer)).all() and (layer != np.arange(len(layer))[:, None]).all() for layer in g.layers)
 
 
+@pytest.mark.parametrize("norms", [False, True])
+def test_recall_of_a_full_shard(norms):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(8192, 64)) * (rng.lognormal(size=(8192, 1)) if norms else 1)
+    g = ann.build(np.arange(8192), x)
+    want = np.argsort(-(x[:200] @ x.T), axis=1)[:, :20]
+    found = g.ids[g.search(x[:200], 320)[0]]  # far fewer than the shard holds
+    assert np.mean([len(set(a) & set(b)) / 20 for a, b in zip(found, want, strict=True)]) > 0.95
+
+
+def test_ties_and_double_scores(spark):
+    rng = np.random.default_rng(8)
+    around = rng.normal(size=(180, 6))
+    around /= np.linalg.norm(around, axis=1, keepdims=True)
+    rows = [(1000, [1.0] + [0.0] * 6), *((i + 1, [0.7, *map(float, v)]) for i, v in enumerate(around))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in ann.neighbours(df, every=1000).collect())
+    assert got == [(1000, i, i, 0.7) for i in range(1, 21)]
+    near = ann.neighbours(df, every=20).collect()
+    vec = dict(rows)
+    assert all(abs(r.score - np.dot(vec[r.query_id], vec[r.vec_id])) < 1e-15 for r in near)
+
+
 def test_several_shards_and_blocks(spark):
     rng = np.random.default_rng(6)
     rows = [(i, rng.normal(size=8).tolist()) for i in range(900)]
