@@ -23,28 +23,47 @@ KINDS = (*(r[0] for r in RULES), "markov")
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
-SPAN = "array<struct<start:int,kind:int,end:int>>"
+PAGE = 4096  # code points; redaction cuts pages instead of whole texts
+
+
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def upto(values: Column, merge, none: int) -> Column:
+    """Running ``merge`` of an array of whole numbers, each position included; ``none`` leaves a number as it is.
+
+    Pass k joins every value with the one 2^k places before, so the work grows with n log n. A list that grows by one match at a time
+    would be copied for each of them.
+    """
+    passes = F.sequence(F.lit(0), F.length(F.bin(F.size(values).cast("long"))) - 1)
+    steps = F.transform(passes, lambda k: F.pow(F.lit(2), k).cast("int"))
+    before = lambda acc, i, step: F.when(i >= step, F.get(acc, i - step)).otherwise(none)
+    return F.aggregate(steps, values, lambda acc, step: F.transform(acc, lambda x, i: merge(x, before(acc, i, step))))
 
 
 def spans_of(text: Column, kind: int, pattern: str, group: int, least: int, guard: Column) -> Column:
-    """Spans of all leftmost matches, one after another, whose ``group`` has ``least`` characters or more.
+    """Spans (start, kind, end, t) of all leftmost matches, one after another, whose ``group`` has ``least`` characters or more; t is the match.
 
     What lies between the matches (a split) and the matches themselves give the positions by their lengths.
     """
-    lengths = lambda a: F.transform(a, F.length)
-    whole = lengths(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
-    counted = whole if not group else lengths(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)))
-    hits = F.zip_with(whole, counted, lambda n, v: F.struct(n.alias("n"), v.alias("v")))
-    parts = F.zip_with(lengths(F.split(text, pattern, -1)), hits, lambda gap, h: F.struct(gap.alias("gap"), h["n"].alias("n"), h["v"].alias("v")))
+    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    counted = matches if not group else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+    hits = F.zip_with(matches, counted, lambda t, v: F.struct(t.alias("t"), F.length(v).alias("v")))
+    # one more part than matches: the rest of the text comes with a null match
+    parts = F.zip_with(F.transform(F.split(text, pattern, -1), F.length), hits,
+                       lambda gap, h: F.struct((gap + F.coalesce(F.length(h["t"]), F.lit(0))).alias("n"), h["t"].alias("t"), h["v"].alias("v")))
 
-    def step(acc, x):
-        start = acc["at"] + x["gap"]
-        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), (start + x["n"]).alias("end"))
-        return F.struct((start + F.coalesce(x["n"], F.lit(0))).alias("at"),
-                        F.when(x["v"] >= least, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
+    def placed(parts: Column) -> Column:
+        ends = upto(F.transform(parts, lambda x: x["n"]), lambda a, b: a + b, 0)
+        spans = F.zip_with(parts, ends, lambda x, end: F.struct(
+            (end - F.length(x["t"])).alias("start"), F.lit(kind).alias("kind"), end.alias("end"), x["t"].alias("t"), x["v"].alias("v")))
+        return F.transform(F.filter(spans, lambda x: x["v"] >= least), lambda x: F.struct(
+            x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end"), x["t"].alias("t")))
 
-    none = F.array().cast(SPAN)
-    return F.when(guard & text.rlike(pattern), F.aggregate(parts, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda acc: acc["out"])).otherwise(none)
+    none = F.array().cast("array<struct<start:int,kind:int,end:int,t:string>>")
+    return F.when(guard & text.rlike(pattern), let(parts, placed)).otherwise(none)
 
 
 def base_spans(text: Column) -> Column:
@@ -55,13 +74,23 @@ def base_spans(text: Column) -> Column:
 
 
 def free_tokens(text: Column, base: Column) -> Column:
-    """Spans of long tokens that touch no base span."""
-    found = spans_of(text, len(RULES), TOKEN, 0, 1, F.lit(True))
-    return F.filter(found, lambda t: ~F.exists(base, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
+    """Spans of long tokens that touch no base span.
 
+    Base spans by their start and tokens by their end stand in one sorted line: the largest end of the base spans that stand before a token
+    tells whether one of them reaches into it.
+    """
+    def in_line(found: Column) -> Column:
+        return F.array_sort(F.concat(
+            F.transform(found, lambda s: F.struct(s["end"].alias("at"), F.lit(0).alias("base"), F.lit(0).alias("reach"), s.alias("span"))),
+            F.transform(base, lambda s: F.struct(s["start"].alias("at"), F.lit(1).alias("base"), s["end"].alias("reach"), s.alias("span")))))
+
+    def free(line: Column) -> Column:
+        reach = upto(F.transform(line, lambda x: x["reach"]), F.greatest, 0)
+        marked = F.zip_with(line, reach, lambda x, r: F.struct(((x["base"] == 0) & (r <= x["span"]["start"])).alias("free"), x["span"].alias("span")))
+        return F.transform(F.filter(marked, lambda x: x["free"]), lambda x: x["span"])
 
-def substrings(text: Column, spans: Column) -> Column:
-    return F.transform(spans, lambda s: F.substring(text, s["start"] + 1, s["end"] - s["start"]))
+    found = spans_of(text, len(RULES), TOKEN, 0, 1, F.lit(True))
+    return let(found, lambda f: F.when((F.size(f) == 0) | (F.size(base) == 0), f).otherwise(let(in_line(f), free)))
 
 
 def train(docs: DataFrame, bound: int | None, seed: int, smooth: float) -> list[int]:
@@ -72,13 +101,13 @@ def train(docs: DataFrame, bound: int | None, seed: int, smooth: float) -> list[
     sample = (docs if bound is None else bounded_share(docs, "doc_id", bound, seed)).withColumn("_base", base_spans(F.col("text")))
     base = F.col("_base")
     # a rule's value is the end of its match: the run of token characters that closes it
-    secret = F.transform(substrings(F.col("text"), base), lambda m: F.regexp_extract(m, r"([A-Za-z0-9+/_=-]+)[^A-Za-z0-9+/_=-]*$", 1))
+    secret = F.transform(base, lambda s: F.regexp_extract(s["t"], r"([A-Za-z0-9+/_=-]+)[^A-Za-z0-9+/_=-]*$", 1))
     # the keyword and an equals sign may be token characters too
     secret = F.transform(secret, lambda m: F.regexp_replace(m, r"(?i)^.*(?:password|passwd|secret|token|api_?key)=", ""))
     tokens = F.concat(F.transform(secret, lambda t: F.struct(F.lit(1).alias("random"), t.alias("t"))),
-                      F.transform(substrings(F.col("text"), free_tokens(F.col("text"), base)), lambda t: F.struct(F.lit(0).alias("random"), t.alias("t"))))
+                      F.transform(free_tokens(F.col("text"), base), lambda s: F.struct(F.lit(0).alias("random"), s["t"].alias("t"))))
     pairs = sample.select(F.explode(tokens).alias("x")).where(F.length("x.t") > 1).select(
-        "x.random", F.explode(F.expr("transform(sequence(2, length(x.t)), i -> substr(x.t, i - 1, 2))")).alias("pair"))
+        "x.random", F.explode(let(F.split("x.t", ""), lambda c: neighbours(c, lambda a, b: F.concat(a, b)))).alias("pair"))
     counts = {(r["random"], r["pair"]): r["count"] for r in pairs.groupBy("random", "pair").count().collect()}
     return ratios(counts, smooth)
 
@@ -92,12 +121,18 @@ def ratios(counts: dict[tuple[int, str], int], smooth: float) -> list[int]:
     return [round(100 * (r - o)) for a in ALPHABET for r, o in zip(logs(1, a), logs(0, a), strict=True)]
 
 
+def neighbours(values: Column, fn) -> Column:
+    """``fn`` of every two that stand side by side in an array of two or more."""
+    n = F.size(values) - 1
+    return F.zip_with(F.slice(values, F.lit(1), n), F.slice(values, F.lit(2), n), fn)
+
+
 def ratio_of(token: Column, table: list[int]) -> Column:
     """Sum of the ratios of all transitions of a token."""
     weights = F.split(F.lit(",".join(map(str, table))), ",").cast("array<int>")
-    at = lambda i: F.instr(F.lit(ALPHABET), F.substring(token, i, 1))
-    return F.aggregate(F.sequence(F.lit(2), F.length(token)), F.lit(0),
-                       lambda acc, i: acc + F.element_at(weights, (at(i - 1) - 1) * len(ALPHABET) + at(i)))
+    at = F.transform(F.split(token, ""), lambda c: F.instr(F.lit(ALPHABET), c))
+    cells = let(at, lambda a: neighbours(a, lambda x, y: (x - 1) * len(ALPHABET) + y))
+    return F.aggregate(cells, F.lit(0), lambda acc, cell: acc + F.element_at(weights, cell))
 
 
 def joined(spans: Column) -> Column:
@@ -108,7 +143,7 @@ def joined(spans: Column) -> Column:
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_ratio: int = 1000, bound: int | None = None,
          smooth: float = 0.5, seed: int = 5) -> DataFrame:
-    """``docs`` with _base and _all: sorted arrays of (start, kind, end) spans, code points, end exclusive.
+    """``docs`` with _base and _all: sorted arrays of (start, kind, end, matched text) spans, code points, end exclusive.
 
     Kinds are numbered as in KINDS. ``least_ratio``: hundredths of a nat from which a token is random.
     """
@@ -117,7 +152,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_
     text = F.col("_text")
     docs = docs.withColumn("_base", base_spans(text)).withColumn("_free", free_tokens(text, F.col("_base")))
     # most texts have no such token; those that have are scored token by token
-    added = F.filter("_free", lambda s: ratio_of(F.substring(text, s["start"] + 1, s["end"] - s["start"]), table) >= least_ratio)
+    added = F.filter("_free", lambda s: ratio_of(s["t"], table) >= least_ratio)
     return docs.withColumn("_all", F.array_sort(F.concat("_base", added))).drop("_free")
 
 
@@ -145,13 +180,21 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask
     found = find(rows, "doc_id", "text", **options)
     text = F.col("_text")
 
-    def step(acc, s):
-        fresh = s["start"] >= acc["at"]
-        gap = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(fresh, F.concat(acc["out"], F.array(gap, F.lit(mask)))).otherwise(acc["out"]).alias("out"))
-
-    kept = F.aggregate("_all", F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")), step,
-                       lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text))))
+    def part(pages: Column, start: Column, end: Column) -> Column:
+        """Text from start to end, from the pages that it touches: a cut doesn't walk the whole text."""
+        page = lambda p: F.substring(F.get(pages, p), F.greatest(start - p * PAGE, F.lit(0)) + 1,
+                                     F.least(end - p * PAGE, F.lit(PAGE)) - F.greatest(start - p * PAGE, F.lit(0)))
+        return F.array_join(F.transform(F.sequence(F.floor(start / PAGE).cast("int"), F.floor(end / PAGE).cast("int")), page), "")
+
+    def cut(reach: Column, pages: Column) -> Column:
+        """The text before each span that begins where no earlier one reaches, each followed by the mask, then the rest."""
+        upper = F.transform(reach, lambda r, i: F.when(i > 0, F.get(reach, i - 1)).otherwise(0))
+        gaps = F.filter(F.zip_with("_all", upper, lambda s, at: F.struct(at.alias("at"), s["start"].alias("start"))), lambda g: g["start"] >= g["at"])
+        kept = F.transform(gaps, lambda g: F.concat(part(pages, g["at"], g["start"]), F.lit(mask)))
+        return F.concat(F.array_join(kept, ""), part(pages, F.element_at(reach, -1), F.length(text)))
+
+    pages = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PAGE}}}"), F.lit(0))
+    kept = let(pages, lambda p: let(upto(F.transform("_all", lambda s: s["end"]), F.greatest, 0), lambda reach: cut(reach, p)))
     hit = F.size("_all") > 0
     of = lambda c: F.col("row").getField(c)
     found = found.select("row", hit.alias("hit"), F.when(hit, kept).otherwise(of(text_col)).alias("new"))
