@@ -1,15 +1,16 @@
 """Document fingerprints: a Merkle tree over sections, paragraphs and sentences.
 
 Equal roots mean equal texts. Equal sections are settled by their digests alone; only the leaves of sections that differ are
-compared, which gives the likeness of two fingerprints and the place of an edit.
+compared for the likeness of two fingerprints. Edits are located from the root down, through the branches that differ.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -30,41 +31,48 @@ def digest(parts: bytes) -> bytes:
     return hashlib.blake2b(parts, digest_size=16).digest()
 
 
+@dataclass
+class Node:
+    """A section, a paragraph or (without parts) a leaf."""
+    digest: bytes
+    size: int  # bytes of text
+    parts: Sequence[Node] = ()
+
+
 @dataclass
 class Tree:
     root: bytes
-    sections: list[tuple[bytes, list[list[bytes]]]]  # digest, paragraphs of leaf digests
-    sizes: list[int]  # bytes of each leaf, in order
+    sections: list[Node]
 
     def fingerprint(self) -> str:
         """Root; then for each section the first half of its digest and its paragraphs' leaves, a quarter of each digest."""
         return self.root.hex() + ":" + ";".join(
-            d[:8].hex() + "=" + ",".join("".join(leaf[:4].hex() for leaf in p) for p in paragraphs) for d, paragraphs in self.sections)
+            s.digest[:8].hex() + "=" + ",".join("".join(leaf.digest[:4].hex() for leaf in p.parts) for p in s.parts) for s in self.sections)
+
+
+def above(parts: list[Node]) -> Node:
+    return Node(digest(b"".join(p.digest for p in parts)), sum(p.size for p in parts), parts)
 
 
 def tree(raw: bytes) -> Tree:
-    sections, paragraphs, leaves, sizes = [], [], [], []
-    node = bytearray()
+    sections, paragraphs, leaves = [], [], []
 
     def close(force: bool) -> None:
         nonlocal paragraphs, leaves
         if leaves:
-            paragraphs.append(leaves)
-            node.extend(d := digest(b"".join(leaves)))
-            force = force or d[0] % SECTION == 0
+            paragraphs.append(above(leaves))
+            force = force or paragraphs[-1].digest[0] % SECTION == 0
             leaves = []
         if force and paragraphs:
-            sections.append((digest(bytes(node)), paragraphs))
-            node.clear()
+            sections.append(above(paragraphs))
             paragraphs = []
 
     for leaf in LEAF.findall(raw):
-        leaves.append(digest(leaf))
-        sizes.append(len(leaf))
+        leaves.append(Node(digest(leaf), len(leaf)))
         if b"\n" in leaf:
             close(leaf.count(b"\n") > 1)
     close(True)
-    return Tree(digest(b"".join(d for d, _ in sections)), sections, sizes)
+    return Tree(digest(b"".join(s.digest for s in sections)), sections)
 
 
 def parse(fingerprint: str) -> tuple[str, list[tuple[str, list[str]]]]:
@@ -104,22 +112,56 @@ def _likeness(root_a, sections_a, root_b, sections_b) -> float:
 
 def tree_likeness(a: Tree, b: Tree) -> float:
     """The same from two trees."""
-    flat = lambda t: [(d[:8], [leaf[:4] for p in ps for leaf in p]) for d, ps in t.sections]
+    flat = lambda t: [(s.digest[:8], [leaf.digest[:4] for p in s.parts for leaf in p.parts]) for s in t.sections]
     return _likeness(a.root, flat(a), b.root, flat(b))
 
 
-def edited_span(a: Tree, b: Tree) -> tuple[int, int]:
-    """The bytes [start, end) of a's text outside which both texts agree, as far as whole leaves tell; (0, 0) if they are equal."""
-    if a.root == b.root:
-        return 0, 0
-    x, y = ([leaf for _, ps in t.sections for p in ps for leaf in p] for t in (a, b))
-    head = 0
-    while head < min(len(x), len(y)) and x[head] == y[head]:
+def anchors(a: Sequence[Node], b: Sequence[Node]) -> list[tuple[int, int]]:
+    """Pairs of equal nodes in the order of both lists: the common ends, and between them the longest rising line of nodes that occur once in each."""
+    short, head, tail = min(len(a), len(b)), 0, 0
+    while head < short and a[head].digest == b[head].digest:
         head += 1
-    tail = 0
-    while tail < min(len(x), len(y)) - head and x[-1 - tail] == y[-1 - tail]:
+    while tail < short - head and a[-1 - tail].digest == b[-1 - tail].digest:
         tail += 1
-    return sum(a.sizes[:head]), sum(a.sizes[:len(x) - tail])
+    once_a, once_b = (Counter(n.digest for n in x[head:len(x) - tail]) for x in (a, b))
+    place = {b[j].digest: j for j in range(head, len(b) - tail)}
+    lowest, rows, back = [], [], {}  # the least last place of a rising line of each length, its row, and the row before each row
+    for i in range(head, len(a) - tail):
+        if once_a[a[i].digest] == 1 == once_b[a[i].digest]:
+            at = bisect_left(lowest, place[a[i].digest])
+            lowest[at:at + 1], rows[at:at + 1] = [place[a[i].digest]], [i]
+            back[i] = rows[at - 1] if at else None
+    middle, i = [], rows[-1] if rows else None
+    while i is not None:
+        middle.append((i, place[a[i].digest]))
+        i = back[i]
+    return [(i, i) for i in range(head)] + middle[::-1] + [(len(a) - n, len(b) - n) for n in range(tail, 0, -1)]
+
+
+def differing(a: Sequence[Node], b: Sequence[Node], at: int = 0, to: int = 0) -> Iterator[tuple[int, int, int, int]]:
+    """Byte spans (start, end in a, start, end in b) of the leaves that differ, in order. Between equal branches the parts of those that
+    differ are compared, down to the leaves; equal branches are not opened."""
+    i = j = 0
+    for x, y in [*anchors(a, b), (len(a), len(b))]:
+        left, right = a[i:x], b[j:y]
+        end, until = at + sum(n.size for n in left), to + sum(n.size for n in right)
+        if any(n.parts for n in (*left, *right)):
+            yield from differing([p for n in left for p in n.parts], [p for n in right for p in n.parts], at, to)
+        elif left or right:
+            yield at, end, to, until
+        if x < len(a):
+            end, until = end + a[x].size, until + b[y].size
+        at, to, i, j = end, until, x + 1, y + 1
+
+
+def edits(a: Tree, b: Tree) -> list[tuple[int, int, int, int]]:
+    """Where a's text must be replaced by which bytes of b's to become b's; spans that touch are one, equal texts have none."""
+    out = []
+    for span in differing(a.sections, b.sections) if a.root != b.root else ():
+        if out and out[-1][1] == span[0] and out[-1][3] == span[2]:
+            span = (out[-1][0], span[1], out.pop()[2], span[3])
+        out.append(span)
+    return out
 
 
 def edit(text: str, following: str) -> str:
@@ -162,22 +204,24 @@ def in_a_ring(docs: DataFrame, id_col: str, text_col: str, parts: int) -> DataFr
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None) -> DataFrame:
-    """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next): one row per row of ``docs``.
+    """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, edits): one row per row of ``docs``.
+
+    edits: ``start:end>start:end`` for each place where the edited text differs, comma-joined; bytes of the text, then of the edited text.
 
     The order of documents is descending doc_id, null ids last, rows with one id by a hash of the text; the last row is followed by
     the first, a single row by itself. A null text is empty: its tree has no leaves, it equals other empty texts (likeness 1) and no others (0).
     Repeated rows follow one another. An empty table gives an empty result; other columns are ignored.
     """
     parts = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-    schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+    names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "edits"]
+    schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, edits string"
+    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.string()]
 
     def result(doc_id, text: str, own: Tree, after_text: str, after: Tree) -> tuple:
         raw = edit(text, after_text).encode()
         edited = tree(raw)
         return (doc_id, len(text), hashlib.sha256(raw).hexdigest(), own.fingerprint(), edited.fingerprint(),
-                tree_likeness(own, edited), tree_likeness(own, after))
+                tree_likeness(own, edited), tree_likeness(own, after), ",".join(f"{i}:{j}>{x}:{y}" for i, j, x, y in edits(own, edited)))
 
     def rows_of(batch) -> Iterator[tuple]:
         return zip(batch.column("bucket").to_pylist(), batch.column("guest").to_pylist(), batch.column("doc_id").to_pylist(),
