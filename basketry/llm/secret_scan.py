@@ -1,7 +1,7 @@
 """Secret scans: fixed rules, and character Markov models compared by log-likelihood ratio.
 
-Two first-order models are trained on labelled samples: the values that the rules find (random strings), and long tokens
-outside every rule's span (ordinary identifiers). A long token whose transitions are likelier under the first adds a span.
+Two first-order models are trained on labelled samples: the values that the rules find (random strings), and what is written as words and
+numbers outside every rule's match (ordinary identifiers). A long token whose transitions are likelier under the first adds a span.
 Everything is a DataFrame expression; only the two tables of transition counts reach the driver.
 """
 
@@ -23,6 +23,9 @@ KINDS = (*(r[0] for r in RULES), "markov")
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
+RUN = r"[A-Za-z0-9+/_=-]{4,}"
+# what no identifier of words and numbers holds: letters beside digits, a capital that begins no word, signs of base64
+UNLIKE_WORDS = r"[A-Za-z][0-9]|[0-9][A-Za-z]|[+=]|[a-z][A-Z](?![a-z][a-z])|[A-Z][A-Z][a-z]"
 PAGE = 4096  # code points; redaction cuts pages instead of whole texts
 
 
@@ -97,6 +100,7 @@ def train(docs: DataFrame, bound: int | None, seed: int, smooth: float) -> list[
     """Log-likelihood ratios (random over ordinary, hundredths of a nat) of all transitions, row by row of ALPHABET.
 
     The transitions of all documents are counted, two numbers for each pair of characters; a ``bound`` takes about that many documents.
+    Equal words are counted first, so pairs are made once for each of them.
     """
     sample = (docs if bound is None else bounded_share(docs, "doc_id", bound, seed)).withColumn("_base", base_spans(F.col("text")))
     base = F.col("_base")
@@ -104,18 +108,36 @@ def train(docs: DataFrame, bound: int | None, seed: int, smooth: float) -> list[
     secret = F.transform(base, lambda s: F.regexp_extract(s["t"], r"([A-Za-z0-9+/_=-]+)[^A-Za-z0-9+/_=-]*$", 1))
     # the keyword and an equals sign may be token characters too
     secret = F.transform(secret, lambda m: F.regexp_replace(m, r"(?i)^.*(?:password|passwd|secret|token|api_?key)=", ""))
+    rest = F.col("text")
+    for _, pattern, _, _ in RULES:
+        rest = F.regexp_replace(rest, pattern, " ")
+    words = F.filter(F.regexp_extract_all(F.when(F.size(base) > 0, rest).otherwise(F.col("text")), F.lit(RUN), F.lit(0)), lambda t: ~t.rlike(UNLIKE_WORDS))
     tokens = F.concat(F.transform(secret, lambda t: F.struct(F.lit(1).alias("random"), t.alias("t"))),
-                      F.transform(free_tokens(F.col("text"), base), lambda s: F.struct(F.lit(0).alias("random"), s["t"].alias("t"))))
-    pairs = sample.select(F.explode(tokens).alias("x")).where(F.length("x.t") > 1).select(
-        "x.random", F.explode(let(F.split("x.t", ""), lambda c: neighbours(c, lambda a, b: F.concat(a, b)))).alias("pair"))
-    counts = {(r["random"], r["pair"]): r["count"] for r in pairs.groupBy("random", "pair").count().collect()}
+                      F.transform(words, lambda t: F.struct(F.lit(0).alias("random"), t.alias("t"))))
+    found = sample.select(F.explode(tokens).alias("x")).where(F.length("x.t") > 1).groupBy("x.random", "x.t").count()
+    written = F.when(F.col("random") == 1, F.array("t")).otherwise(styles(F.col("t")))
+    pairs = found.select("random", "count", F.explode(written).alias("t")).select(
+        "random", "count", F.explode(let(F.split("t", ""), lambda c: neighbours(c, lambda a, b: F.concat(a, b)))).alias("pair"))
+    counts = {(r["random"], r["pair"]): r["n"] for r in pairs.groupBy("random", "pair").agg(F.sum("count").alias("n")).collect()}
     return ratios(counts, smooth)
 
 
+def styles(word: Column) -> Column:
+    """A word, and the ways in which identifiers join it to its like: snake, kebab, camel case, paths, upper case."""
+    first, last, upper = F.substring(word, 1, 1), F.substring(word, -1, 1), F.upper(word)
+    joints = [F.concat(last, F.lit(sign), first) for sign in "_-/"]
+    capital = F.concat(last, F.upper(first), F.substring(word, 2, 1))
+    shout = F.concat(F.upper(last), F.lit("_"), F.upper(first))
+    return F.concat(F.array(word, *joints), F.when(upper != word, F.array(capital, upper, shout)).otherwise(F.array().cast("array<string>")))
+
+
 def ratios(counts: dict[tuple[int, str], int], smooth: float) -> list[int]:
+    """Half of the random model is uniform, since the rules' values have the few formats that the rules know."""
     def logs(model: int, a: str) -> list[float]:
         row = [counts.get((model, a + b), 0) + smooth for b in ALPHABET]
         total = math.log(sum(row))
+        if model:
+            return [math.log((math.exp(math.log(v) - total) + 1 / len(ALPHABET)) / 2) for v in row]
         return [math.log(v) - total for v in row]
 
     return [round(100 * (r - o)) for a in ALPHABET for r, o in zip(logs(1, a), logs(0, a), strict=True)]
@@ -161,7 +183,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **opti
 
     A null text is empty and has no spans (the hash of the empty string). Repeated rows give the same row again, a null
     doc_id stays null, an empty table gives an empty result, other columns are ignored. Without any labelled secret the
-    random model is uniform.
+    random model is uniform. Numbers and words of any length are ordinary.
     """
     found = find(narrow(docs, doc_id=id_col, text=text_col), **options)
     count = lambda k: F.size(F.filter("_base", lambda s: s["kind"] == k)).cast("long")

@@ -107,3 +107,29 @@ def test_transitions_of_all_documents_are_counted(spark, monkeypatch):
     docs = spark.range(20_500).select(F.col("id").alias("doc_id"), F.lit("see abcdefghijklmnopqrstuvwx here").alias("text"))
     S.scan(docs)
     assert seen[0][(0, "ab")] == 20_500
+
+
+def planted(rng, n):
+    """(token, kind) for each of four ways to write a random string, and for four ways to write an identifier."""
+    words = "account amount balance cluster config customer delivery document engine export filter gateway handler invoice journal".split()
+    base62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    out = []
+    for _ in range(n):
+        for letters, size in ((base62, 32), (base62, 24), (base62 + "+/", 40), (base62[26:], 32)):
+            out.append(("".join(rng.choice(letters) for _ in range(size)), True))
+        w = [rng.choice(words) for _ in range(4)]
+        out += [(t, False) for t in ("_".join(w), "-".join(w), w[0] + "".join(x.title() for x in w[1:]), "_".join(w).upper())]
+    return out
+
+
+def test_planted_strings_are_found_and_identifiers_are_not(spark):
+    import random
+    docs = table(spark, SF, "documents").select("doc_id", "text")
+    tokens = planted(random.Random(11), 75)
+    more = spark.createDataFrame([(10_000_000 + i, f"see {t} there") for i, (t, _) in enumerate(tokens)], "doc_id long, text string")
+    spans = {r.doc_id: r.spans for r in S.scan(docs.unionByName(more)).where("doc_id >= 10000000").collect()}
+    found = [f"markov:4:{4 + len(t)}" in spans[10_000_000 + i].split(",") for i, (t, _) in enumerate(tokens)]
+    hits = sum(f for f, (_, secret) in zip(found, tokens, strict=True) if secret)
+    wrong = sum(f for f, (_, secret) in zip(found, tokens, strict=True) if not secret)
+    print("found", hits, "of 300; identifiers taken for secrets", wrong, "of 300")
+    assert hits >= 285 and wrong <= 15
