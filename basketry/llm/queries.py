@@ -104,11 +104,12 @@ WITH crc AS (
 d AS (
   SELECT doc_id, source, coalesce(octet_length(encode(text)), 0) + 16 AS size,
          xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT)),
-                         lambda c, b: xor(c >> 8, crc.t[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32,
-         substr(md5('3:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS k
+                         lambda c, b: xor(c >> 8, crc.t[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32
   FROM documents, crc),
+keyed AS (
+  SELECT *, substr(md5('3:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || text_crc32), 1, 15) AS k FROM d),
 ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY source ORDER BY k, doc_id, size, text_crc32) - 1 AS r, count(*) OVER (PARTITION BY source) AS n FROM d),
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY k, doc_id, size, text_crc32) - 1 AS r, count(*) OVER (PARTITION BY source) AS n FROM keyed),
 placed AS (
   SELECT *, row_number() OVER (ORDER BY (r + 0.5::DOUBLE) / n, source NULLS LAST, r) - 1 AS pos, count(*) OVER () AS total FROM ranked)
 SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'rows' AS law, (pos * 40 // total)::INT AS shard,

@@ -18,7 +18,7 @@ def slow(docs, shards=40, seed=3):
     by = {}
     for d, t, s in docs:
         raw = (t or "").encode()
-        by.setdefault(s, []).append((hashlib.md5(f"{seed}:{'' if d is None else d}".encode()).hexdigest()[:15], d or 0, len(raw) + 16, zlib.crc32(raw), d))
+        by.setdefault(s, []).append((hashlib.md5(f"{seed}:{'' if d is None else d}:{zlib.crc32(raw)}".encode()).hexdigest()[:15], d or 0, len(raw) + 16, zlib.crc32(raw), d))
     rows = [((r + 0.5) / len(v), s is None, s or "", r, x) for s, v in by.items() for r, x in enumerate(sorted(v, key=lambda x: x[:4]))]
     n, out = len(rows), []
     for pos, (*_, x) in enumerate(sorted(rows, key=lambda x: x[:4])):
@@ -51,3 +51,13 @@ def test_odd_rows(spark):
     assert sharding.shard(df.limit(0)).count() == 0
     few = sharding.shard(df.where(F.col("doc_id") < 5)).collect()
     assert sorted(r.slot for r in few) == [0] * 5
+
+
+def test_hot_ids_and_equal_rows_spread(spark, monkeypatch):
+    seen, running = [], sharding.running
+    monkeypatch.setattr(sharding, "running", lambda df, group, key, *a, **kw: seen.append(
+        df.groupBy(*group, F.shiftright(F.col(key), 54).alias("cell")).count().agg(F.max("count")).first()[0]) or running(df, group, key, *a, **kw))
+    rows = [(i, f"t{i}", "a") for i in range(2000)] + [(None, f"n{i}", "a") for i in range(2000)] + [(5, f"h{i}", "a") for i in range(1000)] + [(9, "copy", "a")] * 2000
+    got = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(8)).collect()
+    assert sorted(str(tuple(r)) for r in got) == slow(rows)
+    assert max(seen) <= 40  # of 7000 rows, 2000 of them alike
