@@ -7,10 +7,12 @@ there for queries, the largest inner product is the smallest distance. Insertion
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -195,6 +197,27 @@ def unpack_index(row) -> tuple[Index, np.ndarray, np.ndarray, np.ndarray]:
     return Index(np.frombuffer(row["ids"], dtype=np.int64), x, layers), exact, np.frombuffer(row["first"], dtype=np.int64), np.frombuffer(row["members"], dtype=np.int64)
 
 
+def answers(shard: tuple[Index, np.ndarray, np.ndarray, np.ndarray], own: np.ndarray, q: np.ndarray, k: int, ef: int) -> Iterator[pa.RecordBatch]:
+    """(query_id, vec_id, score): each query's ``k`` nearest found in an unpacked shard, but the query itself."""
+    graph, exact, first, members = shard
+    for at in range(0, len(q), BATCH):
+        got, _ = graph.search(q[at:at + BATCH], ef)
+        for lo in range(0, len(got), 64):  # the graph ranks in single precision; all that it found is scored in double
+            r, c = np.nonzero(got[lo:lo + 64] >= 0)
+            node = got[lo:lo + 64][r, c]
+            score = np.einsum("nd,nd->n", q[at + lo + r], exact[node])
+            size = first[node + 1] - first[node]
+            member = members[np.repeat(first[node] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
+            row, score = at + lo + np.repeat(r, size), np.repeat(score, size)
+            other = own[row] != member
+            row, member, score = row[other], member[other], score[other]
+            order = np.lexsort((member, -score, row))
+            row = row[order]
+            nth = np.arange(len(row)) - np.searchsorted(row, row)
+            order, row = order[nth < k], row[nth < k]
+            yield pa.RecordBatch.from_pydict({"query_id": own[row], "vec_id": member[order], "score": score[order]})
+
+
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """(vec_id, v array<double>) without null ids and without vectors that are null, empty, zero or hold null or non-finite components."""
     v = F.transform(f"`{vec_col}`", lambda c: c.cast("double"))
@@ -204,7 +227,7 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 
 
 def neighbours(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", every: int = 20, k: int = 20,
-               shard_rows: int = 8192, query_block: int = 16384, ef: int = 320, m: int = 16, build_ef: int = 96, seed: int = 1) -> DataFrame:
+               shard_rows: int = 8192, query_block: int = 131_072, ef: int = 320, m: int = 16, build_ef: int = 96, seed: int = 1) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found for each vector whose id is divisible by ``every``.
 
     Nearest is the largest inner product, computed in double precision on the original vectors; ties go to the smaller id. All rows but those
@@ -229,39 +252,32 @@ def neighbours(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     index = materialize(dealt.groupBy("dim", "shard").applyInPandas(make, PACKED))
     asked = rows.where(F.col("vec_id") % every == 0)
     blocks = max(1, -(-asked.count() // query_block))
-    # every block of queries meets every shard
-    index = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    # every block of queries meets every shard: the shard's row comes first, then the block's queries stream past it
+    index = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumn("query", F.lit(False))
     asked = asked.select(F.size("v").alias("dim"), F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"), "vec_id", "v").withColumn(
-        "shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-
-    def find(shard: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
-        if not len(shard) or not len(queries):
-            return empty
-        graph, exact, first, members = unpack_index(shard.iloc[0])
-        q = np.stack(queries["v"].to_numpy()).astype(np.float64)
-        own = queries["vec_id"].to_numpy()
-        out = [empty]
-        for at in range(0, len(q), BATCH):
-            got, _ = graph.search(q[at:at + BATCH], ef)
-            for lo in range(0, len(got), 64):  # the graph ranks in single precision; all that it found is scored in double
-                r, c = np.nonzero(got[lo:lo + 64] >= 0)
-                node = got[lo:lo + 64][r, c]
-                score = np.einsum("nd,nd->n", q[at + lo + r], exact[node])
-                size = first[node + 1] - first[node]
-                member = members[np.repeat(first[node] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
-                row, score = at + lo + np.repeat(r, size), np.repeat(score, size)
-                other = own[row] != member
-                row, member, score = row[other], member[other], score[other]
-                order = np.lexsort((member, -score, row))
-                row = row[order]
-                nth = np.arange(len(row)) - np.searchsorted(row, row)
-                order, row = order[nth < k], row[nth < k]
-                out.append(pd.DataFrame({"query_id": own[row], "vec_id": member[order], "score": score[order]}))
-        return pd.concat(out, ignore_index=True)
-
+        "shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).withColumn("query", F.lit(True))
     key = ["dim", "shard", "block"]
-    found = index.groupBy(*key).cogroup(asked.groupBy(*key)).applyInPandas(find, "query_id long, vec_id long, score double")
+    line = index.unionByName(asked, allowMissingColumns=True).repartition(*key).sortWithinPartitions(*key, "query")
+
+    def find(batches):
+        held, state = None, None
+        for batch in batches:
+            query = batch.column("query").to_pylist()
+            keys = list(zip(*(batch.column(c).to_pylist() for c in key), strict=True))
+            at = 0
+            while at < len(query):
+                to = at + 1
+                if not query[at]:
+                    held, state = keys[at], unpack_index({c: batch.column(c)[at].as_py() for c in ("n", "ids", "first", "members", "x", "exact", "sizes", "links")})
+                else:
+                    while to < len(query) and query[to] and keys[to] == keys[at]:
+                        to += 1
+                    if keys[at] == held:  # a shard may hold no vector of that length
+                        part = batch.slice(at, to - at)
+                        yield from answers(state, part.column("vec_id").to_numpy(), part.column("v").flatten().to_numpy().reshape(to - at, -1), k, ef)
+                at = to
+
+    found = line.mapInArrow(find, "query_id long, vec_id long, score double")
     merged = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return merged.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
