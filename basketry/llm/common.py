@@ -85,6 +85,33 @@ def bounded_share(df: DataFrame, id_col: str, bound: int, seed: int) -> DataFram
     return df.where(F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(1 << 31)) < keep)
 
 
+def class_share(df: DataFrame, keys: list[str], label: str, bound: int, seed: int) -> DataFrame:
+    """All rows if there are at most ``bound``; else about that many, chosen by a hash of ``keys``.
+
+    Classes are drawn in proportion, but none gives fewer than a tenth of its equal part of the bound (or all that it has), so a rare class is
+    not lost in a large table.
+    """
+    sizes = materialize(df.groupBy(F.col(label).alias("_label")).agg(F.count(F.lit(1)).alias("_n")))
+    classes, n = sizes.agg(F.count(F.lit(1)), F.sum("_n")).first()
+    if (n or 0) <= bound:
+        return df
+    share = F.least(F.lit(1.0), F.greatest(F.lit(bound / n), F.lit(bound / (10 * classes)) / F.col("_n")))
+    drawn = lookup(df, sizes.withColumn("_keep", (share * (1 << 31)).cast("long")).drop("_n"), {label: "_label"})
+    return drawn.where(F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(1 << 31)) < F.col("_keep")).drop("_keep")
+
+
+def within(sample: DataFrame, keys: list[str], cost: Column, limit: int, seed: int) -> DataFrame:
+    """Whole rows of a sample of bounded size, in the order of a hash of their ``keys`` (which tell them apart), whose ``cost`` sums to
+    ``limit`` at most. Rows that cost more by themselves are passed over.
+    """
+    sample = materialize(sample.withColumn("_key", F.xxhash64(*keys, F.lit(seed))))
+    # a number for each row of the bounded sample, no texts
+    costs = sample.select("_key", cost.cast("long").alias("_cost")).where(F.col("_cost") <= limit)
+    upto = F.sum("_cost").over(Window.orderBy("_key").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    kept = costs.withColumn("_sum", upto).where(F.col("_sum") <= limit).select("_key").distinct()
+    return sample.join(F.broadcast(kept), "_key").drop("_key")
+
+
 def running(df: DataFrame, group: list[str], key: str, ties: list[str], rank: str | None = None,
             before: dict[str, str] | None = None, total: str | None = None, bits: int = 10) -> DataFrame:
     """Position and running sums of each row within its group, in the order of ``key`` (a long

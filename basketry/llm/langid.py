@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_share, crc_class, map_texts, narrow
+from .common import class_share, crc_class, map_texts, narrow, within
 from .toxicity import LETTERS
 
 BITS = 16
@@ -95,9 +95,10 @@ def fit(feats: list[np.ndarray], langs: list[str], landmarks: int, ridge: float)
     return Model(names, grams, marks.T.astype(np.float64) @ (root @ w))
 
 
-def train(known: DataFrame, bound: int, landmarks: int, ridge: float, seed: int) -> Model:
+def train(known: DataFrame, bound: int, limit: int, landmarks: int, ridge: float, seed: int) -> Model:
     """``known``: (doc_id, text, lang). Presence sets are made where the texts are; one task learns from the bounded sample."""
-    sample = bounded_share(known, "doc_id", bound, seed).select("doc_id", "lang", "text")
+    drawn = class_share(known, ["doc_id", "text"], "lang", bound, seed).select("doc_id", "lang", "text").distinct()
+    sample = within(drawn, ["doc_id", "lang", "text"], F.octet_length("text"), limit, seed)
 
     def fn(batch, texts):
         feats = [np.flatnonzero(r).astype(np.int32) for x in chunks(texts) for r in x]
@@ -118,17 +119,18 @@ def train(known: DataFrame, bound: int, landmarks: int, ridge: float, seed: int)
     return Model([r["lang"] for r in rows], np.array(rows[0]["grams"], dtype=np.int64), np.array([r["weights"] for r in rows]).T)
 
 
-def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", bound: int = 4000,
+def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", bound: int = 4000, limit: int = 32 << 20,
              landmarks: int = 200, ridge: float = 0.1, seed: int = 9) -> DataFrame:
     """(doc_id, held_out, lang_pred, score): one row per row of ``docs``.
 
-    Learns from about ``bound`` documents at most, with a language and outside the held-out quarter. A null text, or one without a letter, is
+    Learns from about ``bound`` documents of ``limit`` bytes together at most, with a language and outside the held-out quarter; equal rows count once, and
+    every language gets its part of the bound. A null text, or one without a letter, is
     ``und`` with score 0, and so is every text if nothing could be learned. Score: the regression's value for the language, cut to 0..1; ties go
     to the first language in order. Repeated rows are scored alike, a null doc_id stays null (empty text for held_out), an empty table gives an empty
     result, other columns are ignored.
     """
     texts = narrow(docs, doc_id=id_col, text=text_col, lang=lang_col)
-    model = train(texts.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (crc_class("doc_id", 4) != 2)), bound, landmarks, ridge, seed)
+    model = train(texts.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (crc_class("doc_id", 4) != 2)), bound, limit, landmarks, ridge, seed)
 
     def fn(batch, raw):
         if not model.langs or not raw:

@@ -189,15 +189,17 @@ def train(sample: DataFrame, steps: int, rate: float, l2: float) -> np.ndarray |
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-             threshold: float = 0.5, bound: int = 3000, steps: int = 150, rate: float = 0.1, l2: float = 1e-4, seed: int = 7) -> DataFrame:
+             threshold: float = 0.5, bound: int = 3000, limit: int = 60_000, steps: int = 150, rate: float = 0.1, l2: float = 1e-4, seed: int = 7) -> DataFrame:
     """(doc_id, held_out, score, predicted): one row per row of ``docs``.
 
-    Learns from at most about ``bound`` labelled documents outside the held-out third. A null or blank text is one empty line.
+    Learns from at most about ``bound`` labelled documents of ``limit`` lines together, outside the held-out third; documents are never cut, one of more lines is
+    scored but not learned from. A null or blank text is one empty line.
     Without any usable label every score is 1/2. Repeated rows are scored alike, a null doc_id stays null (empty text for held_out), an
     empty table gives an empty result, other columns are ignored.
     """
     texts = narrow(docs, doc_id=id_col, text=text_col)
-    p = train(labelled(texts, narrow(labels, doc_id=id_col, y=label_col), "y", 3, 1, bound, seed), steps, rate, l2)
+    lines = F.coalesce(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))), F.lit(0)) + 1
+    p = train(labelled(texts, narrow(labels, doc_id=id_col, y=label_col), "y", 3, 1, bound, lines, limit, seed), steps, rate, l2)
 
     def fn(batch, raw):
         s = np.full(len(raw), 0.5) if p is None else score(raw, p)

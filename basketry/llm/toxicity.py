@@ -12,10 +12,10 @@ from collections.abc import Callable
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_share, crc_class, map_texts, narrow, raw_texts, slices
+from .common import class_share, crc_class, map_texts, narrow, raw_texts, slices, within
 
 BITS = 20
 # A-Z to lower case; other ASCII that isn't a letter ends a word; bytes above ASCII belong to words.
@@ -87,16 +87,17 @@ def score(texts: list[bytes], dense: np.ndarray, bias: float) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(total, -35, 35)))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, mod: int, out: int, bound: int, seed: int) -> DataFrame:
-    """(doc_id, y, text) of about ``bound`` labelled documents at most, none of them of the held-out class.
+def labelled(docs: DataFrame, labels: DataFrame, label: str, mod: int, out: int, bound: int, cost: Column, limit: int, seed: int) -> DataFrame:
+    """(doc_id, y, text) of about ``bound`` labelled documents at most, none of them of the held-out class, whose ``cost`` sums to ``limit`` at most.
 
-    A doc_id with several labels has the largest; null ids and labels don't count.
+    A doc_id with several labels has the largest, one with several texts the first in order; null ids and labels don't count.
     """
     known = labels.select(F.col("doc_id"), F.col(label).cast("int").alias("y")).where(
         F.col("doc_id").isNotNull() & F.col("y").isNotNull() & (crc_class("doc_id", mod) != out))
-    sample = bounded_share(known.groupBy("doc_id").agg(F.max("y").alias("y")), "doc_id", bound, seed)
-    # at most about ``bound`` (id, label) pairs, whatever the size of the tables
-    return docs.join(F.broadcast(sample), "doc_id").select("doc_id", "y", "text")
+    sample = class_share(known.groupBy("doc_id").agg(F.max("y").alias("y")), ["doc_id"], "y", bound, seed)
+    # at most about ``bound`` (id, label) pairs, whatever the size of the tables; rows of a repeated id are met before the shuffle
+    one = docs.join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(F.max("y").alias("y"), F.min("text").alias("text"))
+    return within(one, ["doc_id"], cost, limit, seed)
 
 
 def train(sample: DataFrame, alpha: float, beta: float, l1: float, l2: float, epochs: int) -> tuple[np.ndarray, np.ndarray, float]:
@@ -128,7 +129,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
              threshold: float = 0.7, **options) -> DataFrame:
     """(doc_id, held_out, score, predicted): one row per row of ``docs``.
 
-    Learns from at most about ``bound`` (12,000) labelled documents outside the held-out third; options as for ``scorer_of``. Null and empty texts have the
+    Learns from at most about ``bound`` (12,000) labelled documents of ``limit`` bytes (64 MB) together, outside the held-out third; options as for ``scorer_of``. Null and empty texts have the
     score of the intercept alone; without any usable label every score is next to 0. Repeated rows are scored alike, a null
     doc_id stays null (its id counts as empty text for held_out), an empty table gives an empty result, other columns are ignored.
     """
@@ -143,10 +144,11 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         "doc_id", (crc_class("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
 
 
-def scorer_of(texts: DataFrame, labels: DataFrame, bound: int = 12_000, alpha: float = 4.0, beta: float = 1.0, l1: float = 0.12,
+def scorer_of(texts: DataFrame, labels: DataFrame, bound: int = 12_000, limit: int = 64 << 20, alpha: float = 4.0, beta: float = 1.0, l1: float = 0.12,
               l2: float = 0.1, epochs: int = 8, seed: int = 6) -> Callable[[list[bytes]], np.ndarray]:
     """A function from raw texts to scores, learned from (doc_id, text) and (doc_id, y)."""
-    feats, w, bias = train(labelled(texts, labels, "y", 3, 1, bound, seed), alpha, beta, l1, l2, epochs)
+    size = F.coalesce(F.octet_length("text"), F.lit(0))
+    feats, w, bias = train(labelled(texts, labels, "y", 3, 1, bound, size, limit, seed), alpha, beta, l1, l2, epochs)
 
     def run(raw: list[bytes]) -> np.ndarray:
         dense = np.zeros(1 << BITS)
@@ -158,7 +160,11 @@ def scorer_of(texts: DataFrame, labels: DataFrame, bound: int = 12_000, alpha: f
 
 def clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
           threshold: float = 0.7, **options) -> DataFrame:
-    """The rows of ``docs`` whose score is below ``threshold``, unchanged."""
+    """The rows of ``docs`` whose score is below ``threshold``, unchanged.
+
+    Null and empty texts have the score of the intercept alone, very long ones are scored whole, repeated rows stay or go together, null ids make no
+    difference, an empty table gives an empty result. Other columns may have any name and type.
+    """
     scorer = scorer_of(narrow(docs, doc_id=id_col, text=text_col), narrow(labels, doc_id=id_col, y=label_col), **options)
 
     def run(batches):

@@ -63,3 +63,16 @@ def test_odd_rows(spark):
     assert by[203].lang_pred in ("de", "en") and by[204].lang_pred == "en" and by[None].lang_pred == "en"
     assert L.identify(df.limit(0)).count() == 0
     assert {r.lang_pred for r in L.identify(df.where("lang is null")).collect()} == {"und"}
+
+
+def test_rare_language_of_a_large_table_is_learned(spark):
+    from pyspark.sql import functions as F
+    words = F.concat_ws(" ", F.lit("the cat and the dog saw"), F.col("id").cast("string"), F.lit("birds in the house"))
+    common = spark.range(100_000).select(F.col("id").alias("doc_id"), words.alias("text"), F.lit("en").alias("lang"))
+    rare = spark.range(100_000, 100_040).select(F.col("id").alias("doc_id"), F.concat(F.lit("zwölf Hühner über Köln "), F.col("id").cast("string")).alias("text"), F.lit("de").alias("lang"))
+    copies = spark.range(50_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("the same dog").alias("text"), F.lit("en").alias("lang"))
+    df = common.unionByName(rare).unionByName(copies)
+    drawn = L.class_share(df, ["doc_id", "text"], "lang", 4000, 9)
+    assert drawn.where("lang = 'de'").count() == 40 and drawn.distinct().count() <= 4400
+    got = {r.lang_pred for r in L.identify(df).where("doc_id >= 100000").collect()}
+    assert got == {"de"}

@@ -64,3 +64,19 @@ def test_odd_rows(spark):
     assert by[900].score == by[901].score and all(by[i].predicted == y for i, _, y in rows) and by[902].predicted == 1
     assert Q.classify(df.limit(0), labels).count() == 0
     assert {r.score for r in Q.classify(df, labels.limit(0)).collect()} == {0.5}
+
+
+def test_repeated_labelled_ids_and_very_long_documents(spark):
+    rows = [(i, f"A plain sentence number {i}.\nAnd one more.", 1) for i in range(0, 60, 2)] + [(i, f"BUY!! NOW$$$ {i}%%%\n### *** &&&", 0) for i in range(1, 60, 2)]
+    docs = spark.createDataFrame([*rows, (100, "A plain line of words.\n" * 100_000, 1)], "doc_id long, text string, y int")
+    hot = spark.range(20_000).select(F.lit(2).cast("long").alias("doc_id"), F.concat(F.lit("Some plain words, "), F.col("id").cast("string")).alias("text"))
+    texts = docs.select("doc_id", "text").unionByName(hot)
+    lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    sample = Q.labelled(texts, docs.select("doc_id", "y"), "y", 3, 1, 3000, lines, 60_000, 7).collect()
+    ids = [r.doc_id for r in sample]
+    assert len(ids) == len(set(ids)) and set(ids) == {i for i, _, _ in rows if zlib.crc32(str(i).encode()) % 3 != 1}
+    assert sum(r.text.count("\n") + 1 for r in sample) <= 60_000
+    few = Q.labelled(texts, docs.select("doc_id", "y"), "y", 3, 1, 3000, lines, 11, 7).collect()
+    assert 0 < sum(r.text.count("\n") + 1 for r in few) <= 11
+    got = Q.classify(texts, docs.select("doc_id", F.col("y").alias("quality"))).where("doc_id = 100").collect()
+    assert [r.predicted for r in got] == [1]

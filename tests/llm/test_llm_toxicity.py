@@ -67,3 +67,42 @@ def test_odd_rows(spark):
     assert by[900] == by[901] and by[1] > by[0]
     assert toxicity.classify(df.limit(0), labels).count() == 0
     assert {r.predicted for r in toxicity.classify(df, labels.limit(0)).collect()} == {0}
+
+
+def plain_grams(text):
+    """The features by their description, one at a time, in whole numbers of 64 bits."""
+    full = (1 << 64) - 1
+    u = [((zlib.crc32(w) + 1) * 0x9E3779B97F4A7C15) & full for w in (text or "").encode().translate(toxicity.LETTERS).split()]
+    out = [x for x in u]
+    for gap, factor in ((1, 0xC2B2AE3D27D4EB4F), (2, 0x165667B19E3779F9)):
+        out += [(((a >> 7) ^ ((b * factor) & full)) * 0xD6E8FEB86659FD93) & full for a, b in zip(u, u[gap:], strict=False)]
+    return {x >> (64 - toxicity.BITS) for x in out}
+
+
+def test_query_against_plain_learning_and_scoring(spark):
+    from basketry.llm.queries import QUERIES
+    docs = {r.doc_id: r.text for r in table(spark, SF, "documents").select("doc_id", "text").collect()}
+    labels = {r.doc_id: r.toxic for r in table(spark, SF, "labels").collect()}
+    known = [i for i in labels if i in docs and zlib.crc32(str(i).encode()) % 3 != 1]
+    known.sort(key=lambda i: (i * 0x9E3779B97F4A7C15 % (1 << 64), i))
+    alpha, beta, l1, l2 = 4.0, 1.0, 0.12 * len(known) ** 0.5, 0.1
+    grams = {i: plain_grams(t) for i, t in docs.items()}
+    z, n, bias, bias_n = {}, {}, 0.0, 0.0
+
+    def weight(f):
+        zi = z.get(f, 0.0)
+        return 0.0 if abs(zi) <= l1 else -(zi - np.sign(zi) * l1) / ((beta + n[f] ** 0.5) / alpha + l2)
+
+    for _ in range(8):
+        for i in known:
+            w = {f: weight(f) for f in grams[i]}
+            g = 1 / (1 + np.exp(-np.clip(sum(w.values()) + bias, -35, 35))) - labels[i]
+            for f, wf in w.items():
+                nf = n.get(f, 0.0)
+                z[f] = z.get(f, 0.0) + g - ((nf + g * g) ** 0.5 - nf ** 0.5) / alpha * wf
+                n[f] = nf + g * g
+            bias_n += g * g
+            bias -= alpha * g / (beta + bias_n ** 0.5)
+    got = {r.doc_id: r.score for r in QUERIES["op6_toxicity"](spark, SF).collect()}
+    want = {i: 1 / (1 + np.exp(-np.clip(sum(weight(f) for f in fs if f in z) + bias, -35, 35))) for i, fs in grams.items()}
+    assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-6 for i in want)
