@@ -17,6 +17,7 @@ from ..session import ensure_checkpoint_dir
 from .merge import null_safe_on
 
 RANGE = "_range"
+KEY = "_key"       # struct of the key columns
 
 
 @dataclass
@@ -58,12 +59,37 @@ def beside(ranged: Ranged, keys: Sequence[str], at: str, value: Column, name: st
     return out.drop("_value")
 
 
+def any_frequent(versions: DataFrame, keys: Sequence[str], most: int = 100_000, buckets: int = 1 << 14) -> bool:
+    """Whether any key has more than ``most`` versions: counted by buckets of keys, then by key in the buckets that are that large."""
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets))
+    large = [r[0] for r in versions.groupBy(bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most).select("_b").collect()]
+    if not large:
+        return False
+    return not versions.where(bucket.isin(large)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most).isEmpty()
+
+
+def _unsplit(versions: DataFrame, at: str, state: Sequence[str], tie: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """``intervals`` of keys none of which is frequent: rows are dealt by KEY once, or not at all if they come so."""
+    best = F.max_by(F.struct(*state), F.struct(*tie, *state))
+    if KEY not in versions.columns:
+        versions = versions.withColumn(KEY, F.struct(*keys)).repartition(KEY)
+    one = versions.where(F.col(at).isNotNull()).groupBy(KEY, F.col(at).alias("valid_from")).agg(best.alias("_state"))
+    time = Window.partitionBy(KEY).orderBy("valid_from")
+    told = one.withColumn("_before", F.lag(F.struct(F.col("_state").alias("s"))).over(time))
+    changed = told.where(F.col("_before").isNull() | ~F.col("_before.s").eqNullSafe(F.col("_state")))
+    out = changed.withColumn("valid_to", F.lead("valid_from").over(time))
+    return out.select(*(F.col(KEY)[k].alias(k) for k in keys), *(F.col("_state")[c].alias(c) for c in state), "valid_from", "valid_to")
+
+
 def intervals(versions: DataFrame, keys: Sequence[str], at: str, state: Sequence[str], tie: Sequence[str] = (),
-              most: int = 100_000, ranges: int = 1024) -> DataFrame:
+              most: int = 100_000, ranges: int = 1024, frequent: bool = True) -> DataFrame:
     """(keys, state, valid_from, valid_to): one row for each key and stretch of time with one state; ``valid_to`` is exclusive, null while open.
 
     Of several versions of a key with one time the greatest by ``tie``, then by state, counts. Null keys are a key, null state values are
-    values; versions without a time have no place and are left out. ``versions`` may be in any order and hold repeats."""
+    values; versions without a time have no place and are left out. ``versions`` may be in any order and hold repeats.
+    ``frequent=False`` (see ``any_frequent``): no key has more than ``most`` of them, so there is nothing to split."""
+    if not frequent:
+        return _unsplit(versions, at, state, tie, keys)
     ensure_checkpoint_dir(versions.sparkSession)
     best = F.max_by(F.struct(*state), F.struct(*tie, *state))
     one = versions.where(F.col(at).isNotNull()).groupBy(*keys, F.col(at).alias("valid_from")).agg(best.alias("_state")).checkpoint()

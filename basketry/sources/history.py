@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import history as H
-from ..operators.merge import anti_join, null_safe_on
 from . import files as FS
 from .tables import _children
 
@@ -41,9 +40,15 @@ def append(spark: SparkSession, root: str, name: str, batch: DataFrame, keys: Se
     """Add a batch of versions; returns {versions, keys, batch}: new versions, touched keys, the batch's number (None if nothing is new)."""
     known = batches(spark, root, name)
     cols = [*keys, at, *dict.fromkeys([*state, *tie])]
-    said = batch.where(F.col(at).isNotNull()).select(*cols).distinct()
+    said = batch.where(F.col(at).isNotNull()).select(*cols)
     if known:
-        said = anti_join(said, _versions(spark, root, name, known), cols)
+        # a known version has a time of the batch; repeats and known ones go in one grouping
+        span = said.agg(F.min(at).alias("_lo"), F.max(at).alias("_hi"))
+        there = _versions(spark, root, name, known).select(*cols).join(F.broadcast(span), F.col(at).between(F.col("_lo"), F.col("_hi"))).select(*cols)
+        both = said.withColumn("_old", F.lit(False)).unionByName(there.withColumn("_old", F.lit(True)))
+        said = both.groupBy(*cols).agg(F.max("_old").alias("_old")).where(~F.col("_old")).drop("_old")
+    else:
+        said = said.distinct()
     number = max(known, default=0) + 1
     path = f"{_folder(root, name, 'versions')}/batch={number}"
     said.write.mode("overwrite").parquet(path)
@@ -53,10 +58,12 @@ def append(spark: SparkSession, root: str, name: str, batch: DataFrame, keys: Se
         fs, p = FS._fs(spark, path)
         fs.delete(p, True)
         return {"versions": 0, "keys": 0, "batch": None}
-    touched = new.select(*keys).distinct()
+    # a struct equals another with the same nulls, and what is dealt by it stays so up to the intervals
+    touched = new.select(F.struct(*keys).alias(H.KEY)).distinct()
     versions = _versions(spark, root, name, [*known, number])
-    theirs = versions.join(touched, null_safe_on(versions, touched, keys), "left_semi")
-    H.intervals(theirs, keys, at, state, tie).write.mode("overwrite").parquet(f"{_folder(root, name, 'intervals')}/batch={number}")
+    frequent = H.any_frequent(versions, keys)
+    theirs = versions.withColumn(H.KEY, F.struct(*keys)).join(touched, H.KEY, "left_semi")
+    H.intervals(theirs, keys, at, state, tie, frequent=frequent).write.mode("overwrite").parquet(f"{_folder(root, name, 'intervals')}/batch={number}")
     return {"versions": n, "keys": touched.count(), "batch": number}
 
 
@@ -68,9 +75,10 @@ def read(spark: SparkSession, root: str, name: str, keys: Sequence[str]) -> Data
     rows = spark.read.schema(schema.add("batch", "long")).parquet(base).where(F.col("batch") <= known[-1])
     if len(known) == 1:
         return rows.drop("batch")
-    last = rows.groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(F.max("batch").alias("_last"))
-    same = [rows[k].eqNullSafe(last[f"_{k}"]) for k in keys]
-    return rows.join(last, [*same, rows["batch"] == last["_last"]], "left_semi").drop("batch")
+    rows = rows.withColumn(H.KEY, F.struct(*keys))
+    last = rows.groupBy(F.col(H.KEY).alias("_k")).agg(F.max("batch").alias("_last"))
+    # both sides are dealt by the key alone, once
+    return rows.join(last, (rows[H.KEY] == last["_k"]) & (rows["batch"] >= last["_last"]), "left_semi").drop("batch", H.KEY)
 
 
 def compact(spark: SparkSession, root: str, name: str, keys: Sequence[str]) -> int | None:

@@ -7,6 +7,7 @@ import pytest
 
 from basketry.operators import history as H
 from basketry.sources import history as HT
+from pyspark.sql import functions as F
 
 SCHEMA = "source string, id string, at timestamp_ntz, price double, status string, mark int"
 KEYS, STATE = ["source", "id"], ["price", "status"]
@@ -49,6 +50,25 @@ def test_against_loop(spark, seed, most, ranges):
     assert rows_of(got) == slow(rows)
 
 
+@pytest.mark.parametrize("dealt", [False, True])
+def test_unsplit_against_loop_with_one_shuffle(spark, dealt):
+    rng = random.Random(11)
+    rows = some(rng, 400) + [("a", "1", None, 1.0, "F", 0)]
+    df = spark.createDataFrame(rows + rows[:20], SCHEMA).repartition(6)
+    if dealt:
+        df = df.withColumn(H.KEY, F.struct(*KEYS)).repartition(H.KEY)
+    got = H.intervals(df, KEYS, "at", STATE, ["mark"], frequent=False)
+    assert rows_of(got) == slow(rows)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_any_frequent(spark):
+    df = spark.createDataFrame([("hot", None, T0, 1.0, "F", i) for i in range(30)] + [("a", str(i), T0, 1.0, "F", 0) for i in range(200)], SCHEMA)
+    assert H.any_frequent(df, KEYS, most=29) and H.any_frequent(df, KEYS, most=29, buckets=2)
+    assert not H.any_frequent(df, KEYS, most=30) and not H.any_frequent(df, KEYS, most=30, buckets=2)
+
+
 def test_frequent_key_is_split(spark):
     rows = [("hot", "1", T0 + dt.timedelta(minutes=i), float(i % 3), "F", 0) for i in range(2000)]
     df = spark.createDataFrame(rows, SCHEMA).withColumnRenamed("at", "valid_from").checkpoint()
