@@ -33,8 +33,8 @@ def safe_double(c) -> Column:
     '' / None / unparseable -> NULL, NaN -> NULL. Works on string or numeric input."""
     c = col_(c)
     s = c.cast("string")
-    num = F.when(s.rlike(NUMERIC_PATTERN), F.trim(s).try_cast("double"))
-    return F.when(~F.isnan(num), num)
+    # the pattern lets no spelling of NaN through
+    return F.when(s.rlike(NUMERIC_PATTERN), F.trim(s).try_cast("double"))
 
 
 def numeric_col(df, name: str) -> Column:
@@ -98,8 +98,8 @@ def sku_list(line_items) -> Column:
     """Comma-joined, sorted, distinct SKUs (sku else variant_id); NULL if none."""
     skus = F.transform(col_(line_items), lambda li: F.coalesce(truthy_string(li["sku"]), truthy_string(li["variant_id"])))
     kept = F.filter(skus, lambda s: s.isNotNull())
-    joined = F.array_join(F.array_sort(F.array_distinct(kept)), ",")
-    return F.when(joined != "", joined)
+    # sort_array and nullif: no comparator lambda, and the list is made once
+    return F.nullif(F.array_join(F.sort_array(F.array_distinct(kept)), ","), F.lit(""))
 
 
 ARRAY_SUM_DECIMAL = "decimal(38,9)"

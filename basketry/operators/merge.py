@@ -51,32 +51,41 @@ def null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Colu
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
+KEY = "_key"  # struct of the key columns
+
+
+def with_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Adds KEY. A struct equals another with the same nulls, and rows grouped by it lie as a join on it
+    needs them, so they are dealt once."""
+    return df.withColumn(KEY, F.struct(*keys))
+
+
 def row_digest(df: DataFrame) -> Column:
     """Cheap deterministic tie-break over the whole row (only decides between
     rows that agree on every ordering column)."""
     return F.xxhash64(*[F.col(c) for c in df.columns])
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
-    """One row per key, the greatest by ``order_cols`` then row digest."""
+def latest_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], keyed: bool = False) -> DataFrame:
+    """One row per key, the greatest by ``order_cols`` then row digest. ``keyed``: with KEY, and dealt by it."""
     ordering = F.struct(*[F.col(c) for c in order_cols], row_digest(df))
-    best = df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in df.columns]), ordering).alias("_row"))
-    return best.select(*[F.col("_row")[c].alias(c) for c in df.columns])
+    by = [F.struct(*keys).alias(KEY)] if keyed else keys
+    best = df.groupBy(*by).agg(F.max_by(F.struct(*[F.col(c) for c in df.columns]), ordering).alias("_row"))
+    return best.select(*([KEY] if keyed else []), *[F.col("_row")[c].alias(c) for c in df.columns])
 
 
 def anti_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``left`` whose key does not occur in ``right``. The
     right keys are de-duplicated first (map-side), so a key repeated a million
     times in a batch is one row in the join."""
-    r = right.select(*keys).distinct()
-    return left.join(r, null_safe_on(left, r, keys), "left_anti")
+    r = right.select(F.struct(*keys).alias(KEY)).distinct()
+    return with_key(left, keys).join(r, KEY, "left_anti").drop(KEY)
 
 
 def key_counts(batch_keys: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
     """new = batch keys absent from the table, updated = present ones."""
-    ek = existing.select(*keys).distinct().withColumn("_hit", F.lit(True))
-    bk = batch_keys.select(*keys)
-    j = bk.join(ek, null_safe_on(bk, ek, keys), "left")
+    ek = existing.select(F.struct(*keys).alias(KEY)).distinct().withColumn("_hit", F.lit(True))
+    j = batch_keys.select(F.struct(*keys).alias(KEY)).join(ek, KEY, "left")
     return j.agg(F.count(F.when(F.col("_hit").isNull(), True)).alias("new"),
                  F.count(F.when(F.col("_hit"), True)).alias("updated"))
 

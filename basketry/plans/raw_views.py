@@ -165,8 +165,9 @@ def shopify_orders_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.transform("_e", lambda e: F.struct(e["disc"].alias("value"))).alias("discount_applications"))
     cust = c.select(F.col("c_custkey"),
                     F.concat(F.lit("  "), F.col("c_name"), F.lit("@Shop.Example \t")).alias("email"))
-    j = o.join(lines, o["o_orderkey"] == lines["l_orderkey"], "left") \
-        .join(cust, o["o_custkey"] == cust["c_custkey"], "left")
+    # the customer first: an order with its lines, the wide row, is dealt once, by its own key
+    j = o.join(cust, o["o_custkey"] == cust["c_custkey"], "left") \
+        .join(lines, o["o_orderkey"] == lines["l_orderkey"], "left")
     payload = F.struct(
         F.col("o_orderkey").cast("string").alias("id"),
         F.when(F.col("o_orderstatus") != "P", (F.col("o_orderkey") + F.lit(1000)).cast("string")).alias("order_number"),

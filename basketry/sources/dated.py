@@ -44,15 +44,14 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, schema, keys: Seque
     """Bring the batch's latest row of each key into the table, wherever its date has moved; returns the dates rewritten.
 
     A row older than the table's row of its key changes nothing. Rows without a date have a folder of their own."""
-    new = M.latest_per_key(batch.select(*schema.names), keys, [order_col]).withColumn(PART, part_of(F.col(at), unit))
+    new = M.latest_per_key(batch.select(*schema.names), keys, [order_col], keyed=True).withColumn(PART, part_of(F.col(at), unit))
     if not FS.path_exists(spark, path):
-        new = new.checkpoint()
-        write(new, path, keys)
-        return sorted((r[0] for r in new.select(PART).distinct().collect()), key=str)
+        write(new.drop(M.KEY), path, keys)
+        # the folders' names say it
+        return sorted((r[0] for r in read(spark, path, schema).select(PART).distinct().collect()), key=str)
     # where the keys are now: key, order and date alone are read
-    there = read(spark, path, schema).select(*(F.col(k).alias(f"_{k}") for k in keys), F.col(order_col).alias("_order"), F.col(PART).alias("_part"))
-    same = [new[k].eqNullSafe(there[f"_{k}"]) for k in keys]
-    moved = new.join(there, same, "left").withColumn("_known", F.col("_order").isNotNull())
+    there = read(spark, path, schema).select(F.struct(*keys).alias(M.KEY), F.col(order_col).alias("_order"), F.col(PART).alias("_part"))
+    moved = new.join(there, M.KEY, "left").drop(M.KEY).withColumn("_known", F.col("_order").isNotNull())
     moved = moved.where(~F.col("_known") | (F.col("_order") <= F.col(order_col))).checkpoint()
     # at most as many as the calendar has
     dates = {r[0] for r in moved.select(PART).unionByName(moved.where("_known").select(F.col("_part").alias(PART))).distinct().collect()}
@@ -61,8 +60,10 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, schema, keys: Seque
     known = [d for d in dates if d is not None]
     touched = F.col(PART).isin(known) if None not in dates else F.col(PART).isin(known) | F.col(PART).isNull()
     entering = moved.select(*schema.names, PART)
-    old = read(spark, path, schema).where(touched)
-    rows = M.anti_join(old, entering, keys).select(*schema.names, PART).unionByName(entering).checkpoint()
+    # each key enters once, so there is nothing to make distinct
+    old, theirs = read(spark, path, schema).where(touched), entering.select(F.struct(*keys).alias(M.KEY))
+    kept = M.with_key(old, keys).join(theirs, M.KEY, "left_anti")
+    rows = kept.select(*schema.names, PART).unionByName(entering).checkpoint()
     write(rows, path, keys)
     # a date that has lost its last row isn't overwritten by anything
     for d in dates - {r[0] for r in rows.select(PART).distinct().collect()}:

@@ -134,9 +134,9 @@ def replay(spark: SparkSession, root: str, name: str, schema: T.StructType, mend
     good = checked.where(F.size(BROKEN) == 0)
     entering = good
     if mode == "pair":
-        now = TB.read_table(spark, root, name, schema, keys).select(*(F.col(k).alias(f"_{k}") for k in keys), F.col(order_col).alias("_now"))
-        same = [good[k].eqNullSafe(now[f"_{k}"]) for k in keys]
-        entering = good.join(now, [*same, now["_now"] > good[order_col]], "left_anti").checkpoint()
+        now = TB.read_table(spark, root, name, schema, keys).select(F.struct(*keys).alias("_k"), F.col(order_col).alias("_now"))
+        good = M.with_key(good, keys)
+        entering = good.join(now, (good[M.KEY] == now["_k"]) & (now["_now"] > good[order_col]), "left_anti").drop(M.KEY).checkpoint()
     superseded = good.count() - entering.count()
     out = TB.merge_into(spark, root, name, schema, entering.drop(BROKEN, ID), mode, keys, order_col)
     ids = good.select(ID).distinct()
